@@ -1,4 +1,698 @@
-"""KPI views (filled per KPI)."""
+"""KPI views over the datasets (K1.x as implemented views, DOC ad-hoc
+queries, and the KPIs the docs specify, P1.4-P5.4).
 
-KPI_QUERIES: dict = {}
-KPI_VIEWS: list = []
+Every KPI is a function of a :class:`Datasets` accessor (and, for a few, the
+source :class:`Tables`) returning a lazy DataFrame. Ratios are computed on
+doubles with ``nullif`` denominators; sums that feed a ratio stay exact
+(integer/decimal) until one final division, so results do not depend on the
+order rows are summed in. Windows that would put one key's rows in one task
+(lag per address, rank per epoch) use :mod:`ballotlens.operators.ordered`.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ballotlens import constants as C
+from ballotlens.functions import pct, ratio
+from ballotlens.operators.ordered import lag_within, rank_within
+from ballotlens.plans import datasets as D
+from ballotlens.sources.tables import Tables
+
+# Parameters the docs leave open (defaults documented in README).
+ACTIVITY_MIN_SHARE = 0.5        # P2.2: X
+TOP_N_DREPS = 10                # P2.5: N
+VOLATILITY_WINDOW = 5           # P2.11: W
+OUTFLOW_EPOCHS = 2              # P1.7: Z
+CLOSE_MARGIN = 0.05             # P4.2: "close" = within this of 0.5
+NEW_WALLET_WINDOW = 0           # P1.6: delegation within this many epochs of registration
+NCL_LOVELACE = 350_000_000_000_000  # P4.6: net change limit per calendar year
+ATTACK_THRESHOLD = "dvt_motion_no_confidence"  # P4.9
+
+
+class Datasets:
+    """Lazy accessor ``name -> DataFrame`` for the eight datasets, either
+    computed from source tables or read from a catalog of written outputs."""
+
+    def __init__(self, get: Callable[[str], DataFrame], tables: Tables | None = None):
+        self._get = get
+        self._cache: dict[str, DataFrame] = {}
+        self.tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name == "tables":
+            raise AttributeError(name)
+        if name not in self._cache:
+            self._cache[name] = self._get(name)
+        return self._cache[name]
+
+    @classmethod
+    def from_tables(cls, t: Tables) -> "Datasets":
+        return cls(lambda n: D.DATASETS[n](t), t)
+
+
+def _dreps_active(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("drep_hash").isNotNull() & ~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))
+
+
+# ================================================================ K1 =======
+
+def k1_1_voting_turnout(ds: Datasets) -> DataFrame:
+    """Per proposal epoch: actions with DRep stake data, their average
+    participating stake (yes+no+abstain) and its share of circulation."""
+    life = ds.gov_action_lifecycle.filter(F.col("drep_yes_vote_stake").isNotNull())
+    circ = ds.epoch_summary.select(F.col("epoch").alias("epoch_proposed"), "circulation")
+    stake = F.col("drep_yes_vote_stake") + F.col("drep_no_vote_stake") + F.col("drep_abstain_vote_stake")
+    agg = (life.join(circ, "epoch_proposed", "inner")
+               .groupBy("epoch_proposed", "circulation")
+               .agg(F.count(F.lit(1)).alias("actions_count"),
+                    F.avg(stake).alias("avg_participating_stake")))
+    return agg.select(F.col("epoch_proposed").alias("epoch"), "actions_count", "avg_participating_stake",
+                      "circulation", pct("avg_participating_stake", "circulation").alias("turnout_pct"))
+
+
+def k1_2_active_stake_participation(ds: Datasets) -> DataFrame:
+    """Per epoch: distinct delegating addresses, first-time ones, running total."""
+    ev = ds.delegation_events
+    per_epoch = ev.groupBy("epoch").agg(F.count_distinct("address").alias("active_addresses"))
+    first = ev.groupBy("address").agg(F.min("epoch").alias("epoch"))
+    new = first.groupBy("epoch").agg(F.count(F.lit(1)).alias("new_addresses"))
+    # one row per epoch: a single ordered window over it is bounded
+    w = Window.orderBy("epoch").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (per_epoch.join(new, "epoch", "left")
+            .withColumn("new_addresses", F.coalesce("new_addresses", F.lit(0)))
+            .withColumn("cumulative_unique_addresses", F.sum("new_addresses").over(w).cast("long")))
+
+
+def k1_3_delegation_rate(ds: Datasets) -> DataFrame:
+    s = ds.epoch_summary
+    return s.select("epoch", "total_drep_delegated", "circulation",
+                    pct("total_drep_delegated", "circulation").alias("delegation_rate_pct"))
+
+
+def churn_rows(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    """Delegations that change the address's previous DRep (hash or type).
+    SQL three-valued logic is kept: a NULL hash only counts when the type
+    changes, and the first delegation of an address never counts."""
+    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
+    ev = lag_within(ds.delegation_events, "address", ["slot"], ["drep_hash", "drep_type"], **kw)
+    changed = ((F.col("drep_hash") != F.col("prev_drep_hash"))
+               | (F.col("drep_type") != F.col("prev_drep_type")))
+    return ev.filter(F.col("prev_drep_hash").isNotNull() & changed)
+
+
+def k1_5_delegation_churn(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    return (churn_rows(ds, chunk_rows).groupBy("epoch")
+            .agg(F.count(F.lit(1)).alias("delegation_changes"),
+                 F.count_distinct("address").alias("addresses_changed")))
+
+
+def k1_8_inactive_delegated_ada(ds: Datasets) -> DataFrame:
+    s = ds.drep_epoch_stats
+    inactive = (F.col("status") == C.DREP_RETIRED) | (F.col("epoch") > F.col("active_until"))
+    return (s.filter(inactive).groupBy("epoch")
+            .agg(F.sum("delegated_amount").cast("long").alias("inactive_delegated_ada"),
+                 F.count(F.lit(1)).alias("inactive_drep_count")))
+
+
+# ================================================================ DOC ======
+
+def doc1_ratified_approval(ds: Datasets) -> DataFrame:
+    return (ds.gov_action_lifecycle.filter(F.col("status") == C.STATUS_RATIFIED)
+            .select("type", "drep_approval_ratio", "spo_approval_ratio"))
+
+
+def doc2_gini_sample(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    """The documented sample: ``1 - 2 * avg(running share)``, running share
+    over a RANGE frame (ties share their peer sum). Sums stay exact until one
+    final division."""
+    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
+    s = ds.drep_epoch_stats.filter(~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))
+    r = rank_within(s, "epoch", ["delegated_amount"], value="delegated_amount", **kw)
+    agg = r.groupBy("epoch").agg(F.sum(F.col("peer_sum").cast("decimal(38,0)")).alias("__cs"),
+                                 F.sum("delegated_amount").alias("__total"),
+                                 F.count(F.lit(1)).alias("__n"))
+    share_sum = F.col("__cs").cast("double") / F.col("__total").cast("double")
+    return agg.select("epoch", (F.lit(1.0) - F.lit(2.0) * share_sum / F.col("__n").cast("double"))
+                      .alias("gini"))
+
+
+def doc3_treasury_delta(ds: Datasets) -> DataFrame:
+    # one row per epoch: the global LAG is bounded by the number of epochs
+    w = Window.orderBy("epoch")
+    s = ds.epoch_summary
+    return s.select("epoch", "treasury", (F.col("treasury") - F.lag("treasury").over(w)).alias("delta"))
+
+
+# ================================================================ P1 =======
+
+def _digits_tier(amount: Column) -> Column:
+    """Wallet-size tier = power of ten of the lovelace amount (exact: digit count)."""
+    a = amount.cast("decimal(38,0)")
+    return F.when(a < 1, F.lit(0)).otherwise(F.length(a.cast("string")) - 1).cast("int")
+
+
+def p1_4_delegation_by_wallet_tier(ds: Datasets) -> DataFrame:
+    """Per epoch and power-of-ten tier of the address's stake: wallets and
+    stake that had delegated to a DRep by that epoch."""
+    t = ds.tables
+    first = ds.delegation_events.groupBy("address").agg(F.min("epoch").alias("__first"))
+    st = D.in_epochs(t.epoch_stake, D.target_epochs(t))
+    j = st.join(first, "address", "left").withColumn(
+        "__del", F.coalesce(F.col("__first") <= F.col("epoch"), F.lit(False)))
+    agg = (j.groupBy("epoch", _digits_tier(F.col("amount")).alias("tier"))
+            .agg(F.count(F.lit(1)).alias("wallets"),
+                 F.count_if("__del").alias("delegated_wallets"),
+                 F.sum("amount").cast("long").alias("stake"),
+                 F.sum(F.when(F.col("__del"), F.col("amount")).otherwise(0)).cast("long")
+                  .alias("delegated_stake")))
+    return agg.select("epoch", "tier", "wallets", "delegated_wallets", "stake", "delegated_stake",
+                      pct("delegated_wallets", "wallets").alias("wallet_delegation_pct"),
+                      pct("delegated_stake", "stake").alias("stake_delegation_pct"))
+
+
+def p1_6_new_wallet_delegation_rate(ds: Datasets, window: int = NEW_WALLET_WINDOW) -> DataFrame:
+    """Per registration epoch: new stake addresses, and those whose first
+    delegation falls within ``window`` epochs of registering."""
+    t = ds.tables
+    reg = t.stake_registration.groupBy("address").agg(F.min("epoch").alias("epoch"))
+    first = t.delegation_vote.groupBy("address").agg(F.min("epoch").alias("__first"))
+    j = reg.join(first, "address", "left")
+    ok = (F.col("__first") >= F.col("epoch")) & (F.col("__first") <= F.col("epoch") + window)
+    agg = j.groupBy("epoch").agg(F.count(F.lit(1)).alias("new_wallets"),
+                                 F.count_if(F.coalesce(ok, F.lit(False))).alias("new_wallets_delegating"))
+    return agg.withColumn("new_wallet_delegation_pct", pct("new_wallets_delegating", "new_wallets"))
+
+
+def _latest_drep_votes(ds: Datasets, voter_types=C.DREP_VOTER_TYPES) -> DataFrame:
+    """Each voter's latest vote per action (by slot, then vote text)."""
+    v = ds.gov_action_votes.filter(F.col("voter_type").isin(*voter_types))
+    return D.latest_by(v, ["voter_hash", "gov_action_tx_hash", "gov_action_index"],
+                       ["vote_slot", "vote"], ["vote", "vote_epoch"])
+
+
+def p1_7_post_vote_delegation_outflow(ds: Datasets, z: int = OUTFLOW_EPOCHS,
+                                      chunk_rows: int | None = None) -> DataFrame:
+    """Per action and vote value: delegations that left a DRep with that
+    (latest) vote within ``z`` epochs after its vote, and their stake.
+    Leavers are aggregated per (DRep, epoch) first and the vote side is
+    expanded over its z+1 epochs, so the join is an equi-join with no
+    voter x delegator pairs."""
+    t = ds.tables
+    leave = churn_rows(ds, chunk_rows).select(F.col("prev_drep_hash").alias("voter_hash"), "epoch", "address")
+    stake = t.epoch_stake.select("address", "epoch", "amount")
+    left_stake = (leave.join(stake, ["address", "epoch"], "left")
+                  .groupBy("voter_hash", "epoch")
+                  .agg(F.count(F.lit(1)).alias("__n"), F.sum("amount").alias("__s")))
+    votes = _latest_drep_votes(ds).select(
+        "voter_hash", "gov_action_tx_hash", "gov_action_index", "vote",
+        F.explode(F.sequence(F.col("vote_epoch"), F.col("vote_epoch") + z)).alias("epoch"))
+    j = votes.join(left_stake, ["voter_hash", "epoch"], "inner")
+    return (j.groupBy("gov_action_tx_hash", "gov_action_index", "vote")
+             .agg(F.count_distinct("voter_hash").alias("dreps_with_outflow"),
+                  F.sum("__n").alias("outflow_delegations"),
+                  F.sum("__s").cast("long").alias("outflow_stake")))
+
+
+# ================================================================ P2 =======
+
+def gini_by(df: DataFrame, keys, value: str, chunk_rows: int | None = None) -> DataFrame:
+    """Gini = 2*sum(i*x_i)/(n*sum x) - (n+1)/n with i the ascending rank;
+    exact integer sums, one final division."""
+    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    r = rank_within(df, keys, [value], **kw)
+    agg = r.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col(value).cast("decimal(38,0)")).alias("__t"),
+        F.sum(F.col("row_idx").cast("decimal(38,0)") * F.col(value).cast("decimal(38,0)")).alias("__iw"))
+    n = F.col("n").cast("double")
+    g = (F.lit(2.0) * F.col("__iw").cast("double") / (n * F.col("__t").cast("double"))
+         - (n + F.lit(1.0)) / n)
+    return agg.select(*keys, "n", F.col("__t").cast("long").alias("total"), g.alias("gini"))
+
+
+def p2_1_drep_stake_gini(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    s = _dreps_active(ds.drep_epoch_stats)
+    g = gini_by(s, "epoch", "delegated_amount", chunk_rows)
+    return g.select("epoch", F.col("n").alias("drep_count"), F.col("total").alias("total_stake"), "gini")
+
+
+def _open_actions(ds: Datasets) -> DataFrame:
+    """(action, epoch) for every epoch an action is open: from its proposal
+    epoch to its resolution epoch (or the newest planned epoch)."""
+    life = ds.gov_action_lifecycle
+    newest = ds.epoch_summary.select(F.max("epoch")).scalar()
+    last = F.coalesce(F.col("epoch_resolved"), newest)
+    return (life.filter(last >= F.col("epoch_proposed"))
+                .select("gov_action_tx_hash", "gov_action_index",
+                        F.explode(F.sequence("epoch_proposed", last)).alias("epoch")))
+
+
+def p2_2_drep_activity_rate(ds: Datasets, min_share: float = ACTIVITY_MIN_SHARE) -> DataFrame:
+    """Per epoch: registered (non-retired) DReps, and those that voted in the
+    epoch on at least ``min_share`` of the actions open in it."""
+    open_ = _open_actions(ds)
+    n_open = open_.groupBy("epoch").agg(F.count(F.lit(1)).alias("open_actions"))
+    votes = (ds.gov_action_votes.filter(F.col("voter_type").isin(*C.DREP_VOTER_TYPES))
+             .select("voter_hash", "gov_action_tx_hash", "gov_action_index",
+                     F.col("vote_epoch").alias("epoch")).distinct())
+    voted = (votes.join(open_, ["gov_action_tx_hash", "gov_action_index", "epoch"], "left_semi")
+                  .groupBy("epoch", "voter_hash").agg(F.count(F.lit(1)).alias("__k")))
+    dreps = (ds.drep_epoch_stats.filter(F.col("drep_hash").isNotNull()
+                                        & (F.coalesce(F.col("status"), F.lit("")) != C.DREP_RETIRED))
+             .select("epoch", F.col("drep_hash").alias("voter_hash")).distinct())
+    per = (dreps.join(voted, ["epoch", "voter_hash"], "left")
+                .join(F.broadcast(n_open), "epoch", "left"))
+    active = F.coalesce(F.col("__k"), F.lit(0)).cast("double") >= F.lit(min_share) * F.col("open_actions")
+    agg = per.groupBy("epoch").agg(
+        F.count(F.lit(1)).alias("registered_dreps"),
+        F.count_if(F.coalesce(active & (F.col("open_actions") > 0), F.lit(False))).alias("active_dreps"),
+        F.max(F.coalesce("open_actions", F.lit(0))).alias("open_actions"))
+    return agg.withColumn("activity_rate_pct", pct("active_dreps", "registered_dreps"))
+
+
+def _vote_kpi_base(ds: Datasets, voter_types) -> DataFrame:
+    return ds.gov_action_votes.filter(F.col("voter_type").isin(*voter_types))
+
+
+def p2_3_drep_rationale_rate(ds: Datasets) -> DataFrame:
+    v = _vote_kpi_base(ds, C.DREP_VOTER_TYPES)
+    agg = v.groupBy(F.col("vote_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("drep_votes"), F.count_if("has_rationale").alias("votes_with_rationale"))
+    return agg.withColumn("rationale_rate_pct", pct("votes_with_rationale", "drep_votes"))
+
+
+def _median_latency(ds: Datasets, voter_types, count_name: str, out: str) -> DataFrame:
+    v = _vote_kpi_base(ds, voter_types)
+    secs = F.col("vote_block_time") - F.col("action_block_time")
+    return v.groupBy(F.col("vote_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias(count_name), F.median(secs).alias(out))
+
+
+def p2_4_drep_time_to_vote(ds: Datasets) -> DataFrame:
+    return _median_latency(ds, C.DREP_VOTER_TYPES, "drep_votes", "median_seconds_to_vote")
+
+
+_VOTE_CODE = F.when(F.col("vote") == C.VOTE_YES, 1).when(F.col("vote") == C.VOTE_NO, -1).otherwise(0)
+
+
+def p2_5_drep_vote_correlation(ds: Datasets, top_n: int = TOP_N_DREPS) -> DataFrame:
+    """Mean pairwise correlation of vote codes (YES 1, NO -1, ABSTAIN 0) over
+    shared actions, among the ``top_n`` DReps by stake in the newest epoch.
+    Pairs are only formed inside that fixed top-N set (<= N*(N-1)/2)."""
+    s = ds.drep_epoch_stats.filter(F.col("drep_hash").isNotNull())
+    newest = s.select(F.max("epoch")).scalar()
+    # top-N report: ordered limit (partial top-k per partition, N rows merged)
+    top = (s.filter(F.col("epoch") == newest)
+            .orderBy(F.col("delegated_amount").desc(), F.col("drep_hash"))
+            .limit(top_n).select(F.col("drep_hash").alias("voter_hash")))
+    votes = (_latest_drep_votes(ds).join(F.broadcast(top), "voter_hash", "left_semi")
+             .select("voter_hash", "gov_action_tx_hash", "gov_action_index", _VOTE_CODE.alias("code")))
+    a = votes.select(F.col("voter_hash").alias("a"), "gov_action_tx_hash", "gov_action_index",
+                     F.col("code").alias("ca"))
+    b = votes.select(F.col("voter_hash").alias("b"), "gov_action_tx_hash", "gov_action_index",
+                     F.col("code").alias("cb"))
+    pairs = (a.join(b, ["gov_action_tx_hash", "gov_action_index"], "inner")
+              .filter(F.col("a") < F.col("b"))
+              .groupBy("a", "b").agg(F.corr("ca", "cb").alias("r")))
+    defined = pairs.filter(F.col("r").isNotNull() & ~F.isnan("r"))
+    return defined.agg(F.count("r").alias("pairs"), F.round(F.avg("r"), 6).alias("mean_pairwise_corr"))
+
+
+def p2_6_drep_lifecycle_rate(ds: Datasets) -> DataFrame:
+    s = ds.epoch_summary
+    return s.select("epoch", "drep_registrations", "drep_retirements",
+                    (F.col("drep_registrations") - F.col("drep_retirements")).alias("net_drep_change"))
+
+
+def vote_changes(ds: Datasets, voter_types, chunk_rows: int | None = None) -> DataFrame:
+    """Per vote epoch: re-votes that differ from the voter's previous vote on
+    the same action (P2.7 for DReps, P3.6 for pools)."""
+    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
+    v = _vote_kpi_base(ds, voter_types).select(
+        "voter_hash", "gov_action_tx_hash", "gov_action_index", "vote", "vote_slot", "vote_epoch")
+    lagged = lag_within(v, ["voter_hash", "gov_action_tx_hash", "gov_action_index"],
+                        ["vote_slot", "vote"], ["vote"], **kw)
+    ch = lagged.filter(F.col("prev_vote").isNotNull() & (F.col("vote") != F.col("prev_vote")))
+    return ch.groupBy(F.col("vote_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("vote_changes"), F.count_distinct("voter_hash").alias("voters_changing"))
+
+
+def p2_7_drep_vote_changes(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    return vote_changes(ds, C.DREP_VOTER_TYPES, chunk_rows)
+
+
+def p2_8_drep_seniority(ds: Datasets) -> DataFrame:
+    """Histogram of DReps by month of first registration."""
+    reg = ds.tables.drep_registration.groupBy("drep_hash").agg(F.min("block_time").alias("__t"))
+    return (reg.groupBy(F.date_format("__t", "yyyy-MM").alias("registration_month"))
+               .agg(F.count(F.lit(1)).alias("dreps")))
+
+
+def p2_9_drep_cc_latency(ds: Datasets) -> DataFrame:
+    """Per action epoch: median seconds from the committee's decision (its
+    last vote on the action) to each DRep vote on it."""
+    cc = ds.cc_vote_details.groupBy("gov_action_tx_hash", "gov_action_index").agg(
+        F.max("vote_block_time").alias("__cc"))
+    v = _vote_kpi_base(ds, C.DREP_VOTER_TYPES).join(cc, ["gov_action_tx_hash", "gov_action_index"], "inner")
+    return v.groupBy(F.col("action_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("drep_votes"),
+        F.median(F.col("vote_block_time") - F.col("__cc")).alias("median_seconds_after_cc"))
+
+
+def p2_10_drep_metadata_completeness(ds: Datasets) -> DataFrame:
+    s = ds.drep_epoch_stats.filter(F.col("drep_hash").isNotNull())
+    agg = s.groupBy("epoch").agg(F.count(F.lit(1)).alias("dreps"),
+                                 F.count_if(F.coalesce("has_metadata", F.lit(False))).alias("with_metadata"))
+    return agg.withColumn("completeness_pct", pct("with_metadata", "dreps"))
+
+
+def p2_11_top100_volatility(ds: Datasets, top: int = 100, window: int = VOLATILITY_WINDOW) -> DataFrame:
+    """Per epoch: share of active-DRep stake held by the top ``top`` DReps and
+    its sample stddev over the last ``window`` epochs. The top-k per epoch is
+    a WindowGroupLimit (partial top-k before the shuffle)."""
+    s = _dreps_active(ds.drep_epoch_stats)
+    w = Window.partitionBy("epoch").orderBy(F.col("delegated_amount").desc(), F.col("drep_hash"))
+    topk = (s.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= top)
+             .groupBy("epoch").agg(F.sum("delegated_amount").alias("__top")))
+    tot = s.groupBy("epoch").agg(F.sum("delegated_amount").alias("__all"))
+    share = topk.join(tot, "epoch").select("epoch", ratio("__top", "__all").alias("top_share"))
+    roll = Window.orderBy("epoch").rowsBetween(-(window - 1), 0)  # one row per epoch
+    return share.select("epoch", "top_share", F.round(F.stddev_samp("top_share").over(roll), 9)
+                        .alias("top_share_stddev"))
+
+
+def _action_turnout(ds: Datasets) -> DataFrame:
+    life = ds.gov_action_lifecycle.filter(F.col("drep_yes_vote_stake").isNotNull())
+    circ = ds.epoch_summary.select(F.col("epoch").alias("epoch_proposed"), "circulation")
+    stake = F.col("drep_yes_vote_stake") + F.col("drep_no_vote_stake") + F.col("drep_abstain_vote_stake")
+    return life.join(circ, "epoch_proposed").withColumn("turnout_pct", pct(stake, "circulation", 9))
+
+
+def p2_12_voting_seasonality(ds: Datasets) -> DataFrame:
+    """Average action turnout per calendar month of proposal, and the change
+    against the same month a year earlier."""
+    t = _action_turnout(ds).withColumn("__ts", F.timestamp_seconds("block_time_proposed"))
+    per = (t.groupBy(F.year("__ts").alias("year"), F.month("__ts").alias("month"))
+            .agg(F.count(F.lit(1)).alias("actions"), F.round(F.avg("turnout_pct"), 9).alias("avg_turnout_pct")))
+    prev = per.select((F.col("year") + 1).alias("year"), "month", F.col("avg_turnout_pct").alias("__prev"))
+    return (per.join(prev, ["year", "month"], "left")
+               .select("year", "month", "actions", "avg_turnout_pct",
+                       F.round(F.col("avg_turnout_pct") - F.col("__prev"), 9).alias("yoy_change_pct")))
+
+
+# ================================================================ P3 =======
+
+def _pool_stake_frame(ds: Datasets) -> DataFrame:
+    """Active pool rows per epoch with their delegated stake (from
+    ``epoch_stake``) and whether the pool voted in that epoch."""
+    t = ds.tables
+    epochs = D.target_epochs(t)
+    pools = D.in_epochs(t.pool.filter(F.col("status") != C.POOL_RETIRED), epochs).select("epoch", "pool_id")
+    stake = (D.in_epochs(t.epoch_stake, epochs).groupBy("epoch", "pool_id")
+             .agg(F.sum("amount").alias("pool_stake")))
+    voters = (D.in_epochs(t.voting_procedure.filter(F.col("voter_type") == C.SPO_VOTER_TYPE), epochs)
+              .select("epoch", F.col("voter_hash").alias("pool_id")).distinct()
+              .withColumn("voted", F.lit(True)))
+    return (pools.join(stake, ["epoch", "pool_id"], "left").join(voters, ["epoch", "pool_id"], "left")
+                 .select("epoch", "pool_id", F.coalesce("pool_stake", F.lit(0)).alias("pool_stake"),
+                         F.coalesce("voted", F.lit(False)).alias("voted")))
+
+
+def p3_1_spo_turnout(ds: Datasets) -> DataFrame:
+    f = _pool_stake_frame(ds)
+    agg = f.groupBy("epoch").agg(
+        F.count(F.lit(1)).alias("active_pools"), F.count_if("voted").alias("voting_pools"),
+        F.sum("pool_stake").cast("long").alias("active_stake"),
+        F.sum(F.when(F.col("voted"), F.col("pool_stake")).otherwise(0)).cast("long").alias("voting_stake"))
+    return agg.select("*", pct("voting_pools", "active_pools").alias("turnout_pct"),
+                      pct("voting_stake", "active_stake").alias("stake_turnout_pct"))
+
+
+def p3_2_spo_silent_stake(ds: Datasets) -> DataFrame:
+    f = _pool_stake_frame(ds)
+    agg = f.groupBy("epoch").agg(
+        F.sum("pool_stake").cast("long").alias("active_stake"),
+        F.sum(F.when(~F.col("voted"), F.col("pool_stake")).otherwise(0)).cast("long").alias("silent_stake"))
+    return agg.withColumn("silent_stake_pct", pct("silent_stake", "active_stake"))
+
+
+def p3_3_default_stance_adoption(ds: Datasets) -> DataFrame:
+    p = ds.pool_epoch_stats
+    agg = p.groupBy("epoch").agg(
+        F.count(F.lit(1)).alias("pools"),
+        F.count_if(F.col("default_stance") == C.DREP_ABSTAIN).alias("abstain_pools"),
+        F.count_if(F.col("default_stance") == C.DREP_NO_CONFIDENCE).alias("no_confidence_pools"),
+        F.count("default_stance").alias("__any"))
+    return agg.select("epoch", "pools", "abstain_pools", "no_confidence_pools",
+                      pct("__any", "pools").alias("adoption_pct"))
+
+
+def p3_4_spo_vote_latency(ds: Datasets) -> DataFrame:
+    return _median_latency(ds, (C.SPO_VOTER_TYPE,), "spo_votes", "median_seconds_to_vote")
+
+
+def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None,
+                             chunk_rows: int | None = None) -> DataFrame:
+    """HHI and Gini of stake per entity per epoch. ``entities`` maps
+    ``pool_id -> entity`` (an external registry); by default each pool is its
+    own entity. HHI = sum(stake^2) / total^2 from exact sums."""
+    t = ds.tables
+    st = D.in_epochs(t.epoch_stake, D.target_epochs(t)).select("epoch", "pool_id", "amount")
+    if entities is not None:
+        st = st.join(entities, "pool_id", "left").withColumn("entity", F.coalesce("entity", "pool_id"))
+    else:
+        st = st.withColumn("entity", F.col("pool_id"))
+    per = st.groupBy("epoch", "entity").agg(F.sum("amount").cast("decimal(38,0)").alias("stake"))
+    hhi = per.groupBy("epoch").agg(
+        F.sum(F.col("stake") * F.col("stake")).alias("__sq"), F.sum("stake").alias("__t"))
+    hhi = hhi.select("epoch", (F.col("__sq").cast("double")
+                               / (F.col("__t").cast("double") * F.col("__t").cast("double"))).alias("hhi"))
+    g = gini_by(per.withColumn("stake", F.col("stake").cast("long")), "epoch", "stake", chunk_rows)
+    return g.join(hhi, "epoch").select("epoch", F.col("n").alias("entities"), "hhi", "gini")
+
+
+def p3_6_spo_vote_changes(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    return vote_changes(ds, (C.SPO_VOTER_TYPE,), chunk_rows)
+
+
+def p3_7_spo_drep_divergence(ds: Datasets) -> DataFrame:
+    life = ds.gov_action_lifecycle
+    return life.select("gov_action_tx_hash", "gov_action_index", "type", "status",
+                       "drep_approval_ratio", "spo_approval_ratio",
+                       (F.col("spo_approval_ratio") - F.col("drep_approval_ratio")).alias("divergence"))
+
+
+# ================================================================ P4 =======
+
+def p4_1_action_volume(ds: Datasets) -> DataFrame:
+    p = ds.tables.gov_action_proposal
+    return (p.groupBy(F.date_format("block_time", "yyyy-MM").alias("month"), "type", "return_address")
+             .agg(F.count(F.lit(1)).alias("actions")))
+
+
+def p4_2_contention(ds: Datasets, margin: float = CLOSE_MARGIN) -> DataFrame:
+    """Per proposal epoch: average yes/no/abstain shares of DRep vote stake,
+    and the share of close outcomes (yes share of yes+no within ``margin`` of
+    one half)."""
+    life = ds.gov_action_lifecycle.filter(F.col("drep_yes_vote_stake").isNotNull())
+    y, n, a = (F.col(c).cast("double") for c in
+               ("drep_yes_vote_stake", "drep_no_vote_stake", "drep_abstain_vote_stake"))
+    tot = F.nullif(y + n + F.coalesce(a, F.lit(0.0)), F.lit(0.0))
+    x = life.select("epoch_proposed", (y / tot).alias("ys"), (n / tot).alias("ns"),
+                    (F.coalesce(a, F.lit(0.0)) / tot).alias("as_"),
+                    (F.abs(y / F.nullif(y + n, F.lit(0.0)) - F.lit(0.5)) < margin).alias("close"))
+    agg = x.groupBy(F.col("epoch_proposed").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("actions"),
+        F.round(F.avg("ys"), 9).alias("avg_yes_share"), F.round(F.avg("ns"), 9).alias("avg_no_share"),
+        F.round(F.avg("as_"), 9).alias("avg_abstain_share"),
+        F.count_if(F.coalesce("close", F.lit(False))).alias("close_actions"))
+    return agg.withColumn("close_share_pct", pct("close_actions", "actions"))
+
+
+def _treasury_years(ds: Datasets) -> DataFrame:
+    """Treasury change per epoch, attributed to the calendar year of the
+    epoch's last block."""
+    w = Window.orderBy("epoch")  # one row per epoch
+    s = ds.epoch_summary.select("epoch", "treasury", "epoch_end_time",
+                                (F.col("treasury") - F.lag("treasury").over(w)).alias("delta"))
+    return s.filter(F.col("delta").isNotNull() & F.col("epoch_end_time").isNotNull()).select(
+        F.year(F.timestamp_seconds("epoch_end_time")).alias("year"), "delta")
+
+
+def p4_3_treasury_balance_rate(ds: Datasets) -> DataFrame:
+    y = _treasury_years(ds).groupBy("year").agg(
+        F.sum(F.when(F.col("delta") > 0, F.col("delta")).otherwise(0)).cast("long").alias("treasury_added"),
+        F.sum(F.when(F.col("delta") < 0, -F.col("delta")).otherwise(0)).cast("long").alias("treasury_spent"))
+    return y.withColumn("balance_rate", ratio("treasury_spent", "treasury_added"))
+
+
+def p4_5_time_to_enactment(ds: Datasets) -> DataFrame:
+    """Per action type: median days from proposal to the end of the epoch in
+    which the action was enacted."""
+    life = ds.gov_action_lifecycle.filter(F.col("status") == C.STATUS_ENACTED)
+    ends = ds.epoch_summary.select(F.col("epoch").alias("epoch_resolved"), "epoch_end_time")
+    j = life.join(ends, "epoch_resolved", "inner")
+    days = (F.col("epoch_end_time") - F.col("block_time_proposed")).cast("double") / F.lit(86400.0)
+    return j.groupBy("type").agg(F.count(F.lit(1)).alias("enacted_actions"),
+                                 F.median(days).alias("median_days_to_enactment"))
+
+
+def p4_6_treasury_vs_ncl(ds: Datasets, ncl_lovelace: int = NCL_LOVELACE) -> DataFrame:
+    y = p4_3_treasury_balance_rate(ds).select("year", "treasury_spent")
+    return y.select("year", "treasury_spent", F.lit(ncl_lovelace).cast("long").alias("net_change_limit"),
+                    pct("treasury_spent", F.lit(ncl_lovelace)).alias("spend_vs_ncl_pct"))
+
+
+def p4_7_zero_cc_no(ds: Datasets) -> DataFrame:
+    life = ds.gov_action_lifecycle.filter(F.col("cc_no").isNotNull())
+    agg = life.groupBy(F.col("epoch_proposed").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("actions"), F.count_if(F.col("cc_no") == 0).alias("zero_cc_no_actions"))
+    return agg.withColumn("zero_cc_no_pct", pct("zero_cc_no_actions", "actions"))
+
+
+def p4_8_success_by_source(ds: Datasets) -> DataFrame:
+    life = ds.gov_action_lifecycle
+    agg = life.groupBy("return_address").agg(
+        F.count(F.lit(1)).alias("submitted"),
+        F.count_if(F.col("status").isin(*C.APPROVED_STATUSES)).alias("approved"))
+    return agg.withColumn("success_rate_pct", pct("approved", "submitted"))
+
+
+def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD,
+                           chunk_rows: int | None = None) -> DataFrame:
+    """Per epoch: fewest active DReps (largest stake first) whose combined
+    stake reaches the ``threshold`` share of all active DRep stake.
+
+    Ranks come from the chunked ``rank_within``; the crossing point is then
+    found per group of equal stakes by aggregation (no window over a tie
+    group): with ``before`` = stake ranked ahead of the group and ``a`` its
+    stake each, the answer inside the group is
+    ``first_rank - 1 + ceil((goal - before) / a)``."""
+    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
+    s = _dreps_active(ds.drep_epoch_stats).select(
+        "epoch", "drep_hash", "delegated_amount", (-F.col("delegated_amount")).alias("__neg"))
+    r = rank_within(s, "epoch", ["__neg", "drep_hash"], value="delegated_amount", **kw)
+    groups = r.groupBy("epoch", "delegated_amount").agg(
+        F.min("row_idx").alias("__first"), F.count(F.lit(1)).alias("__n"), F.max("peer_sum").alias("__cum"))
+    tot = s.groupBy("epoch").agg(F.sum("delegated_amount").alias("active_stake"))
+    th = ds.governance_params.select("epoch", F.col(threshold).alias("threshold"))
+    need = tot.join(th, "epoch", "left")
+    goal = F.col("threshold") * F.col("active_stake").cast("double")
+    before = (F.col("__cum") - F.col("delegated_amount") * F.col("__n")).cast("double")
+    inside = F.ceil((goal - before) / F.nullif(F.col("delegated_amount").cast("double"), F.lit(0.0)))
+    k = F.when((F.col("__cum").cast("double") >= goal) & ((before < goal) | (F.col("__first") == 1)),
+               F.col("__first") - 1 + F.greatest(F.lit(1), inside))
+    # one row per epoch on the right: bounded broadcast
+    cand = groups.join(F.broadcast(need), "epoch", "inner").groupBy("epoch").agg(
+        F.min(k).cast("long").alias("min_actors"))
+    return need.join(cand, "epoch", "left").select(
+        "epoch", F.col("active_stake").cast("long").alias("active_stake"), "threshold", "min_actors")
+
+
+# ================================================================ P5 =======
+
+def p5_1_cc_time_to_decision(ds: Datasets) -> DataFrame:
+    c = ds.cc_vote_details
+    return c.groupBy(F.col("action_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("cc_votes"),
+        F.median(F.col("time_to_vote_seconds").cast("double") / F.lit(86400.0)).alias("median_days_to_vote"))
+
+
+def p5_2_cc_member_participation(ds: Datasets) -> DataFrame:
+    c = ds.cc_vote_details
+    total = ds.tables.gov_action_proposal.select(
+        F.count_distinct("tx_hash", "idx")).scalar()
+    per = c.groupBy("cold_key").agg(
+        F.count_distinct("gov_action_tx_hash", "gov_action_index").alias("actions_voted"))
+    return per.select("cold_key", "actions_voted", total.cast("long").alias("total_actions"),
+                      pct("actions_voted", total).alias("participation_pct"))
+
+
+def p5_3_cc_abstain_rate(ds: Datasets) -> DataFrame:
+    c = ds.cc_vote_details
+    agg = c.groupBy(F.col("vote_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("cc_votes"), F.count_if(F.col("vote") == C.VOTE_ABSTAIN).alias("abstain_votes"))
+    return agg.withColumn("abstain_rate_pct", pct("abstain_votes", "cc_votes"))
+
+
+def p5_4_cc_non_unanimous(ds: Datasets) -> DataFrame:
+    c = ds.cc_vote_details
+    per = c.groupBy("gov_action_tx_hash", "gov_action_index", "action_epoch").agg(
+        F.count_distinct("vote").alias("__k"))
+    agg = per.groupBy(F.col("action_epoch").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("actions"), F.count_if(F.col("__k") > 1).alias("non_unanimous_actions"))
+    return agg.withColumn("non_unanimous_pct", pct("non_unanimous_actions", "actions"))
+
+
+# ================================================================ registry ==
+
+KPI_FUNCS: dict[str, Callable[[Datasets], DataFrame]] = {
+    "k1_1_voting_turnout": k1_1_voting_turnout,
+    "k1_2_active_stake_participation": k1_2_active_stake_participation,
+    "k1_3_delegation_rate": k1_3_delegation_rate,
+    "k1_5_delegation_churn": k1_5_delegation_churn,
+    "k1_8_inactive_delegated_ada": k1_8_inactive_delegated_ada,
+    "doc1_ratified_approval": doc1_ratified_approval,
+    "doc2_gini_sample": doc2_gini_sample,
+    "doc3_treasury_delta": doc3_treasury_delta,
+    "p1_4_delegation_by_wallet_tier": p1_4_delegation_by_wallet_tier,
+    "p1_6_new_wallet_delegation_rate": p1_6_new_wallet_delegation_rate,
+    "p1_7_post_vote_delegation_outflow": p1_7_post_vote_delegation_outflow,
+    "p2_1_drep_stake_gini": p2_1_drep_stake_gini,
+    "p2_2_drep_activity_rate": p2_2_drep_activity_rate,
+    "p2_3_drep_rationale_rate": p2_3_drep_rationale_rate,
+    "p2_4_drep_time_to_vote": p2_4_drep_time_to_vote,
+    "p2_5_drep_vote_correlation": p2_5_drep_vote_correlation,
+    "p2_6_drep_lifecycle_rate": p2_6_drep_lifecycle_rate,
+    "p2_7_drep_vote_changes": p2_7_drep_vote_changes,
+    "p2_8_drep_seniority": p2_8_drep_seniority,
+    "p2_9_drep_cc_latency": p2_9_drep_cc_latency,
+    "p2_10_drep_metadata_completeness": p2_10_drep_metadata_completeness,
+    "p2_11_top100_volatility": p2_11_top100_volatility,
+    "p2_12_voting_seasonality": p2_12_voting_seasonality,
+    "p3_1_spo_turnout": p3_1_spo_turnout,
+    "p3_2_spo_silent_stake": p3_2_spo_silent_stake,
+    "p3_3_default_stance_adoption": p3_3_default_stance_adoption,
+    "p3_4_spo_vote_latency": p3_4_spo_vote_latency,
+    "p3_5_stake_concentration": p3_5_stake_concentration,
+    "p3_6_spo_vote_changes": p3_6_spo_vote_changes,
+    "p3_7_spo_drep_divergence": p3_7_spo_drep_divergence,
+    "p4_1_action_volume": p4_1_action_volume,
+    "p4_2_contention": p4_2_contention,
+    "p4_3_treasury_balance_rate": p4_3_treasury_balance_rate,
+    "p4_5_time_to_enactment": p4_5_time_to_enactment,
+    "p4_6_treasury_vs_ncl": p4_6_treasury_vs_ncl,
+    "p4_7_zero_cc_no": p4_7_zero_cc_no,
+    "p4_8_success_by_source": p4_8_success_by_source,
+    "p4_9_min_attack_vector": p4_9_min_attack_vector,
+    "p5_1_cc_time_to_decision": p5_1_cc_time_to_decision,
+    "p5_2_cc_member_participation": p5_2_cc_member_participation,
+    "p5_3_cc_abstain_rate": p5_3_cc_abstain_rate,
+    "p5_4_cc_non_unanimous": p5_4_cc_non_unanimous,
+}
+
+# K views as registered in the catalog (name, builder over dataset views)
+_VIEW_NAMES = {
+    "k1_1_voting_turnout": "kpi_1_1_voting_turnout",
+    "k1_2_active_stake_participation": "kpi_1_2_active_stake_participation",
+    "k1_3_delegation_rate": "kpi_1_3_delegation_rate",
+    "k1_5_delegation_churn": "kpi_1_5_delegation_churn",
+    "k1_8_inactive_delegated_ada": "kpi_1_8_inactive_delegated_ada",
+}
+KPI_VIEWS = [(view, (lambda fn: (lambda get: fn(Datasets(get))))(KPI_FUNCS[key]))
+             for key, view in _VIEW_NAMES.items()]
+
+
+def _query(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Datasets.from_tables(Tables.from_fixtures(spark, sf_dir)))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+KPI_QUERIES = {key: _query(fn) for key, fn in KPI_FUNCS.items()}
