@@ -13,13 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def count_active_per_epoch(intervals: DataFrame, epochs: DataFrame, start: str, end: str,
+def count_active_per_epoch(intervals: DataFrame, epochs, start: str, end: str,
                            counted: str, out: str, epoch: str = "epoch") -> DataFrame:
-    """``epochs`` (one column ``epoch``) left-joined with the number of
-    non-NULL ``counted`` values whose interval ``[start, end)`` covers it
+    """``epochs`` (a list, or a frame with column ``epoch``) with the number
+    of non-NULL ``counted`` values whose interval ``[start, end)`` covers each
     (``end`` NULL = open). Epochs no interval covers get 0."""
-    lo = epochs.select(F.min(epoch)).scalar()
-    hi = epochs.select(F.max(epoch)).scalar()
+    if isinstance(epochs, DataFrame):
+        lo = epochs.select(F.min(epoch)).scalar()
+        hi = epochs.select(F.max(epoch)).scalar()
+    else:
+        lo, hi = F.lit(min(epochs)), F.lit(max(epochs))
+        epochs = intervals.sparkSession.createDataFrame([(int(e),) for e in epochs], f"{epoch} int")
     first = F.greatest(F.col(start), lo)
     last = F.least(F.coalesce(F.col(end) - 1, hi), hi)
     covered = (intervals.filter(F.col(counted).isNotNull())

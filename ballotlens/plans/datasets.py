@@ -1,8 +1,8 @@
 """The eight derived datasets (DS1-DS8), each for all requested epochs at once.
 
-Every function takes the source :class:`Tables` and an optional epoch frame
-(one column ``epoch``; default = :func:`target_epochs`) and returns a lazy
-DataFrame. Per-epoch aggregates are computed before joining (no fan-out), and
+Every function takes the source :class:`Tables` and optional epochs (a list,
+default = :func:`plan_epochs`, or a frame with column ``epoch``) and returns a
+lazy DataFrame. Per-epoch aggregates are computed before joining (no fan-out), and
 only frames bounded by the number of epochs are broadcast explicitly; every
 other join is left to AQE, which broadcasts from measured sizes and splits
 skewed partitions otherwise.
@@ -17,12 +17,13 @@ from ballotlens import constants as C
 from ballotlens.functions import epoch_seconds, json_num, parse_json_strings, ratio, seconds_between
 from ballotlens.operators.latest import asof_latest, latest_by
 from ballotlens.operators.ranges import count_active_per_epoch
-from ballotlens.plans.epochs import epoch_flag, in_epochs, target_epochs
+from ballotlens.plans.epochs import epoch_flag, in_epochs, plan_epochs, target_epochs  # noqa: F401
 from ballotlens.sources.tables import Tables
 
 
-def _epochs(t: Tables, epochs: DataFrame | None) -> DataFrame:
-    return epochs if epochs is not None else target_epochs(t)
+def _epochs(t: Tables, epochs):
+    """Requested epochs: a list (default: planned once for the run) or a frame."""
+    return epochs if epochs is not None else plan_epochs(t)
 
 
 # ---------------------------------------------------------------- DS1 -----
@@ -41,7 +42,7 @@ def drep_reg_info(t: Tables) -> DataFrame:
                         .alias("has_metadata")))
 
 
-def drep_vote_counts(t: Tables, epochs: DataFrame) -> DataFrame:
+def drep_vote_counts(t: Tables, epochs) -> DataFrame:
     votes = in_epochs(t.voting_procedure.filter(F.col("voter_type").isin(*C.DREP_VOTER_TYPES)), epochs)
     return (votes.groupBy("epoch", "voter_hash")
                  .agg(F.count(F.lit(1)).alias("votes_cast"),
@@ -49,14 +50,14 @@ def drep_vote_counts(t: Tables, epochs: DataFrame) -> DataFrame:
                  .withColumnRenamed("voter_hash", "drep_hash"))
 
 
-def drep_asof_status(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def drep_asof_status(t: Tables, epochs=None) -> DataFrame:
     """DS1a: every ``drep_dist`` row with the DRep's latest status as of its epoch."""
     dist = in_epochs(t.drep_dist, _epochs(t, epochs))
     return asof_latest(dist, t.drep, key="drep_hash", epoch="epoch",
                        order=("slot", "tx_index", "cert_index"), value="status")
 
 
-def drep_epoch_stats(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def drep_epoch_stats(t: Tables, epochs=None) -> DataFrame:
     """DS1: one row per ``drep_dist`` row of the requested epochs."""
     epochs = _epochs(t, epochs)
     snap = drep_asof_status(t, epochs)
@@ -89,7 +90,7 @@ def pool_default_stance(t: Tables) -> DataFrame:
                   .groupBy("pool_id").agg(F.min("drep_type").alias("default_stance")))
 
 
-def pool_epoch_stats(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def pool_epoch_stats(t: Tables, epochs=None) -> DataFrame:
     """DS2: one row per ``pool`` lifecycle row of the requested epochs."""
     epochs = _epochs(t, epochs)
     votes = in_epochs(t.voting_procedure.filter(F.col("voter_type") == C.SPO_VOTER_TYPE), epochs)
@@ -119,7 +120,7 @@ def _proposal_side(t: Tables) -> DataFrame:
                     F.col("block_time").alias("__action_time"))
 
 
-def gov_action_votes(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def gov_action_votes(t: Tables, epochs=None) -> DataFrame:
     """DS3: votes of the requested epochs joined to their proposal (orphan
     votes dropped)."""
     votes = in_epochs(t.voting_procedure, _epochs(t, epochs))
@@ -162,7 +163,7 @@ def voting_stats_table(t: Tables) -> DataFrame:
                     F.col("epoch").cast("int").alias("epoch"), "status", *voting_stats_columns())
 
 
-def gov_action_lifecycle(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def gov_action_lifecycle(t: Tables, epochs=None) -> DataFrame:
     """DS4: one row per proposal proposed in a requested epoch or still open
     (no status, or a non-terminal latest status)."""
     p = epoch_flag(t.gov_action_proposal, _epochs(t, epochs))
@@ -186,13 +187,13 @@ def gov_action_lifecycle(t: Tables, epochs: DataFrame | None = None) -> DataFram
 
 # ---------------------------------------------------------------- DS5 -----
 
-def cc_members_per_epoch(t: Tables, epochs: DataFrame) -> DataFrame:
+def cc_members_per_epoch(t: Tables, epochs) -> DataFrame:
     """DS5g: committee rows whose term covers each epoch (count of hashes)."""
     return count_active_per_epoch(t.committee_member, epochs, start="start_epoch",
                                   end="expired_epoch", counted="hash", out="cc_member_count")
 
 
-def epoch_summary(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def epoch_summary(t: Tables, epochs=None) -> DataFrame:
     """DS5: one row per settled epoch; eleven per-epoch aggregates joined on
     ``epoch``. Each aggregate is one row per epoch, so broadcasting it is
     bounded by the epoch count whatever the table sizes."""
@@ -258,7 +259,7 @@ def epoch_summary(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- DS6 -----
 
-def delegation_events(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def delegation_events(t: Tables, epochs=None) -> DataFrame:
     """DS6: delegation certificates of the requested epochs."""
     dv = in_epochs(t.delegation_vote, _epochs(t, epochs))
     return dv.select("address", "drep_hash", "drep_id", "drep_type", "credential",
@@ -268,7 +269,7 @@ def delegation_events(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- DS7 -----
 
-def cc_vote_details(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def cc_vote_details(t: Tables, epochs=None) -> DataFrame:
     """DS7: committee votes of the requested epochs with the voter's latest
     cold key and the seconds from proposal to vote."""
     cold = latest_by(t.committee_registration, ["hot_key"], ["slot", "tx_index", "cert_index"],
@@ -295,7 +296,7 @@ def _threshold_tree(groups) -> dict:
     return {key: {"numerator": None, "denominator": None} for key, _ in groups}
 
 
-def governance_params(t: Tables, epochs: DataFrame | None = None) -> DataFrame:
+def governance_params(t: Tables, epochs=None) -> DataFrame:
     """DS8: protocol parameters per epoch; the JSON is parsed once into a
     struct and thresholds become ``numerator / nullif(denominator, 0)``."""
     tree = {k: None for k, _ in C.PARAM_SCALARS}

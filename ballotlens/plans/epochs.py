@@ -51,16 +51,55 @@ def target_epochs(t: Tables, settled_through: int | None = None) -> DataFrame:
     return keep.unionByName(unsettled)
 
 
-def epoch_flag(df: DataFrame, epochs: DataFrame, on: str = "epoch",
+def plan_epochs(t: Tables, settled_through: int | None = None) -> list[int]:
+    """META4 materialised once per run: the sorted target epochs. The list is
+    bounded by the number of epochs, so it is collected; plans then filter
+    with a literal ``epoch IN (...)``, which reaches the parquet scan (and
+    prunes ``epoch=N/`` partitions) instead of a semi-join subplan.
+
+    Same rule as :func:`target_epochs`, evaluated as ONE aggregate job (one
+    row back: the settled epoch set, the governance start, the newest)."""
+    settled = t.adapot.select(F.col("epoch").cast("int").alias("e"), F.lit(True).alias("a"))
+    gov = t.drep_dist.select(F.col("epoch").cast("int").alias("e"), F.lit(False).alias("a"))
+    row = (settled.unionByName(gov)
+           .agg(F.collect_set(F.when(F.col("a"), F.col("e"))).alias("settled"),
+                F.min(F.when(~F.col("a"), F.col("e"))).alias("start"),
+                F.max(F.when(F.col("a"), F.col("e"))).alias("newest"))
+           .collect()[0])
+    if row.newest is None:
+        raise ValueError("adapot is empty: no epochs to plan")
+    start = row.start if row.start is not None else 0
+    epochs = {e for e in row.settled if settled_through is None or e <= settled_through}
+    keep = {e for e in epochs if e >= start}
+    if row.newest not in keep:
+        keep.add(row.newest)
+    return sorted(keep)
+
+
+Epochs = "list[int] | DataFrame"
+
+
+def epochs_frame(spark, epochs) -> DataFrame:
+    """A one-column ``epoch`` frame for a list (a local relation) or a frame."""
+    if isinstance(epochs, DataFrame):
+        return epochs.select(F.col("epoch").cast("int").alias("epoch"))
+    return spark.createDataFrame([(int(e),) for e in epochs], "epoch int")
+
+
+def epoch_flag(df: DataFrame, epochs, on: str = "epoch",
                flag: str = "__in_epochs") -> DataFrame:
-    """``df`` with a boolean ``flag``: is ``df[on]`` one of ``epochs``?
-    The epoch list is one row per epoch, so it is broadcast."""
+    """``df`` with a boolean ``flag``: is ``df[on]`` one of ``epochs``?"""
+    if not isinstance(epochs, DataFrame):
+        return df.withColumn(flag, F.coalesce(F.col(on).isin(list(epochs)), F.lit(False)))
     marks = epochs.select(F.col("epoch").alias(on)).distinct().withColumn(flag, F.lit(True))
+    # one row per epoch: bounded broadcast
     return (df.join(F.broadcast(marks), on, "left")
               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))
 
 
-def in_epochs(df: DataFrame, epochs: DataFrame, on: str = "epoch") -> DataFrame:
-    """Rows of ``df`` whose ``on`` is in ``epochs`` (broadcast semi join, which
-    also lets Spark prune epoch partitions of a partitioned source)."""
+def in_epochs(df: DataFrame, epochs, on: str = "epoch") -> DataFrame:
+    """Rows of ``df`` whose ``on`` is in ``epochs`` (a list: pushed-down IN
+    filter; a frame: broadcast semi join, bounded by the epoch count)."""
+    if not isinstance(epochs, DataFrame):
+        return df.filter(F.col(on).isin(list(epochs)))
     return df.join(F.broadcast(epochs.select(F.col("epoch").alias(on))), on, "left_semi")

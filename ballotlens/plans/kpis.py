@@ -37,21 +37,31 @@ class Datasets:
     """Lazy accessor ``name -> DataFrame`` for the eight datasets, either
     computed from source tables or read from a catalog of written outputs."""
 
-    def __init__(self, get: Callable[[str], DataFrame], tables: Tables | None = None):
+    def __init__(self, get: Callable[[str], DataFrame], tables: Tables | None = None,
+                 epochs: list[int] | None = None):
         self._get = get
         self._cache: dict[str, DataFrame] = {}
         self.tables = tables
+        self._epochs = epochs
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_") or name == "tables":
+        if name.startswith("_") or name in ("tables", "epochs"):
             raise AttributeError(name)
         if name not in self._cache:
             self._cache[name] = self._get(name)
         return self._cache[name]
 
+    @property
+    def epochs(self) -> list[int]:
+        """Target epochs of the run, planned once (bounded list)."""
+        if self._epochs is None:
+            self._epochs = D.plan_epochs(self.tables)
+        return self._epochs
+
     @classmethod
-    def from_tables(cls, t: Tables) -> "Datasets":
-        return cls(lambda n: D.DATASETS[n](t), t)
+    def from_tables(cls, t: Tables, epochs: list[int] | None = None) -> "Datasets":
+        ds = cls(lambda n: D.DATASETS[n](t, ds.epochs), t, epochs)
+        return ds
 
 
 def _dreps_active(df: DataFrame) -> DataFrame:
@@ -160,7 +170,7 @@ def p1_4_delegation_by_wallet_tier(ds: Datasets) -> DataFrame:
     stake that had delegated to a DRep by that epoch."""
     t = ds.tables
     first = ds.delegation_events.groupBy("address").agg(F.min("epoch").alias("__first"))
-    st = D.in_epochs(t.epoch_stake, D.target_epochs(t))
+    st = D.in_epochs(t.epoch_stake, ds.epochs)
     j = st.join(first, "address", "left").withColumn(
         "__del", F.coalesce(F.col("__first") <= F.col("epoch"), F.lit(False)))
     agg = (j.groupBy("epoch", _digits_tier(F.col("amount")).alias("tier"))
@@ -245,7 +255,7 @@ def _open_actions(ds: Datasets) -> DataFrame:
     """(action, epoch) for every epoch an action is open: from its proposal
     epoch to its resolution epoch (or the newest planned epoch)."""
     life = ds.gov_action_lifecycle
-    newest = ds.epoch_summary.select(F.max("epoch")).scalar()
+    newest = F.lit(max(ds.epochs))
     last = F.coalesce(F.col("epoch_resolved"), newest)
     return (life.filter(last >= F.col("epoch_proposed"))
                 .select("gov_action_tx_hash", "gov_action_index",
@@ -411,7 +421,7 @@ def _pool_stake_frame(ds: Datasets) -> DataFrame:
     """Active pool rows per epoch with their delegated stake (from
     ``epoch_stake``) and whether the pool voted in that epoch."""
     t = ds.tables
-    epochs = D.target_epochs(t)
+    epochs = ds.epochs
     pools = D.in_epochs(t.pool.filter(F.col("status") != C.POOL_RETIRED), epochs).select("epoch", "pool_id")
     stake = (D.in_epochs(t.epoch_stake, epochs).groupBy("epoch", "pool_id")
              .agg(F.sum("amount").alias("pool_stake")))
@@ -462,7 +472,7 @@ def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None,
     ``pool_id -> entity`` (an external registry); by default each pool is its
     own entity. HHI = sum(stake^2) / total^2 from exact sums."""
     t = ds.tables
-    st = D.in_epochs(t.epoch_stake, D.target_epochs(t)).select("epoch", "pool_id", "amount")
+    st = D.in_epochs(t.epoch_stake, ds.epochs).select("epoch", "pool_id", "amount")
     if entities is not None:
         st = st.join(entities, "pool_id", "left").withColumn("entity", F.coalesce("entity", "pool_id"))
     else:

@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     master and a shuffle partition count sized to the data instead."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
