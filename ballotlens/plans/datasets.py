@@ -163,15 +163,23 @@ def voting_stats_table(t: Tables) -> DataFrame:
                     F.col("epoch").cast("int").alias("epoch"), "status", *voting_stats_columns())
 
 
-def gov_action_lifecycle(t: Tables, epochs=None) -> DataFrame:
+def gov_action_lifecycle(t: Tables, epochs=None, also_keys: DataFrame | None = None) -> DataFrame:
     """DS4: one row per proposal proposed in a requested epoch or still open
-    (no status, or a non-terminal latest status)."""
+    (no status, or a non-terminal latest status). ``also_keys``
+    (``gov_action_tx_hash, gov_action_index``) forces more actions in, e.g.
+    those stored as open by an earlier incremental run."""
     p = epoch_flag(t.gov_action_proposal, _epochs(t, epochs))
     r = latest_action_status(t).withColumnRenamed("gov_action_tx_hash", "tx_hash") \
                                .withColumnRenamed("gov_action_index", "idx")
     joined = p.join(r, ["tx_hash", "idx"], "left")
     open_or_new = (F.col("__in_epochs") | F.col("status").isNull()
                    | ~F.col("status").isin(*C.TERMINAL_STATUSES))
+    if also_keys is not None:
+        marks = (also_keys.select(F.col("gov_action_tx_hash").alias("tx_hash"),
+                                  F.col("gov_action_index").alias("idx")).distinct()
+                 .withColumn("__again", F.lit(True)))
+        joined = joined.join(marks, ["tx_hash", "idx"], "left")
+        open_or_new = open_or_new | F.coalesce(F.col("__again"), F.lit(False))
     return joined.filter(open_or_new).select(
         F.col("tx_hash").alias("gov_action_tx_hash"),
         F.col("idx").cast("int").alias("gov_action_index"),
@@ -193,11 +201,16 @@ def cc_members_per_epoch(t: Tables, epochs) -> DataFrame:
                                   end="expired_epoch", counted="hash", out="cc_member_count")
 
 
-def epoch_summary(t: Tables, epochs=None) -> DataFrame:
+def epoch_summary(t: Tables, epochs=None, status_epochs=None) -> DataFrame:
     """DS5: one row per settled epoch; eleven per-epoch aggregates joined on
     ``epoch``. Each aggregate is one row per epoch, so broadcasting it is
-    bounded by the epoch count whatever the table sizes."""
+    bounded by the epoch count whatever the table sizes.
+
+    ``status_epochs`` (default: ``epochs``) are the status epochs in which an
+    ENACTED withdrawal counts; an incremental run passes all target epochs so
+    a recomputed proposal epoch gets the same count as a full rebuild."""
     epochs = _epochs(t, epochs)
+    status_epochs = epochs if status_epochs is None else status_epochs
     base = in_epochs(t.adapot, epochs)
     by_epoch = lambda df: in_epochs(df, epochs).groupBy("epoch")
 
@@ -233,7 +246,7 @@ def epoch_summary(t: Tables, epochs=None) -> DataFrame:
     regs = by_epoch(t.drep_registration).agg(
         F.count_if(cert == C.REG_DREP_CERT).cast("int").alias("drep_registrations"),
         F.count_if(cert == C.UNREG_DREP_CERT).cast("int").alias("drep_retirements"))
-    enacted = in_epochs(t.gov_action_proposal_status.filter(status == C.STATUS_ENACTED), epochs)
+    enacted = in_epochs(t.gov_action_proposal_status.filter(status == C.STATUS_ENACTED), status_epochs)
     withdrawals = (t.gov_action_proposal.filter(F.col("type") == C.TREASURY_WITHDRAWALS_ACTION)
                    .join(enacted.select(F.col("gov_action_tx_hash").alias("tx_hash"),
                                         F.col("gov_action_index").alias("idx")),

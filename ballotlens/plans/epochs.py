@@ -51,14 +51,15 @@ def target_epochs(t: Tables, settled_through: int | None = None) -> DataFrame:
     return keep.unionByName(unsettled)
 
 
-def plan_epochs(t: Tables, settled_through: int | None = None) -> list[int]:
-    """META4 materialised once per run: the sorted target epochs. The list is
-    bounded by the number of epochs, so it is collected; plans then filter
-    with a literal ``epoch IN (...)``, which reaches the parquet scan (and
-    prunes ``epoch=N/`` partitions) instead of a semi-join subplan.
+def plan_run(t: Tables, settled_through: int | None = None) -> tuple[list[int], list[int]]:
+    """META4 materialised once per run: ``(target epochs, unsettled epochs)``.
 
     Same rule as :func:`target_epochs`, evaluated as ONE aggregate job (one
-    row back: the settled epoch set, the governance start, the newest)."""
+    row back: the settled epoch set, the governance start, the newest). The
+    lists are bounded by the number of epochs, so they are collected; plans
+    then filter with a literal ``epoch IN (...)``, which reaches the parquet
+    scan (and prunes ``epoch=N/`` partitions) instead of a semi-join subplan.
+    """
     settled = t.adapot.select(F.col("epoch").cast("int").alias("e"), F.lit(True).alias("a"))
     gov = t.drep_dist.select(F.col("epoch").cast("int").alias("e"), F.lit(False).alias("a"))
     row = (settled.unionByName(gov)
@@ -69,11 +70,14 @@ def plan_epochs(t: Tables, settled_through: int | None = None) -> list[int]:
     if row.newest is None:
         raise ValueError("adapot is empty: no epochs to plan")
     start = row.start if row.start is not None else 0
-    epochs = {e for e in row.settled if settled_through is None or e <= settled_through}
-    keep = {e for e in epochs if e >= start}
-    if row.newest not in keep:
-        keep.add(row.newest)
-    return sorted(keep)
+    keep = {e for e in row.settled if (settled_through is None or e <= settled_through) and e >= start}
+    unsettled = [] if row.newest in keep else [row.newest]
+    return sorted(keep | set(unsettled)), unsettled
+
+
+def plan_epochs(t: Tables, settled_through: int | None = None) -> list[int]:
+    """The target epochs of :func:`plan_run`."""
+    return plan_run(t, settled_through)[0]
 
 
 Epochs = "list[int] | DataFrame"
