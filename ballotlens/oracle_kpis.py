@@ -182,18 +182,22 @@ K["p2_4_drep_time_to_vote"] = _median_latency(DREP, "drep_votes")
 
 K["p2_5_drep_vote_correlation"] = over_datasets(["drep_epoch_stats", "gov_action_votes"], """
 select count(r) as pairs, round(avg(r), 6) as mean_pairwise_corr from (
-  select a.voter_hash as a, b.voter_hash as b, corr(a.code, b.code) as r
-  from vcodes a join vcodes b on a.gov_action_tx_hash = b.gov_action_tx_hash
-                     and a.gov_action_index = b.gov_action_index and a.voter_hash < b.voter_hash
-  group by a.voter_hash, b.voter_hash) p
-where r is not null and not isnan(r)""", ctes=[
+  select case when n * sxx - sx * sx > 0 and n * syy - sy * sy > 0
+              then cast(n * sxy - sx * sy as double)
+                   / sqrt(cast(n * sxx - sx * sx as double) * cast(n * syy - sy * sy as double)) end as r
+  from (select a.voter_hash as a, b.voter_hash as b, count(*) as n,
+               sum(a.code) as sx, sum(b.code) as sy, sum(a.code * a.code) as sxx,
+               sum(b.code * b.code) as syy, sum(a.code * b.code) as sxy
+        from vcodes a join vcodes b on a.gov_action_tx_hash = b.gov_action_tx_hash
+                                   and a.gov_action_index = b.gov_action_index and a.voter_hash < b.voter_hash
+        group by a.voter_hash, b.voter_hash) s) p""", ctes=[
     _LATEST_VOTE.format(n="drep", types=DREP),
     """top_d as (select drep_hash as voter_hash from ds_drep_epoch_stats
   where drep_hash is not null
     and epoch = (select max(epoch) from ds_drep_epoch_stats where drep_hash is not null)
   order by delegated_amount desc, drep_hash limit 10)""",
     """vcodes as (select voter_hash, gov_action_tx_hash, gov_action_index,
-  case vote when 'YES' then 1 when 'NO' then -1 else 0 end as code
+  cast(case vote when 'YES' then 1 when 'NO' then -1 else 0 end as bigint) as code
   from lv_drep where voter_hash in (select voter_hash from top_d))"""])
 
 K["p2_6_drep_lifecycle_rate"] = over_datasets(["epoch_summary"], """

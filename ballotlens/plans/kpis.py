@@ -307,7 +307,8 @@ def p2_4_drep_time_to_vote(ds: Datasets) -> DataFrame:
     return _median_latency(ds, C.DREP_VOTER_TYPES, "drep_votes", "median_seconds_to_vote")
 
 
-_VOTE_CODE = F.when(F.col("vote") == C.VOTE_YES, 1).when(F.col("vote") == C.VOTE_NO, -1).otherwise(0)
+def _vote_code() -> Column:
+    return F.when(F.col("vote") == C.VOTE_YES, 1).when(F.col("vote") == C.VOTE_NO, -1).otherwise(0)
 
 
 def p2_5_drep_vote_correlation(ds: Datasets, top_n: int = TOP_N_DREPS) -> DataFrame:
@@ -321,16 +322,25 @@ def p2_5_drep_vote_correlation(ds: Datasets, top_n: int = TOP_N_DREPS) -> DataFr
             .orderBy(F.col("delegated_amount").desc(), F.col("drep_hash"))
             .limit(top_n).select(F.col("drep_hash").alias("voter_hash")))
     votes = (_latest_drep_votes(ds).join(F.broadcast(top), "voter_hash", "left_semi")
-             .select("voter_hash", "gov_action_tx_hash", "gov_action_index", _VOTE_CODE.alias("code")))
+             .select("voter_hash", "gov_action_tx_hash", "gov_action_index", _vote_code().alias("code")))
     a = votes.select(F.col("voter_hash").alias("a"), "gov_action_tx_hash", "gov_action_index",
                      F.col("code").alias("ca"))
     b = votes.select(F.col("voter_hash").alias("b"), "gov_action_tx_hash", "gov_action_index",
                      F.col("code").alias("cb"))
-    pairs = (a.join(b, ["gov_action_tx_hash", "gov_action_index"], "inner")
-              .filter(F.col("a") < F.col("b"))
-              .groupBy("a", "b").agg(F.corr("ca", "cb").alias("r")))
-    defined = pairs.filter(F.col("r").isNotNull() & ~F.isnan("r"))
-    return defined.agg(F.count("r").alias("pairs"), F.round(F.avg("r"), 6).alias("mean_pairwise_corr"))
+    # Pearson r from exact integer sums (codes are small ints): identical in
+    # any engine, NULL when either side has zero variance
+    x, y = F.col("ca").cast("long"), F.col("cb").cast("long")
+    sums = (a.join(b, ["gov_action_tx_hash", "gov_action_index"], "inner")
+             .filter(F.col("a") < F.col("b"))
+             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
+                                    F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"),
+                                    F.sum(x * y).alias("sxy")))
+    num = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    dx = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
+    dy = F.col("n") * F.col("syy") - F.col("sy") * F.col("sy")
+    r = F.when((dx > 0) & (dy > 0), num.cast("double") / F.sqrt(dx.cast("double") * dy.cast("double")))
+    pairs = sums.select(r.alias("r"))
+    return pairs.agg(F.count("r").alias("pairs"), F.round(F.avg("r"), 6).alias("mean_pairwise_corr"))
 
 
 def p2_6_drep_lifecycle_rate(ds: Datasets) -> DataFrame:
