@@ -310,6 +310,14 @@ from g_gov_action_proposal_status"""),
 }
 
 
+# sinks read back what they wrote: same rows as the dataset
+SINKS = {
+    "snk1_drep_epoch_stats_written": DATASETS["ds1_drep_epoch_stats"],
+    "snk3_epoch_summary_incremental": DATASETS["ds5_epoch_summary"],
+    "snk5_lifecycle_upsert": DATASETS["ds4_gov_action_lifecycle"],
+}
+
+
 def all_sql() -> dict[str, str]:
     from ballotlens.oracle_kpis import KPIS
-    return {**META, **DATASETS, **SUBOPS, **KPIS}
+    return {**META, **DATASETS, **SUBOPS, **KPIS, **SINKS}

@@ -11,10 +11,12 @@ Per dataset:
   partition overwrite, so settled partitions are never rewritten.
 
 ``gov_action_lifecycle`` is maintained by key instead (SNK5): rows of
-actions proposed in any target epoch, still open in the source, or stored
-with a non-terminal status are recomputed and upserted (its partitions are
-resolution epochs, so they cannot tell which epochs were processed; the
-dataset is one row per governance action and small). ``epoch_summary`` also
+actions proposed in any target epoch or still open in the source are
+recomputed and upserted, and actions stored with a non-terminal status are
+re-decided (updated, or dropped when the rule no longer selects them), so a
+stored ACTIVE row becomes RATIFIED once the source says so. Its partitions
+are resolution epochs and cannot tell which epochs were processed; the
+dataset is one row per governance action and small. ``epoch_summary`` also
 refetches the proposal epochs of withdrawals enacted in pending epochs, so an
 incremental run counts them where a full rebuild does.
 """
@@ -64,17 +66,13 @@ def _withdrawal_epochs(t: Tables, pending: list[int]) -> list[int]:
     return sorted(int(r.epoch) for r in props.select("epoch").distinct().collect())
 
 
-def refresh_lifecycle(spark: SparkSession, t: Tables, path: str, pending: list[int]) -> DataFrame:
-    """SNK5 input: lifecycle rows to (re)write. Besides the dataset's own rule
-    (proposed in a pending epoch, or open in the source), actions stored with
-    a non-terminal status are recomputed, so a stored ACTIVE row becomes
-    RATIFIED once the source says so."""
+def stored_open_actions(spark: SparkSession, path: str) -> DataFrame | None:
+    """Keys of stored lifecycle rows whose status is not terminal."""
     if not (path_exists(spark, path) and sinks.written_epochs(spark, path)):
-        return D.gov_action_lifecycle(t, pending)
-    stored_open = (spark.read.parquet(path)
-                   .filter(F.col("status").isNull() | ~F.col("status").isin(*C.TERMINAL_STATUSES))
-                   .select(*LIFECYCLE_KEY))
-    return D.gov_action_lifecycle(t, pending, also_keys=stored_open)
+        return None
+    return (spark.read.parquet(path)
+            .filter(F.col("status").isNull() | ~F.col("status").isin(*C.TERMINAL_STATUSES))
+            .select(*LIFECYCLE_KEY))
 
 
 def extract_all(spark: SparkSession, tables: Tables, out_dir: str, only: Sequence[str] | None = None,
@@ -104,8 +102,10 @@ def extract_all(spark: SparkSession, tables: Tables, out_dir: str, only: Sequenc
                 # one row per action and rewritten through staging anyway:
                 # refetch for every target epoch (partition epochs are
                 # resolution epochs, not a record of processed epochs)
-                rows = refresh_lifecycle(spark, t, path, epochs)
-                sinks.upsert_by_key(spark, rows, path, LIFECYCLE_KEY, SORT_KEYS[name])
+                # stored open actions are re-decided: kept (updated) when the
+                # rebuild rule still selects them, dropped otherwise
+                sinks.upsert_by_key(spark, D.gov_action_lifecycle(t, epochs), path, LIFECYCLE_KEY,
+                                    SORT_KEYS[name], delete_keys=stored_open_actions(spark, path))
             done[name] = list(epochs)
             continue
         if not pending:

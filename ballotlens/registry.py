@@ -56,6 +56,49 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _fresh_dir(spark: SparkSession, label: str) -> str:
+    import uuid
+    from ballotlens.session import scratch_dir
+    return f"{scratch_dir(spark)}/ballotlens-{label}-{uuid.uuid4().hex[:10]}"
+
+
+def _snk1_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1: DS1 written as epoch partitions, read back."""
+    from ballotlens.plans.job import extract_all, read_dataset
+    out = _fresh_dir(spark, "snk1")
+    extract_all(spark, Tables.from_fixtures(spark, sf_dir), out, only=["drep_epoch_stats"])
+    return read_dataset(spark, out, "drep_epoch_stats")
+
+
+def _snk3_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2-4: DS5 built in two incremental runs (epochs <= 510, then the
+    rest), read back; must equal a full rebuild."""
+    from ballotlens.plans.job import extract_all, read_dataset
+    out, t = _fresh_dir(spark, "snk3"), Tables.from_fixtures(spark, sf_dir)
+    extract_all(spark, t, out, only=["epoch_summary"], settled_through=510)
+    extract_all(spark, t, out, only=["epoch_summary"])
+    return read_dataset(spark, out, "epoch_summary")
+
+
+def _snk5_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK5: lifecycle stored from a source where every action is still
+    ACTIVE, then upserted from the full source; read back."""
+    from ballotlens.plans.job import extract_all, read_dataset
+    out, t = _fresh_dir(spark, "snk5"), Tables.from_fixtures(spark, sf_dir)
+    early = t.override(gov_action_proposal_status=t.gov_action_proposal_status
+                       .filter(F.col("status") == "ACTIVE"))
+    extract_all(spark, early, out, only=["gov_action_lifecycle"])
+    extract_all(spark, t, out, only=["gov_action_lifecycle"])
+    return read_dataset(spark, out, "gov_action_lifecycle")
+
+
+QUERIES.update({
+    "snk1_drep_epoch_stats_written": _snk1_written,
+    "snk3_epoch_summary_incremental": _snk3_incremental,
+    "snk5_lifecycle_upsert": _snk5_upsert,
+})
+
+
 def queries() -> dict[str, Query]:
     from ballotlens.plans.kpis import KPI_QUERIES
     return {**QUERIES, **KPI_QUERIES}

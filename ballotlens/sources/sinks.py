@@ -93,13 +93,17 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
 
 
 def upsert_by_key(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str],
-                  sort_keys: Sequence[str] = (), partitions: int | None = None) -> None:
-    """SNK5: stored rows whose key is not in ``new`` are kept, ``new`` rows
-    win. Written to ``<path>.staging-*`` and swapped in."""
+                  sort_keys: Sequence[str] = (), partitions: int | None = None,
+                  delete_keys: DataFrame | None = None) -> None:
+    """SNK5: stored rows whose key is not in ``new`` (nor in ``delete_keys``)
+    are kept, ``new`` rows win. Written to ``<path>.staging-*`` and swapped in."""
     keys = list(keys)
     if path_exists(spark, path) and written_epochs(spark, path):
         old = spark.read.parquet(path).select(*new.columns)
-        merged = old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
+        replaced = new.select(*keys)
+        if delete_keys is not None:
+            replaced = replaced.unionByName(delete_keys.select(*keys))
+        merged = old.join(replaced.distinct(), keys, "left_anti").unionByName(new)
     else:
         merged = new
     staged = f"{path}.staging-{uuid.uuid4().hex[:8]}"
