@@ -7,7 +7,8 @@ epoch) holds a large share of the rows, that task becomes the job.
 The operators here split such keys into contiguous *chunks* of the order
 column and stitch the chunk edges back together:
 
-1. ``count`` per key (partial aggregation) finds keys above ``chunk_rows``;
+1. ``count`` per key (partial aggregation, one bounded action) finds keys
+   above ``chunk_rows``; with none, the operator is a plain window;
 2. for those keys only, ``percentile_approx`` of the order column (a
    mergeable sketch, also partially aggregated) gives chunk boundaries, thinned
    so each chunk holds about ``chunk_rows`` rows;
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_CHUNK_ROWS = 4_000_000
 DEFAULT_MAX_CHUNKS = 512
+DEFAULT_MAX_HEAVY = 10_000
 
 CHUNK = "__chunk"
 
@@ -41,15 +43,23 @@ def _list(x) -> list[str]:
 
 
 def assign_chunks(df: DataFrame, keys, order_col: str, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                  max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+                  max_chunks: int = DEFAULT_MAX_CHUNKS, max_heavy: int = DEFAULT_MAX_HEAVY) -> DataFrame:
     """``df`` plus ``__chunk`` (int; 0 for ordinary keys) and ``__heavy``
     (bool): contiguous ranges of ``order_col`` holding about ``chunk_rows``
-    rows of a heavy key each. NULL order values sort last (last chunk)."""
+    rows of a heavy key each. NULL order values sort last (last chunk).
+
+    Heavy keys are found with one bounded action (at most ``max_heavy`` keys
+    come back; a heavy key beyond that cap simply stays unsplit, which is
+    still exact). With no heavy key the chunk columns are literals and the
+    extra branches of the callers fold away to a plain window."""
     keys = _list(keys)
+    spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    heavy = counts.filter(F.col("__n") > chunk_rows)
+    found = counts.filter(F.col("__n") > chunk_rows).limit(max_heavy).collect()
+    if not found:
+        return df.withColumn("__heavy", F.lit(False)).withColumn(CHUNK, F.lit(0))
+    heavy = spark.createDataFrame(found, counts.schema)          # local, <= max_heavy rows
     grid = [i / max_chunks for i in range(1, max_chunks)]
-    # heavy keys: at most rows / chunk_rows of them, hence the broadcasts
     sketch = (df.join(F.broadcast(heavy.select(*keys)), keys, "left_semi")
                 .groupBy(*keys)
                 .agg(F.percentile_approx(F.col(order_col).cast("double"), grid, 10000).alias("__q"))
@@ -62,6 +72,7 @@ def assign_chunks(df: DataFrame, keys, order_col: str, chunk_rows: int = DEFAULT
         F.array_distinct(F.filter("__q", lambda q, i: (i + 1) % step == 0)).alias("__b"))
     v = F.col(order_col).cast("double")
     chunk = F.when(v.isNull(), F.size("__b")).otherwise(F.size(F.filter("__b", lambda b: b < v)))
+    # bounds: <= max_heavy keys x max_chunks doubles -> broadcast
     return (df.join(F.broadcast(bounds), keys, "left")
               .withColumn("__heavy", F.col("__b").isNotNull())
               .withColumn(CHUNK, F.when(F.col("__heavy"), chunk).otherwise(F.lit(0)).cast("int"))

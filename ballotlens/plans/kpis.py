@@ -599,9 +599,11 @@ def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD,
     r = rank_within(s, "epoch", ["__neg", "drep_hash"], value="delegated_amount", **kw)
     groups = r.groupBy("epoch", "delegated_amount").agg(
         F.min("row_idx").alias("__first"), F.count(F.lit(1)).alias("__n"), F.max("peer_sum").alias("__cum"))
-    tot = s.groupBy("epoch").agg(F.sum("delegated_amount").alias("active_stake"))
+    # totals from the tie groups (same exchange as below, no second pass)
+    tot = groups.groupBy("epoch").agg(
+        F.sum(F.col("delegated_amount").cast("decimal(38,0)") * F.col("__n")).alias("active_stake"))
     th = ds.governance_params.select("epoch", F.col(threshold).alias("threshold"))
-    need = tot.join(th, "epoch", "left")
+    need = tot.join(F.broadcast(th), "epoch", "left")
     goal = F.col("threshold") * F.col("active_stake").cast("double")
     before = (F.col("__cum") - F.col("delegated_amount") * F.col("__n")).cast("double")
     inside = F.ceil((goal - before) / F.nullif(F.col("delegated_amount").cast("double"), F.lit(0.0)))
