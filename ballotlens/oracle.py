@@ -312,6 +312,7 @@ from g_gov_action_proposal_status"""),
 
 # sinks read back what they wrote: same rows as the dataset
 SINKS = {
+    "src1_exports_catalog": DATASETS["ds1_drep_epoch_stats"],
     "snk1_drep_epoch_stats_written": DATASETS["ds1_drep_epoch_stats"],
     "snk3_epoch_summary_incremental": DATASETS["ds5_epoch_summary"],
     "snk5_lifecycle_upsert": DATASETS["ds4_gov_action_lifecycle"],

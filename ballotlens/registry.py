@@ -92,7 +92,24 @@ def _snk5_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, out, "gov_action_lifecycle")
 
 
+def _src_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1/SRC2: the tables DS1 reads, exported as folders (hive-partitioned
+    by epoch, and one flat), registered from the folder listing and read back
+    through the catalog; DS1 then runs on the exports (epoch IN-list ->
+    partition pruning)."""
+    from ballotlens.sources.catalog import register_source_tables
+    out, t = _fresh_dir(spark, "src"), Tables.from_fixtures(spark, sf_dir)
+    for name in ("drep_dist", "drep", "voting_procedure", "adapot"):
+        t[name].write.partitionBy("epoch").parquet(f"{out}/{name}")
+    t.drep_registration.write.parquet(f"{out}/drep_registration")          # flat folder
+    names = register_source_tables(spark, out, prefix="src_")
+    assert {"src_drep_dist", "src_drep", "src_voting_procedure", "src_adapot",
+            "src_drep_registration"} <= set(names), names
+    return D.drep_epoch_stats(Tables.from_catalog(spark, out))
+
+
 QUERIES.update({
+    "src1_exports_catalog": _src_exports,
     "snk1_drep_epoch_stats_written": _snk1_written,
     "snk3_epoch_summary_incremental": _snk3_incremental,
     "snk5_lifecycle_upsert": _snk5_upsert,
