@@ -316,10 +316,11 @@ def _expand_values(kind: str) -> tuple[str, list[int]]:
     return {"K": ("k", [1, 2, 3, 4]), "J": ("j", [0, 1, 2])}[kind]
 
 
-def derive_spark(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazily derive governance table ``name`` from the driver tables."""
+def derive_spark(spark: SparkSession, sf_dir: str, name: str, read=None) -> DataFrame:
+    """Lazily derive governance table ``name`` from the driver tables
+    (``read(table) -> DataFrame`` may memoise the driver-table reads)."""
     spec = DERIVATIONS[name]
-    read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    read = read or (lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
     if spec.source == "EPOCHS":
         src = read("orders").selectExpr(f"{_epoch('o_orderdate')} as epoch").distinct()
     else:

@@ -26,15 +26,13 @@ from ballotlens.sources.catalog import _fs, list_dirs, path_exists
 UNSETTLED_MARK = "_unsettled_epoch="
 
 
-def _parts(spark: SparkSession, n: int | None) -> int:
-    return n or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def layout(df: DataFrame, sort_keys: Sequence[str], partitions: int | None = None,
            epoch: str = "epoch") -> DataFrame:
+    """Range-partition on (epoch, sort keys) and sort within partitions. With
+    no explicit count the session's partitioning applies (AQE may coalesce)."""
     keys = [F.col(epoch).asc_nulls_last()] + [F.col(k).asc_nulls_last() for k in sort_keys]
-    return (df.repartitionByRange(_parts(df.sparkSession, partitions), *keys)
-              .sortWithinPartitions(*keys))
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
 def write_epochs(df: DataFrame, path: str, sort_keys: Sequence[str] = (), full: bool = False,

@@ -40,8 +40,15 @@ class Tables:
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Tables":
-        """Governance tables derived from the driver's test tables."""
-        return cls(spark, lambda name: derive_spark(spark, sf_dir, name))
+        """Governance tables derived from the driver's test tables (each driver
+        table is listed and its footer read once per instance)."""
+        base: dict[str, DataFrame] = {}
+
+        def read(table: str) -> DataFrame:
+            if table not in base:
+                base[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            return base[table]
+        return cls(spark, lambda name: derive_spark(spark, sf_dir, name, read))
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: dict[str, DataFrame]) -> "Tables":
