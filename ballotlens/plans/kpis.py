@@ -400,7 +400,8 @@ def p2_11_top100_volatility(ds: Datasets, top: int = 100, window: int = VOLATILI
     topk = (s.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= top)
              .groupBy("epoch").agg(F.sum("delegated_amount").alias("__top")))
     tot = s.groupBy("epoch").agg(F.sum("delegated_amount").alias("__all"))
-    share = topk.join(tot, "epoch").select("epoch", ratio("__top", "__all").alias("top_share"))
+    # both sides one row per epoch: bounded broadcast
+    share = topk.join(F.broadcast(tot), "epoch").select("epoch", ratio("__top", "__all").alias("top_share"))
     roll = Window.orderBy("epoch").rowsBetween(-(window - 1), 0)  # one row per epoch
     return share.select("epoch", "top_share", F.round(F.stddev_samp("top_share").over(roll), 9)
                         .alias("top_share_stddev"))
@@ -420,7 +421,7 @@ def p2_12_voting_seasonality(ds: Datasets) -> DataFrame:
     per = (t.groupBy(F.year("__ts").alias("year"), F.month("__ts").alias("month"))
             .agg(F.count(F.lit(1)).alias("actions"), F.round(F.avg("turnout_pct"), 9).alias("avg_turnout_pct")))
     prev = per.select((F.col("year") + 1).alias("year"), "month", F.col("avg_turnout_pct").alias("__prev"))
-    return (per.join(prev, ["year", "month"], "left")
+    return (per.join(F.broadcast(prev), ["year", "month"], "left")   # one row per month
                .select("year", "month", "actions", "avg_turnout_pct",
                        F.round(F.col("avg_turnout_pct") - F.col("__prev"), 9).alias("yoy_change_pct")))
 
@@ -493,7 +494,7 @@ def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None,
     hhi = hhi.select("epoch", (F.col("__sq").cast("double")
                                / (F.col("__t").cast("double") * F.col("__t").cast("double"))).alias("hhi"))
     g = gini_by(per.withColumn("stake", F.col("stake").cast("long")), "epoch", "stake", chunk_rows)
-    return g.join(hhi, "epoch").select("epoch", F.col("n").alias("entities"), "hhi", "gini")
+    return g.join(F.broadcast(hhi), "epoch").select("epoch", F.col("n").alias("entities"), "hhi", "gini")
 
 
 def p3_6_spo_vote_changes(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
@@ -612,7 +613,7 @@ def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD,
     # one row per epoch on the right: bounded broadcast
     cand = groups.join(F.broadcast(need), "epoch", "inner").groupBy("epoch").agg(
         F.min(k).cast("long").alias("min_actors"))
-    return need.join(cand, "epoch", "left").select(
+    return need.join(F.broadcast(cand), "epoch", "left").select(
         "epoch", F.col("active_stake").cast("long").alias("active_stake"), "threshold", "min_actors")
 
 
