@@ -142,7 +142,3 @@ def rank_within(df: DataFrame, keys, order: Sequence[str], value: str | None = N
                              .otherwise(F.col("__local_sum") + F.col("__off_s")))
         drop += ["__local_sum", "__off_s"]
     return out.drop(*drop)
-
-
-def ordered_key(*cols: str) -> Column:
-    return F.struct(*[F.col(c) for c in cols])

@@ -80,16 +80,6 @@ def plan_epochs(t: Tables, settled_through: int | None = None) -> list[int]:
     return plan_run(t, settled_through)[0]
 
 
-Epochs = "list[int] | DataFrame"
-
-
-def epochs_frame(spark, epochs) -> DataFrame:
-    """A one-column ``epoch`` frame for a list (a local relation) or a frame."""
-    if isinstance(epochs, DataFrame):
-        return epochs.select(F.col("epoch").cast("int").alias("epoch"))
-    return spark.createDataFrame([(int(e),) for e in epochs], "epoch int")
-
-
 def epoch_flag(df: DataFrame, epochs, on: str = "epoch",
                flag: str = "__in_epochs") -> DataFrame:
     """``df`` with a boolean ``flag``: is ``df[on]`` one of ``epochs``?"""

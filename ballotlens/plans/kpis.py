@@ -63,6 +63,16 @@ class Datasets:
         ds = cls(lambda n: D.DATASETS[n](t, ds.epochs), t, epochs)
         return ds
 
+    @classmethod
+    def from_outputs(cls, spark: SparkSession, out_dir: str, tables: Tables | None = None) -> "Datasets":
+        """Datasets as written by ``extract_all`` (the lineage cut a production
+        run uses: KPIs read persisted tables instead of recomputing them).
+        ``tables`` is only needed by KPIs that also read source tables."""
+        from ballotlens.plans.job import read_dataset
+        from ballotlens.sources.sinks import written_epochs
+        epochs = written_epochs(spark, f"{out_dir}/epoch_summary") or None
+        return cls(lambda n: read_dataset(spark, out_dir, n), tables, epochs)
+
 
 def _dreps_active(df: DataFrame) -> DataFrame:
     return df.filter(F.col("drep_hash").isNotNull() & ~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))

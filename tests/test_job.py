@@ -89,3 +89,12 @@ def test_shuffle_partition_invariance(spark, tables):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert one == eight
+
+
+def test_kpis_over_persisted_outputs(spark, tables, full_run):
+    from ballotlens.plans.kpis import KPI_FUNCS, Datasets
+    out, _ = full_run
+    persisted, live = Datasets.from_outputs(spark, out, tables), Datasets.from_tables(tables)
+    for name in ("k1_1_voting_turnout", "k1_5_delegation_churn", "p2_1_drep_stake_gini", "p3_1_spo_turnout",
+                 "p4_9_min_attack_vector", "p5_4_cc_non_unanimous"):
+        assert rows(KPI_FUNCS[name](persisted)) == rows(KPI_FUNCS[name](live)), name
