@@ -305,6 +305,15 @@ from dd left join st_asof a on a.drep_hash = dd.drep_hash and a.epoch = dd.epoch
   cast(gov_action_index as int) as gov_action_index, cast(epoch as int) as epoch, status,
   {_stats_cols('voting_stats')}
 from g_gov_action_proposal_status"""),
+    "ds4d_json_rejects": _with(["gov_action_proposal_status", "epoch_param"], body="""
+select 'gov_action_proposal_status' as source_table, 'voting_stats' as json_column, count(*) as rows,
+  cast(sum(case when voting_stats is not null and not json_valid(voting_stats) then 1 else 0 end) as bigint)
+    as rejected_rows
+from g_gov_action_proposal_status
+union all
+select 'epoch_param', 'params', count(*),
+  cast(sum(case when params is not null and not json_valid(params) then 1 else 0 end) as bigint)
+from g_epoch_param"""),
     "ds5g_cc_range_join": _ds(DS5_TABLES, _DS5_CTES[:1] + _DS5_CTES[6:7],
                               "select epoch, cc_member_count from ci"),
 }

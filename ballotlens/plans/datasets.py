@@ -326,6 +326,22 @@ def governance_params(t: Tables, epochs=None) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------ D4 rejects --
+
+def json_rejects(t: Tables) -> DataFrame:
+    """D4: malformed JSON is read as NULL (the original engine raised); the
+    rejected rows are counted per (table, column) so they are not silent."""
+    stats = t.gov_action_proposal_status.select(
+        F.lit("gov_action_proposal_status").alias("source_table"), F.lit("voting_stats").alias("json_column"),
+        (F.col("voting_stats").isNotNull()
+         & F.from_json("voting_stats", "map<string,string>").isNull()).alias("__bad"))
+    params = t.epoch_param.select(
+        F.lit("epoch_param").alias("source_table"), F.lit("params").alias("json_column"),
+        (F.col("params").isNotNull() & F.from_json("params", "map<string,string>").isNull()).alias("__bad"))
+    return (stats.unionByName(params).groupBy("source_table", "json_column")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_if("__bad").alias("rejected_rows")))
+
+
 DATASETS = {
     "drep_epoch_stats": drep_epoch_stats,
     "pool_epoch_stats": pool_epoch_stats,

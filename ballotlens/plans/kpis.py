@@ -41,7 +41,7 @@ class Datasets:
                  epochs: list[int] | None = None):
         self._get = get
         self._cache: dict[str, DataFrame] = {}
-        self.tables = tables
+        self._tables = tables
         self._epochs = epochs
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -51,6 +51,13 @@ class Datasets:
             self._cache[name] = self._get(name)
         return self._cache[name]
 
+    @property
+    def tables(self) -> Tables:
+        """Source tables (for KPIs that read them directly)."""
+        if self._tables is None:
+            raise KeyError("source tables not provided")
+        return self._tables
+
     @property
     def epochs(self) -> list[int]:
         """Target epochs of the run, planned once (bounded list)."""

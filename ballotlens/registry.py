@@ -53,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "ds2e_default_stance": _on_tables(D.pool_default_stance),
     "ds4c_voting_stats": _on_tables(D.voting_stats_table),
     "ds5g_cc_range_join": _on_tables(lambda t: D.cc_members_per_epoch(t, E.target_epochs(t))),
+    "ds4d_json_rejects": _on_tables(D.json_rejects),
 }
 
 
