@@ -248,13 +248,14 @@ from (select epoch,
 
 K["p2_12_voting_seasonality"] = over_datasets(["gov_action_lifecycle", "epoch_summary"], f"""
 select p.year, p.month, p.actions, p.avg_turnout_pct,
-  round(p.avg_turnout_pct - q.avg_turnout_pct, 9) as yoy_change_pct
+  round(p.avg_turnout_pct - q.avg_turnout_pct, 6) as yoy_change_pct
 from per p left join per q on q.year = p.year - 1 and q.month = p.month""", ctes=[f"""per as (
   select cast(year({_utc('block_time_proposed')}) as int) as year,
          cast(month({_utc('block_time_proposed')}) as int) as month,
-         count(*) as actions, round(avg(tp), 9) as avg_turnout_pct
+         count(*) as actions, round(avg(tp), 6) as avg_turnout_pct
   from (select l.block_time_proposed,
-          {pct('l.drep_yes_vote_stake + l.drep_no_vote_stake + l.drep_abstain_vote_stake', 'e.circulation', 9)} as tp
+          cast(l.drep_yes_vote_stake + l.drep_no_vote_stake + l.drep_abstain_vote_stake as double) * 100.0
+            / nullif(cast(e.circulation as double), 0) as tp
         from ds_gov_action_lifecycle l join ds_epoch_summary e on e.epoch = l.epoch_proposed
         where l.drep_yes_vote_stake is not null) t
   group by 1, 2)"""])
@@ -345,7 +346,7 @@ from tyr""", ctes=[_TREASURY_YEARS, _TREASURY])
 
 K["p4_5_time_to_enactment"] = over_datasets(["gov_action_lifecycle", "epoch_summary"], """
 select l.type, count(*) as enacted_actions,
-  median(cast(e.epoch_end_time - l.block_time_proposed as double) / 86400.0) as median_days_to_enactment
+  median(e.epoch_end_time - l.block_time_proposed) / 86400.0 as median_days_to_enactment
 from ds_gov_action_lifecycle l join ds_epoch_summary e on e.epoch = l.epoch_resolved
 where l.status = 'ENACTED' group by l.type""")
 
@@ -380,7 +381,7 @@ from (select s.epoch, sum(s.x) as active_stake, max(p.dvt_motion_no_confidence)
 
 K["p5_1_cc_time_to_decision"] = over_datasets(["cc_vote_details"], """
 select action_epoch as epoch, count(*) as cc_votes,
-  median(cast(time_to_vote_seconds as double) / 86400.0) as median_days_to_vote
+  median(time_to_vote_seconds) / 86400.0 as median_days_to_vote
 from ds_cc_vote_details group by action_epoch""")
 
 K["p5_2_cc_member_participation"] = over_datasets(["cc_vote_details"], f"""

@@ -428,7 +428,9 @@ def _action_turnout(ds: Datasets) -> DataFrame:
     life = ds.gov_action_lifecycle.filter(F.col("drep_yes_vote_stake").isNotNull())
     circ = ds.epoch_summary.select(F.col("epoch").alias("epoch_proposed"), "circulation")
     stake = F.col("drep_yes_vote_stake") + F.col("drep_no_vote_stake") + F.col("drep_abstain_vote_stake")
-    return life.join(circ, "epoch_proposed").withColumn("turnout_pct", pct(stake, "circulation", 9))
+    # unrounded per-action ratio: rounding before averaging would create ties
+    turnout = stake.cast("double") * F.lit(100.0) / F.nullif(F.col("circulation").cast("double"), F.lit(0.0))
+    return life.join(circ, "epoch_proposed").withColumn("turnout_pct", turnout)
 
 
 def p2_12_voting_seasonality(ds: Datasets) -> DataFrame:
@@ -436,11 +438,11 @@ def p2_12_voting_seasonality(ds: Datasets) -> DataFrame:
     against the same month a year earlier."""
     t = _action_turnout(ds).withColumn("__ts", F.timestamp_seconds("block_time_proposed"))
     per = (t.groupBy(F.year("__ts").alias("year"), F.month("__ts").alias("month"))
-            .agg(F.count(F.lit(1)).alias("actions"), F.round(F.avg("turnout_pct"), 9).alias("avg_turnout_pct")))
+            .agg(F.count(F.lit(1)).alias("actions"), F.round(F.avg("turnout_pct"), 6).alias("avg_turnout_pct")))
     prev = per.select((F.col("year") + 1).alias("year"), "month", F.col("avg_turnout_pct").alias("__prev"))
     return (per.join(F.broadcast(prev), ["year", "month"], "left")   # one row per month
                .select("year", "month", "actions", "avg_turnout_pct",
-                       F.round(F.col("avg_turnout_pct") - F.col("__prev"), 9).alias("yoy_change_pct")))
+                       F.round(F.col("avg_turnout_pct") - F.col("__prev"), 6).alias("yoy_change_pct")))
 
 
 # ================================================================ P3 =======
@@ -575,9 +577,10 @@ def p4_5_time_to_enactment(ds: Datasets) -> DataFrame:
     life = ds.gov_action_lifecycle.filter(F.col("status") == C.STATUS_ENACTED)
     ends = ds.epoch_summary.select(F.col("epoch").alias("epoch_resolved"), "epoch_end_time")
     j = life.join(ends, "epoch_resolved", "inner")
-    days = (F.col("epoch_end_time") - F.col("block_time_proposed")).cast("double") / F.lit(86400.0)
+    # median of whole seconds (exact in any engine), then one division
+    secs = F.col("epoch_end_time") - F.col("block_time_proposed")
     return j.groupBy("type").agg(F.count(F.lit(1)).alias("enacted_actions"),
-                                 F.median(days).alias("median_days_to_enactment"))
+                                 (F.median(secs) / F.lit(86400.0)).alias("median_days_to_enactment"))
 
 
 def p4_6_treasury_vs_ncl(ds: Datasets, ncl_lovelace: int = NCL_LOVELACE) -> DataFrame:
@@ -640,7 +643,7 @@ def p5_1_cc_time_to_decision(ds: Datasets) -> DataFrame:
     c = ds.cc_vote_details
     return c.groupBy(F.col("action_epoch").alias("epoch")).agg(
         F.count(F.lit(1)).alias("cc_votes"),
-        F.median(F.col("time_to_vote_seconds").cast("double") / F.lit(86400.0)).alias("median_days_to_vote"))
+        (F.median("time_to_vote_seconds") / F.lit(86400.0)).alias("median_days_to_vote"))
 
 
 def p5_2_cc_member_participation(ds: Datasets) -> DataFrame:
