@@ -8,9 +8,9 @@
   to a staging folder and swapping it in (a path being read is never the path
   being overwritten).
 
-Layout: rows are range-partitioned on ``(epoch, sort keys)`` before writing,
-so one large epoch is split over many tasks (balanced by sampling) and each
-task writes few files; files are sorted within by the dataset's sort keys.
+Layout: rows are rebalanced on ``epoch`` before writing (AQE splits a large
+epoch over many tasks and coalesces small ones), so each task writes few,
+right-sized files; files are sorted within by the dataset's sort keys.
 """
 
 from __future__ import annotations
@@ -28,11 +28,16 @@ UNSETTLED_MARK = "_unsettled_epoch="
 
 def layout(df: DataFrame, sort_keys: Sequence[str], partitions: int | None = None,
            epoch: str = "epoch") -> DataFrame:
-    """Range-partition on (epoch, sort keys) and sort within partitions. With
-    no explicit count the session's partitioning applies (AQE may coalesce)."""
+    """Shuffle by epoch with the REBALANCE hint, then sort within partitions.
+
+    Rebalancing is a hash shuffle on ``epoch`` that AQE post-processes: an
+    oversized (hot) epoch is split into advisory-size partitions and small
+    ones are coalesced, so each task writes a few right-sized files and no
+    sampling pass over the data is needed (range partitioning would run the
+    whole plan once more just to sample it)."""
     keys = [F.col(epoch).asc_nulls_last()] + [F.col(k).asc_nulls_last() for k in sort_keys]
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+    hint_args = ([partitions] if partitions else []) + [epoch]
+    return df.hint("rebalance", *hint_args).sortWithinPartitions(*keys)
 
 
 def write_epochs(df: DataFrame, path: str, sort_keys: Sequence[str] = (), full: bool = False,
