@@ -53,65 +53,54 @@ META = {
 
 # ------------------------------------------------------------------ DS1 ---
 
-_DS1_CTES = [
-    """dd as (select * from g_drep_dist where epoch in (select epoch from tgt))""",
-    """st_asof as (
-  select k.drep_hash, k.epoch, s.status,
-         row_number() over (partition by k.drep_hash, k.epoch
-                            order by s.slot desc, s.tx_index desc, s.cert_index desc) as rn
-  from (select distinct drep_hash, epoch from dd where drep_hash is not null) k
-  join g_drep s on s.drep_hash = k.drep_hash and s.epoch <= k.epoch)""",
-    """topslot as (select drep_hash, max(slot) as ms from g_drep_registration group by drep_hash)""",
-    """ri as (
-  select r.drep_hash, min(r.epoch) as registration_epoch,
-         bool_or(case when r.slot = t.ms then r.anchor_url is not null end) as has_metadata
-  from g_drep_registration r join topslot t on t.drep_hash = r.drep_hash
-  group by r.drep_hash)""",
-    f"""vc as (
-  select epoch, voter_hash, count(*) as n, count(anchor_url) as n_r
-  from g_voting_procedure where voter_type in ({DREP_VT})
-  group by epoch, voter_hash)""",
-]
-_DS1_BODY = """select cast(dd.epoch as int) as epoch, dd.drep_hash, dd.drep_type, dd.drep_id,
-  dd.amount as delegated_amount, cast(dd.active_until as int) as active_until,
-  cast(dd.expiry as int) as expiry, a.status, cast(ri.registration_epoch as int) as registration_epoch,
-  ri.has_metadata, cast(coalesce(vc.n, 0) as int) as votes_cast,
-  cast(coalesce(vc.n_r, 0) as int) as votes_with_rationale
-from dd
-left join st_asof a on a.drep_hash = dd.drep_hash and a.epoch = dd.epoch and a.rn = 1
-left join ri on ri.drep_hash = dd.drep_hash
-left join vc on vc.voter_hash = dd.drep_hash and vc.epoch = dd.epoch"""
+_DS1_CTES = ["""dd1 as (select * from g_drep_dist where epoch in (select epoch from tgt))"""]
+# as-of status, registration facts and vote counts as correlated lookups per row
+_ASOF_STATUS = """(select s.status from g_drep s where s.drep_hash = dd1.drep_hash and s.epoch <= dd1.epoch
+   order by s.slot desc nulls last, s.tx_index desc, s.cert_index desc limit 1)"""
+_DS1_BODY = f"""select cast(dd1.epoch as int) as epoch, dd1.drep_hash, dd1.drep_type, dd1.drep_id,
+  dd1.amount as delegated_amount, cast(dd1.active_until as int) as active_until,
+  cast(dd1.expiry as int) as expiry,
+  {_ASOF_STATUS} as status,
+  (select cast(min(r.epoch) as int) from g_drep_registration r where r.drep_hash = dd1.drep_hash)
+    as registration_epoch,
+  (select bool_or(r.anchor_url is not null) from g_drep_registration r
+    where r.drep_hash = dd1.drep_hash
+      and r.slot = (select max(r2.slot) from g_drep_registration r2 where r2.drep_hash = dd1.drep_hash))
+    as has_metadata,
+  (select cast(count(*) as int) from g_voting_procedure v
+    where v.voter_hash = dd1.drep_hash and v.epoch = dd1.epoch and v.voter_type in ({DREP_VT})) as votes_cast,
+  (select cast(count(v.anchor_url) as int) from g_voting_procedure v
+    where v.voter_hash = dd1.drep_hash and v.epoch = dd1.epoch and v.voter_type in ({DREP_VT}))
+    as votes_with_rationale
+from dd1"""
 DS1_TABLES = ["drep_dist", "drep", "drep_registration", "voting_procedure"]
 
 # ------------------------------------------------------------------ DS2 ---
 
 _DS2_CTES = [
-    f"""pv as (
-  select epoch, voter_hash, count(*) as n,
-         sum(case when vote = 'YES' then 1 else 0 end) as y,
-         sum(case when vote = 'NO' then 1 else 0 end) as no_,
-         sum(case when vote = 'ABSTAIN' then 1 else 0 end) as ab
-  from g_voting_procedure where voter_type = '{C.SPO_VOTER_TYPE}' group by epoch, voter_hash)""",
-    """lpr as (
-  select pool_id, pool_owners,
-         row_number() over (partition by pool_id order by slot desc, tx_index desc, cert_index desc) as rn
-  from g_pool_registration)""",
-    """own as (select pool_id, unnest(cast(pool_owners as varchar[])) as cred from lpr where rn = 1)""",
-    """ld as (
-  select credential, drep_type,
-         row_number() over (partition by credential order by slot desc, tx_index desc, cert_index desc) as rn
-  from g_delegation_vote where drep_type in ('ABSTAIN', 'NO_CONFIDENCE'))""",
-    """stance as (
-  select own.pool_id, min(ld.drep_type) as default_stance
-  from own join ld on ld.credential = own.cred and ld.rn = 1 group by own.pool_id)""",
+    """owner_rows as (
+  select pool_id, unnest(cast(pool_owners as varchar[])) as cred
+  from (select pool_id, pool_owners from g_pool_registration
+        qualify row_number() over (partition by pool_id order by slot desc, tx_index desc, cert_index desc) = 1) r)""",
+    """default_deleg as (
+  select credential, drep_type from g_delegation_vote where drep_type in ('ABSTAIN', 'NO_CONFIDENCE')
+  qualify row_number() over (partition by credential order by slot desc, tx_index desc, cert_index desc) = 1)""",
 ]
-_DS2_BODY = """select cast(p.epoch as int) as epoch, p.pool_id, p.status, p.amount as stake_amount,
-  cast(coalesce(pv.n, 0) as int) as votes_cast, cast(coalesce(pv.y, 0) as int) as votes_yes,
-  cast(coalesce(pv.no_, 0) as int) as votes_no, cast(coalesce(pv.ab, 0) as int) as votes_abstain,
-  stance.default_stance
+
+
+def _spo_votes(agg: str) -> str:
+    return (f"(select cast({agg} as int) from g_voting_procedure v where v.voter_type = '{C.SPO_VOTER_TYPE}' "
+            "and v.voter_hash = p.pool_id and v.epoch = p.epoch)")
+
+
+_DS2_BODY = f"""select cast(p.epoch as int) as epoch, p.pool_id, p.status, p.amount as stake_amount,
+  {_spo_votes('count(*)')} as votes_cast,
+  {_spo_votes("count(*) filter (where v.vote = 'YES')")} as votes_yes,
+  {_spo_votes("count(*) filter (where v.vote = 'NO')")} as votes_no,
+  {_spo_votes("count(*) filter (where v.vote = 'ABSTAIN')")} as votes_abstain,
+  (select min(d.drep_type) from owner_rows o join default_deleg d on d.credential = o.cred
+    where o.pool_id = p.pool_id) as default_stance
 from g_pool p
-left join pv on pv.voter_hash = p.pool_id and pv.epoch = p.epoch
-left join stance on stance.pool_id = p.pool_id
 where p.epoch in (select epoch from tgt)"""
 DS2_TABLES = ["pool", "voting_procedure", "pool_registration", "delegation_vote"]
 
@@ -142,76 +131,64 @@ def _stats_cols(src: str) -> str:
 
 
 _DS4_CTES = [
-    """ls as (
-  select gov_action_tx_hash, gov_action_index, status, voting_stats, epoch,
-         row_number() over (partition by gov_action_tx_hash, gov_action_index order by epoch desc) as rn
-  from g_gov_action_proposal_status)""",
-    f"""res as (
-  select gov_action_tx_hash, gov_action_index, status, voting_stats,
-         case when status in ({TERMINAL}) then epoch end as epoch_resolved
-  from ls where rn = 1)""",
+    """latest_st as (
+  select gov_action_tx_hash, gov_action_index, status, voting_stats, epoch as st_epoch
+  from g_gov_action_proposal_status
+  qualify row_number() over (partition by gov_action_tx_hash, gov_action_index order by epoch desc) = 1)""",
 ]
+_RESOLVED = f"case when r.status in ({TERMINAL}) then r.st_epoch end"
 _DS4_BODY = f"""select g.tx_hash as gov_action_tx_hash, cast(g.idx as int) as gov_action_index, g.type,
   g.deposit, g.return_address, g.anchor_url, cast(g.epoch as int) as epoch_proposed,
   {_epoch_secs('g.block_time')} as block_time_proposed, r.status,
-  cast(r.epoch_resolved as int) as epoch_resolved,
+  cast({_RESOLVED} as int) as epoch_resolved,
   {_stats_cols('r.voting_stats')},
-  cast(coalesce(r.epoch_resolved, g.epoch) as int) as epoch
+  cast(coalesce({_RESOLVED}, g.epoch) as int) as epoch
 from g_gov_action_proposal g
-left join res r on r.gov_action_tx_hash = g.tx_hash and r.gov_action_index = g.idx
+left join latest_st r on r.gov_action_tx_hash = g.tx_hash and r.gov_action_index = g.idx
 where g.epoch in (select epoch from tgt) or r.status is null or r.status not in ({TERMINAL})"""
 DS4_TABLES = ["gov_action_proposal", "gov_action_proposal_status"]
 
 # ------------------------------------------------------------------ DS5 ---
 
-_DS5_CTES = [
-    "eb as (select epoch from g_adapot where epoch in (select epoch from tgt))",
-    """bs as (select epoch, count(*) as block_count,
-  cast(min(epoch(block_time)) as bigint) as epoch_start_time,
-  cast(max(epoch(block_time)) as bigint) as epoch_end_time from g_block group by epoch)""",
-    "ts as (select epoch, count(*) as tx_count from g_transaction group by epoch)",
-    "stk as (select epoch, cast(sum(amount) as bigint) as total_active_stake from g_epoch_stake group by epoch)",
-    """dd5 as (select epoch, cast(sum(amount) as bigint) as total_drep_delegated,
-  cast(sum(case when drep_type <> 'ABSTAIN' then amount end) as bigint) as total_drep_delegated_non_abstain,
-  cast(sum(case when drep_type = 'NO_CONFIDENCE' then amount end) as bigint) as total_drep_delegated_no_confidence,
-  cast(count(distinct case when drep_type not in ('ABSTAIN', 'NO_CONFIDENCE') then drep_hash end) as int)
-    as active_drep_count
-  from g_drep_dist group by epoch)""",
-    "pa as (select epoch, cast(count(*) as int) as active_pool_count from g_pool where status <> 'RETIRED' group by epoch)",
-    """ci as (select eb.epoch, cast(count(m.hash) as int) as cc_member_count
-  from eb left join g_committee_member m
-    on m.start_epoch <= eb.epoch and (m.expired_epoch is null or m.expired_epoch > eb.epoch)
-  group by eb.epoch)""",
-    """th as (select threshold from g_committee order by epoch desc, slot desc limit 1)""",
-    "gp as (select epoch, count(*) as n from g_gov_action_proposal group by epoch)",
-    """gs as (select epoch, sum(case when status = 'RATIFIED' then 1 else 0 end) as rat,
-  sum(case when status = 'EXPIRED' then 1 else 0 end) as exp from g_gov_action_proposal_status group by epoch)""",
-    """dr as (select epoch, sum(case when type = 'REG_DREP_CERT' then 1 else 0 end) as reg,
-  sum(case when type = 'UNREG_DREP_CERT' then 1 else 0 end) as unreg from g_drep_registration group by epoch)""",
-    """tw as (select g.epoch, count(*) as n from g_gov_action_proposal g
-  join g_gov_action_proposal_status s on s.gov_action_tx_hash = g.tx_hash and s.gov_action_index = g.idx
-  where g.type = 'TREASURY_WITHDRAWALS_ACTION' and s.status = 'ENACTED' and s.epoch in (select epoch from tgt)
-  group by g.epoch)""",
-]
-_DS5_BODY = """select cast(eb.epoch as int) as epoch, cast(a.treasury as bigint) as treasury,
+_DS5_CTES: list[str] = []
+# every measure is a correlated lookup on the epoch row; "having count(*) > 0"
+# keeps NULL (not 0) for epochs without rows where the dataset has NULL
+_CC_COUNT = """(select cast(count(m.hash) as int) from g_committee_member m
+    where m.start_epoch <= a.epoch and (m.expired_epoch is null or m.expired_epoch > a.epoch))"""
+_DS5_BODY = f"""select cast(a.epoch as int) as epoch, cast(a.treasury as bigint) as treasury,
   cast(a.reserves as bigint) as reserves, cast(a.circulation as bigint) as circulation,
-  cast(a.utxo as bigint) as utxo, cast(a.fees as bigint) as fees, stk.total_active_stake,
-  dd5.total_drep_delegated, dd5.total_drep_delegated_non_abstain, dd5.total_drep_delegated_no_confidence,
-  dd5.active_drep_count, pa.active_pool_count, ci.cc_member_count,
-  (select threshold from th) as cc_threshold, cast(bs.block_count as int) as block_count,
-  cast(ts.tx_count as bigint) as tx_count, bs.epoch_start_time, bs.epoch_end_time,
-  cast(coalesce(gp.n, 0) as int) as gov_actions_proposed,
-  cast(coalesce(gs.rat, 0) as int) as gov_actions_ratified,
-  cast(coalesce(gs.exp, 0) as int) as gov_actions_expired,
-  cast(coalesce(dr.reg, 0) as int) as drep_registrations,
-  cast(coalesce(dr.unreg, 0) as int) as drep_retirements,
-  cast(coalesce(tw.n, 0) as bigint) as treasury_withdrawal_total
-from eb join g_adapot a on a.epoch = eb.epoch
-left join stk on stk.epoch = eb.epoch left join dd5 on dd5.epoch = eb.epoch
-left join pa on pa.epoch = eb.epoch left join ci on ci.epoch = eb.epoch
-left join bs on bs.epoch = eb.epoch left join ts on ts.epoch = eb.epoch
-left join gp on gp.epoch = eb.epoch left join gs on gs.epoch = eb.epoch
-left join dr on dr.epoch = eb.epoch left join tw on tw.epoch = eb.epoch"""
+  cast(a.utxo as bigint) as utxo, cast(a.fees as bigint) as fees,
+  (select cast(sum(s.amount) as bigint) from g_epoch_stake s where s.epoch = a.epoch) as total_active_stake,
+  (select cast(sum(d.amount) as bigint) from g_drep_dist d where d.epoch = a.epoch) as total_drep_delegated,
+  (select cast(sum(d.amount) filter (where d.drep_type <> 'ABSTAIN') as bigint) from g_drep_dist d
+    where d.epoch = a.epoch) as total_drep_delegated_non_abstain,
+  (select cast(sum(d.amount) filter (where d.drep_type = 'NO_CONFIDENCE') as bigint) from g_drep_dist d
+    where d.epoch = a.epoch) as total_drep_delegated_no_confidence,
+  (select cast(count(distinct d.drep_hash) filter (where d.drep_type not in ('ABSTAIN', 'NO_CONFIDENCE')) as int)
+    from g_drep_dist d where d.epoch = a.epoch having count(*) > 0) as active_drep_count,
+  (select cast(count(*) as int) from g_pool p where p.epoch = a.epoch and p.status <> 'RETIRED'
+    having count(*) > 0) as active_pool_count,
+  {_CC_COUNT} as cc_member_count,
+  (select c.threshold from g_committee c order by c.epoch desc, c.slot desc limit 1) as cc_threshold,
+  (select cast(count(*) as int) from g_block b where b.epoch = a.epoch having count(*) > 0) as block_count,
+  (select cast(count(*) as bigint) from g_transaction x where x.epoch = a.epoch having count(*) > 0) as tx_count,
+  (select cast(min(epoch(b.block_time)) as bigint) from g_block b where b.epoch = a.epoch) as epoch_start_time,
+  (select cast(max(epoch(b.block_time)) as bigint) from g_block b where b.epoch = a.epoch) as epoch_end_time,
+  (select cast(count(*) as int) from g_gov_action_proposal g where g.epoch = a.epoch) as gov_actions_proposed,
+  (select cast(count(*) filter (where s.status = 'RATIFIED') as int) from g_gov_action_proposal_status s
+    where s.epoch = a.epoch) as gov_actions_ratified,
+  (select cast(count(*) filter (where s.status = 'EXPIRED') as int) from g_gov_action_proposal_status s
+    where s.epoch = a.epoch) as gov_actions_expired,
+  (select cast(count(*) filter (where r.type = 'REG_DREP_CERT') as int) from g_drep_registration r
+    where r.epoch = a.epoch) as drep_registrations,
+  (select cast(count(*) filter (where r.type = 'UNREG_DREP_CERT') as int) from g_drep_registration r
+    where r.epoch = a.epoch) as drep_retirements,
+  (select cast(count(*) as bigint) from g_gov_action_proposal g
+    join g_gov_action_proposal_status s on s.gov_action_tx_hash = g.tx_hash and s.gov_action_index = g.idx
+    where g.epoch = a.epoch and g.type = 'TREASURY_WITHDRAWALS_ACTION' and s.status = 'ENACTED'
+      and s.epoch in (select epoch from tgt)) as treasury_withdrawal_total
+from g_adapot a
+where a.epoch in (select epoch from tgt)"""
 DS5_TABLES = ["adapot", "block", "transaction", "epoch_stake", "drep_dist", "pool", "committee_member",
               "committee", "gov_action_proposal", "gov_action_proposal_status", "drep_registration"]
 
@@ -223,18 +200,17 @@ from g_delegation_vote where epoch in (select epoch from tgt)"""
 
 # ------------------------------------------------------------------ DS7 ---
 
-_DS7_CTES = ["""lcr as (select hot_key, cold_key,
-  row_number() over (partition by hot_key order by slot desc, tx_index desc, cert_index desc) as rn
-  from g_committee_registration)"""]
+_DS7_CTES: list[str] = []
 _DS7_BODY = f"""select v.gov_action_tx_hash, cast(v.gov_action_index as int) as gov_action_index,
-  g.type as action_type, cast(g.epoch as int) as action_epoch, v.voter_hash, c.cold_key, v.vote,
-  cast(v.epoch as int) as vote_epoch, {_epoch_secs('v.block_time')} as vote_block_time,
+  g.type as action_type, cast(g.epoch as int) as action_epoch, v.voter_hash,
+  (select c.cold_key from g_committee_registration c where c.hot_key = v.voter_hash
+    order by c.slot desc, c.tx_index desc, c.cert_index desc limit 1) as cold_key,
+  v.vote, cast(v.epoch as int) as vote_epoch, {_epoch_secs('v.block_time')} as vote_block_time,
   {_epoch_secs('g.block_time')} as action_block_time,
   cast(epoch(v.block_time) - epoch(g.block_time) as bigint) as time_to_vote_seconds,
   cast(v.epoch as int) as epoch
 from g_voting_procedure v
 join g_gov_action_proposal g on g.tx_hash = v.gov_action_tx_hash and g.idx = v.gov_action_index
-left join lcr c on c.hot_key = v.voter_hash and c.rn = 1
 where v.voter_type in ({CC_VT}) and v.epoch in (select epoch from tgt)"""
 DS7_TABLES = ["voting_procedure", "gov_action_proposal", "committee_registration"]
 
@@ -297,10 +273,11 @@ DATASETS = {
 }
 
 SUBOPS = {
-    "ds1a_asof_status": _ds(DS1_TABLES, _DS1_CTES[:2], """select dd.drep_hash, cast(dd.epoch as int) as epoch,
-  dd.drep_id, a.status
-from dd left join st_asof a on a.drep_hash = dd.drep_hash and a.epoch = dd.epoch and a.rn = 1"""),
-    "ds2e_default_stance": _ds(DS2_TABLES, _DS2_CTES[1:], "select pool_id, default_stance from stance"),
+    "ds1a_asof_status": _ds(DS1_TABLES, _DS1_CTES, f"""select dd1.drep_hash, cast(dd1.epoch as int) as epoch,
+  dd1.drep_id, {_ASOF_STATUS} as status
+from dd1"""),
+    "ds2e_default_stance": _ds(DS2_TABLES, _DS2_CTES, """select o.pool_id, min(d.drep_type) as default_stance
+from owner_rows o join default_deleg d on d.credential = o.cred group by o.pool_id"""),
     "ds4c_voting_stats": _with(["gov_action_proposal_status"], body=f"""select gov_action_tx_hash,
   cast(gov_action_index as int) as gov_action_index, cast(epoch as int) as epoch, status,
   {_stats_cols('voting_stats')}
@@ -314,8 +291,8 @@ union all
 select 'epoch_param', 'params', count(*),
   cast(sum(case when params is not null and not json_valid(params) then 1 else 0 end) as bigint)
 from g_epoch_param"""),
-    "ds5g_cc_range_join": _ds(DS5_TABLES, _DS5_CTES[:1] + _DS5_CTES[6:7],
-                              "select epoch, cc_member_count from ci"),
+    "ds5g_cc_range_join": _ds(DS5_TABLES, [], f"""select cast(a.epoch as int) as epoch, {_CC_COUNT} as cc_member_count
+from g_adapot a where a.epoch in (select epoch from tgt)"""),
 }
 
 

@@ -29,35 +29,35 @@ def _utc(secs: str) -> str:
 K = {}
 
 K["k1_1_voting_turnout"] = over_datasets(["gov_action_lifecycle", "epoch_summary"], f"""
-select l.epoch_proposed as epoch, count(*) as actions_count,
-  avg(l.drep_yes_vote_stake + l.drep_no_vote_stake + l.drep_abstain_vote_stake) as avg_participating_stake,
-  e.circulation,
-  {pct('avg(l.drep_yes_vote_stake + l.drep_no_vote_stake + l.drep_abstain_vote_stake)', 'e.circulation')}
-    as turnout_pct
-from ds_gov_action_lifecycle l join ds_epoch_summary e on e.epoch = l.epoch_proposed
-where l.drep_yes_vote_stake is not null
-group by l.epoch_proposed, e.circulation""")
-
+select a.epoch, a.actions_count, a.avg_participating_stake, e.circulation,
+  {pct('a.avg_participating_stake', 'e.circulation')} as turnout_pct
+from (select epoch_proposed as epoch, count(*) as actions_count,
+             avg(drep_yes_vote_stake + drep_no_vote_stake + drep_abstain_vote_stake) as avg_participating_stake
+      from ds_gov_action_lifecycle where drep_yes_vote_stake is not null group by epoch_proposed) a
+join ds_epoch_summary e on e.epoch = a.epoch""")
+
+# per epoch: distinct addresses; addresses whose first epoch it is; addresses seen so far
 K["k1_2_active_stake_participation"] = over_datasets(["delegation_events"], """
-select p.epoch, p.active_addresses, coalesce(n.new_addresses, 0) as new_addresses,
-  cast(sum(coalesce(n.new_addresses, 0)) over (order by p.epoch) as bigint) as cumulative_unique_addresses
-from (select epoch, count(distinct address) as active_addresses from ds_delegation_events group by epoch) p
-left join (select fe as epoch, count(*) as new_addresses
-           from (select address, min(epoch) as fe from ds_delegation_events group by address) f
-           group by fe) n on n.epoch = p.epoch""")
+select p.epoch, count(distinct p.address) as active_addresses,
+  (select count(*) from (select address from ds_delegation_events group by address
+                         having min(epoch) = p.epoch) f) as new_addresses,
+  (select count(distinct e.address) from ds_delegation_events e where e.epoch <= p.epoch)
+    as cumulative_unique_addresses
+from ds_delegation_events p group by p.epoch""")
 
 K["k1_3_delegation_rate"] = over_datasets(["epoch_summary"], f"""
 select epoch, total_drep_delegated, circulation,
   {pct('total_drep_delegated', 'circulation')} as delegation_rate_pct
 from ds_epoch_summary""")
 
+# previous delegation of the address = the row at its greatest earlier slot
 _CHURN = """churn as (
-  select address, epoch, ph from (
-    select address, epoch, drep_hash, drep_type,
-           lag(drep_hash) over (partition by address order by slot) as ph,
-           lag(drep_type) over (partition by address order by slot) as pt
-    from ds_delegation_events) o
-  where ph is not null and (drep_hash <> ph or drep_type <> pt))"""
+  select e.address, e.epoch, p.drep_hash as ph
+  from ds_delegation_events e
+  join ds_delegation_events p
+    on p.address = e.address
+   and p.slot = (select max(x.slot) from ds_delegation_events x where x.address = e.address and x.slot < e.slot)
+  where p.drep_hash is not null and (e.drep_hash <> p.drep_hash or e.drep_type <> p.drep_type))"""
 
 K["k1_5_delegation_churn"] = over_datasets(["delegation_events"], """
 select epoch, count(*) as delegation_changes, count(distinct address) as addresses_changed

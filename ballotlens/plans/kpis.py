@@ -91,14 +91,14 @@ def k1_1_voting_turnout(ds: Datasets) -> DataFrame:
     """Per proposal epoch: actions with DRep stake data, their average
     participating stake (yes+no+abstain) and its share of circulation."""
     life = ds.gov_action_lifecycle.filter(F.col("drep_yes_vote_stake").isNotNull())
-    circ = ds.epoch_summary.select(F.col("epoch").alias("epoch_proposed"), "circulation")
     stake = F.col("drep_yes_vote_stake") + F.col("drep_no_vote_stake") + F.col("drep_abstain_vote_stake")
-    agg = (life.join(circ, "epoch_proposed", "inner")
-               .groupBy("epoch_proposed", "circulation")
-               .agg(F.count(F.lit(1)).alias("actions_count"),
-                    F.avg(stake).alias("avg_participating_stake")))
-    return agg.select(F.col("epoch_proposed").alias("epoch"), "actions_count", "avg_participating_stake",
-                      "circulation", pct("avg_participating_stake", "circulation").alias("turnout_pct"))
+    # aggregate first (one row per epoch), then attach circulation: bounded broadcast
+    per_epoch = life.groupBy(F.col("epoch_proposed").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("actions_count"), F.avg(stake).alias("avg_participating_stake"))
+    circ = ds.epoch_summary.select("epoch", "circulation")
+    return per_epoch.join(F.broadcast(circ), "epoch", "inner").select(
+        "epoch", "actions_count", "avg_participating_stake", "circulation",
+        pct("avg_participating_stake", "circulation").alias("turnout_pct"))
 
 
 def k1_2_active_stake_participation(ds: Datasets) -> DataFrame:
