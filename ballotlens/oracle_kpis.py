@@ -80,7 +80,10 @@ from (select epoch, delegated_amount,
 group by epoch""")
 
 K["doc3_treasury_delta"] = over_datasets(["epoch_summary"], """
-select epoch, treasury, treasury - lag(treasury) over (order by epoch) as delta from ds_epoch_summary""")
+select e.epoch, e.treasury,
+  e.treasury - (select p.treasury from ds_epoch_summary p where p.epoch < e.epoch order by p.epoch desc limit 1)
+    as delta
+from ds_epoch_summary e""")
 
 # ------------------------------------------------------------------ P1 ---
 
