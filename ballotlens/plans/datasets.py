@@ -10,7 +10,7 @@ skewed partitions otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballotlens import constants as C
@@ -57,21 +57,71 @@ def drep_asof_status(t: Tables, epochs=None) -> DataFrame:
                        order=("slot", "tx_index", "cert_index"), value="status")
 
 
-def drep_epoch_stats(t: Tables, epochs=None) -> DataFrame:
-    """DS1: one row per ``drep_dist`` row of the requested epochs."""
+def drep_epoch_stats(t: Tables, epochs=None, null_salt: int = 1024) -> DataFrame:
+    """DS1: one row per ``drep_dist`` row of the requested epochs.
+
+    One shuffle of the snapshot table: snapshot rows, status events, the
+    per-(DRep, epoch) vote counts and the per-DRep registration facts (both
+    partially aggregated first) are unioned under one window key, and three
+    window specs read them back: a running max over epochs (as-of status),
+    a (key, epoch) group (votes) and a (key) group (registration). All three
+    are satisfied by the single hash partitioning on the key, so the big
+    table is not shuffled again for joins. NULL-hash snapshot rows get salted
+    keys that match nothing (status NULL, 0 votes, no registration).
+    """
     epochs = _epochs(t, epochs)
-    snap = drep_asof_status(t, epochs)
-    out = (snap.join(drep_reg_info(t), "drep_hash", "left")
-               .join(drep_vote_counts(t, epochs), ["epoch", "drep_hash"], "left"))
-    return out.select(
+    dist = in_epochs(t.drep_dist, epochs)
+    ev_struct = F.struct("slot", "tx_index", "cert_index", F.col("status").alias("__v"))
+    ev_type = t.drep.select(ev_struct.alias("e")).schema["e"].dataType
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in dist.columns]), F.lit(null_salt)).cast("string")
+
+    def side(df, kind, key_col, **cols):
+        base = {
+            "epoch": F.lit(None).cast("int"), "drep_type": F.lit(None).cast("string"),
+            "drep_id": F.lit(None).cast("string"), "amount": F.lit(None).cast("long"),
+            "active_until": F.lit(None).cast("int"), "expiry": F.lit(None).cast("int"),
+            "__ev": F.lit(None).cast(ev_type), "votes_cast": F.lit(None).cast("long"),
+            "votes_with_rationale": F.lit(None).cast("long"),
+            "registration_epoch": F.lit(None).cast("int"), "has_metadata": F.lit(None).cast("boolean"),
+        }
+        base.update(cols)
+        return df.select(F.lit(kind).alias("__kind"), key_col.isNull().alias("__nk"),
+                         F.coalesce(key_col.cast("string"), salt if kind == 0 else F.lit(None)).alias("__wk"),
+                         *[v.alias(k) for k, v in base.items()])
+
+    snaps = side(dist, 0, F.col("drep_hash"), **{c: F.col(c) for c in
+                                                 ("epoch", "drep_type", "drep_id", "amount", "active_until",
+                                                  "expiry")})
+    events = side(t.drep.filter(F.col("drep_hash").isNotNull()), 1, F.col("drep_hash"),
+                  epoch=F.col("epoch").cast("int"), __ev=ev_struct)
+    votes = side(drep_vote_counts(t, epochs), 2, F.col("drep_hash"), epoch=F.col("epoch").cast("int"),
+                 votes_cast=F.col("votes_cast"), votes_with_rationale=F.col("votes_with_rationale"))
+    regs = side(drep_reg_info(t).filter(F.col("drep_hash").isNotNull()), 3, F.col("drep_hash"),
+                registration_epoch=F.col("registration_epoch"), has_metadata=F.col("has_metadata"))
+    key = ["__nk", "__wk"]
+    asof = Window.partitionBy(*key).orderBy(F.col("epoch").asc_nulls_first()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    same_epoch = Window.partitionBy(*key, "epoch")
+    same_key = Window.partitionBy(*key)
+    rows = (snaps.unionByName(events).unionByName(votes).unionByName(regs)
+            .select("*",
+                    F.max("__ev").over(asof).alias("__best"),
+                    F.max("votes_cast").over(same_epoch).alias("__n"),
+                    F.max("votes_with_rationale").over(same_epoch).alias("__r"),
+                    F.max("registration_epoch").over(same_key).alias("__re"),
+                    F.max(F.col("has_metadata").cast("int")).over(same_key).alias("__hm"))
+            .filter(F.col("__kind") == 0))
+    return rows.select(
         F.col("epoch").cast("int").alias("epoch"),
-        "drep_hash", "drep_type", "drep_id",
+        F.when(~F.col("__nk"), F.col("__wk")).alias("drep_hash"), "drep_type", "drep_id",
         F.col("amount").alias("delegated_amount"),
         F.col("active_until").cast("int").alias("active_until"),
         F.col("expiry").cast("int").alias("expiry"),
-        "status", "registration_epoch", "has_metadata",
-        F.coalesce("votes_cast", F.lit(0)).cast("int").alias("votes_cast"),
-        F.coalesce("votes_with_rationale", F.lit(0)).cast("int").alias("votes_with_rationale"),
+        F.col("__best.__v").alias("status"),
+        F.col("__re").alias("registration_epoch"),
+        F.col("__hm").cast("boolean").alias("has_metadata"),
+        F.coalesce("__n", F.lit(0)).cast("int").alias("votes_cast"),
+        F.coalesce("__r", F.lit(0)).cast("int").alias("votes_with_rationale"),
     )
 
 

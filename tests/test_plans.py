@@ -31,12 +31,15 @@ def tree(p: str) -> str:
     return p.split("\n\n\n")[0]
 
 
-def test_ds1_prunes_partitions_and_has_one_window(exports):
+def test_ds1_prunes_partitions_and_shuffles_the_snapshot_once(exports):
     p = plan(D.drep_epoch_stats(exports))
+    t = tree(p)
     assert re.search(r"drep_dist\]\nPartitionFilters: \[epoch#\d+ INSET", p)
     assert "PushedFilters: [In(voter_type, [DREP_KEY_HASH,DREP_SCRIPT_HASH])" in p
-    assert "BroadcastNestedLoopJoin" not in p
-    assert len(re.findall(r"\bWindow \(", tree(p))) == 1          # the as-of lookup
+    assert "Join" not in t                                          # lookups are windows, not joins
+    # one exchange + one sort feed all three windows (as-of, votes, registration)
+    assert re.search(r"Window \(\d+\)\n\s+\+- Sort \(\d+\)\n\s+\+- Exchange \(\d+\)\n\s+\+- Union", t)
+    assert len(re.findall(r"\bSort \(", t)) == 3                    # that one + two inside partial aggs
     assert "c_custkey" not in p                                     # no fixture in the plan
 
 
