@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ballotlens import constants as C
 from ballotlens.functions import pct, ratio
 from ballotlens.operators.ordered import lag_within, rank_within
+from ballotlens.operators.quantiles import exact_median
 from ballotlens.plans import datasets as D
 from ballotlens.sources.tables import Tables
 
@@ -313,15 +314,25 @@ def p2_3_drep_rationale_rate(ds: Datasets) -> DataFrame:
     return agg.withColumn("rationale_rate_pct", pct("votes_with_rationale", "drep_votes"))
 
 
-def _median_latency(ds: Datasets, voter_types, count_name: str, out: str) -> DataFrame:
-    v = _vote_kpi_base(ds, voter_types)
+def _count_and_median(df: DataFrame, key: str, value, count_name: str, out: str,
+                      chunk_rows: int | None = None) -> DataFrame:
+    """Per ``key`` (bounded: epochs / types): row count and exact median of
+    ``value``, the median computed without holding a group in one task."""
+    x = df.select(F.col(key).alias("__k"), value.alias("__x"))
+    counts = x.groupBy("__k").agg(F.count(F.lit(1)).alias(count_name))
+    med = exact_median(x, "__k", "__x", out, few_groups=True, chunk_rows=chunk_rows)
+    return counts.join(F.broadcast(med), "__k", "left").withColumnRenamed("__k", key)
+
+
+def _median_latency(ds: Datasets, voter_types, count_name: str, out: str,
+                    chunk_rows: int | None = None) -> DataFrame:
+    v = _vote_kpi_base(ds, voter_types).withColumnRenamed("vote_epoch", "epoch")
     secs = F.col("vote_block_time") - F.col("action_block_time")
-    return v.groupBy(F.col("vote_epoch").alias("epoch")).agg(
-        F.count(F.lit(1)).alias(count_name), F.median(secs).alias(out))
+    return _count_and_median(v, "epoch", secs, count_name, out, chunk_rows)
 
 
-def p2_4_drep_time_to_vote(ds: Datasets) -> DataFrame:
-    return _median_latency(ds, C.DREP_VOTER_TYPES, "drep_votes", "median_seconds_to_vote")
+def p2_4_drep_time_to_vote(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    return _median_latency(ds, C.DREP_VOTER_TYPES, "drep_votes", "median_seconds_to_vote", chunk_rows)
 
 
 def _vote_code() -> Column:
@@ -395,10 +406,10 @@ def p2_9_drep_cc_latency(ds: Datasets) -> DataFrame:
     last vote on the action) to each DRep vote on it."""
     cc = ds.cc_vote_details.groupBy("gov_action_tx_hash", "gov_action_index").agg(
         F.max("vote_block_time").alias("__cc"))
-    v = _vote_kpi_base(ds, C.DREP_VOTER_TYPES).join(cc, ["gov_action_tx_hash", "gov_action_index"], "inner")
-    return v.groupBy(F.col("action_epoch").alias("epoch")).agg(
-        F.count(F.lit(1)).alias("drep_votes"),
-        F.median(F.col("vote_block_time") - F.col("__cc")).alias("median_seconds_after_cc"))
+    v = (_vote_kpi_base(ds, C.DREP_VOTER_TYPES).join(cc, ["gov_action_tx_hash", "gov_action_index"], "inner")
+         .withColumnRenamed("action_epoch", "epoch"))
+    return _count_and_median(v, "epoch", F.col("vote_block_time") - F.col("__cc"), "drep_votes",
+                             "median_seconds_after_cc")
 
 
 def p2_10_drep_metadata_completeness(ds: Datasets) -> DataFrame:
@@ -492,8 +503,8 @@ def p3_3_default_stance_adoption(ds: Datasets) -> DataFrame:
                       pct("__any", "pools").alias("adoption_pct"))
 
 
-def p3_4_spo_vote_latency(ds: Datasets) -> DataFrame:
-    return _median_latency(ds, (C.SPO_VOTER_TYPE,), "spo_votes", "median_seconds_to_vote")
+def p3_4_spo_vote_latency(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+    return _median_latency(ds, (C.SPO_VOTER_TYPE,), "spo_votes", "median_seconds_to_vote", chunk_rows)
 
 
 def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None,
@@ -579,8 +590,8 @@ def p4_5_time_to_enactment(ds: Datasets) -> DataFrame:
     j = life.join(ends, "epoch_resolved", "inner")
     # median of whole seconds (exact in any engine), then one division
     secs = F.col("epoch_end_time") - F.col("block_time_proposed")
-    return j.groupBy("type").agg(F.count(F.lit(1)).alias("enacted_actions"),
-                                 (F.median(secs) / F.lit(86400.0)).alias("median_days_to_enactment"))
+    m = _count_and_median(j, "type", secs, "enacted_actions", "__med")
+    return m.select("type", "enacted_actions", (F.col("__med") / F.lit(86400.0)).alias("median_days_to_enactment"))
 
 
 def p4_6_treasury_vs_ncl(ds: Datasets, ncl_lovelace: int = NCL_LOVELACE) -> DataFrame:
@@ -641,9 +652,9 @@ def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD,
 
 def p5_1_cc_time_to_decision(ds: Datasets) -> DataFrame:
     c = ds.cc_vote_details
-    return c.groupBy(F.col("action_epoch").alias("epoch")).agg(
-        F.count(F.lit(1)).alias("cc_votes"),
-        (F.median("time_to_vote_seconds") / F.lit(86400.0)).alias("median_days_to_vote"))
+    m = _count_and_median(c, "action_epoch", F.col("time_to_vote_seconds"), "cc_votes", "__med")
+    return m.select(F.col("action_epoch").alias("epoch"), "cc_votes",
+                    (F.col("__med") / F.lit(86400.0)).alias("median_days_to_vote"))
 
 
 def p5_2_cc_member_participation(ds: Datasets) -> DataFrame:

@@ -15,6 +15,8 @@ CASES = [
     ("p3_5_stake_concentration", K.p3_5_stake_concentration),
     ("p3_6_spo_vote_changes", K.p3_6_spo_vote_changes),
     ("p4_9_min_attack_vector", K.p4_9_min_attack_vector),
+    ("p2_4_drep_time_to_vote", K.p2_4_drep_time_to_vote),
+    ("p3_4_spo_vote_latency", K.p3_4_spo_vote_latency),
 ]
 
 

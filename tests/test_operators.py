@@ -75,3 +75,16 @@ def test_rank_within_chunked_equals_plain_window(spark):
     for chunk_rows in (40, 10_000):
         got = rank_within(df, "key", ["amount", "tie"], value="amount", chunk_rows=chunk_rows, max_chunks=32)
         assert rows(got, ["tie", "row_idx", "peer_sum"]) == want
+
+
+def test_exact_median_equals_builtin_median(spark):
+    from ballotlens.operators.quantiles import exact_median
+    rnd = random.Random(5)
+    data = [("hot" if rnd.random() < 0.5 else f"g{rnd.randint(0, 9)}",
+             rnd.choice([None, rnd.randint(-50, 500)])) for _ in range(2001)]
+    data += [("single", 7), ("pair", 1), ("pair", 4), ("nulls", None)]
+    df = spark.createDataFrame(data, "g string, x long")
+    want = rows(df.groupBy("g").agg(F.median("x").alias("m")).filter(F.col("m").isNotNull()), ["g", "m"])
+    for chunk_rows in (30, None):
+        got = exact_median(df, "g", "x", "m", chunk_rows=chunk_rows)
+        assert rows(got, ["g", "m"]) == want
