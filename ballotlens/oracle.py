@@ -298,6 +298,9 @@ from g_adapot a where a.epoch in (select epoch from tgt)"""),
 
 # sinks read back what they wrote: same rows as the dataset
 SINKS = {
+    "stream_delegation_events": _with(["delegation_vote"], body=f"""select address, drep_hash, drep_id, drep_type,
+  credential, cast(epoch as int) as epoch, slot, {_epoch_secs('block_time')} as block_time
+from g_delegation_vote"""),
     "src1_exports_catalog": DATASETS["ds1_drep_epoch_stats"],
     "snk1_drep_epoch_stats_written": DATASETS["ds1_drep_epoch_stats"],
     "snk3_epoch_summary_incremental": DATASETS["ds5_epoch_summary"],

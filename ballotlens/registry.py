@@ -109,7 +109,27 @@ def _src_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.drep_epoch_stats(Tables.from_catalog(spark, out))
 
 
+def _stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming: delegation_vote exported as epoch folders in two file drops
+    (epoch 515 split across both); after each drop the file stream
+    (availableNow) recomputes the touched epochs of delegation_events. Reads
+    back the maintained dataset: every epoch of the source."""
+    from ballotlens.plans.job import read_dataset
+    from ballotlens.sources.catalog import source_schema
+    from ballotlens.streaming import start_epoch_stream
+    base, t = _fresh_dir(spark, "stream"), Tables.from_fixtures(spark, sf_dir)
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/ckpt"
+    dv = t.delegation_vote.select(*[c.split()[0] for c in source_schema("delegation_vote").split(", ")])
+    first = (F.col("epoch") < 515) | ((F.col("epoch") == 515) & (F.col("tx_index") % 2 == 0))
+    for part in (dv.filter(first), dv.filter(~first)):
+        part.write.mode("append").partitionBy("epoch").parquet(f"{src}/delegation_vote")
+        start_epoch_stream(spark, src, "delegation_vote", out, ["delegation_events"], checkpoint=ckpt,
+                           tables=Tables.from_catalog(spark, src)).awaitTermination()
+    return read_dataset(spark, out, "delegation_events")
+
+
 QUERIES.update({
+    "stream_delegation_events": _stream_refresh,
     "src1_exports_catalog": _src_exports,
     "snk1_drep_epoch_stats_written": _snk1_written,
     "snk3_epoch_summary_incremental": _snk3_incremental,
