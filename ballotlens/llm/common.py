@@ -108,15 +108,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> tuple[
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span, A-Z like a-z."""
-    if not len(starts):
-        return np.zeros(0, _U)
+def span_hasher(data: np.ndarray):
+    """A function of (starts, ends) that gives 64-bit hashes of those bytes of
+    ``data``, A-Z like a-z."""
     up, down = _powers(len(data) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(data) + 1, dtype=_U)
         np.cumsum(_LETTER[data] * up[:len(data)], out=total[1:])
-        return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+    return hashes
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return span_hasher(data)(starts, ends) if len(starts) else np.zeros(0, _U)
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> Iterator[tuple[int, int]]:

@@ -7,14 +7,39 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ballotlens.llm import common as C
 from ballotlens.llm.minhash import near_duplicates
+from ballotlens.llm.packing import pack
+from ballotlens.llm.token_counts import length_histogram, limit_table
+from ballotlens.llm.toxicity import toxicity_scores
+from ballotlens.llm.warc import archive_pages
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(C.documents(spark, sf_dir))
 
 
+def op3_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(C.documents(spark, sf_dir))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return limit_table(length_histogram(C.documents(spark, sf_dir)))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, index = archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op3_bin_packing": op3_bin_packing,
+    "op4_toxicity": op4_toxicity,
+    "op7_token_counts": op7_token_counts,
+    "op8_warc": op8_warc,
 }
 
 _OP1_SQL = r"""
@@ -23,28 +48,44 @@ WITH RECURSIVE lowered AS (
                                     '[^\x20\x09-\x0D]+') AS w FROM documents
 ), listed AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM lowered
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM lowered
 ), sized AS (
   SELECT doc_id, CAST(len(s) AS BIGINT) AS n, md5(array_to_string(list_sort(s), chr(10))) AS class, s FROM listed
 ), classes AS (
   SELECT class, min(doc_id) AS rep, any_value(n) AS n, any_value(s) AS s FROM sized WHERE n > 0 GROUP BY class
 ), shingles AS (SELECT rep, n, hash(x) AS x FROM (SELECT rep, n, unnest(s) AS x FROM classes)
-), shared AS (
-  SELECT p.rep AS a, q.rep AS b, count(*) AS both, any_value(p.n) AS na, any_value(q.n) AS nb
+), paired AS (
+  SELECT p.rep AS a, q.rep AS b, count(*) AS n_common, any_value(p.n) AS na, any_value(q.n) AS nb
   FROM shingles p JOIN shingles q ON p.x = q.x AND p.rep < q.rep GROUP BY ALL
 ), links AS (
-  SELECT a, b FROM shared WHERE 100 * both >= 85 * (na + nb - both)
+  SELECT a, b FROM paired WHERE 100 * n_common >= 85 * (na + nb - n_common)
 ), both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links
 ), reach AS (
-  SELECT rep AS start, rep AS at FROM classes
+  SELECT rep AS origin, rep AS reached FROM classes
   UNION
-  SELECT reach.start, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.at
-), roots AS (SELECT start AS rep, min(at) AS component FROM reach GROUP BY start)
+  SELECT reach.origin, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.reached
+), roots AS (SELECT origin AS rep, min(reached) AS component FROM reach GROUP BY origin)
 SELECT d.doc_id, d.n AS n_shingles, coalesce(r.component, d.doc_id) AS component_id,
        d.doc_id = coalesce(r.component, d.doc_id) AS kept
 FROM sized d LEFT JOIN classes c ON c.class = d.class AND d.n > 0 LEFT JOIN roots r ON r.rep = c.rep
 """
 
+_OP8_SQL = r"""
+WITH own AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, hex,
+    translate(array_to_string(list_transform(range(0, 4), lambda g: to_base(CAST('0x' || substr(hex, 1 + 10 * g, 10) AS BIGINT), 32, 8)), ''),
+      '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+  FROM own
+), led AS (SELECT *, min(page_id) OVER (PARTITION BY hex, payload_bytes) AS first FROM coded)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
+FROM led
+"""
+
 ORACLE_SQL = {
+    "op8_warc": _OP8_SQL,
     "op1_minhash_dedup": _OP1_SQL,
 }
