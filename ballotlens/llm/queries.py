@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ballotlens.llm import common as C
+from ballotlens.llm.decontaminate import contaminated
 from ballotlens.llm.minhash import near_duplicates
 from ballotlens.llm.packing import pack
+from ballotlens.llm.pii import digest_table, find_personal_data
 from ballotlens.llm.token_counts import length_histogram, limit_table
 from ballotlens.llm.toxicity import toxicity_scores
 from ballotlens.llm.warc import archive_pages
@@ -25,6 +27,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limit_table(length_histogram(C.documents(spark, sf_dir)))
 
@@ -34,12 +40,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_table(find_personal_data(C.documents(spark, sf_dir)))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op3_bin_packing": op3_bin_packing,
     "op4_toxicity": op4_toxicity,
+    "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
+    "op9_pii": op9_pii,
 }
 
 _OP1_SQL = r"""
@@ -85,7 +97,40 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM led
 """
 
+_OP6_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+), item AS (
+  SELECT item_id, w, len(w) AS n FROM (
+    SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) >= 5
+), item_shingle AS (
+  SELECT item_id, n, q, array_to_string(w[q:q + 4], ' ') AS s FROM (SELECT *, unnest(range(1, n - 3)) AS q FROM item)
+), doc_shingle AS (
+  SELECT doc_id, p, len(w) AS m, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM doc WHERE len(w) >= 5)
+), placed AS (
+  SELECT DISTINCT d.doc_id, i.n, greatest(least(d.p - i.q, d.m - i.n), 0) AS start
+  FROM doc_shingle d JOIN (SELECT DISTINCT n, q, s FROM item_shingle) i USING (s)
+), win AS (
+  SELECT p.doc_id, p.n, p.start, w[start + 1:start + n] AS w FROM placed p JOIN doc USING (doc_id)
+), win_shingle AS (
+  SELECT doc_id, n, start, s, count(*) AS c FROM (
+    SELECT doc_id, n, start, array_to_string(w[k:k + 4], ' ') AS s
+    FROM (SELECT *, unnest(range(1, len(w) - 3)) AS k FROM win)) GROUP BY ALL
+), counted AS (SELECT item_id, n, s, count(*) AS c FROM item_shingle GROUP BY ALL
+), joint AS (
+  SELECT a.doc_id, a.start, b.item_id, b.n, sum(least(a.c, b.c)) AS common_n
+  FROM win_shingle a JOIN counted b ON a.n = b.n AND a.s = b.s GROUP BY ALL
+), scored AS (
+  SELECT j.doc_id, j.item_id, j.start, CAST(common_n AS DOUBLE) / (len(win.w) - 4 + j.n - 4 - common_n) AS similarity
+  FROM joint j JOIN win ON win.doc_id = j.doc_id AND win.n = j.n AND win.start = j.start
+)
+SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_max(start, struct_pack(a := similarity, b := -start)) AS BIGINT) AS start_word
+FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+"""
+
 ORACLE_SQL = {
+    "op6_decontamination": _OP6_SQL,
     "op8_warc": _OP8_SQL,
     "op1_minhash_dedup": _OP1_SQL,
 }
