@@ -14,6 +14,7 @@ rows; other columns of the input are ignored."""
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,9 +28,12 @@ from ballotlens.llm import common as C
 CAPACITY = 2048
 END_ID = 0
 SALTS = 64                  # parts in which the pieces of one length are numbered
-CACHE_WORDS = 600_000       # words whose ids a worker remembers
-CACHE_WORD_CHARS = 48
-_TOKENIZERS: dict[str, tuple] = {}
+CACHE_WORDS = 1_000_000     # words that a worker remembers (about 200 MB)
+JOINED_WORDS = 4000
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ƿ]+")      # no letter among them changes length in lower case
+_ASCII_LETTER = C.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)))
+_MARK = C.byte_class(b".,!?;:")
+_TOKENIZERS: dict[str, _Words] = {}
 
 
 def default_tokenizer() -> str:
@@ -37,45 +41,114 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _tokenizer(path: str) -> tuple:
-    if path not in _TOKENIZERS:
+class _Words:
+    """Token ids by word, for one tokenizer: a word's 64-bit hash gives its
+    slot, its ids lie together in a pool. When the memory is full it starts
+    anew."""
+
+    def __init__(self, path: str):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        width = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        _TOKENIZERS[path] = (tokenizer, width, {})
-    return _TOKENIZERS[path]
-
-
-def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
+        self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)            # ids that end a run of letters
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.begin, self.pool, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, "<u4"), 0
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, keys: list[int], new: list[str]) -> None:
+        """Encode words. Words of plain Latin letters are one run of letters
+        each, so many are encoded as one text and told apart by word ends."""
+        plain = [i for i, w in enumerate(new) if _PLAIN.fullmatch(w)]
+        kept = set(plain)
+        other = [i for i in range(len(new)) if i not in kept]
+        codes = self.tokenizer.encode_batch_fast([new[i] for i in other], add_special_tokens=False)
+        found = [(keys[i], np.array(code.ids, "<u4")) for i, code in zip(other, codes)]
+        for at in range(0, len(plain), JOINED_WORDS):
+            part = plain[at:at + JOINED_WORDS]
+            text = " ".join([new[i] for i in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            if len(stop) == len(part) and stop[-1] == len(ids):
+                found += zip([keys[i] for i in part], np.split(ids, stop[:-1]))
+            else:
+                found += [(keys[i], self.whole(new[i])) for i in part]
+        if not found:
+            return
+        ids = np.concatenate([x for _, x in found])
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        ends = self.used + np.cumsum([len(x) for _, x in found])
+        first = len(self.begin) - 1
+        self.begin = np.concatenate([self.begin, ends])     # slot i: pool[begin[i]:begin[i + 1]]
+        self.used = int(ends[-1])
+        self.slots.update((k, first + i) for i, (k, _) in enumerate(found))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        data, offsets = C.text_buffers(texts)
+        hashes, starts, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in C._pieces(data, offsets, C.WHITE):
+            part = data[a:b]
+            s, e = C.word_spans(part, np.concatenate([offsets[(offsets >= a) & (offsets <= b)] - a, _cuts(part)]), C.WHITE)
+            hashes.append(C.span_hashes(part, s, e))
+            starts.append(s + a)
+            ends.append(e + a)
+        key, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        start, end = np.concatenate(starts), np.concatenate(ends)
+        if len(self.slots) > CACHE_WORDS:
+            self.forget()
+        keys = key.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.slots]
+        raw = data.tobytes() if new else b""
+        self.learn([keys[i] for i in new],
+                   [raw[x:y].decode() for x, y in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[number]
+        begin, count = self.begin[slot], self.begin[slot + 1] - self.begin[slot]
+        after = np.concatenate([[0], np.cumsum(count)])
+        ids = self.pool[np.repeat(begin - after[:-1], count) + np.arange(after[-1])]
+        bounds = after[np.searchsorted(start, offsets)]
+        out = [ids[bounds[i]:bounds[i + 1]] for i in range(len(texts))]
+        # special tokens are told apart by case, hashes are not: such texts are encoded whole
+        marks = np.flatnonzero((data[:-1] == ord("|")) & (data[1:] == ord(">"))) if len(data) else ()
+        for i in set((np.searchsorted(offsets, marks, side="right") - 1).tolist()):
+            out[i] = self.whole(texts[i].as_py())
+        return out
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Places between a Latin letter (ASCII, or U+00C0 to U+00FF) and a
+    punctuation mark; the tokenizer always parts them."""
+    if len(data) < 3:
+        return np.zeros(0, np.int64)
+    letter = _ASCII_LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    return np.flatnonzero(letter[:-1] & _MARK[data[1:]]) + 1
+
+
+def encode_texts(texts: pa.Array, path: str) -> list[np.ndarray]:
     """Token ids of whole texts. The tokenizer drops white space and never
-    joins characters across it, so words are encoded once and remembered. The
-    separators U+001C to U+001F are white space to Python alone: a text that
-    holds one is encoded as a whole."""
-    tokenizer, width, cache = _tokenizer(path)
-    odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-    words = [[] if o else t.split() for t, o in zip(texts, odd)]
-    new = list(set().union(*words) - cache.keys())
-    for word, code in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        cache[word] = np.array(code.ids, width).tobytes()
-    out = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, width) if o
-           else np.frombuffer(b"".join(map(cache.__getitem__, w)), width) for t, w, o in zip(texts, words, odd)]
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    for word in new:
-        if len(word) > CACHE_WORD_CHARS:
-            cache.pop(word, None)
-    return out
+    joins characters across it, so words are encoded once and remembered by
+    their 64-bit hash (letters A-Z like a-z, as the tokenizer sees them)."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = _Words(path)
+    return _TOKENIZERS[path].encode(texts)
 
 
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in C.text_slices(batches, "text"):
             rows: list[tuple] = []
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode_texts(texts, path)):
-                ids = np.append(ids.astype("<u4"), np.uint32(end_id))
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode_texts(part.column("text"), path)):
+                ids = np.append(ids, np.uint32(end_id))
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start:start + capacity]
                     rows.append((doc_id, piece, start, len(own), zlib.crc32(own), own if with_ids else None))
