@@ -4,11 +4,13 @@ operator with production parameters to its whole table) and their SQL."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ballotlens.llm import common as C
 from ballotlens.llm.decontaminate import contaminated
 from ballotlens.llm.minhash import near_duplicates
 from ballotlens.llm.packing import pack
+from ballotlens.llm.permutation_index import nearest
 from ballotlens.llm.pii import digest_table, find_personal_data
 from ballotlens.llm.token_counts import length_histogram, limit_table
 from ballotlens.llm.toxicity import toxicity_scores
@@ -19,6 +21,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(C.documents(spark, sf_dir))
 
 
+def op2_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op3_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(C.documents(spark, sf_dir))
 
@@ -46,6 +52,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_permutation_index": op2_permutation_index,
     "op3_bin_packing": op3_bin_packing,
     "op4_toxicity": op4_toxicity,
     "op6_decontamination": op6_decontamination,
