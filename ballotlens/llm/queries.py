@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from ballotlens.llm import common as C
 from ballotlens.llm.decontaminate import contaminated
+from ballotlens.llm.licenses import license_notices
 from ballotlens.llm.minhash import near_duplicates
 from ballotlens.llm.packing import pack
 from ballotlens.llm.permutation_index import nearest
 from ballotlens.llm.pii import digest_table, find_personal_data
+from ballotlens.llm.suffix_dedup import repeated_passages
 from ballotlens.llm.token_counts import length_histogram, limit_table
 from ballotlens.llm.toxicity import toxicity_scores
 from ballotlens.llm.warc import archive_pages
@@ -33,6 +35,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(C.documents(spark, sf_dir))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -50,15 +56,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_table(find_personal_data(C.documents(spark, sf_dir)))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_notices(C.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_permutation_index": op2_permutation_index,
     "op3_bin_packing": op3_bin_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
+    "op10_license_scan": op10_license_scan,
 }
 
 _OP1_SQL = r"""
