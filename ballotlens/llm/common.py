@@ -205,3 +205,49 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLI
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+
+
+# ------------------------------------------------------- rows by key
+
+MAP_WORDS = 1 << 18         # words of 64 bits in a bitmap of hashed ids (bounded, so it may be broadcast)
+
+
+def id_bitmap(ids: DataFrame, column: str) -> DataFrame:
+    """(map_word, map_bits): a bitmap of hashed ids, at most MAP_WORDS rows."""
+    return ids.groupBy(_map_word(column).alias("map_word")).agg(F.bit_or(_map_bit(column)).alias("map_bits"))
+
+
+def _map_word(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(MAP_WORDS))
+
+
+def _map_bit(column: str):
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(column), F.lit(64)).cast("int"))
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with a key column: the id, or for a null id a hash of the text."""
+    key = unused_name(docs, "row_key")
+    return docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"),
+                                           F.xxhash64(F.lit("no id"), F.col(text_col).cast("string")))), key
+
+
+def without_ids(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is among the ids ``gone`` (one
+    column). Only rows that a broadcast bitmap can't clear are shuffled."""
+    column = gone.columns[0]
+    word, bits = unused_name(docs, "map_word"), unused_name(docs, "map_bits")
+    bitmap = id_bitmap(gone, column).withColumnsRenamed({"map_word": word, "map_bits": bits})
+    marked = docs.join(F.broadcast(bitmap), _map_word(key) == F.col(word), "left")
+    hit = F.coalesce(F.col(bits).bitwiseAND(_map_bit(key)) != 0, F.lit(False))
+    ids = gone.select(F.col(column).alias(unused_name(docs, "gone_id"))).distinct()
+    exact = marked.filter(hit).select(*docs.columns).join(ids, F.col(key) == F.col(ids.columns[0]), "left_anti")
+    return marked.filter(~hit).select(*docs.columns).union(exact)

@@ -28,7 +28,7 @@ from ballotlens.llm import common as C
 CAPACITY = 2048
 END_ID = 0
 SALTS = 64                  # parts in which the pieces of one length are numbered
-CACHE_WORDS = 1_000_000     # words that a worker remembers (about 200 MB)
+CACHE_WORDS = 300_000       # words that a worker remembers (about 60 MB)
 JOINED_WORDS = 4000
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ƿ]+")      # no letter among them changes length in lower case
 _ASCII_LETTER = C.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)))

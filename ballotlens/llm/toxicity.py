@@ -1,14 +1,17 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-A token enters as the sum of a word embedding (hashed word) and character
-embeddings (hashed character n-grams at its start and end). Every window of 64
+A token enters as the sum of a word embedding and of character embeddings
+(n-grams at its start and end). Words and n-grams have embeddings if they occur
+in ``MIN_DOCUMENTS`` or more documents of the sample. Every window of 64
 tokens, one each 48 tokens, is scored over the whole text; the document takes
 its highest window. The network is trained in numpy on the driver, on a bounded
 sample of labelled documents: at most ``SAMPLE`` per class, those with the
 smallest hashes of doc_id among labelled rows of the learning folds, if not
 longer than ``SAMPLE_CHARS``. Labels hold for documents, so a document's
-windows are pooled while learning; a logistic fit on a fifth of the sample maps
-the highest window to a probability.
+windows are pooled while learning; a logistic fit on a fifth of the sample,
+weighted to the shares of the classes among all labels, maps the highest window
+to a score that is 0.5 where the fewest of that fifth are mistaken (by the fit
+itself if the fifth has under ``LEAST_POSITIVES`` positives).
 
 Defined cases: a null or empty text is one empty window; labels that are null
 are left out and of several labels of one doc_id the largest counts; without
@@ -32,19 +35,20 @@ SAMPLE_CHARS = 6000
 FOLDS = 5
 WINDOW, STRIDE = 64, 48
 WIDTH, HIDDEN = 12, 8
-BUCKETS = 1 << 15
+MIN_DOCUMENTS = 3
+LEAST_POSITIVES = 30            # for a threshold of its own beside the logistic fit
 GRAMS = ((0, 3), (0, 4), (0, 5), (1, 3), (1, 4))        # (0 start or 1 end of the word, bytes)
-STEPS, BATCH = 400, 16                                  # documents of each class in a batch
+STEPS, BATCH = 600, 16                                  # documents of each class in a batch
 SEED = 7
 _U = np.uint64
 _SEPARATOR = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct tokens' embedding rows, each token's number among them, bounds
-    of the documents. Row 0 stands for "no token"."""
+    """Hashes of the word and n-grams of each distinct token, each token's number
+    among them, bounds of the documents. Row 0 stands for "no token"."""
     data, offsets = C.text_buffers(texts)
-    keys, rows, begins = [np.zeros(0, _U)], [np.zeros((0, 1 + len(GRAMS)), np.int32)], [np.zeros(0, np.int64)]
+    keys, rows, begins = [np.zeros(0, _U)], [np.zeros((0, 1 + len(GRAMS)), _U)], [np.zeros(0, np.int64)]
     for a, b in C._pieces(data, offsets, _SEPARATOR):
         part = data[a:b]
         starts, ends = C.word_spans(part, offsets[(offsets >= a) & (offsets <= b)] - a, _SEPARATOR)
@@ -56,12 +60,11 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s, e = starts[first], ends[first]
         columns = [key] + [hashes(np.maximum(s, e - n) if end else s, e if end else np.minimum(s + n, e))
                            + _U(0x9E37 * (2 * n + end)) for end, n in GRAMS]
-        row = np.stack([(C.mix64(c) % _U(BUCKETS)).astype(np.int32) + (BUCKETS if i else 0)
-                        for i, c in enumerate(columns)], axis=1)
+        row = np.stack(columns, axis=1)
         keys.append(number + sum(map(len, rows)) + 1)
         rows.append(row)
         begins.append(starts + a)
-    table = np.concatenate([np.full((1, 1 + len(GRAMS)), -1, np.int32), *rows])
+    table = np.concatenate([np.zeros((1, 1 + len(GRAMS)), _U), *rows])
     return table, np.concatenate(keys).astype(np.int64), np.searchsorted(np.concatenate(begins), offsets)
 
 
@@ -87,16 +90,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Network:
     """Weights, forward pass and gradients."""
 
-    def __init__(self, seed: int = SEED):
-        rng = np.random.default_rng(seed)
+    def __init__(self, vocabulary: np.ndarray, seed: int = SEED):
+        """vocabulary: sorted hashes of the words and n-grams with embeddings."""
+        rng, self.vocabulary = np.random.default_rng(seed), vocabulary
         f = lambda *shape, s: (rng.standard_normal(shape) * s).astype(np.float32)
-        self.embedding = f(2 * BUCKETS + 1, WIDTH, s=0.1)
-        self.embedding[-1] = 0                                  # row -1: no token
+        self.embedding = f(len(vocabulary) + 1, WIDTH, s=0.1)
+        self.embedding[-1] = 0                                  # row -1: not in the vocabulary
         self.p = {"W": f(2, WIDTH, 3 * HIDDEN, s=0.4), "U": f(2, HIDDEN, 3 * HIDDEN, s=0.3),
                   "b": np.zeros((2, 3 * HIDDEN), np.float32), "v": f(2 * HIDDEN, s=0.3),
                   "o": f(2 * HIDDEN, s=0.3), "c": np.zeros(1, np.float32)}
         self.scale, self.shift = 1.0, 0.0
 
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Embedding rows of hashes, -1 for those not in the vocabulary."""
+        if not len(self.vocabulary):
+            return np.full(hashes.shape, -1)
+        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == hashes, at, -1)
+
     def inputs(self, table: np.ndarray) -> np.ndarray:
         return self.embedding[table].sum(axis=1)
 
@@ -168,7 +179,7 @@ class Network:
         """Highest window logit of each text."""
         table, numbers, bounds = _tokens(texts)
         windows, doc = _windows(numbers, bounds)
-        gates = self.gates(self.inputs(table))
+        gates = self.gates(self.inputs(self.rows(table)))
         logits = np.concatenate([np.zeros(0, np.float32)] + [self.forward(gates, windows[i:i + 2048])
                                                              for i in range(0, len(windows), 2048)])
         return np.maximum.reduceat(logits, np.searchsorted(doc, np.arange(len(texts)))) if len(texts) else logits
@@ -177,11 +188,21 @@ class Network:
         return _sigmoid(self.document_logits(texts).astype(np.float64) * self.scale + self.shift)
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = SEED, steps: int = STEPS) -> Network:
-    """A network that tells label 1 from 0. A fixed number of steps, so that
-    the time does not depend on the size of the sample."""
-    rng, net = np.random.default_rng(seed), Network(seed)
+def _vocabulary(table: np.ndarray, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Hashes that occur in MIN_DOCUMENTS documents or more."""
+    each = [np.unique(table[np.unique(numbers[a:b])]) for a, b in zip(bounds[:-1], bounds[1:])]
+    hashes, count = np.unique(np.concatenate(each), return_counts=True)
+    return hashes[count >= MIN_DOCUMENTS]
+
+
+def train(texts: list[str], labels: np.ndarray, share: float, seed: int = SEED, steps: int = STEPS) -> Network:
+    """A network that tells label 1 from 0; ``share`` is that of label 1 among
+    all labels. A fixed number of steps, so that the time does not depend on
+    the size of the sample."""
+    rng = np.random.default_rng(seed)
     table, numbers, bounds = _tokens(pa.array(texts, pa.string()))
+    net = Network(_vocabulary(table, numbers, bounds), seed)
+    table = net.rows(table)
     windows, doc = _windows(numbers, bounds)
     begin = np.searchsorted(doc, np.arange(len(texts) + 1))
     fit = rng.random(len(texts)) >= 0.2
@@ -199,16 +220,17 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, steps: int = S
             used, local = np.concatenate([[0], used]), local + 1
         local = local.reshape(len(rows), WINDOW)
         features = table[used].copy()
-        features[rng.random(len(used)) < 0.3, 0] = -1           # word left out: characters must do
+        features[rng.random(len(used)) < 0.15, 0] = -1          # word left out: characters must do
+        features[rng.random(len(used)) < 0.4] = -1              # token left out: others must do
         features[0] = -1
         inputs = net.inputs(features)
         logit, state = net.forward(net.gates(inputs), local, keep=True)
         starts = np.searchsorted(owner, np.arange(len(docs)))
         top = np.maximum.reduceat(logit, starts)
-        share = np.exp(logit - top[owner])
-        total = np.add.reduceat(share, starts)
+        pull = np.exp(logit - top[owner])
+        total = np.add.reduceat(pull, starts)
         d_doc = (_sigmoid(top + np.log(total)) - target) / len(docs)
-        grads, d_inputs = net.backward((d_doc[owner] * share / total[owner]).astype(np.float32), local, inputs, state)
+        grads, d_inputs = net.backward((d_doc[owner] * pull / total[owner]).astype(np.float32), local, inputs, state)
         rate = 0.01 * min(1.0, (steps - step) / (0.4 * steps))
         for k, grad in grads.items():
             grad = np.clip(grad, -1, 1)
@@ -227,22 +249,33 @@ def train(texts: list[str], labels: np.ndarray, seed: int = SEED, steps: int = S
         squares[rows_used] += (grad * grad).mean(axis=1)
         net.embedding[rows_used] -= 5 * rate * grad / np.sqrt(squares[rows_used])[:, None]
     held = np.flatnonzero(~fit) if (~fit).sum() >= 40 and 0 < labels[~fit].mean() < 1 else np.arange(len(texts))
-    net.scale, net.shift = _logistic(net.document_logits(pa.array([texts[i] for i in held], pa.string())), labels[held])
+    net.scale, net.shift = _logistic(net.document_logits(pa.array([texts[i] for i in held], pa.string())),
+                                     labels[held], share)
     return net
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a ridge-regularised logistic fit with equal weight of both classes."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
+    """Scale of a ridge-regularised logistic fit in which label 1 weighs
+    ``share`` of all, and the shift that puts one half where errors are fewest."""
     x, y = x.astype(np.float64), y.astype(np.float64)
     centre, spread = float(np.median(x)), float(x.std()) or 1.0
     u, beta = np.stack([(x - centre) / spread, np.ones(len(x))], axis=1), np.zeros(2)
-    w = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    w = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     for _ in range(50):
         p = _sigmoid(u @ beta)
         grad = u.T @ (w * (p - y)) + 0.05 * beta
         hess = (u * (w * p * (1 - p))[:, None]).T @ u + 0.05 * np.eye(2)
         beta -= np.linalg.solve(hess, grad)
-    return float(beta[0] / spread), float(beta[1] - beta[0] * centre / spread)
+    scale = max(float(beta[0] / spread), 1e-6)
+    # one half lies in the middle of the gap with the fewest weighted errors
+    order = np.argsort(x, kind="stable")
+    wrong = np.cumsum(np.where(y == 1, w, -w)[order])           # errors, less a constant, if all up to here count as 0
+    cuts = np.flatnonzero(x[order][1:] > x[order][:-1])
+    if not len(cuts) or y.sum() < LEAST_POSITIVES:
+        return scale, float(beta[1] - beta[0] * centre / spread)
+    least = cuts[wrong[cuts] <= wrong[cuts].min() + 1e-9]
+    k = least[np.argmax(x[order][least + 1] - x[order][least])]
+    return scale, -scale * float(x[order][k] + x[order][k + 1]) / 2
 
 
 def held_out(doc_id="doc_id"):
@@ -250,24 +283,26 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[list[str], np.ndarray]:
-    """The bounded learning sample: texts and labels."""
+def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[list[str], np.ndarray, float]:
+    """The bounded learning sample: texts and labels; the share of label 1
+    among all labels of the learning folds."""
     known = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
              .filter("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
              .filter(~held_out("id")))
+    share = known.agg(F.avg("y")).first()[0] or 0.0
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for y in (0, 1)]
     chosen = parts[0].union(parts[1])                                   # at most 2 * SAMPLE rows
     found = (C.id_text(docs).filter(F.length("text") <= SAMPLE_CHARS)
              .join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "y", "text").collect())
     rows = sorted({(r.id, r.y, r.text) for r in found})
-    return [r[2] for r in rows], np.array([r[1] for r in rows], np.int64)
+    return [r[2] for r in rows], np.array([r[1] for r in rows], np.int64), share
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    texts, y = sample(docs, labels, label_col)
+    texts, y, share = sample(docs, labels, label_col)
     if 0 < y.sum() < len(y):
-        net, constant = train(texts, y), None
+        net, constant = train(texts, y, share), None
     else:
         net, constant = None, float((y.sum() + 1) / (len(y) + 2))
 
@@ -278,3 +313,17 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
 
     return (C.id_text(docs).mapInArrow(run, "doc_id long, score double")
             .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    texts, y, share = sample(docs, labels, label_col)
+    if not 0 < y.sum() < len(y):
+        return docs
+    net = train(texts, y, share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in C.text_slices(batches, text_col, 2 << 20):
+            yield part.filter(pa.array(net.scores(part.column(text_col)) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
