@@ -240,14 +240,23 @@ def with_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                            F.xxhash64(F.lit("no id"), F.col(text_col).cast("string")))), key
 
 
+def likely_among(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is among ``ids`` (one column), and a few others:
+    those that a broadcast bitmap lets through. Nothing is shuffled."""
+    word, bits = unused_name(rows, "map_word"), unused_name(rows, "map_bits")
+    bitmap = id_bitmap(ids, ids.columns[0]).withColumnsRenamed({"map_word": word, "map_bits": bits})
+    return (rows.join(F.broadcast(bitmap), _map_word(key) == F.col(word))
+            .filter(F.col(bits).bitwiseAND(_map_bit(key)) != 0).select(*rows.columns))
+
+
 def without_ids(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose ``key`` is among the ids ``gone`` (one
-    column). Only rows that a broadcast bitmap can't clear are shuffled."""
-    column = gone.columns[0]
+    column). Only rows that a broadcast bitmap can't clear are shuffled; they
+    are stored first, else the optimizer would move the exact join before it."""
     word, bits = unused_name(docs, "map_word"), unused_name(docs, "map_bits")
-    bitmap = id_bitmap(gone, column).withColumnsRenamed({"map_word": word, "map_bits": bits})
+    bitmap = id_bitmap(gone, gone.columns[0]).withColumnsRenamed({"map_word": word, "map_bits": bits})
     marked = docs.join(F.broadcast(bitmap), _map_word(key) == F.col(word), "left")
-    hit = F.coalesce(F.col(bits).bitwiseAND(_map_bit(key)) != 0, F.lit(False))
-    ids = gone.select(F.col(column).alias(unused_name(docs, "gone_id"))).distinct()
-    exact = marked.filter(hit).select(*docs.columns).join(ids, F.col(key) == F.col(ids.columns[0]), "left_anti")
-    return marked.filter(~hit).select(*docs.columns).union(exact)
+    clear = marked.filter(F.col(bits).isNull() | (F.col(bits).bitwiseAND(_map_bit(key)) == 0)).select(*docs.columns)
+    ids = gone.select(F.col(gone.columns[0]).alias(unused_name(docs, "gone_id"))).distinct()
+    doubtful = stored(likely_among(docs, key, gone), "doubtful")
+    return clear.union(doubtful.join(ids, F.col(key) == F.col(ids.columns[0]), "left_anti").select(*docs.columns))

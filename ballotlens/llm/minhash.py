@@ -44,7 +44,6 @@ PERMUTATIONS = BANDS * ROWS // 2
 SKETCH_PERMUTATIONS = 512
 SKETCH_AGREE = 0.79
 BLOCK = 256             # rows of a bucket compared with as many others in one task
-MAP_WORDS = 1 << 18     # words of 64 bits in the bitmap of candidate ids
 SALTS = 32              # parts into which the members of one centre are dealt
 LINK_NUM, LINK_DEN = 85, 100
 _U = np.uint64
@@ -187,18 +186,6 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["da", "db"])
 
 
-def _among(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts whose doc_id is wanted. A bitmap of hashed ids, at most MAP_WORDS
-    rows whatever the data, is broadcast so that few other texts are shuffled
-    for the exact join."""
-    word = lambda c: F.pmod(F.xxhash64(c), F.lit(MAP_WORDS))
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(c), F.lit(64)).cast("int"))
-    bitmap = wanted.groupBy(word("wanted_id").alias("map_word")).agg(F.bit_or(bit("wanted_id")).alias("map_bits"))
-    likely = (texts.join(F.broadcast(bitmap), word("doc_id") == F.col("map_word"))
-              .filter(F.col("map_bits").bitwiseAND(bit("doc_id")) != 0).select("doc_id", "text"))
-    return likely.join(wanted, likely.doc_id == F.col("wanted_id"), "left_semi")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     num: int = LINK_NUM, den: int = LINK_DEN) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept. Texts are
@@ -221,8 +208,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = C.stored(posted.join(shared, "bucket").select("bucket", "band", "size", "rep", "digest",
                                                             F.col("centre.digest").alias("centre")), "minhash-buckets")
     wanted = members.select("digest", F.col("rep").alias("wanted_id")).distinct()
+    # texts that the bitmap lets through, nearly all of them wanted; the join on digests is exact
     candidates = C.stored(
-        _among(texts, wanted.select("wanted_id").distinct())
+        C.likely_among(texts, "doc_id", wanted.select("wanted_id"))
         .mapInArrow(_candidates, "digest binary, members binary, sketch binary")
         .join(wanted.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]), "minhash-candidates")
     ids = wanted.select("digest", F.col("wanted_id").alias("rep"))
