@@ -30,8 +30,7 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def asof_latest(snapshots: DataFrame, events: DataFrame, key: str, epoch: str,
-                order: Sequence[str], value: str, out: str | None = None,
-                null_salt: int = 1024) -> DataFrame:
+                order: Sequence[str], value: str, out: str | None = None) -> DataFrame:
     """Attach to every snapshot row the ``value`` of the latest event (by
     ``order``) of the same ``key`` with ``events.epoch <= snapshots.epoch``.
 
@@ -42,28 +41,26 @@ def asof_latest(snapshots: DataFrame, events: DataFrame, key: str, epoch: str,
     A key holds at most one snapshot row per epoch plus its own events, so no
     window group grows with the data volume.
 
-    Snapshot rows with a NULL key match nothing; instead of forming one giant
-    NULL group they are spread over ``null_salt`` synthetic groups (a separate
-    ``is_null`` partition field keeps them apart from real keys) that hold no
-    events, so their value is NULL.
+    Events with a NULL key or epoch match nothing. Snapshot rows with a NULL
+    key have the value NULL and go round the window.
     """
     out = out or value
     snap_cols = snapshots.columns
     ev_struct = F.struct(*[F.col(o) for o in order], F.col(value).alias("__v"))
-    ev = events.filter(F.col(key).isNotNull()).select(F.col(key), F.col(epoch), ev_struct.alias("__ev"))
-    typed_null_ev = F.lit(None).cast(ev.schema["__ev"].dataType)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in snap_cols]), F.lit(null_salt)).cast("string")
-    snap_side = snapshots.select(
-        *[F.col(c) for c in snap_cols], typed_null_ev.alias("__ev"), F.lit(True).alias("__snap"),
-        F.col(key).isNull().alias("__nk"), F.coalesce(F.col(key).cast("string"), salt).alias("__wk"))
+    ev = (events.filter(F.col(key).isNotNull() & F.col(epoch).isNotNull())
+          .select(F.col(key), F.col(epoch), ev_struct.alias("__ev")))
+    ev_type = ev.schema["__ev"].dataType
+    snap_side = snapshots.filter(F.col(key).isNotNull()).select(
+        *[F.col(c) for c in snap_cols], F.lit(None).cast(ev_type).alias("__ev"), F.lit(True).alias("__snap"))
     ev_side = ev.select(*[(F.col(c) if c in (key, epoch) else
                            F.lit(None).cast(snapshots.schema[c].dataType)).alias(c)
-                          for c in snap_cols],
-                        F.col("__ev"), F.lit(False).alias("__snap"),
-                        F.lit(False).alias("__nk"), F.col(key).cast("string").alias("__wk"))
-    w = (Window.partitionBy("__nk", "__wk").orderBy(F.col(epoch))
+                          for c in snap_cols], F.col("__ev"), F.lit(False).alias("__snap"))
+    w = (Window.partitionBy(key).orderBy(F.col(epoch))
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return (snap_side.unionByName(ev_side)
-            .withColumn("__best", F.max("__ev").over(w))
-            .filter(F.col("__snap"))
-            .select(*snap_cols, F.col("__best.__v").alias(out)))
+    found = (snap_side.unionByName(ev_side)
+             .withColumn("__best", F.max("__ev").over(w))
+             .filter(F.col("__snap"))
+             .select(*snap_cols, F.col("__best.__v").alias(out)))
+    keyless = snapshots.filter(F.col(key).isNull()).select(
+        *snap_cols, F.lit(None).cast(events.schema[value].dataType).alias(out))
+    return found.unionByName(keyless)

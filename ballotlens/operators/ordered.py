@@ -1,144 +1,97 @@
-"""Ordered window operators that do not gather a hot key into one task.
-
-``lag(x) OVER (PARTITION BY key ORDER BY o)`` and ranks within a key put
-every row of a key in one task. When one key (an exchange address, a whole
-epoch) holds a large share of the rows, that task becomes the job.
-
-The operators here split such keys into contiguous *chunks* of the order
-column and stitch the chunk edges back together:
-
-1. ``count`` per key (partial aggregation, one bounded action) finds keys
-   above ``chunk_rows``; with none, the operator is a plain window;
-2. for those keys only, ``percentile_approx`` of the order column (a
-   mergeable sketch, also partially aggregated) gives chunk boundaries, thinned
-   so each chunk holds about ``chunk_rows`` rows;
-3. each row gets ``chunk = #boundaries < order value`` (equal order values
-   always share a chunk), and the window runs per ``(key, chunk)``;
-4. a per-chunk summary (one row per chunk of a heavy key) carries the values
-   across chunk edges: the previous chunk's last row for ``lag``, the running
-   count / sum of earlier chunks for ranks and running sums.
-
-Broadcast sides are the heavy-key boundary table and the chunk summaries,
-both bounded by ``rows / chunk_rows + #heavy keys``. Keys below the threshold
-take the plain window path (chunk 0), so the exact result never depends on
-the chunking.
+"""Ordered operators that do not gather a hot key into one task.
+
+``lag(x) OVER (PARTITION BY key ORDER BY o)`` and running sums within a key put
+every row of a key in one task. Here a key is always cut into *ranges* of its
+order column by a fixed rule (a span of slots, or leading digits of a value),
+the window runs per ``(key, range)``, and a summary with one row per range
+carries the rest across: the last row before the range for ``lag``, counts and
+sums of smaller values for running totals. There is one path for every size:
+no count decides anything, no Spark job runs while a plan is built, keys and
+order values may be NULL, and joins are left to AQE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_ROWS = 4_000_000
-DEFAULT_MAX_CHUNKS = 512
-DEFAULT_MAX_HEAVY = 10_000
+SLOT_SPAN = 432_000         # slots of an epoch: bounds the events of a key in one range
 
-CHUNK = "__chunk"
+RANGE = "__range"
 
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def assign_chunks(df: DataFrame, keys, order_col: str, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                  max_chunks: int = DEFAULT_MAX_CHUNKS, max_heavy: int = DEFAULT_MAX_HEAVY) -> DataFrame:
-    """``df`` plus ``__chunk`` (int; 0 for ordinary keys) and ``__heavy``
-    (bool): contiguous ranges of ``order_col`` holding about ``chunk_rows``
-    rows of a heavy key each. NULL order values sort last (last chunk).
+def _null_last(order: Sequence[str]) -> list[Column]:
+    """Order fields of ``order`` ascending, NULLs last; as a struct they rank
+    rows in the same way as a window does that orders by them."""
+    return [c for o in order for c in (F.col(o).isNull(), F.col(o))]
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` where NULL equals NULL; ``right``'s keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, same, "left").drop(*[f"__r_{k}" for k in keys])
 
-    Heavy keys are found with one bounded action (at most ``max_heavy`` keys
-    come back; a heavy key beyond that cap simply stays unsplit, which is
-    still exact). With no heavy key the chunk columns are literals and the
-    extra branches of the callers fold away to a plain window."""
-    keys = _list(keys)
-    spark = df.sparkSession
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    found = counts.filter(F.col("__n") > chunk_rows).limit(max_heavy).collect()
-    if not found:
-        return df.withColumn("__heavy", F.lit(False)).withColumn(CHUNK, F.lit(0))
-    heavy = spark.createDataFrame(found, counts.schema)          # local, <= max_heavy rows
-    grid = [i / max_chunks for i in range(1, max_chunks)]
-    sketch = (df.join(F.broadcast(heavy.select(*keys)), keys, "left_semi")
-                .groupBy(*keys)
-                .agg(F.percentile_approx(F.col(order_col).cast("double"), grid, 10000).alias("__q"))
-                .join(F.broadcast(heavy), keys, "inner"))
-    # keep every step-th boundary so a key of n rows gets ~n / chunk_rows chunks
-    parts = F.least(F.lit(max_chunks), F.ceil(F.col("__n") / F.lit(chunk_rows))).cast("int")
-    step = F.ceil(F.lit(max_chunks) / parts).cast("int")
-    bounds = sketch.select(
-        *keys,
-        F.array_distinct(F.filter("__q", lambda q, i: (i + 1) % step == 0)).alias("__b"))
-    v = F.col(order_col).cast("double")
-    chunk = F.when(v.isNull(), F.size("__b")).otherwise(F.size(F.filter("__b", lambda b: b < v)))
-    # bounds: <= max_heavy keys x max_chunks doubles -> broadcast
-    return (df.join(F.broadcast(bounds), keys, "left")
-              .withColumn("__heavy", F.col("__b").isNotNull())
-              .withColumn(CHUNK, F.when(F.col("__heavy"), chunk).otherwise(F.lit(0)).cast("int"))
-              .drop("__b"))
-
-
-def _order_cols(order: list[str]) -> list[Column]:
-    return [F.col(o).asc_nulls_last() for o in order]
+
+def value_range(value: Column) -> Column:
+    """Range number of a whole number: sign, digit count, first three digits.
+    Monotone in the value; at most 900 ranges per power of ten."""
+    digits = F.abs(value.cast("decimal(38,0)")).cast("string")
+    size = F.length(digits) * 1000 + F.substring(F.rpad(digits, 3, "0"), 1, 3).cast("int")
+    return F.when(value.isNotNull(), F.when(value < 0, -size).otherwise(size))
 
 
 def lag_within(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str], prefix: str = "prev_",
-               chunk_rows: int = DEFAULT_CHUNK_ROWS, max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
+               span: int = SLOT_SPAN) -> DataFrame:
     """``df`` plus ``prev_<c> = lag(c) OVER (PARTITION BY keys ORDER BY order)``
     (ascending, NULLs last) for each ``c`` in ``cols``. ``order`` must be a
-    total order within a key; its first column drives the chunking."""
+    total order within a key; its first column, a number, is cut into ranges
+    of ``span``."""
     keys, order, cols = _list(keys), _list(order), _list(cols)
-    x = assign_chunks(df, keys, order[0], chunk_rows, max_chunks)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
-    x = x.withColumn("__rn", F.row_number().over(w))
-    for c in cols:
-        x = x.withColumn(prefix + c, F.lag(c).over(w))
-    # last row of each chunk of a heavy key, carried to its next non-empty chunk
-    rank = F.struct(*[F.when(F.col(o).isNull(), 1).otherwise(0) for o in order[:1]],
-                    *[F.col(o) for o in order])
-    last = (x.filter("__heavy").groupBy(*keys, CHUNK)
-             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("__last")))
-    carry = (last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(*keys).orderBy(CHUNK)))
-                 .filter(F.col("__carry").isNotNull())
-                 .select(*keys, CHUNK, "__carry"))
-    out = x.join(F.broadcast(carry), [*keys, CHUNK], "left")
-    first = (F.col("__rn") == 1) & F.col("__carry").isNotNull()
-    for c in cols:
-        out = out.withColumn(prefix + c, F.when(first, F.col(f"__carry.{c}")).otherwise(F.col(prefix + c)))
-    return out.drop("__rn", "__carry", CHUNK, "__heavy")
-
-
-def rank_within(df: DataFrame, keys, order: Sequence[str], value: str | None = None,
-                chunk_rows: int = DEFAULT_CHUNK_ROWS, max_chunks: int = DEFAULT_MAX_CHUNKS) -> DataFrame:
-    """``df`` plus
-
-    * ``row_idx``  = ``row_number() OVER (PARTITION BY keys ORDER BY order)``
-    * ``peer_sum`` = ``sum(value) OVER (... ORDER BY order[0] RANGE UNBOUNDED
-      PRECEDING)`` (ties on ``order[0]`` share the sum), when ``value`` is given.
-    Ascending, NULLs last.
-    """
-    keys, order = _list(keys), _list(order)
-    x = assign_chunks(df, keys, order[0], chunk_rows, max_chunks)
-    w_rows = Window.partitionBy(*keys, CHUNK).orderBy(*_order_cols(order))
-    x = x.withColumn("__local_rn", F.row_number().over(w_rows))
-    aggs = [F.count(F.lit(1)).alias("__cnt")]
-    if value is not None:
-        w_range = (Window.partitionBy(*keys, CHUNK).orderBy(F.col(order[0]).asc_nulls_last())
-                   .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-        x = x.withColumn("__local_sum", F.sum(value).over(w_range))
-        aggs.append(F.sum(value).alias("__sum"))
-    per_chunk = x.filter("__heavy").groupBy(*keys, CHUNK).agg(*aggs)
-    w_before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.select(
-        *keys, CHUNK,
-        F.coalesce(F.sum("__cnt").over(w_before), F.lit(0)).alias("__off_n"),
-        *([F.sum("__sum").over(w_before).alias("__off_s")] if value is not None else []))
-    out = x.join(F.broadcast(offsets), [*keys, CHUNK], "left")
-    out = out.withColumn("row_idx", F.col("__local_rn") + F.coalesce(F.col("__off_n"), F.lit(0)))
-    drop = ["__local_rn", "__off_n", CHUNK, "__heavy"]
-    if value is not None:
-        out = out.withColumn("peer_sum", F.when(F.col("__off_s").isNull(), F.col("__local_sum"))
-                             .otherwise(F.col("__local_sum") + F.col("__off_s")))
-        drop += ["__local_sum", "__off_s"]
-    return out.drop(*drop)
+    x = df.withColumn(RANGE, F.floor(F.col(order[0]) / F.lit(span)))
+    kept = F.struct(*[F.col(c) for c in cols])
+    inside = Window.partitionBy(*keys, RANGE).orderBy(*_null_last(order))
+    x = x.withColumn("__prev", F.lag(kept).over(inside))
+    last = x.groupBy(*keys, RANGE).agg(F.max_by(kept, F.struct(*_null_last(order))).alias("__last"))
+    ranges = Window.partitionBy(*keys).orderBy(*_null_last([RANGE]))
+    carry = last.select(*keys, RANGE, F.lag("__last").over(ranges).alias("__carry"))
+    out = _join_null_safe(x, carry, [*keys, RANGE])
+    prev = F.coalesce("__prev", "__carry")              # __prev is NULL on the first row of a range only
+    return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])
+
+
+def cumulative_histogram(df: DataFrame, keys, value: str) -> DataFrame:
+    """One row per ``keys`` and distinct ``value`` (a whole number, NULLs last):
+
+    * ``n``: rows with that value, ``n_before``: rows with a smaller one;
+    * ``sum_before``: exact sum of the smaller values, row by row;
+    * ``n_all``, ``sum_all``: the same over the whole key.
+
+    Tied rows are one row after the partial aggregation, so ranks, running
+    sums and quantiles over ties need no window over them."""
+    keys = _list(keys)
+    hist = (df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+            .withColumn(RANGE, value_range(F.col(value))))
+    amount = F.coalesce(F.col(value).cast("decimal(38,0)") * F.col("n"), F.lit(0)).cast("decimal(38,0)")
+    hist = hist.withColumn("__s", amount)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    smaller = (Window.partitionBy(*keys).orderBy(*_null_last([RANGE]))
+               .rowsBetween(Window.unboundedPreceding, -1))
+    whole = Window.partitionBy(*keys)
+    ranges = (hist.groupBy(*keys, RANGE).agg(F.sum("n").alias("__n"), F.sum("__s").alias("__t"))
+              .select(*keys, RANGE, zero(F.sum("__n").over(smaller)).alias("__n0"), zero(F.sum("__t").over(smaller)).alias("__s0"),
+                      F.sum("__n").over(whole).alias("n_all"), F.sum("__t").over(whole).alias("sum_all")))
+    inside = (Window.partitionBy(*keys, RANGE).orderBy(*_null_last([value]))
+              .rowsBetween(Window.unboundedPreceding, -1))
+    local = hist.select("*", zero(F.sum("n").over(inside)).alias("__n1"), zero(F.sum("__s").over(inside)).alias("__s1"))
+    return _join_null_safe(local, ranges, [*keys, RANGE]).select(
+        *keys, value, "n", (F.col("__n0") + F.col("__n1")).alias("n_before"),
+        (F.col("__s0") + F.col("__s1")).cast("decimal(38,0)").alias("sum_before"), "n_all",
+        F.col("sum_all").cast("decimal(38,0)").alias("sum_all"))

@@ -77,14 +77,15 @@ DS1_TABLES = ["drep_dist", "drep", "drep_registration", "voting_procedure"]
 
 # ------------------------------------------------------------------ DS2 ---
 
+# owners: unnested from the pool's newest certificate; stance: the newest default delegation of a credential
 _DS2_CTES = [
-    """owner_rows as (
-  select pool_id, unnest(cast(pool_owners as varchar[])) as cred
-  from (select pool_id, pool_owners from g_pool_registration
-        qualify row_number() over (partition by pool_id order by slot desc, tx_index desc, cert_index desc) = 1) r)""",
-    """default_deleg as (
-  select credential, drep_type from g_delegation_vote where drep_type in ('ABSTAIN', 'NO_CONFIDENCE')
-  qualify row_number() over (partition by credential order by slot desc, tx_index desc, cert_index desc) = 1)""",
+    """owner_of as (
+  select k.pool_id, unnest(cast((select c.pool_owners from g_pool_registration c where c.pool_id = k.pool_id
+      order by c.slot desc, c.tx_index desc, c.cert_index desc limit 1) as varchar[])) as who
+  from (select distinct pool_id from g_pool_registration) k)""",
+    """stance_of as (
+  select credential as who, max(struct_pack(a := slot, b := tx_index, c := cert_index, stance := drep_type)).stance as stance
+  from g_delegation_vote where drep_type in ('ABSTAIN', 'NO_CONFIDENCE') group by credential)""",
 ]
 
 
@@ -98,22 +99,30 @@ _DS2_BODY = f"""select cast(p.epoch as int) as epoch, p.pool_id, p.status, p.amo
   {_spo_votes("count(*) filter (where v.vote = 'YES')")} as votes_yes,
   {_spo_votes("count(*) filter (where v.vote = 'NO')")} as votes_no,
   {_spo_votes("count(*) filter (where v.vote = 'ABSTAIN')")} as votes_abstain,
-  (select min(d.drep_type) from owner_rows o join default_deleg d on d.credential = o.cred
-    where o.pool_id = p.pool_id) as default_stance
+  (select min(stance) from stance_of where who in (select o.who from owner_of o where o.pool_id = p.pool_id))
+    as default_stance
 from g_pool p
 where p.epoch in (select epoch from tgt)"""
 DS2_TABLES = ["pool", "voting_procedure", "pool_registration", "delegation_vote"]
 
 # ------------------------------------------------------------------ DS3 ---
 
-_DS3_BODY = f"""select v.gov_action_tx_hash, cast(v.gov_action_index as int) as gov_action_index,
-  g.type as action_type, cast(g.epoch as int) as action_epoch,
-  {_epoch_secs('g.block_time')} as action_block_time, v.voter_type, v.voter_hash, v.vote,
-  v.anchor_url is not null as has_rationale, cast(v.epoch as int) as vote_epoch,
-  {_epoch_secs('v.block_time')} as vote_block_time, v.slot as vote_slot
-from g_voting_procedure v
-join g_gov_action_proposal g on g.tx_hash = v.gov_action_tx_hash and g.idx = v.gov_action_index
-where v.epoch in (select epoch from tgt)"""
+def _ballots(name: str, where: str) -> str:
+    """All votes of an action as one list; actions then unnest theirs."""
+    return f"""{name} as (
+  select gov_action_tx_hash as of_hash, gov_action_index as of_index,
+    list(struct_pack(kind := voter_type, who := voter_hash, said := vote, why := anchor_url, in_epoch := epoch,
+                     at_time := block_time, at_slot := slot)) as cast_votes
+  from g_voting_procedure where {where} and epoch in (select epoch from tgt) group by all)"""
+
+
+_DS3_CTES = [_ballots("ballots", "true")]
+_DS3_BODY = f"""select tx_hash as gov_action_tx_hash, cast(idx as int) as gov_action_index, type as action_type,
+  cast(epoch as int) as action_epoch, {_epoch_secs('block_time')} as action_block_time,
+  b.kind as voter_type, b.who as voter_hash, b.said as vote, b.why is not null as has_rationale,
+  cast(b.in_epoch as int) as vote_epoch, {_epoch_secs('b.at_time')} as vote_block_time, b.at_slot as vote_slot
+from (select *, unnest((select cast_votes from ballots where of_hash = tx_hash and of_index = idx)) as b
+      from g_gov_action_proposal)"""
 DS3_TABLES = ["voting_procedure", "gov_action_proposal"]
 
 # ------------------------------------------------------------------ DS4 ---
@@ -130,22 +139,25 @@ def _stats_cols(src: str) -> str:
     return ",\n  ".join(cols)
 
 
+# every action looks up its newest status row as one struct; the rule is then a filter on that struct
 _DS4_CTES = [
-    """latest_st as (
-  select gov_action_tx_hash, gov_action_index, status, voting_stats, epoch as st_epoch
-  from g_gov_action_proposal_status
-  qualify row_number() over (partition by gov_action_tx_hash, gov_action_index order by epoch desc) = 1)""",
+    """decided as (
+  select a.*, (select struct_pack(state := z.status, stats := z.voting_stats, since := z.epoch)
+               from g_gov_action_proposal_status z
+               where z.gov_action_tx_hash = a.tx_hash and z.gov_action_index = a.idx
+               order by z.epoch desc, z.status desc nulls last, z.voting_stats desc nulls last limit 1) as now
+  from g_gov_action_proposal a)""",
+    f"""closed as (
+  select *, case when now.state in ({TERMINAL}) then now.since end as closed_in, now.stats as stats from decided)""",
 ]
-_RESOLVED = f"case when r.status in ({TERMINAL}) then r.st_epoch end"
-_DS4_BODY = f"""select g.tx_hash as gov_action_tx_hash, cast(g.idx as int) as gov_action_index, g.type,
-  g.deposit, g.return_address, g.anchor_url, cast(g.epoch as int) as epoch_proposed,
-  {_epoch_secs('g.block_time')} as block_time_proposed, r.status,
-  cast({_RESOLVED} as int) as epoch_resolved,
-  {_stats_cols('r.voting_stats')},
-  cast(coalesce({_RESOLVED}, g.epoch) as int) as epoch
-from g_gov_action_proposal g
-left join latest_st r on r.gov_action_tx_hash = g.tx_hash and r.gov_action_index = g.idx
-where g.epoch in (select epoch from tgt) or r.status is null or r.status not in ({TERMINAL})"""
+_DS4_BODY = f"""select tx_hash as gov_action_tx_hash, cast(idx as int) as gov_action_index, type,
+  deposit, return_address, anchor_url, cast(epoch as int) as epoch_proposed,
+  {_epoch_secs('block_time')} as block_time_proposed, now.state as status,
+  cast(closed_in as int) as epoch_resolved,
+  {_stats_cols('stats')},
+  cast(coalesce(closed_in, closed.epoch) as int) as epoch
+from closed
+where now.state is null or not now.state in ({TERMINAL}) or exists (select 1 from tgt where tgt.epoch = closed.epoch)"""
 DS4_TABLES = ["gov_action_proposal", "gov_action_proposal_status"]
 
 # ------------------------------------------------------------------ DS5 ---
@@ -200,18 +212,17 @@ from g_delegation_vote where epoch in (select epoch from tgt)"""
 
 # ------------------------------------------------------------------ DS7 ---
 
-_DS7_CTES: list[str] = []
-_DS7_BODY = f"""select v.gov_action_tx_hash, cast(v.gov_action_index as int) as gov_action_index,
-  g.type as action_type, cast(g.epoch as int) as action_epoch, v.voter_hash,
-  (select c.cold_key from g_committee_registration c where c.hot_key = v.voter_hash
-    order by c.slot desc, c.tx_index desc, c.cert_index desc limit 1) as cold_key,
-  v.vote, cast(v.epoch as int) as vote_epoch, {_epoch_secs('v.block_time')} as vote_block_time,
-  {_epoch_secs('g.block_time')} as action_block_time,
-  cast(epoch(v.block_time) - epoch(g.block_time) as bigint) as time_to_vote_seconds,
-  cast(v.epoch as int) as epoch
-from g_voting_procedure v
-join g_gov_action_proposal g on g.tx_hash = v.gov_action_tx_hash and g.idx = v.gov_action_index
-where v.voter_type in ({CC_VT}) and v.epoch in (select epoch from tgt)"""
+_DS7_CTES = [_ballots("cc_ballots", f"voter_type in ({CC_VT})")]
+_DS7_BODY = f"""select tx_hash as gov_action_tx_hash, cast(idx as int) as gov_action_index, type as action_type,
+  cast(epoch as int) as action_epoch, b.who as voter_hash,
+  (select max(struct_pack(x := c.slot, y := c.tx_index, z := c.cert_index, cold := c.cold_key)).cold
+    from g_committee_registration c where c.hot_key = b.who) as cold_key,
+  b.said as vote, cast(b.in_epoch as int) as vote_epoch, {_epoch_secs('b.at_time')} as vote_block_time,
+  {_epoch_secs('block_time')} as action_block_time,
+  cast(date_diff('second', block_time, b.at_time) as bigint) as time_to_vote_seconds,
+  cast(b.in_epoch as int) as epoch
+from (select *, unnest((select cast_votes from cc_ballots where of_hash = tx_hash and of_index = idx)) as b
+      from g_gov_action_proposal)"""
 DS7_TABLES = ["voting_procedure", "gov_action_proposal", "committee_registration"]
 
 # ------------------------------------------------------------------ DS8 ---
@@ -238,7 +249,7 @@ from g_epoch_param where epoch in (select epoch from tgt)"""
 BUNDLES = {
     "drep_epoch_stats": (DS1_TABLES, _DS1_CTES, _DS1_BODY),
     "pool_epoch_stats": (DS2_TABLES, _DS2_CTES, _DS2_BODY),
-    "gov_action_votes": (DS3_TABLES, [], _DS3_BODY),
+    "gov_action_votes": (DS3_TABLES, _DS3_CTES, _DS3_BODY),
     "gov_action_lifecycle": (DS4_TABLES, _DS4_CTES, _DS4_BODY),
     "epoch_summary": (DS5_TABLES, _DS5_CTES, _DS5_BODY),
     "delegation_events": (["delegation_vote"], [], _DS6_BODY),
@@ -264,7 +275,7 @@ def over_datasets(names, body: str, tables=(), ctes=()) -> str:
 DATASETS = {
     "ds1_drep_epoch_stats": _ds(DS1_TABLES, _DS1_CTES, _DS1_BODY),
     "ds2_pool_epoch_stats": _ds(DS2_TABLES, _DS2_CTES, _DS2_BODY),
-    "ds3_gov_action_votes": _ds(DS3_TABLES, [], _DS3_BODY),
+    "ds3_gov_action_votes": _ds(DS3_TABLES, _DS3_CTES, _DS3_BODY),
     "ds4_gov_action_lifecycle": _ds(DS4_TABLES, _DS4_CTES, _DS4_BODY),
     "ds5_epoch_summary": _ds(DS5_TABLES, _DS5_CTES, _DS5_BODY),
     "ds6_delegation_events": _ds(["delegation_vote"], [], _DS6_BODY),
@@ -276,8 +287,11 @@ SUBOPS = {
     "ds1a_asof_status": _ds(DS1_TABLES, _DS1_CTES, f"""select dd1.drep_hash, cast(dd1.epoch as int) as epoch,
   dd1.drep_id, {_ASOF_STATUS} as status
 from dd1"""),
-    "ds2e_default_stance": _ds(DS2_TABLES, _DS2_CTES, """select o.pool_id, min(d.drep_type) as default_stance
-from owner_rows o join default_deleg d on d.credential = o.cred group by o.pool_id"""),
+    "ds2e_default_stance": _ds(DS2_TABLES, _DS2_CTES, """select pool_id, default_stance from (
+  select k.pool_id, (select min(stance) from stance_of where who in
+                       (select o.who from owner_of o where o.pool_id = k.pool_id)) as default_stance
+  from (select distinct pool_id from owner_of) k)
+where default_stance is not null"""),
     "ds4c_voting_stats": _with(["gov_action_proposal_status"], body=f"""select gov_action_tx_hash,
   cast(gov_action_index as int) as gov_action_index, cast(epoch as int) as epoch, status,
   {_stats_cols('voting_stats')}
@@ -301,6 +315,8 @@ SINKS = {
     "stream_delegation_events": _with(["delegation_vote"], body=f"""select address, drep_hash, drep_id, drep_type,
   credential, cast(epoch as int) as epoch, slot, {_epoch_secs('block_time')} as block_time
 from g_delegation_vote"""),
+    "stream_epoch_summary_refreshed": DATASETS["ds5_epoch_summary"],
+    "stream_lifecycle_refreshed": DATASETS["ds4_gov_action_lifecycle"],
     "src1_exports_catalog": DATASETS["ds1_drep_epoch_stats"],
     "snk1_drep_epoch_stats_written": DATASETS["ds1_drep_epoch_stats"],
     "snk3_epoch_summary_incremental": DATASETS["ds5_epoch_summary"],
@@ -308,6 +324,11 @@ from g_delegation_vote"""),
 }
 
 
+_COUNTS = over_datasets(list(BUNDLES), " union all ".join(
+    f"select '{n}' as dataset, count(*) as rows from ds_{n}" for n in BUNDLES))
+SINKS["snk6_all_incremental"] = SINKS["snk6_all_full"] = _COUNTS
+
+
 def all_sql() -> dict[str, str]:
     from ballotlens.oracle_kpis import KPIS
     return {**META, **DATASETS, **SUBOPS, **KPIS, **SINKS}

@@ -12,6 +12,8 @@ from ballotlens.oracle import over_datasets
 DREP = ", ".join(f"'{v}'" for v in C.DREP_VOTER_TYPES)
 SPO = f"'{C.SPO_VOTER_TYPE}'"
 DEFAULTS = "'ABSTAIN', 'NO_CONFIDENCE'"
+ACTIVE = (f"drep_hash is not null and drep_type not in ({DEFAULTS}) and coalesce(status, '') <> 'RETIRED' "
+          "and (active_until is null or epoch <= active_until)")
 
 
 def pct(num: str, den: str, digits: int = 4) -> str:
@@ -50,13 +52,15 @@ select epoch, total_drep_delegated, circulation,
   {pct('total_drep_delegated', 'circulation')} as delegation_rate_pct
 from ds_epoch_summary""")
 
-# previous delegation of the address = the row at its greatest earlier slot
-_CHURN = """churn as (
+# delegations of an address numbered in order; each is compared with the one numbered before it
+_CHURN = """numbered as (
+  select address, epoch, drep_hash, drep_type, row_number() over (partition by address
+    order by slot nulls last, epoch nulls last, drep_type nulls last, drep_hash nulls last, drep_id nulls last,
+             credential nulls last) as i
+  from ds_delegation_events),
+churn as (
   select e.address, e.epoch, p.drep_hash as ph
-  from ds_delegation_events e
-  join ds_delegation_events p
-    on p.address = e.address
-   and p.slot = (select max(x.slot) from ds_delegation_events x where x.address = e.address and x.slot < e.slot)
+  from numbered e join numbered p on p.address is not distinct from e.address and p.i = e.i - 1
   where p.drep_hash is not null and (e.drep_hash <> p.drep_hash or e.drep_type <> p.drep_type))"""
 
 K["k1_5_delegation_churn"] = over_datasets(["delegation_events"], """
@@ -141,7 +145,7 @@ group by {key}"""
 
 K["p2_1_drep_stake_gini"] = over_datasets(["drep_epoch_stats"], f"""
 select epoch, n as drep_count, total as total_stake, gini from (
-{_gini_sql(f"(select epoch, delegated_amount from ds_drep_epoch_stats where drep_hash is not null and drep_type not in ({DEFAULTS}))", "epoch", "delegated_amount")}) g""")
+{_gini_sql(f"(select epoch, delegated_amount from ds_drep_epoch_stats where {ACTIVE})", "epoch", "delegated_amount")}) g""")
 
 _OPEN = """open_ as (
   select gov_action_tx_hash, gov_action_index,
@@ -246,7 +250,7 @@ from (select epoch,
           / nullif(cast(sum(delegated_amount) as double), 0) as top_share
       from (select epoch, delegated_amount,
                    row_number() over (partition by epoch order by delegated_amount desc, drep_hash) as rn
-            from ds_drep_epoch_stats where drep_hash is not null and drep_type not in ({DEFAULTS})) r
+            from ds_drep_epoch_stats where {ACTIVE}) r
       group by epoch) s""")
 
 K["p2_12_voting_seasonality"] = over_datasets(["gov_action_lifecycle", "epoch_summary"], f"""
@@ -265,15 +269,17 @@ from per p left join per q on q.year = p.year - 1 and q.month = p.month""", ctes
 
 # ------------------------------------------------------------------ P3 ---
 
+# live pools: staked in the epoch, and no retirement as their newest event up to it
+_LIVE = """live as (
+  select epoch, pool_id, sum(amount) as ps from g_epoch_stake x
+  where epoch in (select epoch from tgt) and pool_id is not null
+    and coalesce((select l.status from g_pool l where l.pool_id = x.pool_id and l.epoch <= x.epoch
+                  order by l.epoch desc, l.slot desc, l.tx_index desc, l.cert_index desc limit 1), '') <> 'RETIRED'
+  group by epoch, pool_id)"""
 _POOLS = f"""pf as (
-  select p.epoch, p.pool_id, coalesce(st.ps, 0) as ps, vt.pool_id is not null as voted
-  from (select epoch, pool_id from g_pool where status <> 'RETIRED' and epoch in (select epoch from tgt)) p
-  left join (select epoch, pool_id, sum(amount) as ps from g_epoch_stake
-             where epoch in (select epoch from tgt) group by epoch, pool_id) st
-    on st.epoch = p.epoch and st.pool_id = p.pool_id
-  left join (select distinct epoch, voter_hash as pool_id from g_voting_procedure
-             where voter_type = {SPO} and epoch in (select epoch from tgt)) vt
-    on vt.epoch = p.epoch and vt.pool_id = p.pool_id)"""
+  select epoch, pool_id, ps, exists (select 1 from g_voting_procedure v where v.voter_type = {SPO}
+                                     and v.voter_hash = live.pool_id and v.epoch = live.epoch) as voted
+  from live)"""
 _POOL_TABLES = ["pool", "epoch_stake", "voting_procedure"]
 
 K["p3_1_spo_turnout"] = over_datasets([], f"""
@@ -281,19 +287,20 @@ select epoch, count(*) as active_pools, {cnt('voted')} as voting_pools, cast(sum
   cast(sum(case when voted then ps else 0 end) as bigint) as voting_stake,
   {pct(cnt('voted'), 'count(*)')} as turnout_pct,
   {pct('sum(case when voted then ps else 0 end)', 'sum(ps)')} as stake_turnout_pct
-from pf group by epoch""", tables=_POOL_TABLES, ctes=[_POOLS])
+from pf group by epoch""", tables=_POOL_TABLES, ctes=[_LIVE, _POOLS])
 
 K["p3_2_spo_silent_stake"] = over_datasets([], f"""
 select epoch, cast(sum(ps) as bigint) as active_stake,
   cast(sum(case when not voted then ps else 0 end) as bigint) as silent_stake,
   {pct('sum(case when not voted then ps else 0 end)', 'sum(ps)')} as silent_stake_pct
-from pf group by epoch""", tables=_POOL_TABLES, ctes=[_POOLS])
+from pf group by epoch""", tables=_POOL_TABLES, ctes=[_LIVE, _POOLS])
 
 K["p3_3_default_stance_adoption"] = over_datasets(["pool_epoch_stats"], f"""
-select epoch, count(*) as pools, {cnt("default_stance = 'ABSTAIN'")} as abstain_pools,
-  {cnt("default_stance = 'NO_CONFIDENCE'")} as no_confidence_pools,
-  {pct('count(default_stance)', 'count(*)')} as adoption_pct
-from ds_pool_epoch_stats group by epoch""")
+select epoch, count(*) as pools, {cnt("stance = 'ABSTAIN'")} as abstain_pools,
+  {cnt("stance = 'NO_CONFIDENCE'")} as no_confidence_pools, {pct('count(stance)', 'count(*)')} as adoption_pct
+from (select epoch, (select min(stance) from stance_of where who in
+                       (select o.who from owner_of o where o.pool_id = live.pool_id)) as stance from live)
+group by epoch""", tables=["pool", "epoch_stake"], ctes=[_LIVE])
 
 K["p3_4_spo_vote_latency"] = _median_latency(SPO, "spo_votes")
 
@@ -375,7 +382,7 @@ select n.epoch, cast(n.active_stake as bigint) as active_stake, n.threshold,
 from (select s.epoch, sum(s.x) as active_stake, max(p.dvt_motion_no_confidence) as threshold
       from s left join ds_governance_params p on p.epoch = s.epoch group by s.epoch) n""", ctes=[
     f"""s as (select epoch, drep_hash, delegated_amount as x from ds_drep_epoch_stats
-  where drep_hash is not null and drep_type not in ({DEFAULTS}))""",
+  where {ACTIVE})""",
     """r as (select epoch, x,
   sum(x) over (partition by epoch order by x desc, drep_hash rows between unbounded preceding and current row) as cum,
   row_number() over (partition by epoch order by x desc, drep_hash) as rn from s)"""])
@@ -387,12 +394,18 @@ select action_epoch as epoch, count(*) as cc_votes,
   median(time_to_vote_seconds) / 86400.0 as median_days_to_vote
 from ds_cc_vote_details group by action_epoch""")
 
+_ACTIONS = "(select count(*) from (select distinct tx_hash, idx from g_gov_action_proposal))"
 K["p5_2_cc_member_participation"] = over_datasets(["cc_vote_details"], f"""
-select cold_key, count(distinct gov_action_tx_hash || '#' || cast(gov_action_index as varchar)) as actions_voted,
-  (select count(*) from (select distinct tx_hash, idx from g_gov_action_proposal) d) as total_actions,
-  {pct("count(distinct gov_action_tx_hash || '#' || cast(gov_action_index as varchar))",
-       "(select count(*) from (select distinct tx_hash, idx from g_gov_action_proposal) d)")} as participation_pct
-from ds_cc_vote_details group by cold_key""", tables=["gov_action_proposal"])
+select cold_key, hot_key, cast(n as bigint) as actions_voted, {_ACTIONS} as total_actions,
+  {pct('n', _ACTIONS)} as participation_pct
+from (
+  select m.hash as cold_key, cast(null as varchar) as hot_key,
+    (select count(distinct (c.gov_action_tx_hash, c.gov_action_index)) from ds_cc_vote_details c where c.cold_key = m.hash) as n
+  from (select hash from g_committee_member where hash is not null
+        union select cold_key from ds_cc_vote_details where cold_key is not null) m
+  union all
+  select null, voter_hash, count(distinct (gov_action_tx_hash, gov_action_index))
+  from ds_cc_vote_details where cold_key is null group by voter_hash)""", tables=["gov_action_proposal", "committee_member"])
 
 K["p5_3_cc_abstain_rate"] = over_datasets(["cc_vote_details"], f"""
 select vote_epoch as epoch, count(*) as cc_votes, {cnt("vote = 'ABSTAIN'")} as abstain_votes,

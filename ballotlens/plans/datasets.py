@@ -57,7 +57,7 @@ def drep_asof_status(t: Tables, epochs=None) -> DataFrame:
                        order=("slot", "tx_index", "cert_index"), value="status")
 
 
-def drep_epoch_stats(t: Tables, epochs=None, null_salt: int = 1024) -> DataFrame:
+def drep_epoch_stats(t: Tables, epochs=None) -> DataFrame:
     """DS1: one row per ``drep_dist`` row of the requested epochs.
 
     One shuffle of the snapshot table: snapshot rows, status events, the
@@ -66,16 +66,16 @@ def drep_epoch_stats(t: Tables, epochs=None, null_salt: int = 1024) -> DataFrame
     window specs read them back: a running max over epochs (as-of status),
     a (key, epoch) group (votes) and a (key) group (registration). All three
     are satisfied by the single hash partitioning on the key, so the big
-    table is not shuffled again for joins. NULL-hash snapshot rows get salted
-    keys that match nothing (status NULL, 0 votes, no registration).
+    table is not shuffled again for joins. Snapshot rows with a NULL hash
+    match nothing (status NULL, 0 votes, no registration) and go round the
+    windows; events with a NULL epoch are never "as of" any epoch.
     """
     epochs = _epochs(t, epochs)
     dist = in_epochs(t.drep_dist, epochs)
     ev_struct = F.struct("slot", "tx_index", "cert_index", F.col("status").alias("__v"))
     ev_type = t.drep.select(ev_struct.alias("e")).schema["e"].dataType
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in dist.columns]), F.lit(null_salt)).cast("string")
 
-    def side(df, kind, key_col, **cols):
+    def side(df, kind, **cols):
         base = {
             "epoch": F.lit(None).cast("int"), "drep_type": F.lit(None).cast("string"),
             "drep_id": F.lit(None).cast("string"), "amount": F.lit(None).cast("long"),
@@ -85,24 +85,21 @@ def drep_epoch_stats(t: Tables, epochs=None, null_salt: int = 1024) -> DataFrame
             "registration_epoch": F.lit(None).cast("int"), "has_metadata": F.lit(None).cast("boolean"),
         }
         base.update(cols)
-        return df.select(F.lit(kind).alias("__kind"), key_col.isNull().alias("__nk"),
-                         F.coalesce(key_col.cast("string"), salt if kind == 0 else F.lit(None)).alias("__wk"),
-                         *[v.alias(k) for k, v in base.items()])
-
-    snaps = side(dist, 0, F.col("drep_hash"), **{c: F.col(c) for c in
-                                                 ("epoch", "drep_type", "drep_id", "amount", "active_until",
-                                                  "expiry")})
-    events = side(t.drep.filter(F.col("drep_hash").isNotNull()), 1, F.col("drep_hash"),
-                  epoch=F.col("epoch").cast("int"), __ev=ev_struct)
-    votes = side(drep_vote_counts(t, epochs), 2, F.col("drep_hash"), epoch=F.col("epoch").cast("int"),
+        return df.filter(F.col("drep_hash").isNotNull()).select(
+            F.lit(kind).alias("__kind"), F.col("drep_hash").cast("string").alias("drep_hash"),
+            *[v.alias(k) for k, v in base.items()])
+
+    snap_cols = ("epoch", "drep_type", "drep_id", "amount", "active_until", "expiry")
+    snaps = side(dist, 0, **{c: F.col(c) for c in snap_cols})
+    events = side(t.drep.filter(F.col("epoch").isNotNull()), 1, epoch=F.col("epoch").cast("int"), __ev=ev_struct)
+    votes = side(drep_vote_counts(t, epochs), 2, epoch=F.col("epoch").cast("int"),
                  votes_cast=F.col("votes_cast"), votes_with_rationale=F.col("votes_with_rationale"))
-    regs = side(drep_reg_info(t).filter(F.col("drep_hash").isNotNull()), 3, F.col("drep_hash"),
+    regs = side(drep_reg_info(t), 3,
                 registration_epoch=F.col("registration_epoch"), has_metadata=F.col("has_metadata"))
-    key = ["__nk", "__wk"]
-    asof = Window.partitionBy(*key).orderBy(F.col("epoch").asc_nulls_first()).rangeBetween(
+    asof = Window.partitionBy("drep_hash").orderBy(F.col("epoch").asc_nulls_first()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    same_epoch = Window.partitionBy(*key, "epoch")
-    same_key = Window.partitionBy(*key)
+    same_epoch = Window.partitionBy("drep_hash", "epoch")
+    same_key = Window.partitionBy("drep_hash")
     rows = (snaps.unionByName(events).unionByName(votes).unionByName(regs)
             .select("*",
                     F.max("__ev").over(asof).alias("__best"),
@@ -111,18 +108,19 @@ def drep_epoch_stats(t: Tables, epochs=None, null_salt: int = 1024) -> DataFrame
                     F.max("registration_epoch").over(same_key).alias("__re"),
                     F.max(F.col("has_metadata").cast("int")).over(same_key).alias("__hm"))
             .filter(F.col("__kind") == 0))
-    return rows.select(
-        F.col("epoch").cast("int").alias("epoch"),
-        F.when(~F.col("__nk"), F.col("__wk")).alias("drep_hash"), "drep_type", "drep_id",
-        F.col("amount").alias("delegated_amount"),
-        F.col("active_until").cast("int").alias("active_until"),
-        F.col("expiry").cast("int").alias("expiry"),
-        F.col("__best.__v").alias("status"),
+    snapshot = [F.col("epoch").cast("int").alias("epoch"), F.col("drep_hash").cast("string").alias("drep_hash"),
+                "drep_type", "drep_id", F.col("amount").cast("long").alias("delegated_amount"),
+                F.col("active_until").cast("int").alias("active_until"), F.col("expiry").cast("int").alias("expiry")]
+    found = rows.select(
+        *snapshot, F.col("__best.__v").alias("status"),
         F.col("__re").alias("registration_epoch"),
         F.col("__hm").cast("boolean").alias("has_metadata"),
         F.coalesce("__n", F.lit(0)).cast("int").alias("votes_cast"),
-        F.coalesce("__r", F.lit(0)).cast("int").alias("votes_with_rationale"),
-    )
+        F.coalesce("__r", F.lit(0)).cast("int").alias("votes_with_rationale"))
+    keyless = dist.filter(F.col("drep_hash").isNull()).select(
+        *snapshot, F.lit(None).cast("string").alias("status"), F.lit(None).cast("int").alias("registration_epoch"),
+        F.lit(None).cast("boolean").alias("has_metadata"), F.lit(0).alias("votes_cast"), F.lit(0).alias("votes_with_rationale"))
+    return found.unionByName(keyless)
 
 
 # ---------------------------------------------------------------- DS2 -----
@@ -197,10 +195,11 @@ def voting_stats_columns(stats_col: str = "voting_stats") -> list:
 
 
 def latest_action_status(t: Tables) -> DataFrame:
-    """DS4a/b: each action's latest status row (by epoch) and, when terminal,
-    the epoch it resolved in."""
+    """DS4a/b: each action's latest status row (by epoch; of one epoch that
+    with the greatest status and stats text) and, when terminal, the epoch it
+    resolved in."""
     latest = latest_by(t.gov_action_proposal_status, ["gov_action_tx_hash", "gov_action_index"],
-                       ["epoch"], ["status", "voting_stats", "epoch"])
+                       ["epoch", "status", "voting_stats"], ["status", "voting_stats", "epoch"])
     return latest.select(
         "gov_action_tx_hash", "gov_action_index", "status", "voting_stats",
         F.when(F.col("status").isin(*C.TERMINAL_STATUSES), F.col("epoch")).alias("epoch_resolved"))

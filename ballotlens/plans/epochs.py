@@ -52,26 +52,40 @@ def target_epochs(t: Tables, settled_through: int | None = None) -> DataFrame:
 
 
 def plan_run(t: Tables, settled_through: int | None = None) -> tuple[list[int], list[int]]:
-    """META4 materialised once per run: ``(target epochs, unsettled epochs)``.
-
-    Same rule as :func:`target_epochs`, evaluated as ONE aggregate job (one
-    row back: the settled epoch set, the governance start, the newest). The
-    lists are bounded by the number of epochs, so they are collected; plans
-    then filter with a literal ``epoch IN (...)``, which reaches the parquet
-    scan (and prunes ``epoch=N/`` partitions) instead of a semi-join subplan.
+    """META4 materialised once per set of tables: ``(target epochs, unsettled
+    epochs)``.
+
+    Same rule as :func:`target_epochs`. Where the snapshot tables are folders
+    partitioned by epoch, the folder names answer and nothing is read; else one
+    aggregate job does. The lists are bounded by the number of epochs, so they
+    are collected; plans then filter with a literal ``epoch IN (...)``, which
+    reaches the parquet scan (and prunes ``epoch=N/`` partitions) instead of a
+    semi-join subplan.
     """
-    settled = t.adapot.select(F.col("epoch").cast("int").alias("e"), F.lit(True).alias("a"))
-    gov = t.drep_dist.select(F.col("epoch").cast("int").alias("e"), F.lit(False).alias("a"))
-    row = (settled.unionByName(gov)
-           .agg(F.collect_set(F.when(F.col("a"), F.col("e"))).alias("settled"),
-                F.min(F.when(~F.col("a"), F.col("e"))).alias("start"),
-                F.max(F.when(F.col("a"), F.col("e"))).alias("newest"))
-           .collect()[0])
-    if row.newest is None:
+    if settled_through not in t.plans:
+        t.plans[settled_through] = _plan(t, settled_through)
+    targets, unsettled = t.plans[settled_through]
+    return list(targets), list(unsettled)
+
+
+def _plan(t: Tables, settled_through: int | None) -> tuple[list[int], list[int]]:
+    settled, started = t.partition_epochs("adapot"), t.partition_epochs("drep_dist")
+    parts = []
+    if settled is None:
+        parts.append(t.adapot.select(F.col("epoch").cast("int").alias("e"), F.lit(True).alias("a")))
+    if started is None:
+        parts.append(t.drep_dist.select(F.col("epoch").cast("int").alias("e"), F.lit(False).alias("a")))
+    if parts:
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        row = rows.agg(F.collect_set(F.when(F.col("a"), F.col("e"))).alias("settled"),
+                       F.min(F.when(~F.col("a"), F.col("e"))).alias("start")).collect()[0]
+        settled = row.settled if settled is None else settled
+        started = [row.start] if started is None and row.start is not None else started
+    if not settled:
         raise ValueError("adapot is empty: no epochs to plan")
-    start = row.start if row.start is not None else 0
-    keep = {e for e in row.settled if (settled_through is None or e <= settled_through) and e >= start}
-    unsettled = [] if row.newest in keep else [row.newest]
+    start, newest = min(started or [0]), max(settled)
+    keep = {e for e in settled if (settled_through is None or e <= settled_through) and e >= start}
+    unsettled = [] if newest in keep else [newest]
     return sorted(keep | set(unsettled)), unsettled
 
 

@@ -75,6 +75,43 @@ def stored_open_actions(spark: SparkSession, path: str) -> DataFrame | None:
             .select(*LIFECYCLE_KEY))
 
 
+def maintain(spark: SparkSession, t: Tables, out_dir: str, name: str, epochs: Sequence[int],
+             targets: Sequence[int], full: bool = False) -> list[int]:
+    """Bring one stored dataset up to date for ``epochs``; the one place that
+    writes datasets, whatever decides on the epochs (a run, a stream). Returns
+    the epochs computed.
+
+    ``gov_action_lifecycle`` is one row per action and partitioned by
+    resolution epoch, so its partitions say nothing about processed epochs:
+    actions of all ``targets`` are merged by key, and stored open actions are
+    decided again (kept, updated, or dropped when the rule no longer selects
+    them). ``epoch_summary`` is also recomputed for the proposal epochs of
+    withdrawals enacted in ``epochs``, and always counts withdrawals enacted in
+    any target epoch, as a full rebuild does."""
+    path = f"{out_dir}/{name}"
+    epochs = sorted(set(int(e) for e in epochs))
+    if name == "gov_action_lifecycle":
+        rows = D.gov_action_lifecycle(t, list(targets))
+        if full:
+            sinks.write_epochs(rows, path, SORT_KEYS[name], full=True)
+        else:
+            sinks.upsert_by_key(spark, rows, path, LIFECYCLE_KEY, SORT_KEYS[name],
+                                delete_keys=stored_open_actions(spark, path))
+        return list(targets)
+    if name == "epoch_summary":
+        if epochs and not full:
+            epochs = sorted(set(epochs) | set(_withdrawal_epochs(t, epochs)))
+        epochs = [e for e in epochs if e in set(targets)]
+    if not epochs:
+        return []
+    if name == "epoch_summary":
+        df = D.epoch_summary(t, epochs, status_epochs=list(targets))
+    else:
+        df = _with_epoch(name, D.DATASETS[name](t, epochs))
+    sinks.write_epochs(df, path, SORT_KEYS[name], full=full)
+    return epochs
+
+
 def extract_all(spark: SparkSession, tables: Tables, out_dir: str, only: Sequence[str] | None = None,
                 full: bool = False, settled_through: int | None = None) -> dict[str, list[int]]:
     """Build or update every dataset under ``out_dir``. Returns, per dataset,
@@ -85,40 +122,16 @@ def extract_all(spark: SparkSession, tables: Tables, out_dir: str, only: Sequenc
         if unknown:
             raise ValueError(f"unknown dataset(s): {', '.join(unknown)}")
         names = [n for n in names if n in only]
-    t = tables
-    epochs, unsettled = plan_run(t, settled_through)
+    epochs, unsettled = plan_run(tables, settled_through)
     done: dict[str, list[int]] = {}
     for name in names:
         path = f"{out_dir}/{name}"
         have = set(sinks.written_epochs(spark, path)) - set(sinks.unsettled_marks(spark, path))
         pending = sorted(epochs) if full else sorted(e for e in epochs if e not in have or e in unsettled)
-        if name == "epoch_summary" and pending and not full:
-            extra = [e for e in _withdrawal_epochs(t, pending) if e in epochs]
-            pending = sorted(set(pending) | set(extra))
-        if name == "gov_action_lifecycle":
-            if full:
-                sinks.write_epochs(D.gov_action_lifecycle(t, epochs), path, SORT_KEYS[name], full=True)
-            else:
-                # one row per action and rewritten through staging anyway:
-                # refetch for every target epoch (partition epochs are
-                # resolution epochs, not a record of processed epochs)
-                # stored open actions are re-decided: kept (updated) when the
-                # rebuild rule still selects them, dropped otherwise
-                sinks.upsert_by_key(spark, D.gov_action_lifecycle(t, epochs), path, LIFECYCLE_KEY,
-                                    SORT_KEYS[name], delete_keys=stored_open_actions(spark, path))
-            done[name] = list(epochs)
-            continue
-        if not pending:
-            done[name] = []
-            continue
-        if name == "epoch_summary":
-            df = D.epoch_summary(t, pending, status_epochs=epochs)
-        else:
-            df = _with_epoch(name, D.DATASETS[name](t, pending))
-        sinks.write_epochs(df, path, SORT_KEYS[name], full=full)
-        sinks.set_unsettled_marks(spark, path, [e for e in unsettled if e in pending],
-                                  [e for e in pending if e not in unsettled])
-        done[name] = pending
+        done[name] = maintain(spark, tables, out_dir, name, pending, epochs, full)
+        if name != "gov_action_lifecycle" and done[name]:
+            sinks.set_unsettled_marks(spark, path, [e for e in unsettled if e in done[name]],
+                                      [e for e in done[name] if e not in unsettled])
     return done
 
 

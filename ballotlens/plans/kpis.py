@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from ballotlens import constants as C
 from ballotlens.functions import pct, ratio
-from ballotlens.operators.ordered import lag_within, rank_within
-from ballotlens.operators.quantiles import exact_median
+from ballotlens.operators.latest import asof_latest
+from ballotlens.operators.ordered import cumulative_histogram, lag_within
+from ballotlens.operators.quantiles import count_and_median
 from ballotlens.plans import datasets as D
 from ballotlens.sources.tables import Tables
 
@@ -43,6 +44,7 @@ class Datasets:
         self._get = get
         self._cache: dict[str, DataFrame] = {}
         self._tables = tables
+        self._written = False           # datasets are read, not computed
         self._epochs = epochs
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -66,6 +68,18 @@ class Datasets:
             self._epochs = D.plan_epochs(self.tables)
         return self._epochs
 
+    def spark_epochs(self) -> DataFrame:
+        """The target epochs as a frame (one row each)."""
+        spark = self.gov_action_lifecycle.sparkSession
+        return spark.range(1).select(F.explode(F.array(*[F.lit(int(e)) for e in self.epochs])).alias("epoch"))
+
+    def drep_statuses(self) -> DataFrame:
+        """(epoch, drep_hash, status) of every DRep snapshot row."""
+        if self._written:
+            return self.drep_epoch_stats.select("epoch", "drep_hash", "status")
+        return D.drep_asof_status(self.tables, self.epochs).select(
+            F.col("epoch").cast("int").alias("epoch"), "drep_hash", "status")
+
     @classmethod
     def from_tables(cls, t: Tables, epochs: list[int] | None = None) -> "Datasets":
         ds = cls(lambda n: D.DATASETS[n](t, ds.epochs), t, epochs)
@@ -79,11 +93,19 @@ class Datasets:
         from ballotlens.plans.job import read_dataset
         from ballotlens.sources.sinks import written_epochs
         epochs = written_epochs(spark, f"{out_dir}/epoch_summary") or None
-        return cls(lambda n: read_dataset(spark, out_dir, n), tables, epochs)
+        ds = cls(lambda n: read_dataset(spark, out_dir, n), tables, epochs)
+        ds._written = True
+        return ds
+
+
+def _inactive() -> Column:
+    """K1.8's rule: retired, or not heard of since ``active_until``."""
+    return F.coalesce((F.col("status") == C.DREP_RETIRED) | (F.col("epoch") > F.col("active_until")), F.lit(False))
 
 
 def _dreps_active(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("drep_hash").isNotNull() & ~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))
+    """DReps proper (no default stance) that are active in the row's epoch."""
+    return df.filter(F.col("drep_hash").isNotNull() & ~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES) & ~_inactive())
 
 
 # ================================================================ K1 =======
@@ -121,27 +143,29 @@ def k1_3_delegation_rate(ds: Datasets) -> DataFrame:
                     pct("total_drep_delegated", "circulation").alias("delegation_rate_pct"))
 
 
-def churn_rows(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+def churn_rows(ds: Datasets) -> DataFrame:
     """Delegations that change the address's previous DRep (hash or type).
     SQL three-valued logic is kept: a NULL hash only counts when the type
-    changes, and the first delegation of an address never counts."""
-    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
-    ev = lag_within(ds.delegation_events, "address", ["slot"], ["drep_hash", "drep_type"], **kw)
+    changes, and the first delegation of an address never counts. Delegations
+    of one slot are ordered by what they delegate to, so the result does not
+    depend on the order rows are read in."""
+    events = ds.delegation_events
+    order = [c for c in ("slot", "epoch", "drep_type", "drep_hash", "drep_id", "credential") if c in events.columns]
+    ev = lag_within(events, "address", order, ["drep_hash", "drep_type"])
     changed = ((F.col("drep_hash") != F.col("prev_drep_hash"))
                | (F.col("drep_type") != F.col("prev_drep_type")))
     return ev.filter(F.col("prev_drep_hash").isNotNull() & changed)
 
 
-def k1_5_delegation_churn(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
-    return (churn_rows(ds, chunk_rows).groupBy("epoch")
+def k1_5_delegation_churn(ds: Datasets) -> DataFrame:
+    return (churn_rows(ds).groupBy("epoch")
             .agg(F.count(F.lit(1)).alias("delegation_changes"),
                  F.count_distinct("address").alias("addresses_changed")))
 
 
 def k1_8_inactive_delegated_ada(ds: Datasets) -> DataFrame:
     s = ds.drep_epoch_stats
-    inactive = (F.col("status") == C.DREP_RETIRED) | (F.col("epoch") > F.col("active_until"))
-    return (s.filter(inactive).groupBy("epoch")
+    return (s.filter(_inactive()).groupBy("epoch")
             .agg(F.sum("delegated_amount").cast("long").alias("inactive_delegated_ada"),
                  F.count(F.lit(1)).alias("inactive_drep_count")))
 
@@ -153,16 +177,16 @@ def doc1_ratified_approval(ds: Datasets) -> DataFrame:
             .select("type", "drep_approval_ratio", "spo_approval_ratio"))
 
 
-def doc2_gini_sample(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+def doc2_gini_sample(ds: Datasets) -> DataFrame:
     """The documented sample: ``1 - 2 * avg(running share)``, running share
     over a RANGE frame (ties share their peer sum). Sums stay exact until one
     final division."""
-    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
     s = ds.drep_epoch_stats.filter(~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))
-    r = rank_within(s, "epoch", ["delegated_amount"], value="delegated_amount", **kw)
-    agg = r.groupBy("epoch").agg(F.sum(F.col("peer_sum").cast("decimal(38,0)")).alias("__cs"),
-                                 F.sum("delegated_amount").alias("__total"),
-                                 F.count(F.lit(1)).alias("__n"))
+    h = cumulative_histogram(s, "epoch", "delegated_amount")
+    n = F.col("n").cast("decimal(20,0)")
+    peers = F.col("sum_before") + F.coalesce(F.col("delegated_amount").cast("decimal(20,0)") * n, F.lit(0))
+    agg = h.groupBy("epoch").agg(F.sum((peers * n).cast("decimal(38,0)")).alias("__cs"),
+                                 F.max("sum_all").alias("__total"), F.max("n_all").alias("__n"))
     share_sum = F.col("__cs").cast("double") / F.col("__total").cast("double")
     return agg.select("epoch", (F.lit(1.0) - F.lit(2.0) * share_sum / F.col("__n").cast("double"))
                       .alias("gini"))
@@ -222,15 +246,14 @@ def _latest_drep_votes(ds: Datasets, voter_types=C.DREP_VOTER_TYPES) -> DataFram
                        ["vote_slot", "vote"], ["vote", "vote_epoch"])
 
 
-def p1_7_post_vote_delegation_outflow(ds: Datasets, z: int = OUTFLOW_EPOCHS,
-                                      chunk_rows: int | None = None) -> DataFrame:
+def p1_7_post_vote_delegation_outflow(ds: Datasets, z: int = OUTFLOW_EPOCHS) -> DataFrame:
     """Per action and vote value: delegations that left a DRep with that
     (latest) vote within ``z`` epochs after its vote, and their stake.
     Leavers are aggregated per (DRep, epoch) first and the vote side is
     expanded over its z+1 epochs, so the join is an equi-join with no
     voter x delegator pairs."""
     t = ds.tables
-    leave = churn_rows(ds, chunk_rows).select(F.col("prev_drep_hash").alias("voter_hash"), "epoch", "address")
+    leave = churn_rows(ds).select(F.col("prev_drep_hash").alias("voter_hash"), "epoch", "address")
     stake = t.epoch_stake.select("address", "epoch", "amount")
     left_stake = (leave.join(stake, ["address", "epoch"], "left")
                   .groupBy("voter_hash", "epoch")
@@ -247,51 +270,61 @@ def p1_7_post_vote_delegation_outflow(ds: Datasets, z: int = OUTFLOW_EPOCHS,
 
 # ================================================================ P2 =======
 
-def gini_by(df: DataFrame, keys, value: str, chunk_rows: int | None = None) -> DataFrame:
+def gini_by(df: DataFrame, keys, value: str) -> DataFrame:
     """Gini = 2*sum(i*x_i)/(n*sum x) - (n+1)/n with i the ascending rank;
-    exact integer sums, one final division."""
-    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
+    exact integer sums, one final division. A group of c tied rows after b
+    smaller ones holds the ranks b+1..b+c: their sum is c*b + c*(c+1)/2."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    r = rank_within(df, keys, [value], **kw)
-    agg = r.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col(value).cast("decimal(38,0)")).alias("__t"),
-        F.sum(F.col("row_idx").cast("decimal(38,0)") * F.col(value).cast("decimal(38,0)")).alias("__iw"))
+    h = cumulative_histogram(df, keys, value)
+    c = F.col("n").cast("decimal(18,0)")
+    ranks = (c * F.col("n_before").cast("decimal(18,0)")
+             + (F.col("n") * (F.col("n") + 1) / 2).cast("decimal(18,0)")).cast("decimal(18,0)")
+    agg = h.groupBy(*keys).agg(
+        F.max("n_all").alias("n"), F.max("sum_all").alias("__t"),
+        F.sum((ranks * F.col(value).cast("decimal(20,0)")).cast("decimal(38,0)")).alias("__iw"))
     n = F.col("n").cast("double")
     g = (F.lit(2.0) * F.col("__iw").cast("double") / (n * F.col("__t").cast("double"))
          - (n + F.lit(1.0)) / n)
     return agg.select(*keys, "n", F.col("__t").cast("long").alias("total"), g.alias("gini"))
 
 
-def p2_1_drep_stake_gini(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
+def p2_1_drep_stake_gini(ds: Datasets) -> DataFrame:
     s = _dreps_active(ds.drep_epoch_stats)
-    g = gini_by(s, "epoch", "delegated_amount", chunk_rows)
+    g = gini_by(s, "epoch", "delegated_amount")
     return g.select("epoch", F.col("n").alias("drep_count"), F.col("total").alias("total_stake"), "gini")
 
 
-def _open_actions(ds: Datasets) -> DataFrame:
-    """(action, epoch) for every epoch an action is open: from its proposal
-    epoch to its resolution epoch (or the newest planned epoch)."""
-    life = ds.gov_action_lifecycle
-    newest = F.lit(max(ds.epochs))
-    last = F.coalesce(F.col("epoch_resolved"), newest)
-    return (life.filter(last >= F.col("epoch_proposed"))
-                .select("gov_action_tx_hash", "gov_action_index",
-                        F.explode(F.sequence("epoch_proposed", last)).alias("epoch")))
+def _action_spans(ds: Datasets) -> DataFrame:
+    """(action, epoch_proposed, last epoch open) of actions open in some epoch:
+    to the resolution epoch or the newest planned epoch."""
+    last = F.coalesce(F.col("epoch_resolved"), F.lit(max(ds.epochs)))
+    return (ds.gov_action_lifecycle.filter(last >= F.col("epoch_proposed"))
+            .select("gov_action_tx_hash", "gov_action_index", "epoch_proposed", last.alias("last_epoch")))
 
 
 def p2_2_drep_activity_rate(ds: Datasets, min_share: float = ACTIVITY_MIN_SHARE) -> DataFrame:
     """Per epoch: registered (non-retired) DReps, and those that voted in the
-    epoch on at least ``min_share`` of the actions open in it."""
-    open_ = _open_actions(ds)
-    n_open = open_.groupBy("epoch").agg(F.count(F.lit(1)).alias("open_actions"))
+    epoch on at least ``min_share`` of the actions open in it. Open actions
+    are a running sum of +1 at the proposal and -1 after the last open epoch;
+    a vote is on an open action if it lies between the two."""
+    spans = _action_spans(ds)
+    delta = F.explode(F.array(F.struct(F.col("epoch_proposed").alias("epoch"), F.lit(1).alias("d")),
+                              F.struct((F.col("last_epoch") + 1).alias("epoch"), F.lit(-1).alias("d"))))
+    changes = spans.select(delta.alias("x")).groupBy("x.epoch").agg(F.sum("x.d").alias("__d"))
+    marks = ds.spark_epochs().select("epoch", F.lit(0).cast("long").alias("__d"))
+    # one row per epoch: a single ordered window over them is bounded
+    upto = Window.orderBy("epoch").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    n_open = (changes.unionByName(marks).groupBy("epoch").agg(F.sum("__d").alias("__d"))
+              .select("epoch", F.sum("__d").over(upto).alias("open_actions")))
     votes = (ds.gov_action_votes.filter(F.col("voter_type").isin(*C.DREP_VOTER_TYPES))
              .select("voter_hash", "gov_action_tx_hash", "gov_action_index",
                      F.col("vote_epoch").alias("epoch")).distinct())
-    voted = (votes.join(open_, ["gov_action_tx_hash", "gov_action_index", "epoch"], "left_semi")
-                  .groupBy("epoch", "voter_hash").agg(F.count(F.lit(1)).alias("__k")))
-    dreps = (ds.drep_epoch_stats.filter(F.col("drep_hash").isNotNull()
-                                        & (F.coalesce(F.col("status"), F.lit("")) != C.DREP_RETIRED))
+    voted = (votes.join(spans, ["gov_action_tx_hash", "gov_action_index"])
+             .filter(F.col("epoch").between(F.col("epoch_proposed"), F.col("last_epoch")))
+             .select("epoch", "voter_hash", "gov_action_tx_hash", "gov_action_index").distinct()
+             .groupBy("epoch", "voter_hash").agg(F.count(F.lit(1)).alias("__k")))
+    dreps = (ds.drep_statuses().filter(F.col("drep_hash").isNotNull()
+                                       & (F.coalesce(F.col("status"), F.lit("")) != C.DREP_RETIRED))
              .select("epoch", F.col("drep_hash").alias("voter_hash")).distinct())
     per = (dreps.join(voted, ["epoch", "voter_hash"], "left")
                 .join(F.broadcast(n_open), "epoch", "left"))
@@ -314,25 +347,13 @@ def p2_3_drep_rationale_rate(ds: Datasets) -> DataFrame:
     return agg.withColumn("rationale_rate_pct", pct("votes_with_rationale", "drep_votes"))
 
 
-def _count_and_median(df: DataFrame, key: str, value, count_name: str, out: str,
-                      chunk_rows: int | None = None) -> DataFrame:
-    """Per ``key`` (bounded: epochs / types): row count and exact median of
-    ``value``, the median computed without holding a group in one task."""
-    x = df.select(F.col(key).alias("__k"), value.alias("__x"))
-    counts = x.groupBy("__k").agg(F.count(F.lit(1)).alias(count_name))
-    med = exact_median(x, "__k", "__x", out, few_groups=True, chunk_rows=chunk_rows)
-    return counts.join(F.broadcast(med), "__k", "left").withColumnRenamed("__k", key)
-
-
-def _median_latency(ds: Datasets, voter_types, count_name: str, out: str,
-                    chunk_rows: int | None = None) -> DataFrame:
+def _median_latency(ds: Datasets, voter_types, count_name: str, out: str) -> DataFrame:
     v = _vote_kpi_base(ds, voter_types).withColumnRenamed("vote_epoch", "epoch")
-    secs = F.col("vote_block_time") - F.col("action_block_time")
-    return _count_and_median(v, "epoch", secs, count_name, out, chunk_rows)
+    return count_and_median(v, "epoch", F.col("vote_block_time") - F.col("action_block_time"), count_name, out)
 
 
-def p2_4_drep_time_to_vote(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
-    return _median_latency(ds, C.DREP_VOTER_TYPES, "drep_votes", "median_seconds_to_vote", chunk_rows)
+def p2_4_drep_time_to_vote(ds: Datasets) -> DataFrame:
+    return _median_latency(ds, C.DREP_VOTER_TYPES, "drep_votes", "median_seconds_to_vote")
 
 
 def _vote_code() -> Column:
@@ -377,21 +398,20 @@ def p2_6_drep_lifecycle_rate(ds: Datasets) -> DataFrame:
                     (F.col("drep_registrations") - F.col("drep_retirements")).alias("net_drep_change"))
 
 
-def vote_changes(ds: Datasets, voter_types, chunk_rows: int | None = None) -> DataFrame:
+def vote_changes(ds: Datasets, voter_types) -> DataFrame:
     """Per vote epoch: re-votes that differ from the voter's previous vote on
     the same action (P2.7 for DReps, P3.6 for pools)."""
-    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
     v = _vote_kpi_base(ds, voter_types).select(
         "voter_hash", "gov_action_tx_hash", "gov_action_index", "vote", "vote_slot", "vote_epoch")
     lagged = lag_within(v, ["voter_hash", "gov_action_tx_hash", "gov_action_index"],
-                        ["vote_slot", "vote"], ["vote"], **kw)
+                        ["vote_slot", "vote", "vote_epoch"], ["vote"])
     ch = lagged.filter(F.col("prev_vote").isNotNull() & (F.col("vote") != F.col("prev_vote")))
     return ch.groupBy(F.col("vote_epoch").alias("epoch")).agg(
         F.count(F.lit(1)).alias("vote_changes"), F.count_distinct("voter_hash").alias("voters_changing"))
 
 
-def p2_7_drep_vote_changes(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
-    return vote_changes(ds, C.DREP_VOTER_TYPES, chunk_rows)
+def p2_7_drep_vote_changes(ds: Datasets) -> DataFrame:
+    return vote_changes(ds, C.DREP_VOTER_TYPES)
 
 
 def p2_8_drep_seniority(ds: Datasets) -> DataFrame:
@@ -408,7 +428,7 @@ def p2_9_drep_cc_latency(ds: Datasets) -> DataFrame:
         F.max("vote_block_time").alias("__cc"))
     v = (_vote_kpi_base(ds, C.DREP_VOTER_TYPES).join(cc, ["gov_action_tx_hash", "gov_action_index"], "inner")
          .withColumnRenamed("action_epoch", "epoch"))
-    return _count_and_median(v, "epoch", F.col("vote_block_time") - F.col("__cc"), "drep_votes",
+    return count_and_median(v, "epoch", F.col("vote_block_time") - F.col("__cc"), "drep_votes",
                              "median_seconds_after_cc")
 
 
@@ -458,20 +478,28 @@ def p2_12_voting_seasonality(ds: Datasets) -> DataFrame:
 
 # ================================================================ P3 =======
 
-def _pool_stake_frame(ds: Datasets) -> DataFrame:
-    """Active pool rows per epoch with their delegated stake (from
-    ``epoch_stake``) and whether the pool voted in that epoch."""
+def _live_pools(ds: Datasets) -> DataFrame:
+    """(epoch, pool_id, pool_stake): pools with a stake snapshot in the epoch
+    whose latest lifecycle event up to it, if any, is not a retirement. One row
+    per pool and epoch, whether or not it has events in that epoch."""
     t = ds.tables
-    epochs = ds.epochs
-    pools = D.in_epochs(t.pool.filter(F.col("status") != C.POOL_RETIRED), epochs).select("epoch", "pool_id")
-    stake = (D.in_epochs(t.epoch_stake, epochs).groupBy("epoch", "pool_id")
+    stake = (D.in_epochs(t.epoch_stake, ds.epochs).groupBy("epoch", "pool_id")
              .agg(F.sum("amount").alias("pool_stake")))
-    voters = (D.in_epochs(t.voting_procedure.filter(F.col("voter_type") == C.SPO_VOTER_TYPE), epochs)
+    known = asof_latest(stake, t.pool, key="pool_id", epoch="epoch",
+                        order=("epoch", "slot", "tx_index", "cert_index"), value="status")
+    return known.filter(F.col("pool_id").isNotNull()
+                        & (F.coalesce("status", F.lit("")) != C.POOL_RETIRED)).drop("status")
+
+
+def _pool_stake_frame(ds: Datasets) -> DataFrame:
+    """Live pools per epoch with their delegated stake and whether the pool
+    voted in that epoch."""
+    voters = (D.in_epochs(ds.tables.voting_procedure.filter(F.col("voter_type") == C.SPO_VOTER_TYPE), ds.epochs)
               .select("epoch", F.col("voter_hash").alias("pool_id")).distinct()
               .withColumn("voted", F.lit(True)))
-    return (pools.join(stake, ["epoch", "pool_id"], "left").join(voters, ["epoch", "pool_id"], "left")
-                 .select("epoch", "pool_id", F.coalesce("pool_stake", F.lit(0)).alias("pool_stake"),
-                         F.coalesce("voted", F.lit(False)).alias("voted")))
+    return (_live_pools(ds).join(voters, ["epoch", "pool_id"], "left")
+            .select("epoch", "pool_id", F.coalesce("pool_stake", F.lit(0)).alias("pool_stake"),
+                    F.coalesce("voted", F.lit(False)).alias("voted")))
 
 
 def p3_1_spo_turnout(ds: Datasets) -> DataFrame:
@@ -493,7 +521,8 @@ def p3_2_spo_silent_stake(ds: Datasets) -> DataFrame:
 
 
 def p3_3_default_stance_adoption(ds: Datasets) -> DataFrame:
-    p = ds.pool_epoch_stats
+    """Per epoch: live pools, and those whose owners delegate to a default."""
+    p = _live_pools(ds).join(D.pool_default_stance(ds.tables), "pool_id", "left")
     agg = p.groupBy("epoch").agg(
         F.count(F.lit(1)).alias("pools"),
         F.count_if(F.col("default_stance") == C.DREP_ABSTAIN).alias("abstain_pools"),
@@ -503,12 +532,11 @@ def p3_3_default_stance_adoption(ds: Datasets) -> DataFrame:
                       pct("__any", "pools").alias("adoption_pct"))
 
 
-def p3_4_spo_vote_latency(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
-    return _median_latency(ds, (C.SPO_VOTER_TYPE,), "spo_votes", "median_seconds_to_vote", chunk_rows)
+def p3_4_spo_vote_latency(ds: Datasets) -> DataFrame:
+    return _median_latency(ds, (C.SPO_VOTER_TYPE,), "spo_votes", "median_seconds_to_vote")
 
 
-def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None,
-                             chunk_rows: int | None = None) -> DataFrame:
+def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None) -> DataFrame:
     """HHI and Gini of stake per entity per epoch. ``entities`` maps
     ``pool_id -> entity`` (an external registry); by default each pool is its
     own entity. HHI = sum(stake^2) / total^2 from exact sums."""
@@ -523,12 +551,12 @@ def p3_5_stake_concentration(ds: Datasets, entities: DataFrame | None = None,
         F.sum(F.col("stake") * F.col("stake")).alias("__sq"), F.sum("stake").alias("__t"))
     hhi = hhi.select("epoch", (F.col("__sq").cast("double")
                                / (F.col("__t").cast("double") * F.col("__t").cast("double"))).alias("hhi"))
-    g = gini_by(per.withColumn("stake", F.col("stake").cast("long")), "epoch", "stake", chunk_rows)
+    g = gini_by(per.withColumn("stake", F.col("stake").cast("long")), "epoch", "stake")
     return g.join(F.broadcast(hhi), "epoch").select("epoch", F.col("n").alias("entities"), "hhi", "gini")
 
 
-def p3_6_spo_vote_changes(ds: Datasets, chunk_rows: int | None = None) -> DataFrame:
-    return vote_changes(ds, (C.SPO_VOTER_TYPE,), chunk_rows)
+def p3_6_spo_vote_changes(ds: Datasets) -> DataFrame:
+    return vote_changes(ds, (C.SPO_VOTER_TYPE,))
 
 
 def p3_7_spo_drep_divergence(ds: Datasets) -> DataFrame:
@@ -590,7 +618,7 @@ def p4_5_time_to_enactment(ds: Datasets) -> DataFrame:
     j = life.join(ends, "epoch_resolved", "inner")
     # median of whole seconds (exact in any engine), then one division
     secs = F.col("epoch_end_time") - F.col("block_time_proposed")
-    m = _count_and_median(j, "type", secs, "enacted_actions", "__med")
+    m = count_and_median(j, "type", secs, "enacted_actions", "__med")
     return m.select("type", "enacted_actions", (F.col("__med") / F.lit(86400.0)).alias("median_days_to_enactment"))
 
 
@@ -615,25 +643,21 @@ def p4_8_success_by_source(ds: Datasets) -> DataFrame:
     return agg.withColumn("success_rate_pct", pct("approved", "submitted"))
 
 
-def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD,
-                           chunk_rows: int | None = None) -> DataFrame:
+def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD) -> DataFrame:
     """Per epoch: fewest active DReps (largest stake first) whose combined
     stake reaches the ``threshold`` share of all active DRep stake.
 
-    Ranks come from the chunked ``rank_within``; the crossing point is then
-    found per group of equal stakes by aggregation (no window over a tie
-    group): with ``before`` = stake ranked ahead of the group and ``a`` its
-    stake each, the answer inside the group is
+    DReps of equal stake are one row of the cumulative histogram (by negated
+    stake: largest first); with ``before`` = stake ranked ahead of the group
+    and ``a`` its stake each, the answer inside the group is
     ``first_rank - 1 + ceil((goal - before) / a)``."""
-    kw = {"chunk_rows": chunk_rows} if chunk_rows else {}
-    s = _dreps_active(ds.drep_epoch_stats).select(
-        "epoch", "drep_hash", "delegated_amount", (-F.col("delegated_amount")).alias("__neg"))
-    r = rank_within(s, "epoch", ["__neg", "drep_hash"], value="delegated_amount", **kw)
-    groups = r.groupBy("epoch", "delegated_amount").agg(
-        F.min("row_idx").alias("__first"), F.count(F.lit(1)).alias("__n"), F.max("peer_sum").alias("__cum"))
-    # totals from the tie groups (same exchange as below, no second pass)
-    tot = groups.groupBy("epoch").agg(
-        F.sum(F.col("delegated_amount").cast("decimal(38,0)") * F.col("__n")).alias("active_stake"))
+    s = _dreps_active(ds.drep_epoch_stats).select("epoch", (-F.col("delegated_amount")).alias("__neg"))
+    n = F.col("n").cast("decimal(18,0)")
+    groups = cumulative_histogram(s, "epoch", "__neg").select(
+        "epoch", (-F.col("__neg")).alias("delegated_amount"), (F.col("n_before") + 1).alias("__first"),
+        F.col("n").alias("__n"), (-F.col("sum_all")).alias("__all"),
+        (-F.col("sum_before") + F.coalesce(-F.col("__neg").cast("decimal(20,0)") * n, F.lit(0))).alias("__cum"))
+    tot = groups.groupBy("epoch").agg(F.max("__all").alias("active_stake"))
     th = ds.governance_params.select("epoch", F.col(threshold).alias("threshold"))
     need = tot.join(F.broadcast(th), "epoch", "left")
     goal = F.col("threshold") * F.col("active_stake").cast("double")
@@ -652,19 +676,27 @@ def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD,
 
 def p5_1_cc_time_to_decision(ds: Datasets) -> DataFrame:
     c = ds.cc_vote_details
-    m = _count_and_median(c, "action_epoch", F.col("time_to_vote_seconds"), "cc_votes", "__med")
+    m = count_and_median(c, "action_epoch", F.col("time_to_vote_seconds"), "cc_votes", "__med")
     return m.select(F.col("action_epoch").alias("epoch"), "cc_votes",
                     (F.col("__med") / F.lit(86400.0)).alias("median_days_to_vote"))
 
 
 def p5_2_cc_member_participation(ds: Datasets) -> DataFrame:
+    """Per committee member: actions voted on, of all actions. Members of the
+    roster that never voted are rows with 0; a voting hot key that no
+    registration maps to a member is a row of its own (cold_key NULL)."""
     c = ds.cc_vote_details
     total = ds.tables.gov_action_proposal.select(
         F.count_distinct("tx_hash", "idx")).scalar()
-    per = c.groupBy("cold_key").agg(
+    unmapped = F.when(F.col("cold_key").isNull(), F.col("voter_hash"))
+    per = c.groupBy("cold_key", unmapped.alias("hot_key")).agg(
         F.count_distinct("gov_action_tx_hash", "gov_action_index").alias("actions_voted"))
-    return per.select("cold_key", "actions_voted", total.cast("long").alias("total_actions"),
-                      pct("actions_voted", total).alias("participation_pct"))
+    roster = ds.tables.committee_member.filter(F.col("hash").isNotNull()).select(F.col("hash").alias("cold_key")).distinct()
+    silent = roster.join(per.select("cold_key"), "cold_key", "left_anti").select(
+        "cold_key", F.lit(None).cast("string").alias("hot_key"), F.lit(0).cast("long").alias("actions_voted"))
+    return per.unionByName(silent).select(
+        "cold_key", "hot_key", "actions_voted", total.cast("long").alias("total_actions"),
+        pct("actions_voted", total).alias("participation_pct"))
 
 
 def p5_3_cc_abstain_rate(ds: Datasets) -> DataFrame:

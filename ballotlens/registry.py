@@ -128,7 +128,43 @@ def _stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dataset(spark, out, "delegation_events")
 
 
+def _refreshed(name: str) -> Query:
+    """A stored dataset after its epochs were refreshed one by one, as a
+    stream does that sees one epoch at a time: equal to a full rebuild."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ballotlens.plans.job import extract_all, read_dataset
+        from ballotlens.streaming.incremental import refresh_epochs
+        out, t = _fresh_dir(spark, "refresh"), Tables.from_fixtures(spark, sf_dir)
+        extract_all(spark, t, out, only=[name], settled_through=510)
+        epochs, _ = E.plan_run(t)
+        middle = len(epochs) // 2
+        refresh_epochs(spark, t, out, [name], epochs[middle:])
+        refresh_epochs(spark, t, out, [name], epochs[:middle])
+        refresh_epochs(spark, t, out, [name], epochs[-1:])
+        return read_dataset(spark, out, name)
+    return run
+
+
+def _snk6_all(full: bool) -> Query:
+    """SNK6: every dataset built by the job, twice (incremental, or full);
+    rows and computed epochs per dataset."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from functools import reduce
+        from ballotlens.plans.job import extract_all, read_dataset
+        out, t = _fresh_dir(spark, "snk6"), Tables.from_fixtures(spark, sf_dir)
+        extract_all(spark, t, out, settled_through=510)
+        extract_all(spark, t, out, full=full)
+        counts = [read_dataset(spark, out, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows")
+                  for n in D.DATASETS]
+        return reduce(lambda a, b: a.unionByName(b), counts)
+    return run
+
+
 QUERIES.update({
+    "stream_epoch_summary_refreshed": _refreshed("epoch_summary"),
+    "stream_lifecycle_refreshed": _refreshed("gov_action_lifecycle"),
+    "snk6_all_incremental": _snk6_all(False),
+    "snk6_all_full": _snk6_all(True),
     "stream_delegation_events": _stream_refresh,
     "src1_exports_catalog": _src_exports,
     "snk1_drep_epoch_stats_written": _snk1_written,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import SparkSession
 
 # Settings every plan assumes. Time zone pins epoch-second conversions;
@@ -41,15 +43,22 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staged writes.
+    """Shared folder for lineage cuts and staged writes: the cluster's
+    ``spark.checkpoint.dir``.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) is a local default chosen and set on the session.
-    """
+    Only a local session (tests) may leave it unset: then a folder beside the
+    session's warehouse is set. On a cluster an unset folder is an error, and a
+    ``file:`` folder, which must then be a mount that all executors share, is
+    reported."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if not current:
-        import tempfile
-        current = tempfile.mkdtemp(prefix="ballotlens-ckpt-")
+        if not local:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    elif not local and (current.startswith("file:") or current.startswith("/")):
+        warnings.warn(f"spark.checkpoint.dir is {current}: every executor must see the same files there", stacklevel=2)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current

@@ -52,8 +52,10 @@ def read_parquet_dir(spark: SparkSession, path: str, schema: str | None = None)
         reader = reader.schema(schema)
     try:
         df = reader.parquet(path)
-    except AnalysisException:          # empty folder: nothing to infer
-        return None
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None                    # empty folder: nothing to infer
     if schema and not list_dirs(spark, path):
         # flat folder with a user schema still needs at least one file
         fs, p = _fs(spark, path)
@@ -69,22 +71,38 @@ def read_source_table(spark: SparkSession, source_dir: str, name: str) -> DataFr
     return df
 
 
+def missing_columns(name: str, df: DataFrame) -> list[str]:
+    """Columns that the plans read from export ``name`` and ``df`` lacks."""
+    spec = DERIVATIONS.get(name)
+    have = {c.lower() for c in df.columns}
+    return [] if spec is None else [n for n, _, _ in spec.columns if n.lower() not in have]
+
+
 def register_source_tables(spark: SparkSession, source_dir: str, prefix: str = "") -> list[str]:
-    """One temp view per table folder (hive-partitioned or flat); empty
-    folders register nothing. Returns the view names."""
+    """One temp view per table folder (hive-partitioned or flat) with all its
+    columns; empty folders register nothing, and a known table that lacks a
+    column we read is an error. Returns the view names."""
     names = []
     for name in list_dirs(spark, source_dir):
-        df = read_parquet_dir(spark, f"{source_dir}/{name}", source_schema(name))
-        if df is not None:
-            df.createOrReplaceTempView(prefix + name)
-            names.append(prefix + name)
+        df = read_parquet_dir(spark, f"{source_dir}/{name}")
+        if df is None:
+            continue
+        if lacking := missing_columns(name, df):
+            raise ValueError(f"export {name!r} lacks the column(s) {', '.join(lacking)}")
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
     return names
 
 
 def register_outputs(spark: SparkSession, output_dir: str) -> list[str]:
     """Every dataset folder under ``output_dir`` as a view (missing ones are
     skipped, not an error)."""
-    return register_source_tables(spark, output_dir)
+    names = []
+    for name in list_dirs(spark, output_dir):
+        if (df := read_parquet_dir(spark, f"{output_dir}/{name}")) is not None:
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    return names
 
 
 def register_kpi_views(spark: SparkSession, registry=None) -> list[str]:
@@ -94,7 +112,9 @@ def register_kpi_views(spark: SparkSession, registry=None) -> list[str]:
     for view_name, build in (registry or KPI_VIEWS):
         try:
             build(lambda n: spark.table(n)).createOrReplaceTempView(view_name)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+                raise
             continue                   # a dataset it needs is not written
         done.append(view_name)
     return done

@@ -333,9 +333,9 @@ def derive_spark(spark: SparkSession, sf_dir: str, name: str, read=None) -> Data
         epochs = read("orders").selectExpr(f"{_epoch('o_orderdate')} as epoch").distinct()
         if spec.expand == "EPOCHS_GOV":
             epochs = epochs.filter(F.col("epoch") >= GOV_START_EPOCH_FIXTURE)
-        # snapshot table = entity x epoch, as the spec defines it; the epoch
-        # side is one row per calendar quarter of the order dates (<= 28 rows)
-        src = src.crossJoin(F.broadcast(epochs))
+        # snapshot table: every entity in every epoch, one per calendar quarter
+        # of the order dates (<= 28): an array that each row is exploded over
+        src = src.withColumn("epoch", F.explode(epochs.agg(F.sort_array(F.collect_set("epoch"))).scalar()))
     if spec.where:
         src = src.filter(F.expr(spec.where))
     if spec.group_by:

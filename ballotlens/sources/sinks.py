@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ballotlens.sources.catalog import _fs, list_dirs, path_exists
 
-UNSETTLED_MARK = "_unsettled_epoch="
+UNSETTLED_MARK = "_unsettled_epoch_"     # no "=": a name with one would be read as a partition
 
 
 def layout(df: DataFrame, sort_keys: Sequence[str], partitions: int | None = None,

@@ -21,6 +21,16 @@ class Tables:
         self.spark = ensure_session(spark)
         self._loader = loader
         self._frames: dict[str, DataFrame] = {}
+        self._replaced: set[str] = set()
+        self._partitions: Callable[[str], list[int]] | None = None
+        self.plans: dict = {}           # epoch plans made so far, by their parameters
+
+    def partition_epochs(self, name: str) -> list[int] | None:
+        """Epochs that table ``name`` has partition folders for; None if it is
+        not a folder partitioned by epoch (no data is read)."""
+        if self._partitions is None or name in self._replaced:
+            return None
+        return self._partitions(name) or None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -36,6 +46,7 @@ class Tables:
         """Copy with some tables replaced (unit tests, incremental batches)."""
         t = Tables(self.spark, self._loader)
         t._frames = {**self._frames, **frames}
+        t._partitions, t._replaced = self._partitions, self._replaced | set(frames)
         return t
 
     @classmethod
@@ -61,8 +72,11 @@ class Tables:
     @classmethod
     def from_catalog(cls, spark: SparkSession, source_dir: str) -> "Tables":
         """Real exports: one directory per table (see ``catalog``)."""
-        from ballotlens.sources.catalog import read_source_table
-        return cls(spark, lambda name: read_source_table(spark, source_dir, name))
+        from ballotlens.sources.catalog import list_dirs, read_source_table
+        t = cls(spark, lambda name: read_source_table(spark, source_dir, name))
+        t._partitions = lambda name: sorted(int(d.split("=", 1)[1]) for d in list_dirs(spark, f"{source_dir}/{name}")
+                                            if d.startswith("epoch="))
+        return t
 
 
 __all__ = ["Tables", "GOV_TABLES"]

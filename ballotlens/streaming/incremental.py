@@ -6,9 +6,11 @@ arrive over time. A file stream over that folder, run with
 ``foreachBatch``, which
 
 1. takes the distinct epochs in the batch (bounded by the epoch count),
-2. recomputes the chosen datasets for exactly those epochs from the *whole*
-   source tables (partition-pruned reads), and
-3. replaces those epoch partitions (dynamic overwrite).
+2. recomputes the chosen datasets for those epochs from the *whole* source
+   tables (partition-pruned reads), and
+3. stores them by the rules of the extraction job (``job.maintain``): epoch
+   partitions are replaced, the action lifecycle is merged by key, and epochs
+   whose withdrawals were enacted are summed again.
 
 Step 2 reads the full epoch, not just the batch, so files of one epoch
 arriving in several batches still give the complete epoch; and a batch that
@@ -24,7 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ballotlens.plans import datasets as D
-from ballotlens.plans.job import SORT_KEYS, _with_epoch
+from ballotlens.plans.epochs import plan_run
+from ballotlens.plans.job import maintain
 from ballotlens.session import scratch_dir
 from ballotlens.sources import sinks
 from ballotlens.sources.catalog import source_schema
@@ -33,13 +36,18 @@ from ballotlens.sources.tables import Tables
 
 def refresh_epochs(spark: SparkSession, tables: Tables, out_dir: str, names: Sequence[str],
                    epochs: Sequence[int]) -> None:
-    """Recompute ``names`` for ``epochs`` and replace those partitions."""
+    """Bring ``names`` up to date for ``epochs``, by the same rules as a run
+    of the extraction job. More files of these epochs may follow, so they are
+    marked unsettled: the next run computes them once more."""
     epochs = sorted(set(int(e) for e in epochs))
     if not epochs:
         return
+    # only these two depend on the run's target epochs
+    targets = plan_run(tables)[0] if {"gov_action_lifecycle", "epoch_summary"} & set(names) else epochs
     for name in names:
-        df = _with_epoch(name, D.DATASETS[name](tables, epochs))
-        sinks.write_epochs(df, f"{out_dir}/{name}", SORT_KEYS[name])
+        computed = maintain(spark, tables, out_dir, name, epochs, targets)
+        if name != "gov_action_lifecycle" and computed:
+            sinks.set_unsettled_marks(spark, f"{out_dir}/{name}", [e for e in epochs if e in computed], [])
 
 
 def start_epoch_stream(spark: SparkSession, source_dir: str, trigger_table: str, out_dir: str,

@@ -128,9 +128,8 @@ def test_k1_5_churn_three_valued_logic(spark):
         ("c", "d1", "ADDR_KEYHASH", 5, 1), ("c", "d1", "SCRIPTHASH", 5, 2),    # same hash, other type: 1
         ("e", "d1", "ADDR_KEYHASH", 5, 1), ("e", "d1", "ADDR_KEYHASH", 5, 2),  # unchanged: 0
     ])
-    for chunk in (None, 1):                       # plain path and chunked path
-        r = K.k1_5_delegation_churn(ds({"delegation_events": ev}), chunk_rows=chunk).first()
-        assert (r.delegation_changes, r.addresses_changed) == (2, 2)
+    r = K.k1_5_delegation_churn(ds({"delegation_events": ev})).first()
+    assert (r.delegation_changes, r.addresses_changed) == (2, 2)
 
 
 def test_k1_8_inactive_rule(spark):
@@ -142,8 +141,8 @@ def test_k1_8_inactive_rule(spark):
 
 
 def test_gini_all_equal(spark):
-    s = spark.createDataFrame([(5, f"d{i}", "ADDR_KEYHASH", 10) for i in range(4)],
-                              "epoch int, drep_hash string, drep_type string, delegated_amount long")
+    s = spark.createDataFrame([(5, f"d{i}", "ADDR_KEYHASH", 10, "REGISTERED", None) for i in range(4)],
+                              "epoch int, drep_hash string, drep_type string, delegated_amount long, status string, active_until int")
     d = ds({"drep_epoch_stats": s})
     assert K.doc2_gini_sample(d).first().gini == -1.0
     assert abs(K.p2_1_drep_stake_gini(d).first().gini) < 1e-12
