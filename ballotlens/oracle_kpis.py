@@ -54,12 +54,12 @@ from ds_epoch_summary""")
 
 # delegations of an address numbered in order; each is compared with the one numbered before it
 _CHURN = """numbered as (
-  select address, epoch, drep_hash, drep_type, row_number() over (partition by address
+  select address, epoch, slot, drep_hash, drep_type, row_number() over (partition by address
     order by slot nulls last, epoch nulls last, drep_type nulls last, drep_hash nulls last, drep_id nulls last,
              credential nulls last) as i
   from ds_delegation_events),
 churn as (
-  select e.address, e.epoch, p.drep_hash as ph
+  select e.address, e.epoch, e.slot, p.drep_hash as ph
   from numbered e join numbered p on p.address is not distinct from e.address and p.i = e.i - 1
   where p.drep_hash is not null and (e.drep_hash <> p.drep_hash or e.drep_type <> p.drep_type))"""
 
@@ -113,7 +113,7 @@ group by r.epoch""", tables=["stake_registration", "delegation_vote"])
 
 _LATEST_VOTE = """lv_{n} as (
   select * from (
-    select voter_hash, gov_action_tx_hash, gov_action_index, vote, vote_epoch,
+    select voter_hash, gov_action_tx_hash, gov_action_index, vote, vote_epoch, vote_slot,
            row_number() over (partition by voter_hash, gov_action_tx_hash, gov_action_index
                               order by vote_slot desc, vote desc) as rn
     from ds_gov_action_votes where voter_type in ({types})) x
@@ -121,13 +121,13 @@ _LATEST_VOTE = """lv_{n} as (
 
 K["p1_7_post_vote_delegation_outflow"] = over_datasets(["delegation_events", "gov_action_votes"], f"""
 select lv.gov_action_tx_hash, lv.gov_action_index, lv.vote,
-  count(distinct lv.voter_hash) as dreps_with_outflow, cast(sum(ls.n) as bigint) as outflow_delegations,
-  cast(sum(ls.s) as bigint) as outflow_stake
+  count(distinct lv.voter_hash) as dreps_with_outflow, count(*) as outflow_delegations,
+  cast(sum((select sum(es.amount) from g_epoch_stake es where es.address = m.address and es.epoch = m.epoch)) as bigint)
+    as outflow_stake
 from lv_drep lv
-join (select c.ph as voter_hash, c.epoch, count(*) as n, sum(es.amount) as s
-      from churn c left join g_epoch_stake es on es.address = c.address and es.epoch = c.epoch
-      group by c.ph, c.epoch) ls
-  on ls.voter_hash = lv.voter_hash and ls.epoch between lv.vote_epoch and lv.vote_epoch + 2
+join (select ph, epoch, address, max(slot) as slot from churn group by ph, epoch, address) m
+  on m.ph = lv.voter_hash and m.epoch between lv.vote_epoch and lv.vote_epoch + 2
+ and (m.epoch > lv.vote_epoch or m.slot > lv.vote_slot)
 group by lv.gov_action_tx_hash, lv.gov_action_index, lv.vote""",
                                                        tables=["epoch_stake"],
                                                        ctes=[_CHURN, _LATEST_VOTE.format(n="drep", types=DREP)])

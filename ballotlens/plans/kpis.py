@@ -243,29 +243,36 @@ def _latest_drep_votes(ds: Datasets, voter_types=C.DREP_VOTER_TYPES) -> DataFram
     """Each voter's latest vote per action (by slot, then vote text)."""
     v = ds.gov_action_votes.filter(F.col("voter_type").isin(*voter_types))
     return D.latest_by(v, ["voter_hash", "gov_action_tx_hash", "gov_action_index"],
-                       ["vote_slot", "vote"], ["vote", "vote_epoch"])
+                       ["vote_slot", "vote"], ["vote", "vote_epoch", "vote_slot"])
 
 
 def p1_7_post_vote_delegation_outflow(ds: Datasets, z: int = OUTFLOW_EPOCHS) -> DataFrame:
-    """Per action and vote value: delegations that left a DRep with that
-    (latest) vote within ``z`` epochs after its vote, and their stake.
-    Leavers are aggregated per (DRep, epoch) first and the vote side is
-    expanded over its z+1 epochs, so the join is an equi-join with no
-    voter x delegator pairs."""
-    t = ds.tables
-    leave = churn_rows(ds).select(F.col("prev_drep_hash").alias("voter_hash"), "epoch", "address")
-    stake = t.epoch_stake.select("address", "epoch", "amount")
-    left_stake = (leave.join(stake, ["address", "epoch"], "left")
-                  .groupBy("voter_hash", "epoch")
-                  .agg(F.count(F.lit(1)).alias("__n"), F.sum("amount").alias("__s")))
-    votes = _latest_drep_votes(ds).select(
-        "voter_hash", "gov_action_tx_hash", "gov_action_index", "vote",
-        F.explode(F.sequence(F.col("vote_epoch"), F.col("vote_epoch") + z)).alias("epoch"))
-    j = votes.join(left_stake, ["voter_hash", "epoch"], "inner")
-    return (j.groupBy("gov_action_tx_hash", "gov_action_index", "vote")
-             .agg(F.count_distinct("voter_hash").alias("dreps_with_outflow"),
-                  F.sum("__n").alias("outflow_delegations"),
-                  F.sum("__s").cast("long").alias("outflow_stake")))
+    """Per action and vote value: delegators that left a DRep with that
+    (latest) vote after the vote, within ``z`` epochs, and their stake. An
+    address that leaves a DRep several times in an epoch counts once, by its
+    last move.
+
+    Votes are expanded over their z+1 epochs and laid among the leavers of the
+    same DRep and epoch; a running sum from the last slot down gives each vote
+    what left after it, so there are no voter x delegator pairs."""
+    leave = (churn_rows(ds).groupBy(F.col("prev_drep_hash").alias("voter_hash"), "epoch", "address")
+             .agg(F.max("slot").alias("slot")))
+    stake = D.in_epochs(ds.tables.epoch_stake, ds.epochs).select("address", "epoch", "amount")
+    action = ["gov_action_tx_hash", "gov_action_index", "vote"]
+    left = (leave.join(stake, ["address", "epoch"], "left")
+            .select("voter_hash", "epoch", "slot", F.lit(1).alias("__n"), "amount"))
+    votes = (_latest_drep_votes(ds)
+             .withColumn("epoch", F.explode(F.sequence(F.col("vote_epoch"), F.col("vote_epoch") + z)))
+             .withColumn("slot", F.when(F.col("epoch") == F.col("vote_epoch"), F.col("vote_slot")).otherwise(F.lit(-1))))
+    later = (Window.partitionBy("voter_hash", "epoch").orderBy(F.desc("slot"))
+             .rangeBetween(Window.unboundedPreceding, -1))
+    j = (votes.select("voter_hash", "epoch", "slot", *action).unionByName(left, allowMissingColumns=True)
+         .select(*action, "voter_hash", F.col("__n").isNull().alias("__vote"),
+                 F.sum("__n").over(later).alias("__moves"), F.sum("amount").over(later).alias("__stake"))
+         .filter(F.col("__vote") & (F.col("__moves") > 0)))
+    return j.groupBy(*action).agg(F.count_distinct("voter_hash").alias("dreps_with_outflow"),
+                                  F.sum("__moves").alias("outflow_delegations"),
+                                  F.sum("__stake").cast("long").alias("outflow_stake"))
 
 
 # ================================================================ P2 =======
