@@ -80,7 +80,7 @@ DS1_TABLES = ["drep_dist", "drep", "drep_registration", "voting_procedure"]
 # owners: unnested from the pool's newest certificate; stance: the newest default delegation of a credential
 _DS2_CTES = [
     """owner_of as (
-  select k.pool_id, unnest(cast((select c.pool_owners from g_pool_registration c where c.pool_id = k.pool_id
+  select k.pool_id, unnest(try_cast((select c.pool_owners from g_pool_registration c where c.pool_id = k.pool_id
       order by c.slot desc, c.tx_index desc, c.cert_index desc limit 1) as varchar[])) as who
   from (select distinct pool_id from g_pool_registration) k)""",
     """stance_of as (
@@ -131,7 +131,7 @@ DS3_TABLES = ["voting_procedure", "gov_action_proposal"]
 def _stats_cols(src: str) -> str:
     cols = []
     for key, typ in C.VOTING_STATS_FIELDS:
-        txt = f"json_extract_string({src}, '$.{key}')"
+        txt = f"json_extract_string(case when json_valid({src}) then {src} end, '$.{key}')"
         if typ == "double":
             cols.append(f"cast({txt} as double) as {key}")
         else:
@@ -296,7 +296,7 @@ where default_stance is not null"""),
   cast(gov_action_index as int) as gov_action_index, cast(epoch as int) as epoch, status,
   {_stats_cols('voting_stats')}
 from g_gov_action_proposal_status"""),
-    "ds4d_json_rejects": _with(["gov_action_proposal_status", "epoch_param"], body="""
+    "ds4d_json_rejects": _with(["gov_action_proposal_status", "epoch_param", "pool_registration"], body="""
 select 'gov_action_proposal_status' as source_table, 'voting_stats' as json_column, count(*) as rows,
   cast(sum(case when voting_stats is not null and not json_valid(voting_stats) then 1 else 0 end) as bigint)
     as rejected_rows
@@ -304,7 +304,11 @@ from g_gov_action_proposal_status
 union all
 select 'epoch_param', 'params', count(*),
   cast(sum(case when params is not null and not json_valid(params) then 1 else 0 end) as bigint)
-from g_epoch_param"""),
+from g_epoch_param
+union all
+select 'pool_registration', 'pool_owners', count(*),
+  cast(sum(case when pool_owners is not null and try_cast(pool_owners as varchar[]) is null then 1 else 0 end) as bigint)
+from g_pool_registration"""),
     "ds5g_cc_range_join": _ds(DS5_TABLES, [], f"""select cast(a.epoch as int) as epoch, {_CC_COUNT} as cc_member_count
 from g_adapot a where a.epoch in (select epoch from tgt)"""),
 }

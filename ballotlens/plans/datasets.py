@@ -387,7 +387,10 @@ def json_rejects(t: Tables) -> DataFrame:
     params = t.epoch_param.select(
         F.lit("epoch_param").alias("source_table"), F.lit("params").alias("json_column"),
         (F.col("params").isNotNull() & F.from_json("params", "map<string,string>").isNull()).alias("__bad"))
-    return (stats.unionByName(params).groupBy("source_table", "json_column")
+    owners = t.pool_registration.select(
+        F.lit("pool_registration").alias("source_table"), F.lit("pool_owners").alias("json_column"),
+        (F.col("pool_owners").isNotNull() & F.from_json("pool_owners", "array<string>").isNull()).alias("__bad"))
+    return (stats.unionByName(params).unionByName(owners).groupBy("source_table", "json_column")
             .agg(F.count(F.lit(1)).alias("rows"), F.count_if("__bad").alias("rejected_rows")))
 
 

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ballotlens import constants as C
+
 # --- expression helpers (FIXTURES.md shorthand, expanded) -------------------
 
 
@@ -60,9 +62,9 @@ def _voting_stats() -> str:
         ("cc_no", f"{_div_int(ok, 50)}%3"),
         ("cc_abstain", "k"),
         ("cc_do_not_vote", "4-k"),
-        ("cc_approval_ratio", "'0.625'"),
-        ("drep_approval_ratio", "'0.75'"),
-        ("spo_approval_ratio", "'0.9'"),
+        ("cc_approval_ratio", f"concat('0.',100+{ok}%899)"),
+        ("drep_approval_ratio", f"concat('0.',100+{_div_int(ok, 50)}%811)"),
+        ("spo_approval_ratio", f"concat('0.',100+{_div_int(ok, 50)}%613)"),
         ("drep_yes_vote_stake", f"1000000000000+{ok}*1000003+k"),
         ("drep_no_vote_stake", f"300000000000+{ok}*7919"),
         ("drep_abstain_vote_stake", f"case when {ok}%550=0 then 'null' else '50000000000' end"),
@@ -80,15 +82,8 @@ def _voting_stats() -> str:
         ("spo_total_no_stake", f"110000000000+{ok}"),
         ("spo_total_abstain_stake", f"10000000+{ok}"),
     ]
-    return f"case when {ok}%350=0 then null else {_json_object(pairs)} end"
-
-
-# Threshold groups in the params JSON (name suffixes, in document order).
-_PVT = ["motion_no_confidence", "committee_normal", "committee_no_confidence",
-        "hard_fork_initiation", "ppsecurity_group"]
-_DVT = ["motion_no_confidence", "committee_normal", "committee_no_confidence",
-        "update_to_constitution", "hard_fork_initiation", "ppnetwork_group",
-        "ppeconomic_group", "pptechnical_group", "ppgov_group", "treasury_withdrawal"]
+    return (f"case when {ok}%350=0 then null when {ok}%850=0 then '{{\"cc_yes\": 1, broken' "
+            f"else {_json_object(pairs)} end")
 
 
 def _params() -> str:
@@ -98,8 +93,8 @@ def _params() -> str:
             ("denominator", f"case when (epoch+{i})%17=0 then 0 else 100 end"),
         ])
 
-    pvt = _json_object([(f"pvt_{n}", ratio(i)) for i, n in enumerate(_PVT)])
-    dvt = _json_object([(f"dvt_{n}", ratio(i)) for i, n in enumerate(_DVT)])
+    pvt = _json_object([(key, ratio(i)) for i, (key, _) in enumerate(C.POOL_THRESHOLDS)])
+    dvt = _json_object([(key, ratio(i)) for i, (key, _) in enumerate(C.DREP_THRESHOLDS)])
     return _json_object([
         ("drep_deposit", "500000000+epoch"),
         ("gov_action_deposit", "100000000000"),
@@ -125,24 +120,33 @@ class Derivation:
     notes: str = field(default="")
 
 
-_GA_KEY = "o_orderkey%50=0 and o_orderkey%1050<>0"
+# One governance action per 50 successive order keys, aggregated over their
+# orders: (key, aggregate) of the grouped source "orders50".
+ORDERS50_KEY = _div_int("o_orderkey", 50)
+ORDERS50 = (
+    ("o_orderkey", f"{ORDERS50_KEY}*50"),
+    ("o_orderdate", "max_by(o_orderdate, (o_orderkey*7)%50)"),
+    ("o_custkey", "min(o_custkey)"),
+    ("n_orders", "count(*)"),
+)
 _DREP_SET = "(j=0 or (j=1 and c_custkey%3=0) or (j=2 and c_custkey%4=0))"
 GOV_START_EPOCH_FIXTURE = 502
 
 DERIVATIONS: dict[str, Derivation] = {
-    "gov_action_proposal": Derivation("orders", (
+    "gov_action_proposal": Derivation("orders50", (
         ("tx_hash", "string", "concat('ga',o_orderkey)"),
         ("idx", "int", f"{_div_int('o_orderkey', 50)}%2"),
         ("type", "string", _ACTION_TYPE),
-        ("deposit", "bigint", "100000000000"),
+        ("deposit", "bigint", "100000000000+n_orders"),
         ("return_address", "string", "concat('stake',o_custkey%20)"),
         ("anchor_url", "string", "case when o_orderkey%4=0 then concat('u',o_orderkey) end"),
         ("epoch", "int", _epoch("o_orderdate")),
         ("slot", "bigint", f"{_day('o_orderdate')}*86400+o_orderkey"),
         ("block_time", "timestamp", "o_orderdate"),
-    ), where=_GA_KEY),
-    "gov_action_proposal_status": Derivation("orders", (
-        ("gov_action_tx_hash", "string", "concat('ga',o_orderkey)"),
+    )),
+    # every sixth action has no status: its rows name an unknown one
+    "gov_action_proposal_status": Derivation("orders50", (
+        ("gov_action_tx_hash", "string", "concat(case when o_orderkey%300=0 then 'none' else 'ga' end,o_orderkey)"),
         ("gov_action_index", "int", f"{_div_int('o_orderkey', 50)}%2"),
         ("type", "string", _ACTION_TYPE),
         ("status", "string",
@@ -151,7 +155,7 @@ DERIVATIONS: dict[str, Derivation] = {
          "when 3 then 'DROPPED' else 'ACTIVE' end end"),
         ("voting_stats", "string", _voting_stats()),
         ("epoch", "int", f"{_epoch('o_orderdate')}+k-1"),
-    ), where=f"{_GA_KEY} and o_orderkey%300<>0", expand="K"),
+    ), expand="K"),
     "voting_procedure": Derivation("lineitem", (
         ("tx_hash", "string", "concat('v',l_orderkey,'-',l_linenumber,'-',l_partkey)"),
         ("idx", "int", "l_linenumber"),
@@ -164,7 +168,9 @@ DERIVATIONS: dict[str, Derivation] = {
         ("voter_hash", "string",
          "case when l_linenumber<=4 then concat('d',(l_partkey%300)*5) "
          "when l_linenumber<=6 then concat('p',l_suppkey) else concat('hot',l_suppkey%7) end"),
-        ("gov_action_tx_hash", "string", "concat('ga',l_orderkey-l_orderkey%50)"),
+        # votes on one action in 21 name an unknown one
+        ("gov_action_tx_hash", "string", f"concat(case when {_div_int('l_orderkey', 50)}%21=0 then 'lost' else 'ga' end,"
+                                         "l_orderkey-l_orderkey%50)"),
         ("gov_action_index", "int", f"{_div_int('(l_orderkey-l_orderkey%50)', 50)}%2"),
         ("vote", "string", "case l_returnflag when 'N' then 'YES' when 'R' then 'NO' else 'ABSTAIN' end"),
         ("anchor_url", "string", "case when l_linestatus='F' then concat('u',l_orderkey) end"),
@@ -173,24 +179,26 @@ DERIVATIONS: dict[str, Derivation] = {
         ("block_time", "timestamp", "l_shipdate"),
     )),
     "drep": Derivation("customer", (
-        ("drep_hash", "string", "concat('d',c_custkey)"),
+        ("drep_hash", "string", "concat(case when c_custkey<=5 then 'x' else 'd' end,c_custkey)"),
         ("status", "string", "case j when 0 then 'REGISTERED' when 1 then 'UPDATED' else 'RETIRED' end"),
         ("epoch", "int", "500+c_custkey%10+j*8"),
         ("slot", "bigint", "(500+c_custkey%10+j*8)*432000+c_custkey%1000"),
         ("tx_index", "int", "c_custkey%9"),
         ("cert_index", "int", "j"),
-    ), where=f"c_custkey%5=0 and c_custkey>5 and {_DREP_SET}", expand="J"),
+    ), where=_DREP_SET, expand="J"),
     "drep_registration": Derivation("customer", (
         ("type", "string",
          "case j when 0 then 'REG_DREP_CERT' when 1 then 'UPDATE_DREP_CERT' else 'UNREG_DREP_CERT' end"),
-        ("drep_hash", "string", "concat('d',c_custkey)"),
+        ("drep_hash", "string", "concat(case when c_custkey<=10 then 'x' else 'd' end,c_custkey)"),
         ("anchor_url", "string", "case when j<2 and (c_custkey+j)%2=0 then concat('m',c_custkey) end"),
         ("epoch", "int", "500+c_custkey%10+j*8"),
         ("slot", "bigint", "(500+c_custkey%10+j*8)*432000+c_custkey%1000"),
         ("tx_index", "int", "c_custkey%9"),
         ("cert_index", "int", "j"),
-        ("block_time", "timestamp", "timestamp '2024-01-01 00:00:00'"),
-    ), where=f"c_custkey%5=0 and c_custkey>10 and {_DREP_SET}", expand="J"),
+        ("block_time", "timestamp", "case c_custkey%4 when 0 then timestamp '2024-01-01 00:00:00' "
+         "when 1 then timestamp '2024-02-29 23:59:59' when 2 then timestamp '2024-07-15 12:00:00' "
+         "else timestamp '2023-12-31 23:59:59' end"),
+    ), where=_DREP_SET, expand="J"),
     "drep_dist": Derivation("customer", (
         ("drep_hash", "string", "case when c_custkey in (0,5) then null else concat('d',c_custkey) end"),
         ("drep_type", "string",
@@ -201,7 +209,7 @@ DERIVATIONS: dict[str, Derivation] = {
         ("epoch", "int", "epoch"),
         ("active_until", "int", "case when c_custkey<=5 then null else epoch+c_custkey%7-2 end"),
         ("expiry", "int", "case when c_custkey<=5 then null else epoch+c_custkey%7+18 end"),
-    ), where="c_custkey%5=0", expand="EPOCHS_GOV"),
+    ), expand="EPOCHS_GOV"),
     "delegation_vote": Derivation("events", (
         ("tx_hash", "string", "concat('e',event_id)"),
         ("cert_index", "int", "0"),
@@ -225,14 +233,14 @@ DERIVATIONS: dict[str, Derivation] = {
         ("threshold", "double", "case n_nationkey when 0 then 0.6 else 0.67 end"),
         ("epoch", "int", "500+n_nationkey*10"),
         ("slot", "bigint", "n_nationkey"),
-    ), where="n_nationkey<2"),
+    )),
     "committee_member": Derivation("nation", (
         ("hash", "string", "concat('cold',n_nationkey%7)"),
         ("start_epoch", "int", "500+n_nationkey"),
         ("expired_epoch", "int", "case when n_nationkey%3=0 then null else 510+n_nationkey end"),
         ("epoch", "int", "500+n_nationkey"),
         ("slot", "bigint", "n_nationkey"),
-    ), where="n_nationkey<12"),
+    )),
     "committee_registration": Derivation("nation", (
         ("cold_key", "string", "concat('cold',n_nationkey)"),
         ("hot_key", "string", "concat('hot',n_nationkey%5)"),
@@ -240,7 +248,7 @@ DERIVATIONS: dict[str, Derivation] = {
         ("slot", "bigint", "n_nationkey*10"),
         ("tx_index", "int", "0"),
         ("cert_index", "int", "0"),
-    ), where="n_nationkey<10"),
+    )),
     "epoch_param": Derivation("EPOCHS", (
         ("epoch", "int", "epoch"),
         ("params", "string", _params()),
@@ -259,21 +267,22 @@ DERIVATIONS: dict[str, Derivation] = {
         ("amount", "decimal(38,0)", "cast(floor(abs(c_acctbal)*1000000) as bigint)+epoch"),
         ("pool_id", "string", "concat('p',c_custkey%40)"),
     ), expand="EPOCHS"),
+    # four lifecycle events per pool, in different epochs
     "pool": Derivation("supplier", (
         ("pool_id", "string", "concat('p',s_suppkey)"),
         ("status", "string",
-         f"case (s_suppkey+{_div_int('epoch', 4)})%4 when 0 then 'REGISTRATION' "
+         "case (s_suppkey+k)%4 when 0 then 'REGISTRATION' "
          "when 1 then 'UPDATE' when 2 then 'RETIRING' else 'RETIRED' end"),
         ("amount", "decimal(38,0)", "cast(floor(abs(s_acctbal)*1000000) as bigint)"),
-        ("epoch", "int", "epoch"),
-        ("slot", "bigint", "epoch*432000+s_suppkey"),
+        ("epoch", "int", "500+(s_suppkey*5+k*7)%28"),
+        ("slot", "bigint", "(500+(s_suppkey*5+k*7)%28)*432000+s_suppkey"),
         ("tx_index", "int", "0"),
         ("cert_index", "int", "0"),
-    ), where="(s_suppkey+epoch)%4=0", expand="EPOCHS"),
+    ), expand="K"),
     "pool_registration": Derivation("supplier", (
         ("pool_id", "string", "concat('p',s_suppkey)"),
         ("pool_owners", "string",
-         "case when s_suppkey%10=9 then '[]' else "
+         "case when s_suppkey%10=9 then '[]' when s_suppkey%13=0 then 'no list' else "
          "concat('[\"cred',s_suppkey+j,'\", \"cred',s_suppkey+7,'\"]') end"),
         ("epoch", "int", "500+j*6"),
         ("slot", "bigint", "(500+j*6)*432000+s_suppkey"),
@@ -290,7 +299,7 @@ DERIVATIONS: dict[str, Derivation] = {
     "transaction": Derivation("lineitem", (
         ("tx_hash", "string", "concat('t',l_orderkey,'-',l_linenumber,'-',l_partkey)"),
         ("epoch", "int", _epoch("l_shipdate")),
-    ), where="l_linenumber<=2"),
+    )),
     "stake_registration": Derivation("customer", (
         ("tx_hash", "string", "concat('r',c_custkey)"),
         ("type", "string", "'STAKE_REGISTRATION'"),
@@ -323,6 +332,9 @@ def derive_spark(spark: SparkSession, sf_dir: str, name: str, read=None) -> Data
     read = read or (lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
     if spec.source == "EPOCHS":
         src = read("orders").selectExpr(f"{_epoch('o_orderdate')} as epoch").distinct()
+    elif spec.source == "orders50":
+        key, *aggs = ORDERS50
+        src = read("orders").groupBy(F.expr(key[1]).alias(key[0])).agg(*[F.expr(e).alias(n) for n, e in aggs])
     else:
         src = read(spec.source)
     if spec.expand in ("K", "J"):
@@ -354,6 +366,8 @@ def derive_duckdb_sql(name: str) -> str:
     cols = ", ".join(_col_sql(*c) for c in spec.columns)
     if spec.source == "EPOCHS":
         frm = "g_epochs"
+    elif spec.source == "orders50":
+        frm = "(select " + ", ".join(f"{e} as {n}" for n, e in ORDERS50) + f" from orders group by {ORDERS50[0][1]}) o"
     else:
         frm = spec.source
     if spec.expand in ("K", "J"):
