@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ballotlens.session import scratch_dir
 
 SHINGLE_WORDS = 5
-CHUNK_BYTES = 2 << 20       # bytes of text hashed in one numpy pass
+CHUNK_BYTES = 1 << 20       # bytes of text hashed in one numpy pass
+BATCH_ROWS = 2000           # rows that Spark hands to a Python worker at once, at most
+BATCH_BYTES = 16 << 20      # bytes of them, about
 _U = np.uint64
 
 
@@ -34,10 +36,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands Python workers bounded batches: texts
+    are long, and a worker holds a batch and what is made of it."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = str(conf.get(name)).rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(name, str(most))
+    return df
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string) of any table; other columns are dropped, so
     that their names cannot clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 # ------------------------------------------------------- hashing of words
@@ -192,7 +206,7 @@ def shingle_set(text: str | None) -> np.ndarray:
 
 # ------------------------------------------------------- batches of texts
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -54,7 +54,7 @@ def _lengths(path: str):
 
 def length_histogram(docs: DataFrame, text_col: str = "text", ranks: str | None = None) -> DataFrame:
     """(n_tokens, documents): documents by encoded length."""
-    return (docs.select(F.col(text_col).cast("string").alias("text"))
+    return (C.small_batches(docs).select(F.col(text_col).cast("string").alias("text"))
             .mapInArrow(_lengths(ranks or default_ranks()), "n_tokens long, documents long")
             .groupBy("n_tokens").agg(F.sum("documents").alias("documents")))
 

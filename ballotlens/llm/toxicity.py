@@ -307,7 +307,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
         net, constant = None, float((y.sum() + 1) / (len(y) + 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in C.text_slices(batches, "text", 2 << 20):
+        for part in C.text_slices(batches, "text"):
             score = net.scores(part.column("text")) if net is not None else np.full(len(part), constant)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
@@ -323,7 +323,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", la
     net = train(texts, y, share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in C.text_slices(batches, text_col, 2 << 20):
+        for part in C.text_slices(batches, text_col):
             yield part.filter(pa.array(net.scores(part.column(text_col)) < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return C.small_batches(docs).mapInArrow(run, docs.schema)
