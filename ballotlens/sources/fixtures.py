@@ -124,7 +124,7 @@ class Derivation:
 # orders: (key, aggregate) of the grouped source "orders50".
 ORDERS50_KEY = _div_int("o_orderkey", 50)
 ORDERS50 = (
-    ("o_orderkey", f"{ORDERS50_KEY}*50"),
+    ("o_orderkey", f"cast({ORDERS50_KEY} as bigint)*50"),
     ("o_orderdate", "max_by(o_orderdate, (o_orderkey*7)%50)"),
     ("o_custkey", "min(o_custkey)"),
     ("n_orders", "count(*)"),
