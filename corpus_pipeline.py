@@ -34,7 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = found.filter("kept and rows > 1").select(F.col("doc_id").alias(C.unused_name(keyed, "again_id")))
     place = C.unused_name(keyed, "place")
     first = Window.partitionBy(key).orderBy(F.col("text").asc_nulls_last())
-    one = (keyed.join(again, F.col(key) == F.col(again.columns[0]), "left_semi")
+    # stored first, else the exact join would shuffle every text
+    maybe = C.stored(C.likely_among(keyed, key, again), "pipeline-repeated")
+    one = (maybe.join(again, F.col(key) == F.col(again.columns[0]), "left_semi")
            .withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1))
     return single.select(*docs.columns).union(one.select(*docs.columns))
 
