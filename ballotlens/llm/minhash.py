@@ -13,7 +13,7 @@ of a bucket:
    star), which joins most groups of near copies into one component;
 2. in buckets that still hold several components, classes of different
    components are compared by a longer min-max sketch (512 permutations, 1024
-   one-byte values) inside blocks of at most about 256 x 256 rows; pairs whose
+   one-byte values) inside blocks of at most about 1024 x 1024 rows; pairs whose
    sketches agree in 0.79 or more of the values (5.5 standard deviations below
    0.85) go on to the exact comparison.
 
@@ -43,7 +43,7 @@ BANDS, ROWS = 24, 5
 PERMUTATIONS = BANDS * ROWS // 2
 SKETCH_PERMUTATIONS = 512
 SKETCH_AGREE = 0.79
-BLOCK = 256             # rows of a bucket compared with as many others in one task
+BLOCK = 1024            # rows of a bucket compared with as many others in one task
 SALTS = 32              # parts into which the members of one centre are dealt
 LINK_NUM, LINK_DEN = 85, 100
 _U = np.uint64
