@@ -9,24 +9,21 @@ or more words of the passage.
    suffixes whose 35 words occur in one document only are left out. (A bitmap of
    fixed size, broadcast, spares their transport; the classes formed next are
    exact whatever it lets through.)
-2. The suffixes of a class (equal 35 words) are sorted by the words that
-   follow, and again by the words before, nearest first; the longest common
-   continuation of a suffix is that with one of its neighbours in that order.
-   Suffixes with equal surroundings are one row with their smallest and largest
-   doc_id, so a passage that a third of all documents share is one row as long
-   as its surroundings agree.
-3. Matches are extended left and right by up to 16 words each way, which
-   reaches the next retained suffix; those of 50 words or more are merged per
-   document into maximal spans.
+2. Every run of 50 words belongs to the retained suffix that is the minimiser
+   of its first 16 hashes, which is the same wherever the run occurs. A suffix
+   brings the hashes of its runs (at most 16, neighbours of each other), and a
+   run is repeated if its hash has two different doc_ids. Suffixes with equal
+   surroundings are one row with their smallest and largest doc_id, so a passage
+   that a third of all documents share is one row as long as its surroundings
+   agree; documents are only ever counted, never compared in pairs, so it does
+   not matter how often a document repeats a passage itself.
+3. The repeated runs are merged per document into maximal spans.
 
 Words are those of the near-duplicate operator (white space apart, A-Z like
-a-z), compared by 64-bit hashes in the 35 words and 32-bit hashes in the
-extensions. Offsets are word numbers from 0, ends are exclusive.
+a-z), compared by 64-bit hashes of 35 and 50 words. Offsets are word numbers from 0, ends are exclusive.
 
 Defined cases: null, empty and shorter texts have no spans; a passage that
-repeats only inside one doc_id (repeated rows included) is none; where a
-document repeats a passage itself, an extension may stop up to 16 words early;
-rows with a null doc_id take no part; an empty table gives an empty result;
+repeats only inside one doc_id (repeated rows included) is none; rows with a null doc_id take no part; an empty table gives an empty result;
 other columns are ignored."""
 
 from __future__ import annotations
@@ -43,7 +40,7 @@ from ballotlens.llm import common as C
 MIN_WORDS = 50
 GRAM, WINDOW = 8, 16                    # words of a hash, hashes of a minimiser window
 CORE = MIN_WORDS - WINDOW + 1           # 35 words certain to follow the first minimiser
-REACH = WINDOW                          # words of an extension
+REACH = WINDOW                          # words before and after the 35 that are told apart
 MAP_WORDS = 1 << 19                     # words of 64 bits in the bitmap
 _U = np.uint64
 _BASE = 0x2545F4914F6CDD1D
@@ -68,7 +65,13 @@ def minimisers(grams: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_sliding(np.concatenate([border, least, border]), WINDOW, np.maximum) == grams)
 
 
-def _core_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+def first_minimisers(grams: np.ndarray) -> np.ndarray:
+    """Position of the smallest hash (the first of equal ones) of each window."""
+    return np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1) + np.arange(len(grams) - WINDOW + 1)
+
+
+def _run_hashes(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` words from each position."""
     with np.errstate(over="ignore"):
         up = np.full(len(words) + 1, _BASE, _U)
         up[0] = 1
@@ -78,16 +81,17 @@ def _core_hashes(words: np.ndarray, at: np.ndarray) -> np.ndarray:
         down = np.cumprod(down, dtype=_U)
         total = np.zeros(len(words) + 1, _U)
         np.cumsum(words * up[:-1], out=total[1:])
-        return C.mix64((total[at + CORE] - total[at]) * down[at])
+        return C.mix64((total[at + width] - total[at]) * down[at])
 
 
 def _retained(part: pa.RecordBatch):
     """Word hashes, document and position (in all words of the batch) of each
-    retained suffix with its core hash, and the documents' word bounds."""
+    retained suffix with its core hash, the documents' word bounds, and the
+    hashes of 8 words."""
     data, offsets = C.text_buffers(part.column("text"))
     words, bounds = C.word_hashes(data, offsets)
     if len(words) < CORE:
-        return words, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U), bounds
+        return words, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U), bounds, np.zeros(0, _U)
     weight = C.seeded(GRAM, 31) | _U(1)
     with np.errstate(over="ignore"):
         grams = np.zeros(len(words) - GRAM + 1, _U)
@@ -98,27 +102,38 @@ def _retained(part: pa.RecordBatch):
     doc = np.searchsorted(bounds, at, side="right") - 1
     inside = at + CORE <= bounds[doc + 1]
     at, doc = at[inside], doc[inside]
-    return words, doc, at, _core_hashes(words, at), bounds
+    return words, doc, at, _run_hashes(words, at, CORE), bounds, grams
 
 
 def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in C.text_slices(batches, "text"):
-        _, doc, _, core, _ = _retained(part)
+        _, doc, _, core, _, _ = _retained(part)
         ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[doc]
         rows = np.unique(np.stack([core.view(np.int64), ids], axis=1), axis=0) if len(core) else np.zeros((0, 2), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["core", "doc_id"])
 
 
-def _binary(matrix: np.ndarray) -> pa.Array:
-    """One binary value per row."""
-    raw = np.ascontiguousarray(matrix)
-    offsets = np.arange(len(raw) + 1, dtype=np.int32) * np.int32(raw.shape[1] * raw.itemsize)
-    return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+def _runs(words: np.ndarray, at: np.ndarray, bounds: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """For each retained suffix the words by which its first run begins before
+    it, and the hashes of its runs, one word further each."""
+    if len(words) < MIN_WORDS:
+        return np.zeros(len(at), np.int64), pa.array([[]] * len(at), pa.list_(pa.int64()))
+    owner = first_minimisers(grams)[:len(words) - MIN_WORDS + 1]
+    start = np.arange(len(owner))
+    inside = start + MIN_WORDS <= bounds[np.searchsorted(bounds, start, side="right")]      # runs within one document
+    start, owner = start[inside], owner[inside]
+    begin, end = np.searchsorted(owner, at, side="left"), np.searchsorted(owner, at, side="right")
+    # the position after the last run of a document never belongs to one of the next, so the runs of a suffix are neighbours
+    left = np.where(end > begin, at - start[np.minimum(begin, len(start) - 1)], 0) if len(start) else np.zeros(len(at), np.int64)
+    own = np.isin(owner, at)
+    return left, pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32)),
+        pa.array(_run_hashes(words, start[own], MIN_WORDS).view(np.int64)))
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in C.text_slices(batches, "text"):
-        words, doc, at, core, bounds = _retained(part)
+        words, doc, at, core, bounds, grams = _retained(part)
         ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[doc]
         short = np.maximum(words >> _U(32), _U(1)).astype(np.uint32) if len(words) else np.zeros(1, np.uint32)
         near = np.arange(REACH)
@@ -128,40 +143,10 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.where(before >= bounds[doc][:, None], short[np.maximum(before, 0)], 0).astype(np.uint32)
         with np.errstate(over="ignore"):
             around = C.mix64((np.concatenate([before, after], axis=1).astype(_U) * C.seeded(2 * REACH, 33)).sum(axis=1, dtype=_U))
+        left, runs = _runs(words, at, bounds, grams)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids), pa.array(at - bounds[doc]), pa.array(core.view(np.int64)), pa.array(around.view(np.int64)),
-             _binary(before), _binary(after)], names=["doc_id", "at", "core", "around", "before", "after"])
-
-
-def _common(own: pa.Array, other: pa.Array, valid: np.ndarray) -> np.ndarray:
-    """Words that two contexts share from their start."""
-    decode = lambda a: np.frombuffer(b"".join(x if x is not None else b"\0" * 4 * REACH for x in a.to_pylist()),
-                                     np.uint32).reshape(len(a), REACH)
-    x, y = decode(own), decode(other)
-    differ = (x != y) | (x == 0)
-    n = np.where(differ.any(axis=1), differ.argmax(axis=1), REACH)
-    return np.where(valid, n, 0)
-
-
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not len(b):
-            continue
-        c = {n: b.column(n) for n in b.schema.names}
-        lo, hi = c["lo"].to_numpy(), c["hi"].to_numpy()
-        many, reach = lo < hi, {}
-        for side in ("before", "after"):
-            best = _common(c[side], c[side], many)              # equal surroundings elsewhere
-            for near in ("prev", "next"):
-                other_lo = c[f"{near}_{side}_lo"].fill_null(0).to_numpy()
-                other_hi = c[f"{near}_{side}_hi"].fill_null(0).to_numpy()
-                there = ~c[f"{near}_{side}"].is_null().to_numpy(zero_copy_only=False)
-                best = np.maximum(best, _common(c[side], c[f"{near}_{side}"],
-                                                there & (many | (other_lo < other_hi) | (lo != other_lo))))
-            reach[side] = best
-        yield pa.RecordBatch.from_arrays([c["core"], c["around"], pa.array(reach["before"].astype(np.int64)),
-                                          pa.array(reach["after"].astype(np.int64)), c["least"]],
-                                         names=["core", "around", "left", "right", "least"])
+             pa.array(left.astype(np.int64)), runs], names=["doc_id", "at", "core", "around", "left", "runs"])
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -175,25 +160,23 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
               .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi"))
     bitmap = C.stored(shared.groupBy(word("core").alias("map_word")).agg(F.bit_or(bit("core")).alias("map_bits")), "suffix-map")
     suffixes = C.stored(
-        texts.mapInArrow(_suffixes, "doc_id long, at long, core long, around long, before binary, after binary")
+        texts.mapInArrow(_suffixes, "doc_id long, at long, core long, around long, left long, runs array<long>")
         .join(F.broadcast(bitmap), word("core") == F.col("map_word"))           # at most MAP_WORDS rows
-        .filter(F.col("map_bits").bitwiseAND(bit("core")) != 0)
-        .select("doc_id", "at", "core", "around", "before", "after"), "suffixes")
-    rows = suffixes.groupBy("core", "around").agg(
-        F.first("before").alias("before"), F.first("after").alias("after"),
-        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    whole = Window.partitionBy("core")
-    columns = [F.min("lo").over(whole).alias("least"), F.max("hi").over(whole).alias("most")]
-    for side in ("after", "before"):
-        order = whole.orderBy(side, "around")
-        for near, step in (("prev", F.lag), ("next", F.lead)):
-            columns += [step(side).over(order).alias(f"{near}_{side}"), step("lo").over(order).alias(f"{near}_{side}_lo"),
-                        step("hi").over(order).alias(f"{near}_{side}_hi")]
-    extended = (rows.select("core", "around", "before", "after", "lo", "hi", *columns).filter("least < most")
-                .mapInArrow(_extend, "core long, around long, left long, right long, least long")
-                .filter(F.col("left") + F.col("right") >= MIN_WORDS - CORE))
+        .filter((F.col("map_bits").bitwiseAND(bit("core")) != 0) & (F.size("runs") > 0))
+        .select("doc_id", "at", "core", "around", "left", "runs"), "suffixes")
+    rows = suffixes.groupBy("core", "around").agg(F.first(F.struct("left", "runs")).alias("r"),
+                                                  F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    both = lambda key: [F.min("lo").over(key).alias("least"), F.max("hi").over(key).alias("most")]
+    # equal runs lie in one class, so one shuffle by core serves both windows
+    runs = (rows.select("core", "around", "r", "lo", "hi", *both(Window.partitionBy("core"))).filter("least < most")
+            .select("core", "around", "lo", "hi", "r.left", F.posexplode("r.runs").alias("place", "run"))
+            .select("core", "around", (F.col("left") - F.col("place")).alias("left"), *both(Window.partitionBy("core", "run")))
+            .filter("least < most"))
+    # all runs of a suffix hold its 35 words: together they are one span
+    extended = runs.groupBy("core", "around").agg(F.max("left").alias("left"), (MIN_WORDS - F.min("left")).alias("right"),
+                                                  F.min("least").alias("least"))
     spans = (suffixes.select("doc_id", "at", "core", "around").join(extended, ["core", "around"])
-             .groupBy("doc_id", (F.col("at") - F.col("left")).alias("a"), (F.col("at") + CORE + F.col("right")).alias("b"))
+             .groupBy("doc_id", (F.col("at") - F.col("left")).alias("a"), (F.col("at") + F.col("right")).alias("b"))
              .agg(F.min("least").alias("least")))
     order = Window.partitionBy("doc_id").orderBy("a", "b")
     before = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -116,6 +116,21 @@ def test_passages_equal_brute_force(spark):
     assert repeated_passages(frame(spark, [(1, shared[5]), (1, shared[5]), (2, "a b")])).count() == 0
 
 
+def test_passages_that_a_document_repeats_itself(spark):
+    rng = random.Random(31)
+    passage, longer = prose(rng, 52), prose(rng, 90)
+    often = " ".join(f"{prose(rng, 30)} {passage}" for _ in range(25))
+    rows = [(1, often), (2, f"{prose(rng, 40)} {passage} {prose(rng, 40)}"), (3, prose(rng, 200)),
+            (4, " ".join(f"{prose(rng, 7)} {longer}" for _ in range(12))), (5, prose(rng, 9) + " " + longer),
+            (6, " ".join(f"{longer[:300]} {prose(rng, 3)}" for _ in range(9))),
+            (7, " ".join(f"{prose(rng, 5)} {passage.rsplit(' ', 3)[0]}" for _ in range(9)))]
+    got = {}
+    for r in repeated_passages(frame(spark, rows)).collect():
+        got.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    want = brute_spans(rows)
+    assert got == want and len(want[1]) == 25 * 52 and 7 not in want
+
+
 def test_cut_spans():
     assert cut_spans("a bé c d", [(1, 3)]).split() == ["a", "d"] and cut_spans("a b", []) == "a b"
 
