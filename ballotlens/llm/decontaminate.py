@@ -1,10 +1,14 @@
 """Benchmark decontamination by SimHash over item-sized windows (DataFrame
 functions only).
 
-A window with any similarity to an item holds one of the item's 5-word
-shingles, so only windows that line such a shared shingle up with its place in
-the item are fingerprinted; windows left out have similarity 0. Each is as long
-as the item and gets a 64-bit SimHash of its shingles, as items do. A
+Of all windows of a document that are as long as an item, the best can be moved
+right, without getting worse, until its first shingle is one of the item's or
+the document ends. So the windows that begin at a shared 5-word shingle (or are
+the last of the document) hold the best one; those that line a shared shingle
+up with its place in the item are tried too and are preferred where equal. A
+window goes on only if it holds as many shared shingles as similarity 0.8
+needs; what is left out here is below 0.8 for certain. Each window gets a
+64-bit SimHash of its shingles, as items do. A
 multi-index of ten blocks finds every pair within Hamming distance 19: two
 fingerprints that close differ by at most one bit in at least one block, and
 items are posted under all values of a block within one bit. Pairs in reach
@@ -75,6 +79,32 @@ def near_keys(fingerprint: Column) -> Column:
                      for flip in [0] + [1 << k for k in range(BLOCK_BITS[i])]])
 
 
+def promising(texts: DataFrame, similarity: float) -> DataFrame:
+    """(body, n, p, place): windows of n words that hold the hit at p and shared
+    shingles enough for ``similarity``; place is (0 if lined up with an item,
+    else 1; first word). Texts come with their hits (p, qs), ordered by p."""
+    size = F.least("n", "m") - N + 1                                # shingles of a window
+    last = F.greatest(F.col("m") - F.col("n"), F.lit(0))
+    # c shared shingles give a similarity of c / (both sizes - c) at most
+    need = F.greatest(F.ceil(similarity * (size + F.col("n") - N + 1) / (1 + similarity) - 1e-9).cast("int"), F.lit(1))
+    texts = texts.select("body", "n", "hits", F.col("hits.p").alias("at"), size.alias("size"), last.alias("last"),
+                         need.alias("need")).filter(F.size("hits") >= F.col("need"))
+
+    def holds(start: Column, i: Column) -> Column:
+        """Whether the window from start, which holds hit i, holds ``need`` hits."""
+        return F.exists(F.sequence(F.greatest(i - F.col("size"), F.lit(0)), i), lambda j: F.coalesce(
+            (F.get("at", j) >= start) & (F.get("at", j + F.col("need") - 1) < start + F.col("size")), F.lit(False)))
+
+    def starts(hit: Column, i: Column) -> Column:
+        clamp = lambda x: F.greatest(F.least(x, F.col("last")), F.lit(0))
+        lined = F.transform(hit["qs"], lambda q: F.struct(F.lit(0).alias("other"), clamp(hit["p"] - q).alias("start")))
+        tried = F.concat(lined, F.array(F.struct(F.lit(1).alias("other"), clamp(hit["p"]).alias("start"))))
+        return F.transform(F.filter(tried, lambda t: holds(t["start"], i)), lambda t: F.struct(hit["p"].alias("p"), t.alias("place")))
+
+    return (texts.select("body", "n", F.explode(F.flatten(F.transform("hits", starts))).alias("x"))
+            .groupBy("body", "n", "x.place").agg(F.min("x.p").alias("p")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
@@ -85,17 +115,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .filter(F.size("w") >= N).dropDuplicates(["item_id", "w"])
         .select(F.xxhash64("item_id", "w").alias("item"), "item_id", "w", F.size("w").alias("n"))
         .select("*", simhash(shingle_hashes(F.col("w"))).alias("item_print")), "benchmark-items")
-    places = items.select("n", F.posexplode(shingle_hashes(F.col("w"))).alias("q", "shingle")).distinct()
+    places = (items.select("n", F.posexplode(shingle_hashes(F.col("w"))).alias("q", "shingle"))
+              .groupBy("n", "shingle").agg(F.collect_set("q").alias("qs")))
     if places.count() <= BROADCAST_SHINGLES:
         places = F.broadcast(places)
     text = C.id_text(docs, id_col, text_col).select("doc_id", words(F.col("text")).alias("words"))
-    hits = (text.select("doc_id", "words", F.posexplode(shingle_hashes(F.col("words"))).alias("p", "shingle"))
-            .join(places, "shingle")
-            .withColumn("start", F.greatest(F.least(F.col("p") - F.col("q"), F.size("words") - F.col("n")), F.lit(0)))
-            .select("doc_id", "n", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("w"))
-            .withColumn("window", F.xxhash64("n", "w")))
-    # hits of one document lie in one partition: the partial aggregation leaves one row per window
-    found = C.stored(hits.groupBy("doc_id", "window", "n").agg(F.min("start").alias("start"), F.first("w").alias("w")),
+    # near: the words of all windows that hold the hit
+    hits = C.stored(text.select("doc_id", "words", F.xxhash64("words").alias("body"))
+                    .select("doc_id", "words", "body", F.posexplode(shingle_hashes(F.col("words"))).alias("p", "shingle"))
+                    .join(places, "shingle").withColumn("origin", F.greatest(F.col("p") - F.col("n"), F.lit(0)))
+                    .select("doc_id", "body", "n", F.size("words").alias("m"), "p", "qs", "origin",
+                            F.slice("words", F.col("origin") + 1, 2 * F.col("n")).alias("near")), "benchmark-hits")
+    good = hits.groupBy("body", "n", "m").agg(F.array_sort(F.collect_set(F.struct("p", "qs"))).alias("hits"))
+    found = (promising(good, similarity).join(hits.drop("m", "qs"), ["body", "n", "p"])
+             .select("doc_id", "n", "place", F.slice("near", F.col("place.start") - F.col("origin") + 1, F.col("n")).alias("w"))
+             .withColumn("window", F.xxhash64("n", "w")))
+    found = C.stored(found.groupBy("doc_id", "window", "n").agg(F.min("place").alias("place"), F.first("w").alias("w")),
                      "benchmark-windows")
     windows = C.stored(found.groupBy("window", "n").agg(F.first("w").alias("w"))
                        .select("*", simhash(shingle_hashes(F.col("w"))).alias("window_print")), "benchmark-prints")
@@ -111,8 +146,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                .join(size(windows, "window"), "window").join(size(items, "item"), "item")
                .withColumn("similarity", F.col("both") / (F.col("n_window") + F.col("n_item") - F.col("both")))
                .filter(F.col("similarity") >= similarity))
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("back")))
-    return (found.select("doc_id", "window", "start").join(similar.select("window", "item", "similarity"), "window")
+    best = F.max(F.struct("similarity", (-F.col("place.other")).alias("lined"), (-F.col("place.start")).alias("back")))
+    return (found.select("doc_id", "window", "place").join(similar.select("window", "item", "similarity"), "window")
             .join(items.select("item", "item_id"), "item").groupBy("doc_id", "item_id").agg(best.alias("best"))
             .select("doc_id", "item_id", F.col("best.similarity").alias("similarity"),
                     (-F.col("best.back")).cast("long").alias("start_word")))

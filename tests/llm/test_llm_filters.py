@@ -176,6 +176,41 @@ def test_decontamination_equals_brute_force(spark):
     assert contaminated(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def best_windows(rows, items, least=0.8):
+    want = {}
+    for i, t in rows:
+        w = windows_of(t)
+        for k, item in items:
+            v = windows_of(item)
+            best = max(similarity(w[a:a + len(v)], v) for a in range(max(1, len(w) - len(v) + 1)))
+            if best >= least:
+                want[i, k] = best
+    return want
+
+
+def test_decontamination_of_trimmed_items_with_insertions(spark):
+    rng = random.Random(17)
+    items = [(k, prose(rng, n)) for k, n in enumerate((59, 59, 120, 200))]
+    rows = []
+    for k in range(60):
+        w = rng.choice(items)[1].split()
+        cut = rng.randint(0, len(w) // 25)
+        w = w[cut:len(w) - rng.randint(0, len(w) // 25)]
+        half = len(w) // 2
+        w[half:half] = prose(rng, rng.randint(0, len(w) // 15)).split()
+        rows.append((k, f"{prose(rng, rng.randint(0, 40))} {' '.join(w)} {prose(rng, rng.randint(0, 40))}"))
+    whole = items[3][1].split()
+    rows += [(100, " ".join(whole[7:100] + prose(rng, 13).split() + whole[100:193]))]
+    rows[-1] = (100, f"{prose(rng, 30)} {rows[-1][1]} {prose(rng, 30)}")
+    short = items[0][1].split()
+    rows += [(101, f"{prose(rng, 9)} {' '.join(short[1:30] + prose(rng, 2).split() + short[30:58])} {prose(rng, 9)}")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in contaminated(frame(spark, rows), bench).collect()}
+    want = best_windows(rows, items)
+    assert got.keys() == want.keys() and {(100, 3), (101, 0)} <= want.keys()
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
