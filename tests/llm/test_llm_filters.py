@@ -211,6 +211,21 @@ def test_decontamination_of_trimmed_items_with_insertions(spark):
     assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_decontamination_of_items_with_repeated_words(spark):
+    rng = random.Random(23)
+    items = [(k, prose(rng, 200)) for k in range(20)]
+    rows = []
+    for k, item in items:
+        w = item.split()
+        rows.append((k, " ".join(w[:184] + [prose(rng, 1)] * 16)))
+        rows.append((100 + k, f"{prose(rng, 20)} {' '.join(w[:90] + ['zu'] * 12 + w[102:])} {prose(rng, 20)}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in contaminated(frame(spark, rows), bench).collect()}
+    want = best_windows(rows, items)
+    assert got.keys() == want.keys() and len(want) == 40
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
