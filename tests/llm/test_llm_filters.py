@@ -287,6 +287,15 @@ def test_personal_data_of_documents(spark):
     assert pii.without_personal_data(frame(spark, [])).count() == 0
 
 
+def test_candidates_need_no_digit_elsewhere():
+    texts = [f"write to jane {at} example.com{more}" for at in ("(at)", "[at]", "at") for more in ("", " 7")] + ["ab:cd:ef:ab:cd:ef:ab:cd"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    found = [r for b in pii._propose(iter([batch])) for r in b.to_pylist()]
+    assert all([texts[r["doc_id"]][c["start"]:c["end"]] for c in r["proposed"]] for r in found)
+    for a, b in zip(found[0:6:2], found[1:6:2]):
+        assert [(c["start"], c["end"]) for c in a["proposed"]] == [(c["start"], c["end"]) for c in b["proposed"]]
+
+
 def test_boosted_trees_and_thresholds():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((2000, 6))
