@@ -296,6 +296,26 @@ def test_candidates_need_no_digit_elsewhere():
         assert [(c["start"], c["end"]) for c in a["proposed"]] == [(c["start"], c["end"]) for c in b["proposed"]]
 
 
+def test_common_obfuscated_data_is_added(spark):
+    rng = random.Random(41)
+    base = ["jo.x{}@mail.example.org", "10.2.33.{}", "+1 (212) 555-01{}", "4111 1111 1111 1111"]
+    other = ["ann{} (at) example (dot) org", "kim{} at example dot com", "212 555 01{}"]
+    wrong = ["2021-03-{}", "they arrive at noon. The {}", "4111 1111 1111 11{}"]
+    rows, planted, false = [], {}, {}
+    for i in range(600):
+        kinds, sort = ((base, None), (other, planted), (wrong, false))[0 if i < 300 else 1 + i % 2]
+        x = kinds[i // 2 % len(kinds)].format(rng.randint(12, 28))
+        if sort is false and x.startswith("4111"):
+            x = "4111 1111 1111 1112"
+        before = prose(rng, rng.randint(1, 30)) + " "
+        rows.append((i, f"{before}{x}. {prose(rng, 20).capitalize()}"))
+        if sort is not None:
+            sort[i] = (len(before), len(before) + len(x))
+    got = {r.doc_id: {(s.start, s.end) for s in r.spans} for r in pii.find_personal_data(frame(spark, rows)).collect()}
+    assert all(span in got[i] for i, span in planted.items())
+    assert not any(got[i] for i in false)
+
+
 def test_boosted_trees_and_thresholds():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((2000, 6))
