@@ -11,8 +11,9 @@ smaller id) are reranked by the exact inner product in double precision, and
 the best of all blocks are returned. Work per query and block is fixed, so the
 share of vectors reranked does not fall as the table grows.
 
-Pivots are a documented sample: the ``PIVOTS`` vectors with the smallest
-hashes. For largest inner product, vectors get one more component
+Pivots are a documented sample: the ``PIVOTS`` different vectors with the
+smallest hashes. Of equal vectors a block keeps as many rows (smallest ids) as
+an answer can hold, so that copies do not use up the candidates. For largest inner product, vectors get one more component
 sqrt(M**2 - |x|**2), M the largest norm, which turns it into nearest distance.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
@@ -72,6 +73,15 @@ def _prefixes(pivots: np.ndarray, longest: float):
     return run
 
 
+def enough_copies(ids: np.ndarray, x: np.ndarray, top: int) -> np.ndarray:
+    """Rows without those equal vectors that no answer can hold: ``top`` of
+    another id than the query's remain. Rows must be sorted by id."""
+    same = np.unique(x, axis=0, return_inverse=True)[1].ravel()
+    order = np.argsort(same, kind="stable")
+    place = np.arange(len(order)) - np.searchsorted(same[order], same[order])
+    return np.sort(order[place < top + np.unique(ids, return_counts=True)[1].max()])
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, base: np.ndarray, query_ids: np.ndarray, q: np.ndarray,
                  query: np.ndarray, pivots: int, top: int, candidates: int):
     """For each query the best rows of one block: (query number, row, score).
@@ -106,7 +116,10 @@ def _search(pivots: int, top: int):
             base.sort(key=lambda r: r["vec_id"])
             ids = np.array([r["vec_id"] for r in base], np.int64)
             asked = np.array([r["vec_id"] for r in query], np.int64)
-            for i, found, score in search_block(ids, decode("vector", np.float64, base), decode("prefix", np.int16, base),
+            x, prefix = decode("vector", np.float64, base), decode("prefix", np.int16, base)
+            some = enough_copies(ids, x, top)
+            ids = ids[some]
+            for i, found, score in search_block(ids, x[some], prefix[some],
                                                 asked, decode("vector", np.float64, query),
                                                 decode("prefix", np.int16, query), pivots, top, CANDIDATES):
                 out[0] += [int(asked[i])] * len(found)
@@ -144,7 +157,7 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         return vectors.sparkSession.createDataFrame([], result)
     own = own.filter(F.size("vector") == width)
     longest, total, asked = own.agg(F.max(norm), F.count("*"), F.count_if("is_query")).first()
-    sample = own.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(PIVOTS).select("vector").collect()
+    sample = own.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(PIVOTS).collect()
     pivots = np.array([r.vector for r in sample])
     pivots = np.column_stack([pivots, np.sqrt(np.maximum(0, longest ** 2 - (pivots * pivots).sum(axis=1)))])
     index = C.stored(own.mapInArrow(_prefixes(pivots, longest),

@@ -54,6 +54,22 @@ def test_search_recall_and_empty(spark):
     assert nearest(df.filter("vec_id % 50 != 0"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_search_recall_with_a_third_of_equal_vectors(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((6000, 64)).astype(np.float32)
+    x[rng.permutation(6000)[:2000]] = x[0]
+    near = x[0] + 0.6 * rng.standard_normal((600, 64)).astype(np.float32)      # vectors around the copies
+    x[1:6000:10] = near
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = defaultdict(list)
+    for r in nearest(df, F.col("vec_id") % 100 == 1).collect():
+        found[r.query_id].append(r.score)
+    s = x.astype(float) @ x.T.astype(float)
+    np.fill_diagonal(s, -np.inf)
+    hits = [np.mean([v >= np.sort(s[q])[-20] - 1e-9 for v in found[q]]) for q in range(1, 6000, 100)]
+    assert np.mean(hits) >= 0.95 and min(hits) >= 0.5
+
+
 # ---------------------------------------------------------------- packing
 def test_words_encode_like_whole_texts():
     rng = random.Random(3)
