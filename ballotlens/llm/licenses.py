@@ -61,7 +61,7 @@ LEAST_SAVED = 0.2
 MOST_DIFFERENT = 0.2
 LEVEL = 3
 _WORD = re.compile(r"[^\W_]+")
-_ANCHOR = re.compile("|".join(ANCHORS))
+_ANCHOR = re.compile("|".join(a.replace(" ", r"[\W_]+") for a in ANCHORS))     # words apart as in _WORD
 _REACH = max(len(t) for _, t in TEMPLATES) + 60
 _BLOCK = 8 * _REACH
 
@@ -121,34 +121,33 @@ class Compressor:
 
 
 def align(template: list[str], key: list[bool], block: list[str], used: list[bool]) -> tuple[int, int, int] | None:
-    """(differences, first, last + 1) of the template's best place among the
-    block's words (edits of single words, free ends); None if a key word is
-    missing there. Used words match nothing."""
-    m = len(block)
+    """(differences, first, last + 1) of the best place among the block's words
+    (edits of single words, free ends) that has all key words of the template;
+    None if there is no such place. Used words match nothing."""
+    m, never = len(block), len(template) + len(block) + 1
     cost, back = [[0] * (m + 1)], []
     for i, w in enumerate(template):
-        row, from_ = [i + 1], [2]
+        miss = never if key[i] else 1
+        row, from_ = [cost[-1][0] + miss], [2]
         for j in range(m):
-            same = cost[-1][j] + (0 if block[j] == w and not used[j] else 1)
-            drop, extra = cost[-1][j + 1] + 1, row[j] + 1
+            same = cost[-1][j] + (0 if block[j] == w and not used[j] else miss)
+            drop, extra = cost[-1][j + 1] + miss, row[j] + 1
             best = min(same, drop, extra)
             row.append(best)
             from_.append(1 if best == same else 2 if best == drop else 3)
         cost.append(row)
         back.append(from_)
     j = min(range(m + 1), key=lambda k: cost[-1][k])
-    end, i, matched = j, len(template), 0
+    end, i = j, len(template)
     while i > 0:
         step = back[i - 1][j]
         if step == 1:
             i, j = i - 1, j - 1
-            if block[j] == template[i] and not used[j]:
-                matched += key[i]
         elif step == 2:
             i -= 1
         else:
             j -= 1
-    return (cost[-1][end], j, end) if matched == sum(key) and end > j else None
+    return (cost[-1][end], j, end) if cost[-1][end] < never and end > j else None
 
 
 def find_notices(text: str, compressor: Compressor) -> list[dict]:
@@ -200,8 +199,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _has_anchor(text: str) -> bool:
-    lowered = text.lower()
-    return any(a in lowered for a in ANCHORS)
+    return _ANCHOR.search(text.lower()) is not None
 
 
 def license_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -353,6 +353,15 @@ def test_every_template_is_found_and_nothing_else(spark):
     assert L.license_notices(frame(spark, [])).count() == 0
 
 
+def test_versions_within_one_block_and_broken_lines():
+    first = "This work is licensed under the GNU General Public License, version 2."
+    second = "This software is licensed under the GNU General Public License, version 3."
+    found = L.find_notices(f"{first} {'Some words between. ' * 3}{second}", L.Compressor())
+    assert [r["license_id"] for r in found] == ["GPL-2.0", "GPL-3.0"]
+    notice = "This is free and unencumbered software released into the public\n   domain."
+    assert L._has_anchor(notice) and [r["license_id"] for r in L.find_notices(notice, L.Compressor())] == ["Unlicense"]
+
+
 def test_wording_differences_equal_edit_distance():
     rng = random.Random(2)
     for _ in range(200):
