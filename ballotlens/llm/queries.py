@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ballotlens.llm import common as C
 from ballotlens.llm.decontaminate import contaminated
+from ballotlens.llm.exact_dedup import exact_duplicates
 from ballotlens.llm.licenses import license_notices
 from ballotlens.llm.minhash import near_duplicates
 from ballotlens.llm.packing import pack
@@ -60,6 +61,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_notices(C.documents(spark, sf_dir))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(C.documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_permutation_index": op2_permutation_index,
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 _OP1_SQL = r"""
@@ -148,7 +154,15 @@ SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_max(start, struc
 FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 
+_OP13_SQL = r"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
 ORACLE_SQL = {
+    "op13_exact_dedup": _OP13_SQL,
     "op6_decontamination": _OP6_SQL,
     "op8_warc": _OP8_SQL,
     "op1_minhash_dedup": _OP1_SQL,
