@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from ballotlens.llm import common as C
 from ballotlens.llm.decontaminate import contaminated
 from ballotlens.llm.exact_dedup import exact_duplicates
+from ballotlens.llm.lexical_search import ranked
 from ballotlens.llm.licenses import license_notices
 from ballotlens.llm.minhash import near_duplicates
 from ballotlens.llm.packing import pack
 from ballotlens.llm.permutation_index import nearest
 from ballotlens.llm.pii import digest_table, find_personal_data
+from ballotlens.llm.prefix_trie import prefix_trie
 from ballotlens.llm.suffix_dedup import repeated_passages
 from ballotlens.llm.token_counts import length_histogram, limit_table
 from ballotlens.llm.toxicity import toxicity_scores
@@ -61,6 +63,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_notices(C.documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(C.documents(spark, sf_dir))
 
@@ -76,6 +86,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_license_scan": op10_license_scan,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
@@ -154,6 +166,75 @@ SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_max(start, struc
 FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 
+_OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), sums AS (
+  SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), posting AS (
+  SELECT k, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT k, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posting, sums GROUP BY term, docs
+), part AS (
+  SELECT k, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))) AS gain
+  FROM posting JOIN weighted USING (term), sums
+), scored AS (
+  SELECT item_id, k, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM asked JOIN part USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) QUALIFY row_number() OVER best <= 10
+"""
+
+# crc32 % 4 of the digits of conv_id, bit by bit
+_OP12_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST,
+      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT conv_id AS c, conv_id - conv_id % 20 AS b,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1),
+          lambda k: CAST(ord(substr(CAST(conv_id AS VARCHAR), CAST(k AS INTEGER), 1)) AS BIGINT))),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+          lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), lent AS (
+  SELECT c, p AS d, role, text FROM conv JOIN t ON t.conv_id = conv.b AND t.p <= conv.h
+), lent_n AS (SELECT c, count(*) AS n FROM lent GROUP BY c
+), turns AS (
+  SELECT * FROM lent
+  UNION ALL
+  SELECT conv.c, t.p - h + coalesce(n, 0), role, text FROM conv JOIN t ON t.conv_id = conv.c AND t.p > conv.h LEFT JOIN lent_n ON lent_n.c = conv.c
+), member AS (
+  SELECT c, d, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, ',') OVER (PARTITION BY c ORDER BY d)) AS key FROM turns
+  UNION ALL
+  SELECT c, 0, 0, '' FROM conv
+), linked AS (
+  SELECT *, lag(key) OVER (PARTITION BY c ORDER BY d) AS up, lead(key) OVER (PARTITION BY c ORDER BY d) IS NULL AS ends FROM member
+), node AS (
+  SELECT key, min(d) AS depth, min(c) AS conv_id, min(up) AS up, min(words) AS words, count(*) AS n_convs, bool_and(ends) AS leaf,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM linked GROUP BY key
+), child AS (SELECT up AS key, count(*) AS n_children FROM node GROUP BY up
+), below AS (
+  SELECT m.key, CAST(sum((u.n_convs - 1) * u.words) AS BIGINT) AS saved_tokens, count(*) FILTER (u.leaf) AS n_leaves
+  FROM node u JOIN member m ON m.c = u.conv_id AND m.d <= u.depth GROUP BY m.key
+)
+SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, saved_tokens, node.ends_sha256
+FROM node JOIN below USING (key) LEFT JOIN child USING (key) LEFT JOIN node parent ON parent.key = node.up
+"""
+
 _OP13_SQL = r"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -162,6 +243,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 ORACLE_SQL = {
+    "op11_lexical_search": _OP11_SQL,
+    "op12_prefix_trie": _OP12_SQL,
     "op13_exact_dedup": _OP13_SQL,
     "op6_decontamination": _OP6_SQL,
     "op8_warc": _OP8_SQL,
