@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOT_SPAN = 432_000         # slots of an epoch: bounds the events of a key in one range
+SUM_SPAN = 4_320            # slots of a hundredth of an epoch
+DIGITS = 5                  # leading digits that tell ranges of values apart: 90,000 ranges per power of ten
 
 RANGE = "__range"
 
@@ -41,10 +43,11 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def value_range(value: Column) -> Column:
-    """Range number of a whole number: sign, digit count, first three digits.
-    Monotone in the value; at most 900 ranges per power of ten."""
+    """Range number of a whole number: sign, digit count, first DIGITS digits.
+    Monotone in the value. The ranges of a key are bounded by its digits alone,
+    however many rows or distinct values it has."""
     digits = F.abs(value.cast("decimal(38,0)")).cast("string")
-    size = F.length(digits) * 1000 + F.substring(F.rpad(digits, 3, "0"), 1, 3).cast("int")
+    size = F.length(digits) * 10 ** DIGITS + F.substring(F.rpad(digits, DIGITS, "0"), 1, DIGITS).cast("int")
     return F.when(value.isNotNull(), F.when(value < 0, -size).otherwise(size))
 
 
@@ -67,6 +70,26 @@ def lag_within(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str], p
     return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])
 
 
+def sum_after(events: DataFrame, probes: DataFrame, keys, order: str, sums: Sequence[str], span: int = SUM_SPAN) -> DataFrame:
+    """``probes`` plus, per column of ``sums``, the sum over the ``events`` of the
+    same ``keys`` (NULL equals NULL) whose ``order``, a whole number, is larger;
+    NULL where there are none. No pairs of probes and events are formed: both are
+    laid in one order, cut into ranges of ``span`` per key, summed inside the range, and
+    a summary with one row per range carries the sums of the later ranges."""
+    keys, sums = _list(keys), _list(sums)
+    rows = probes.withColumn("__probe", F.lit(True)).unionByName(
+        events.select(*keys, order, *sums).withColumn("__probe", F.lit(False)), allowMissingColumns=True)
+    rows = rows.withColumn(RANGE, F.floor(F.col(order) / F.lit(span)))
+    later = Window.partitionBy(*keys, RANGE).orderBy(F.desc(order)).rangeBetween(Window.unboundedPreceding, -1)
+    beyond = (Window.partitionBy(*keys).orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1))
+    inside = rows.select("*", *[F.sum(c).over(later).alias(f"__in_{c}") for c in sums]).filter("__probe")
+    totals = rows.groupBy(*keys, RANGE).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
+    carry = totals.select(*keys, RANGE, *[F.sum(f"__t_{c}").over(beyond).alias(f"__out_{c}") for c in sums])
+    both = _join_null_safe(inside, carry, [*keys, RANGE])
+    added = {c: F.coalesce(F.col(f"__in_{c}") + F.col(f"__out_{c}"), F.col(f"__in_{c}"), F.col(f"__out_{c}")) for c in sums}
+    return both.select(*probes.columns, *[v.alias(c) for c, v in added.items()])
+
+
 def cumulative_histogram(df: DataFrame, keys, value: str) -> DataFrame:
     """One row per ``keys`` and distinct ``value`` (a whole number, NULLs last):
 

@@ -387,6 +387,41 @@ from (select s.epoch, sum(s.x) as active_stake, max(p.dvt_motion_no_confidence)
   sum(x) over (partition by epoch order by x desc, drep_hash rows between unbounded preceding and current row) as cum,
   row_number() over (partition by epoch order by x desc, drep_hash) as rn from s)"""])
 
+# every pair (DReps, pools) that reaches both thresholds, and the smallest of them
+_MOTIONS = ("motion_no_confidence", "committee_normal", "committee_no_confidence", "hard_fork_initiation")
+K["p4_9_joint_attack_vector"] = over_datasets(["drep_epoch_stats", "governance_params"], """
+select n.epoch, m.motion, n.drep_stake, n.dt as drep_threshold, n.pool_stake, n.pt as pool_threshold,
+  (select min(a.rn) from rd a where a.epoch = n.epoch and cast(a.cum as double) >= n.dt * cast(n.drep_stake as double)) as min_dreps,
+  (select min(b.rn) from rp b where b.epoch = n.epoch and cast(b.cum as double) >= n.pt * cast(n.pool_stake as double)) as min_pools,
+  (select min(a.rn + b.rn) from rd a, rp b where a.epoch = n.epoch and b.epoch = n.epoch
+     and cast(a.cum as double) >= n.dt * cast(n.drep_stake as double)
+     and cast(b.cum as double) >= n.pt * cast(n.pool_stake as double)) as min_actors
+from bodies n join (select unnest([""" + ", ".join(f"'{m}'" for m in _MOTIONS) + """]) as motion) m on n.motion = m.motion""",
+                                              tables=["pool", "epoch_stake"], ctes=[
+    f"""rd as (select epoch, sum(x) over (partition by epoch order by x desc, drep_hash rows unbounded preceding) as cum,
+  row_number() over (partition by epoch order by x desc, drep_hash) as rn
+  from (select epoch, drep_hash, delegated_amount as x from ds_drep_epoch_stats where {ACTIVE}))""",
+    _LIVE,
+    """rp as (select epoch, sum(ps) over (partition by epoch order by ps desc, pool_id rows unbounded preceding) as cum,
+  row_number() over (partition by epoch order by ps desc, pool_id) as rn from live)""",
+    """bodies as (select e.epoch, t.motion,
+  (select cast(max(cum) as bigint) from rd where rd.epoch = e.epoch) as drep_stake, if((select count(*) from rd where rd.epoch = e.epoch) > 0, t.dt, null) as dt,
+  (select cast(max(cum) as bigint) from rp where rp.epoch = e.epoch) as pool_stake, if((select count(*) from rp where rp.epoch = e.epoch) > 0, t.pt, null) as pt
+  from (select epoch from rd union select epoch from rp) e left join (""" + " union all ".join(
+        f"select epoch, '{m}' as motion, dvt_{m} as dt, pvt_{m} as pt from ds_governance_params" for m in _MOTIONS)
+    + """) t on t.epoch = e.epoch)"""])
+
+_DATED = """select valid_from, coalesce(valid_to, date '2100-01-01') as valid_to, annual_limit from limits"""
+K["p4_6_treasury_vs_dated_ncl"] = over_datasets(["epoch_summary"], f"""
+select year, treasury_spent, net_change_limit, {pct('treasury_spent', 'net_change_limit')} as spend_vs_ncl_pct
+from (select year, treasury_spent,
+    case when (select count(*) from days d where d.year = tyr.year and d.annual_limit is null) = 0 then
+      (select cast(sum(d.annual_limit) // count(*) as bigint) from days d where d.year = tyr.year) end as net_change_limit
+  from tyr)""", ctes=[_TREASURY_YEARS, _TREASURY, "limits as (@LIMITS@)", f"""days as (
+  select year, day, (select l.annual_limit from ({_DATED}) l where l.valid_from <= day and day < l.valid_to) as annual_limit
+  from (select tyr.year, unnest(generate_series(cast(make_date(tyr.year, 1, 1) as timestamp),
+    cast(make_date(tyr.year, 12, 31) as timestamp), interval 1 day)) as day from tyr))"""])
+
 # ------------------------------------------------------------------ P5 ---
 
 K["p5_1_cc_time_to_decision"] = over_datasets(["cc_vote_details"], """
@@ -419,4 +454,11 @@ from (select gov_action_tx_hash, gov_action_index, action_epoch, count(distinct
       from ds_cc_vote_details group by gov_action_tx_hash, gov_action_index, action_epoch) a
 group by action_epoch""")
 
-KPIS = K
+
+
+def _limits() -> str:
+    from ballotlens.registry import DATED_LIMITS
+    return DATED_LIMITS.format(nation="nation")
+
+
+KPIS = {**K, "p4_6_treasury_vs_dated_ncl": K["p4_6_treasury_vs_dated_ncl"].replace("@LIMITS@", _limits())}

@@ -242,6 +242,15 @@ def cc_members_per_epoch(t: Tables, epochs) -> DataFrame:
                                   end="expired_epoch", counted="hash", out="cc_member_count")
 
 
+def epoch_times(t: Tables, epochs) -> DataFrame:
+    """DS5h: blocks, first and last block time per epoch."""
+    seconds = F.unix_micros(F.col("block_time").cast("timestamp")) / 1e6
+    return in_epochs(t.block, epochs).groupBy("epoch").agg(
+        F.count(F.lit(1)).cast("int").alias("block_count"),
+        F.rint(F.min(seconds)).cast("long").alias("epoch_start_time"),
+        F.rint(F.max(seconds)).cast("long").alias("epoch_end_time"))
+
+
 def epoch_summary(t: Tables, epochs=None, status_epochs=None) -> DataFrame:
     """DS5: one row per settled epoch; eleven per-epoch aggregates joined on
     ``epoch``. Each aggregate is one row per epoch, so broadcasting it is
@@ -255,12 +264,7 @@ def epoch_summary(t: Tables, epochs=None, status_epochs=None) -> DataFrame:
     base = in_epochs(t.adapot, epochs)
     by_epoch = lambda df: in_epochs(df, epochs).groupBy("epoch")
 
-    blocks = by_epoch(t.block).agg(
-        F.count(F.lit(1)).cast("int").alias("block_count"),
-        F.rint(F.min(F.unix_micros(F.col("block_time").cast("timestamp")) / 1e6)).cast("long")
-         .alias("epoch_start_time"),
-        F.rint(F.max(F.unix_micros(F.col("block_time").cast("timestamp")) / 1e6)).cast("long")
-         .alias("epoch_end_time"))
+    blocks = epoch_times(t, epochs)
     txs = by_epoch(t.transaction).agg(F.count(F.lit(1)).cast("long").alias("tx_count"))
     stake = by_epoch(t.epoch_stake).agg(F.sum("amount").cast("long").alias("total_active_stake"))
     dtype = F.col("drep_type")
@@ -394,6 +398,37 @@ def json_rejects(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows"), F.count_if("__bad").alias("rejected_rows")))
 
 
+def _bad_json(column: str, schema: str):
+    return F.col(column).isNotNull() & F.from_json(column, schema).isNull()
+
+
+def rejected_rows(t: Tables) -> DataFrame:
+    """D3/D4: every source value that a dataset reads as NULL because it is no
+    JSON or no number: (source_table, source_column, field, row_key, reason,
+    rejected_text), one row each, whatever the epochs of a run."""
+    def rows(table: str, column: str, key: list, schema: str, reason: str, numbers: list):
+        """numbers: (field, text, type) of the numeric fields inside good JSON."""
+        src = t[table].withColumn("__key", F.concat_ws("/", *[F.col(k).cast("string") for k in key]))
+        row = lambda field, why, text: F.struct(F.lit(field).cast("string").alias("field"), F.lit(why).alias("reason"),
+                                                text.alias("rejected_text"))
+        fields = [F.when(text.isNotNull() & json_num(text, typ).isNull(), row(f, "not a number", text)) for f, text, typ in numbers]
+        faults = F.when(_bad_json(column, schema), F.array(row(None, reason, F.col(column)))).otherwise(
+            F.filter(F.array(*fields), lambda r: r.isNotNull()) if fields else F.array().cast(
+                "array<struct<field:string,reason:string,rejected_text:string>>"))
+        return (src.filter(F.col(column).isNotNull()).withColumn("__r", F.explode(faults))
+                .select(F.lit(table).alias("source_table"), F.lit(column).alias("source_column"), F.col("__r.field").alias("field"),
+                        F.col("__key").alias("row_key"), F.col("__r.reason").alias("reason"),
+                        F.col("__r.rejected_text").alias("rejected_text")))
+
+    stats = parse_json_strings("voting_stats", {k: None for k, _ in C.VOTING_STATS_FIELDS})
+    params = parse_json_strings("params", {k: None for k, _ in C.PARAM_SCALARS})
+    return (rows("gov_action_proposal_status", "voting_stats", ["gov_action_tx_hash", "gov_action_index", "epoch"], "map<string,string>",
+                 "malformed json", [(k, stats[k], typ) for k, typ in C.VOTING_STATS_FIELDS])
+            .unionByName(rows("epoch_param", "params", ["epoch"], "map<string,string>", "malformed json",
+                              [(k, params[k], typ) for k, typ in C.PARAM_SCALARS]))
+            .unionByName(rows("pool_registration", "pool_owners", ["pool_id", "slot", "cert_index"], "array<string>", "not a list", [])))
+
+
 DATASETS = {
     "drep_epoch_stats": drep_epoch_stats,
     "pool_epoch_stats": pool_epoch_stats,

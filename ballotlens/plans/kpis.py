@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ballotlens import constants as C
 from ballotlens.functions import pct, ratio
 from ballotlens.operators.latest import asof_latest
-from ballotlens.operators.ordered import cumulative_histogram, lag_within
+from ballotlens.operators.ordered import cumulative_histogram, lag_within, sum_after
 from ballotlens.operators.quantiles import count_and_median
 from ballotlens.plans import datasets as D
 from ballotlens.sources.tables import Tables
@@ -33,6 +33,8 @@ CLOSE_MARGIN = 0.05             # P4.2: "close" = within this of 0.5
 NEW_WALLET_WINDOW = 0           # P1.6: delegation within this many epochs of registration
 NCL_LOVELACE = 350_000_000_000_000  # P4.6: net change limit per calendar year
 ATTACK_THRESHOLD = "dvt_motion_no_confidence"  # P4.9
+JOINT_MOTIONS = ("motion_no_confidence", "committee_normal", "committee_no_confidence",
+                 "hard_fork_initiation")  # P4.9: motions in which DReps (dvt_*) and pools (pvt_*) both vote
 
 
 class Datasets:
@@ -73,12 +75,47 @@ class Datasets:
         spark = self.gov_action_lifecycle.sparkSession
         return spark.range(1).select(F.explode(F.array(*[F.lit(int(e)) for e in self.epochs])).alias("epoch"))
 
+    @property
+    def _from_source(self) -> bool:
+        """Whether datasets are computed from source tables, so that a KPI may
+        take a lighter path than the whole dataset."""
+        return self._tables is not None and not self._written
+
     def drep_statuses(self) -> DataFrame:
         """(epoch, drep_hash, status) of every DRep snapshot row."""
-        if self._written:
-            return self.drep_epoch_stats.select("epoch", "drep_hash", "status")
+        return self.drep_snapshots().select("epoch", "drep_hash", "status")
+
+    def drep_snapshots(self) -> DataFrame:
+        """The columns of ``drep_epoch_stats`` that weigh DReps, without its vote
+        counts and registration facts: one as-of lookup on the snapshots."""
+        if not self._from_source:
+            return self.drep_epoch_stats
         return D.drep_asof_status(self.tables, self.epochs).select(
-            F.col("epoch").cast("int").alias("epoch"), "drep_hash", "status")
+            F.col("epoch").cast("int").alias("epoch"), "drep_hash", "drep_type",
+            F.col("amount").cast("long").alias("delegated_amount"), F.col("active_until").cast("int").alias("active_until"), "status")
+
+    def drep_amounts(self) -> DataFrame:
+        """(epoch, drep_hash, drep_type, delegated_amount): no status lookup."""
+        if not self._from_source:
+            return self.drep_epoch_stats
+        return D.in_epochs(self.tables.drep_dist, self.epochs).select(
+            F.col("epoch").cast("int").alias("epoch"), "drep_hash", "drep_type", F.col("amount").cast("long").alias("delegated_amount"))
+
+    def enactments(self) -> DataFrame:
+        """(type, epoch_resolved, block_time_proposed) of enacted actions."""
+        if not self._from_source:
+            return self.gov_action_lifecycle.filter(F.col("status") == C.STATUS_ENACTED)
+        r = D.latest_action_status(self.tables).filter(F.col("status") == C.STATUS_ENACTED).select(
+            F.col("gov_action_tx_hash").alias("tx_hash"), F.col("gov_action_index").alias("idx"), "epoch_resolved")
+        return D.in_epochs(self.tables.gov_action_proposal, self.epochs).join(r, ["tx_hash", "idx"]).select(
+            "type", "epoch_resolved", D.epoch_seconds("block_time").alias("block_time_proposed"))
+
+    def epoch_ends(self) -> DataFrame:
+        """(epoch, epoch_end_time), one row per epoch."""
+        if not self._from_source:
+            return self.epoch_summary.select("epoch", "epoch_end_time")
+        times = D.epoch_times(self.tables, self.epochs).select("epoch", "epoch_end_time")
+        return D.in_epochs(self.tables.adapot, self.epochs).select("epoch").join(F.broadcast(times), "epoch", "left")
 
     @classmethod
     def from_tables(cls, t: Tables, epochs: list[int] | None = None) -> "Datasets":
@@ -164,7 +201,7 @@ def k1_5_delegation_churn(ds: Datasets) -> DataFrame:
 
 
 def k1_8_inactive_delegated_ada(ds: Datasets) -> DataFrame:
-    s = ds.drep_epoch_stats
+    s = ds.drep_snapshots()
     return (s.filter(_inactive()).groupBy("epoch")
             .agg(F.sum("delegated_amount").cast("long").alias("inactive_delegated_ada"),
                  F.count(F.lit(1)).alias("inactive_drep_count")))
@@ -181,7 +218,7 @@ def doc2_gini_sample(ds: Datasets) -> DataFrame:
     """The documented sample: ``1 - 2 * avg(running share)``, running share
     over a RANGE frame (ties share their peer sum). Sums stay exact until one
     final division."""
-    s = ds.drep_epoch_stats.filter(~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))
+    s = ds.drep_amounts().filter(~F.col("drep_type").isin(*C.DEFAULT_DREP_TYPES))
     h = cumulative_histogram(s, "epoch", "delegated_amount")
     n = F.col("n").cast("decimal(20,0)")
     peers = F.col("sum_before") + F.coalesce(F.col("delegated_amount").cast("decimal(20,0)") * n, F.lit(0))
@@ -252,27 +289,23 @@ def p1_7_post_vote_delegation_outflow(ds: Datasets, z: int = OUTFLOW_EPOCHS) ->
     address that leaves a DRep several times in an epoch counts once, by its
     last move.
 
-    Votes are expanded over their z+1 epochs and laid among the leavers of the
-    same DRep and epoch; a running sum from the last slot down gives each vote
-    what left after it, so there are no voter x delegator pairs."""
+    Votes are expanded over their z+1 epochs; each takes the sums over what left
+    the same DRep in that epoch after it. Leavers of one DRep and epoch are
+    cut into ranges of slots, so a DRep that a third of all leave is spread."""
     leave = (churn_rows(ds).groupBy(F.col("prev_drep_hash").alias("voter_hash"), "epoch", "address")
              .agg(F.max("slot").alias("slot")))
     stake = D.in_epochs(ds.tables.epoch_stake, ds.epochs).select("address", "epoch", "amount")
     action = ["gov_action_tx_hash", "gov_action_index", "vote"]
     left = (leave.join(stake, ["address", "epoch"], "left")
-            .select("voter_hash", "epoch", "slot", F.lit(1).alias("__n"), "amount"))
+            .select("voter_hash", "epoch", "slot", F.lit(1).alias("moves"), "amount"))
     votes = (_latest_drep_votes(ds)
              .withColumn("epoch", F.explode(F.sequence(F.col("vote_epoch"), F.col("vote_epoch") + z)))
              .withColumn("slot", F.when(F.col("epoch") == F.col("vote_epoch"), F.col("vote_slot")).otherwise(F.lit(-1))))
-    later = (Window.partitionBy("voter_hash", "epoch").orderBy(F.desc("slot"))
-             .rangeBetween(Window.unboundedPreceding, -1))
-    j = (votes.select("voter_hash", "epoch", "slot", *action).unionByName(left, allowMissingColumns=True)
-         .select(*action, "voter_hash", F.col("__n").isNull().alias("__vote"),
-                 F.sum("__n").over(later).alias("__moves"), F.sum("amount").over(later).alias("__stake"))
-         .filter(F.col("__vote") & (F.col("__moves") > 0)))
-    return j.groupBy(*action).agg(F.count_distinct("voter_hash").alias("dreps_with_outflow"),
-                                  F.sum("__moves").alias("outflow_delegations"),
-                                  F.sum("__stake").cast("long").alias("outflow_stake"))
+    after = sum_after(left, votes.select("voter_hash", "epoch", "slot", *action), ["voter_hash", "epoch"], "slot",
+                      ["moves", "amount"]).filter(F.col("moves") > 0)
+    return after.groupBy(*action).agg(F.count_distinct("voter_hash").alias("dreps_with_outflow"),
+                                      F.sum("moves").alias("outflow_delegations"),
+                                      F.sum("amount").cast("long").alias("outflow_stake"))
 
 
 # ================================================================ P2 =======
@@ -296,7 +329,7 @@ def gini_by(df: DataFrame, keys, value: str) -> DataFrame:
 
 
 def p2_1_drep_stake_gini(ds: Datasets) -> DataFrame:
-    s = _dreps_active(ds.drep_epoch_stats)
+    s = _dreps_active(ds.drep_snapshots())
     g = gini_by(s, "epoch", "delegated_amount")
     return g.select("epoch", F.col("n").alias("drep_count"), F.col("total").alias("total_stake"), "gini")
 
@@ -620,9 +653,8 @@ def p4_3_treasury_balance_rate(ds: Datasets) -> DataFrame:
 def p4_5_time_to_enactment(ds: Datasets) -> DataFrame:
     """Per action type: median days from proposal to the end of the epoch in
     which the action was enacted."""
-    life = ds.gov_action_lifecycle.filter(F.col("status") == C.STATUS_ENACTED)
-    ends = ds.epoch_summary.select(F.col("epoch").alias("epoch_resolved"), "epoch_end_time")
-    j = life.join(ends, "epoch_resolved", "inner")
+    ends = ds.epoch_ends().withColumnRenamed("epoch", "epoch_resolved")
+    j = ds.enactments().join(F.broadcast(ends), "epoch_resolved", "inner")          # one row per epoch
     # median of whole seconds (exact in any engine), then one division
     secs = F.col("epoch_end_time") - F.col("block_time_proposed")
     m = count_and_median(j, "type", secs, "enacted_actions", "__med")
@@ -635,6 +667,33 @@ def p4_6_treasury_vs_ncl(ds: Datasets, ncl_lovelace: int = NCL_LOVELACE) -> Data
                     pct("treasury_spent", F.lit(ncl_lovelace)).alias("spend_vs_ncl_pct"))
 
 
+def yearly_limits(limits: DataFrame, last_year) -> DataFrame:
+    """(year, net_change_limit) from ``limits`` (valid_from, valid_to exclusive or
+    NULL = open, annual_limit): each limit counts by the days of the year on which it is
+    in force, rounded down; NULL for a year with days that no limit covers. An
+    interval is expanded into the years it touches, so years look limits up by
+    equality. Intervals must not overlap."""
+    year_start = lambda y: F.make_date(y, F.lit(1), F.lit(1))
+    end = F.coalesce(F.col("valid_to"), year_start(last_year + 1))
+    x = (limits.select("valid_from", end.alias("valid_to"), "annual_limit").filter(F.col("valid_from") < F.col("valid_to"))
+         .withColumn("year", F.explode(F.sequence(F.year("valid_from"), F.year(F.date_sub("valid_to", 1))))))
+    begin, until = year_start(F.col("year")), year_start(F.col("year") + 1)
+    days = F.datediff(F.least("valid_to", until), F.greatest("valid_from", begin))
+    per = x.groupBy("year").agg(F.sum(days).alias("covered"), F.max(F.datediff(until, begin)).alias("days"),
+                                F.sum(F.col("annual_limit").cast("decimal(30,0)") * days).alias("weighted"))
+    whole = F.call_function("div", F.col("weighted").cast("long"), F.col("days").cast("long"))
+    return per.select("year", F.when(F.col("covered") == F.col("days"), whole).alias("net_change_limit"))
+
+
+def p4_6_treasury_vs_dated_ncl(ds: Datasets, limits: DataFrame) -> DataFrame:
+    """P4.6 against effective-dated limits (an external table): spend per
+    calendar year, the year's limit, and their ratio (NULL without a limit)."""
+    y = p4_3_treasury_balance_rate(ds).select("year", "treasury_spent")
+    per_year = yearly_limits(limits, y.select(F.max("year")).scalar())
+    return (y.join(F.broadcast(per_year), "year", "left")                       # one row per year
+            .select("year", "treasury_spent", "net_change_limit", pct("treasury_spent", "net_change_limit").alias("spend_vs_ncl_pct")))
+
+
 def p4_7_zero_cc_no(ds: Datasets) -> DataFrame:
     life = ds.gov_action_lifecycle.filter(F.col("cc_no").isNotNull())
     agg = life.groupBy(F.col("epoch_proposed").alias("epoch")).agg(
@@ -650,33 +709,64 @@ def p4_8_success_by_source(ds: Datasets) -> DataFrame:
     return agg.withColumn("success_rate_pct", pct("approved", "submitted"))
 
 
+def _largest_first(rows: DataFrame, keys, stake: str) -> DataFrame:
+    """Per ``keys`` and distinct ``stake``, largest first: ``first`` rank and
+    number ``n`` of the tied rows, ``cum`` stake up to and with them, ``all`` stake.
+    Tied rows are one row of the cumulative histogram of the negated stake."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    h = cumulative_histogram(rows.select(*keys, (-F.col(stake)).alias("__neg")), keys, "__neg")
+    n = F.col("n").cast("decimal(18,0)")
+    return h.select(*keys, (-F.col("__neg")).alias("x"), (F.col("n_before") + 1).alias("first"), "n", (-F.col("sum_all")).alias("all"),
+                    (-F.col("sum_before") + F.coalesce(-F.col("__neg").cast("decimal(20,0)") * n, F.lit(0))).alias("cum"))
+
+
+def _fewest(threshold: Column) -> Column:
+    """Aggregate over :func:`_largest_first` rows of a group: the fewest actors,
+    largest first, whose stake reaches ``threshold`` of all. With ``before`` = stake
+    ranked ahead of a tied group and ``x`` its stake each, the answer inside the
+    group is ``first - 1 + ceil((goal - before) / x)``."""
+    goal = threshold * F.col("all").cast("double")
+    before = (F.col("cum") - F.col("x") * F.col("n")).cast("double")
+    inside = F.ceil((goal - before) / F.nullif(F.col("x").cast("double"), F.lit(0.0)))
+    return F.min(F.when((F.col("cum").cast("double") >= goal) & ((before < goal) | (F.col("first") == 1)),
+                        F.col("first") - 1 + F.greatest(F.lit(1), inside))).cast("long")
+
+
 def p4_9_min_attack_vector(ds: Datasets, threshold: str = ATTACK_THRESHOLD) -> DataFrame:
     """Per epoch: fewest active DReps (largest stake first) whose combined
-    stake reaches the ``threshold`` share of all active DRep stake.
-
-    DReps of equal stake are one row of the cumulative histogram (by negated
-    stake: largest first); with ``before`` = stake ranked ahead of the group
-    and ``a`` its stake each, the answer inside the group is
-    ``first_rank - 1 + ceil((goal - before) / a)``."""
-    s = _dreps_active(ds.drep_epoch_stats).select("epoch", (-F.col("delegated_amount")).alias("__neg"))
-    n = F.col("n").cast("decimal(18,0)")
-    groups = cumulative_histogram(s, "epoch", "__neg").select(
-        "epoch", (-F.col("__neg")).alias("delegated_amount"), (F.col("n_before") + 1).alias("__first"),
-        F.col("n").alias("__n"), (-F.col("sum_all")).alias("__all"),
-        (-F.col("sum_before") + F.coalesce(-F.col("__neg").cast("decimal(20,0)") * n, F.lit(0))).alias("__cum"))
-    tot = groups.groupBy("epoch").agg(F.max("__all").alias("active_stake"))
-    th = ds.governance_params.select("epoch", F.col(threshold).alias("threshold"))
-    need = tot.join(F.broadcast(th), "epoch", "left")
-    goal = F.col("threshold") * F.col("active_stake").cast("double")
-    before = (F.col("__cum") - F.col("delegated_amount") * F.col("__n")).cast("double")
-    inside = F.ceil((goal - before) / F.nullif(F.col("delegated_amount").cast("double"), F.lit(0.0)))
-    k = F.when((F.col("__cum").cast("double") >= goal) & ((before < goal) | (F.col("__first") == 1)),
-               F.col("__first") - 1 + F.greatest(F.lit(1), inside))
-    # one row per epoch on the right: bounded broadcast
-    cand = groups.join(F.broadcast(need), "epoch", "inner").groupBy("epoch").agg(
-        F.min(k).cast("long").alias("min_actors"))
-    return need.join(F.broadcast(cand), "epoch", "left").select(
-        "epoch", F.col("active_stake").cast("long").alias("active_stake"), "threshold", "min_actors")
+    stake reaches the ``threshold`` share of all active DRep stake."""
+    groups = _largest_first(_dreps_active(ds.drep_snapshots()), "epoch", "delegated_amount")
+    th = ds.governance_params.select("epoch", F.col(threshold).alias("threshold"))       # one row per epoch
+    return groups.join(F.broadcast(th), "epoch", "left").groupBy("epoch").agg(
+        F.max("all").cast("long").alias("active_stake"), F.max("threshold").alias("threshold"),
+        _fewest(F.col("threshold")).alias("min_actors"))
+
+
+def p4_9_joint_attack_vector(ds: Datasets, motions=JOINT_MOTIONS) -> DataFrame:
+    """Per epoch and motion in which both bodies vote: the fewest actors, DReps
+    and stake pools together, that reach the thresholds of both.
+
+    Each body is one descending table of prefix sums (actors of equal stake are
+    one row), both bodies and all thresholds are answered by one aggregate over
+    them. A body's stake does not help the other to its threshold, so the frontier of
+    (DReps, pools) that suffice has one corner: the fewest of each."""
+    dreps = _dreps_active(ds.drep_snapshots()).select("epoch", F.lit("drep").alias("body"), F.col("delegated_amount").alias("stake"))
+    pools = _live_pools(ds).select(F.col("epoch").cast("int").alias("epoch"), F.lit("pool").alias("body"),
+                                   F.col("pool_stake").cast("long").alias("stake"))
+    groups = _largest_first(dreps.unionByName(pools), ["epoch", "body"], "stake")
+    th = ds.governance_params.select("epoch", *[f"{p}_{m}" for m in motions for p in ("dvt", "pvt")])     # one row per epoch
+    of_body = lambda m: F.when(F.col("body") == "drep", F.col(f"dvt_{m}")).otherwise(F.col(f"pvt_{m}"))
+    per_body = groups.join(F.broadcast(th), "epoch", "left").groupBy("epoch", "body").agg(
+        F.max("all").cast("long").alias("stake"), *[F.max(of_body(m)).alias(f"share_{m}") for m in motions],
+        *[_fewest(of_body(m)).alias(f"fewest_{m}") for m in motions])
+    side = lambda c, body: F.max(F.when(F.col("body") == body, F.col(c)))
+    wide = per_body.groupBy("epoch").agg(*[
+        F.struct(F.lit(m).alias("motion"), side("stake", "drep").alias("drep_stake"), side(f"share_{m}", "drep").alias("drep_threshold"),
+                 side(f"fewest_{m}", "drep").alias("min_dreps"), side("stake", "pool").alias("pool_stake"),
+                 side(f"share_{m}", "pool").alias("pool_threshold"), side(f"fewest_{m}", "pool").alias("min_pools")).alias(m)
+        for m in motions])
+    return (wide.select("epoch", F.explode(F.array(*motions)).alias("r")).select("epoch", "r.*")
+            .withColumn("min_actors", F.col("min_dreps") + F.col("min_pools")))
 
 
 # ================================================================ P5 =======
@@ -763,6 +853,7 @@ KPI_FUNCS: dict[str, Callable[[Datasets], DataFrame]] = {
     "p4_7_zero_cc_no": p4_7_zero_cc_no,
     "p4_8_success_by_source": p4_8_success_by_source,
     "p4_9_min_attack_vector": p4_9_min_attack_vector,
+    "p4_9_joint_attack_vector": p4_9_joint_attack_vector,
     "p5_1_cc_time_to_decision": p5_1_cc_time_to_decision,
     "p5_2_cc_member_participation": p5_2_cc_member_participation,
     "p5_3_cc_abstain_rate": p5_3_cc_abstain_rate,
@@ -777,6 +868,13 @@ _VIEW_NAMES = {
     "k1_5_delegation_churn": "kpi_1_5_delegation_churn",
     "k1_8_inactive_delegated_ada": "kpi_1_8_inactive_delegated_ada",
 }
+KPI_VIEW_DATASETS = {
+    "kpi_1_1_voting_turnout": ("gov_action_lifecycle", "epoch_summary"),
+    "kpi_1_2_active_stake_participation": ("delegation_events",),
+    "kpi_1_3_delegation_rate": ("epoch_summary",),
+    "kpi_1_5_delegation_churn": ("delegation_events",),
+    "kpi_1_8_inactive_delegated_ada": ("drep_epoch_stats",),
+}
 KPI_VIEWS = [(view, (lambda fn: (lambda get: fn(Datasets(get))))(KPI_FUNCS[key]))
              for key, view in _VIEW_NAMES.items()]
 

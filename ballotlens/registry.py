@@ -27,7 +27,7 @@ def _on_tables(fn: Callable[[Tables], DataFrame]) -> Query:
 
 
 def _meta2(t: Tables) -> DataFrame:
-    return t.adapot.agg(F.max("epoch").cast("int").alias("max_epoch"))
+    return t.spark.range(1).select(E.max_epoch(t).alias("max_epoch"))
 
 
 def _meta3(t: Tables) -> DataFrame:
@@ -173,6 +173,147 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------ runs over exported folders
+
+PER_EPOCH_EXPORTS = ("drep_dist", "voting_procedure", "adapot", "block", "transaction", "epoch_stake", "epoch_param",
+                     "gov_action_proposal", "gov_action_proposal_status", "drep", "pool")
+ALL_TIME_EXPORTS = ("drep_registration", "pool_registration", "delegation_vote", "committee", "committee_member",
+                    "committee_registration")
+
+
+def export(tables: Tables, path: str, names, where=None) -> None:
+    """Write source tables as epoch-partitioned folders; ``where(name)``: the rows."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(name: str) -> None:
+        rows = tables[name] if where is None else tables[name].filter(where(name))
+        rows.repartition(2, "epoch").write.mode("append").partitionBy("epoch").parquet(f"{path}/{name}")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(one, names))
+
+
+def row_checksum(df: DataFrame) -> list:
+    """(rows, checksum) aggregates: a sum of hashes of all columns' texts, equal
+    for equal rows in any order; doubles count to six decimals."""
+    text = [F.coalesce(F.round(F.col(n) * 1000000).cast("long").cast("string") if t == "double" else F.col(n).cast("string"), F.lit("~"))
+            for n, t in sorted(df.dtypes)]
+    head = F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 8), 16, 10).cast("long")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(head), F.lit(0)).alias("checksum")]
+
+
+def _change_driven(names) -> Query:
+    """SNK2/SNK5/SNK6 over exports: a first delivery without the newest epoch and
+    with half the votes of epoch 515; then the rest arrives and a second run
+    computes what follows from the changed files. Rows and checksum per dataset."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ballotlens.plans.dependencies import DEPENDS
+        from ballotlens.plans.job import extract_all, read_dataset
+        from ballotlens.sources.sinks import union_all
+        base, t = _fresh_dir(spark, "changes"), Tables.from_fixtures(spark, sf_dir)
+        newest, needed = E.plan_run(t)[0][-1], {"adapot", "drep_dist"}.union(*(DEPENDS[n] for n in names))
+        half = lambda n: (F.col("epoch") == 515) & (F.col("idx") % 2 == 0) if n == "voting_procedure" else F.lit(False)
+        later = lambda n: (F.col("epoch") >= newest) | half(n)
+        # the fixtures hold votes on proposals of later epochs: where votes are joined, all proposals come first
+        whole = [*ALL_TIME_EXPORTS, *(["gov_action_proposal"] if "gov_action_votes" in names else [])]
+        per_epoch = [n for n in PER_EPOCH_EXPORTS if n in needed and n not in whole]
+        export(t, f"{base}/src", [n for n in whole if n in needed])
+        export(t, f"{base}/src", per_epoch, lambda n: ~later(n))
+        extract_all(spark, Tables.from_catalog(spark, f"{base}/src"), f"{base}/out", only=names)
+        export(t, f"{base}/src", per_epoch, later)
+        extract_all(spark, Tables.from_catalog(spark, f"{base}/src"), f"{base}/out", only=names)
+        sums = []
+        for n in names:
+            df = read_dataset(spark, f"{base}/out", n)
+            sums.append(df.agg(*row_checksum(df)).select(F.lit(n).alias("dataset"), "rows", "checksum"))
+        return union_all(sums)
+    return run
+
+
+def _reopened(datasets, view: str | None) -> Query:
+    """SRC3-SRC6: datasets written and a catalog published; a new session opens
+    it. Returns the rows of ``view``, or the views found and their row counts."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ballotlens.plans.job import extract_all
+        from ballotlens.session import ensure_session
+        from ballotlens.sources.catalog import open_catalog, save_catalog
+        from ballotlens.sources.sinks import union_all
+        out = _fresh_dir(spark, "catalog")
+        extract_all(spark, Tables.from_fixtures(spark, sf_dir), out, only=datasets)
+        save_catalog(spark, out)
+        other = ensure_session(spark.newSession())
+        names = open_catalog(other, out)
+        if view is None:
+            return union_all([other.table(n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("view_name"), "rows")
+                              for n in names])
+        return other.table(view).drop("epoch") if view == "gov_action_votes" else other.table(view)
+    return run
+
+
+def _ordered(fn, order, epoch: str, first_of: str) -> Query:
+    """DS3c/DS6b: a dataset in files that follow each other in its order. Per
+    epoch, in file order: rows, first and last value, rows out of place."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ballotlens.sources.sinks import order_faults, read_ordered, write_ordered
+        path = _fresh_dir(spark, "ordered")
+        write_ordered(fn(Tables.from_fixtures(spark, sf_dir)), path, order, files=8)
+        place = F.struct("__file", "__row")
+        edges = read_ordered(spark, path).groupBy(epoch).agg(
+            F.min_by(first_of, place).alias("first_value"), F.max_by(first_of, place).alias("last_value"))
+        return order_faults(spark, path, by=[epoch]).join(edges, epoch).withColumnRenamed(epoch, "epoch")
+    return run
+
+
+# values as an export may hold them, written into good voting stats: SQL text for both engines
+MESSY_STATS = """case epoch % 5
+  when 0 then replace(voting_stats, '"cc_yes":', '"cc_yes":"n/a","a":')
+  when 1 then replace(voting_stats, '"drep_total_no_stake":', '"drep_total_no_stake":1.23E10,"b":')
+  when 2 then replace(voting_stats, '"cc_no":', '"cc_no":12.6,"c":')
+  when 3 then replace(voting_stats, '"cc_abstain":', '"cc_abstain":"","d":')
+  else replace(voting_stats, '"spo_approval_ratio":', '"spo_approval_ratio":"0.5x","e":') end"""
+
+
+def _messy(t: Tables) -> Tables:
+    s = t.gov_action_proposal_status
+    return t.override(gov_action_proposal_status=s.withColumn("voting_stats", F.expr(MESSY_STATS)))
+
+
+# limits in force for 150 days each, with one missing: SQL text for both engines
+DATED_LIMITS = """select cast(date '1994-03-01' + cast(n_nationkey * 150 as int) as date) as valid_from,
+  case when n_nationkey < 24 then cast(date '1994-03-01' + cast(n_nationkey * 150 + 150 as int) as date) end as valid_to,
+  cast(300000000000000 + n_nationkey * 10000000000000 as bigint) as annual_limit
+from {nation} where n_nationkey <> 10"""
+
+
+def _dated_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ballotlens.plans.kpis import Datasets, p4_6_treasury_vs_dated_ncl
+    limits = spark.sql(DATED_LIMITS.format(nation="{nation}"), nation=spark.read.parquet(f"{sf_dir}/nation.parquet"))
+    return p4_6_treasury_vs_dated_ncl(Datasets.from_tables(Tables.from_fixtures(spark, sf_dir)), limits)
+
+
+def _null_order(t: Tables) -> DataFrame:
+    """D5: previous proposal of the same type in an order with NULLs, which come last."""
+    from ballotlens.operators.ordered import lag_within
+    p = t.gov_action_proposal.select("type", F.nullif(F.col("slot") % 7, F.lit(0)).alias("place"), "tx_hash", "idx")
+    return lag_within(p, "type", ["place", "tx_hash", "idx"], ["tx_hash"], span=3)
+
+
+QUERIES.update({
+    "d3_numeric_text": _on_tables(lambda t: D.voting_stats_table(_messy(t))),
+    "d4_rejected_rows": _on_tables(lambda t: D.rejected_rows(_messy(t))),
+    "d5_nulls_last": _on_tables(_null_order),
+    "ds3c_ordered_votes": _ordered(lambda t: D.gov_action_votes(t), ["vote_epoch", "gov_action_tx_hash", "gov_action_index",
+                                                                     "voter_hash", "vote_slot"], "vote_epoch", "gov_action_tx_hash"),
+    "ds6b_ordered_events": _ordered(lambda t: D.delegation_events(t), ["epoch", "slot"], "epoch", "slot"),
+    "p4_6_treasury_vs_dated_ncl": _dated_limits,
+    "src3_partitioned_view": _reopened(["gov_action_votes"], "gov_action_votes"),
+    "src4_file_view": _reopened(["cc_vote_details"], "cc_vote_details"),
+    "src5_discovered_views": _reopened(["delegation_events", "governance_params"], None),
+    "src6_kpi_view": _reopened(["gov_action_lifecycle", "epoch_summary"], "kpi_1_1_voting_turnout"),
+    "snk5_affected_actions": _change_driven(["gov_action_lifecycle"]),
+    "snk6_change_driven": _change_driven(list(D.DATASETS)),
+})
+
+
 def queries() -> dict[str, Query]:
     from ballotlens.plans.kpis import KPI_QUERIES
     return {**QUERIES, **KPI_QUERIES}

@@ -56,32 +56,15 @@ def _json_object(pairs: list[tuple[str, str]]) -> str:
 
 
 def _voting_stats() -> str:
-    ok = "o_orderkey"
-    pairs = [
-        ("cc_yes", f"{ok}%8"),
-        ("cc_no", f"{_div_int(ok, 50)}%3"),
-        ("cc_abstain", "k"),
-        ("cc_do_not_vote", "4-k"),
-        ("cc_approval_ratio", f"concat('0.',100+{ok}%899)"),
-        ("drep_approval_ratio", f"concat('0.',100+{_div_int(ok, 50)}%811)"),
-        ("spo_approval_ratio", f"concat('0.',100+{_div_int(ok, 50)}%613)"),
-        ("drep_yes_vote_stake", f"1000000000000+{ok}*1000003+k"),
-        ("drep_no_vote_stake", f"300000000000+{ok}*7919"),
-        ("drep_abstain_vote_stake", f"case when {ok}%550=0 then 'null' else '50000000000' end"),
-        ("drep_no_confidence_stake", f"1000000+{ok}"),
-        ("drep_auto_abstain_stake", f"2000000+{ok}"),
-        ("drep_do_not_vote_stake", f"3000000+{ok}"),
-        ("drep_total_yes_stake", f"1100000000000+{ok}"),
-        ("drep_total_no_stake", f"310000000000+{ok}"),
-        ("drep_total_abstain_stake", f"60000000000+{ok}"),
-        ("spo_yes_vote_stake", f"900000000000+{ok}"),
-        ("spo_no_vote_stake", f"100000000000+{ok}"),
-        ("spo_abstain_vote_stake", f"9000000+{ok}"),
-        ("spo_do_not_vote_stake", f"8000000+{ok}"),
-        ("spo_total_yes_stake", f"910000000000+{ok}"),
-        ("spo_total_no_stake", f"110000000000+{ok}"),
-        ("spo_total_abstain_stake", f"10000000+{ok}"),
-    ]
+    """One value per key of the voting stats: ratios, small counts, and for
+    stakes a base amount plus the key's place, so that no two are alike."""
+    ok, action = "o_orderkey", _div_int("o_orderkey", 50)
+    values = {"cc_yes": f"{ok}%8", "cc_no": f"{action}%3", "cc_abstain": "k", "cc_do_not_vote": "4-k",
+              "cc_approval_ratio": f"concat('0.',100+{ok}%899)", "drep_approval_ratio": f"concat('0.',100+{action}%811)",
+              "spo_approval_ratio": f"concat('0.',100+{action}%613)",
+              "drep_yes_vote_stake": f"1000000000000+{ok}*1000003+k", "drep_no_vote_stake": f"300000000000+{ok}*7919",
+              "drep_abstain_vote_stake": f"case when {ok}%550=0 then 'null' else '50000000000' end"}
+    pairs = [(key, values.get(key, f"{place}000000000+{ok}")) for place, (key, _) in enumerate(C.VOTING_STATS_FIELDS, 1)]
     return (f"case when {ok}%350=0 then null when {ok}%850=0 then '{{\"cc_yes\": 1, broken' "
             f"else {_json_object(pairs)} end")
 

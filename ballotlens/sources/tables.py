@@ -23,6 +23,8 @@ class Tables:
         self._frames: dict[str, DataFrame] = {}
         self._replaced: set[str] = set()
         self._partitions: Callable[[str], list[int]] | None = None
+        self._listing: Callable[[], dict[str, dict[str, str]]] | None = None
+        self._prints: dict[str, dict[str, str]] | None = None
         self.plans: dict = {}           # epoch plans made so far, by their parameters
 
     def partition_epochs(self, name: str) -> list[int] | None:
@@ -32,6 +34,18 @@ class Tables:
             return None
         return self._partitions(name) or None
 
+    def fingerprints(self, name: str) -> dict[str, str] | None:
+        """Per epoch folder of table ``name`` ("" for files outside one), a
+        fingerprint of its files; None if the table is not read from files. All
+        tables are listed by one job, at the first call. Frames made before are
+        forgotten, so that none is older than the fingerprints."""
+        if self._listing is None or name in self._replaced:
+            return None
+        if self._prints is None:
+            self._prints = self._listing()
+            self._frames = {n: f for n, f in self._frames.items() if n in self._replaced}
+        return self._prints.get(name, {})
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self._loader(name)
@@ -47,6 +61,7 @@ class Tables:
         t = Tables(self.spark, self._loader)
         t._frames = {**self._frames, **frames}
         t._partitions, t._replaced = self._partitions, self._replaced | set(frames)
+        t._listing, t._prints = self._listing, self._prints
         return t
 
     @classmethod
@@ -72,10 +87,11 @@ class Tables:
     @classmethod
     def from_catalog(cls, spark: SparkSession, source_dir: str) -> "Tables":
         """Real exports: one directory per table (see ``catalog``)."""
-        from ballotlens.sources.catalog import list_dirs, read_source_table
+        from ballotlens.sources.catalog import file_fingerprints, list_dirs, read_source_table
         t = cls(spark, lambda name: read_source_table(spark, source_dir, name))
         t._partitions = lambda name: sorted(int(d.split("=", 1)[1]) for d in list_dirs(spark, f"{source_dir}/{name}")
                                             if d.startswith("epoch="))
+        t._listing = lambda: file_fingerprints(spark, source_dir)
         return t
 
 

@@ -45,9 +45,8 @@ def refresh_epochs(spark: SparkSession, tables: Tables, out_dir: str, names: Seq
     # only these two depend on the run's target epochs
     targets = plan_run(tables)[0] if {"gov_action_lifecycle", "epoch_summary"} & set(names) else epochs
     for name in names:
-        computed = maintain(spark, tables, out_dir, name, epochs, targets)
-        if name != "gov_action_lifecycle" and computed:
-            sinks.set_unsettled_marks(spark, f"{out_dir}/{name}", [e for e in epochs if e in computed], [])
+        marked = sinks.unsettled_marks(spark, f"{out_dir}/{name}")
+        maintain(spark, tables, out_dir, name, epochs, targets, unsettled=[*epochs, *marked], record=False)
 
 
 def start_epoch_stream(spark: SparkSession, source_dir: str, trigger_table: str, out_dir: str,
