@@ -77,17 +77,22 @@ def sum_after(events: DataFrame, probes: DataFrame, keys, order: str, sums: Sequ
     laid in one order, cut into ranges of ``span`` per key, summed inside the range, and
     a summary with one row per range carries the sums of the later ranges."""
     keys, sums = _list(keys), _list(sums)
-    rows = probes.withColumn("__probe", F.lit(True)).unionByName(
-        events.select(*keys, order, *sums).withColumn("__probe", F.lit(False)), allowMissingColumns=True)
-    rows = rows.withColumn(RANGE, F.floor(F.col(order) / F.lit(span)))
-    later = Window.partitionBy(*keys, RANGE).orderBy(F.desc(order)).rangeBetween(Window.unboundedPreceding, -1)
-    beyond = (Window.partitionBy(*keys).orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1))
-    inside = rows.select("*", *[F.sum(c).over(later).alias(f"__in_{c}") for c in sums]).filter("__probe")
-    totals = rows.groupBy(*keys, RANGE).agg(*[F.sum(c).alias(f"__t_{c}") for c in sums])
-    carry = totals.select(*keys, RANGE, *[F.sum(f"__t_{c}").over(beyond).alias(f"__out_{c}") for c in sums])
-    both = _join_null_safe(inside, carry, [*keys, RANGE])
-    added = {c: F.coalesce(F.col(f"__in_{c}") + F.col(f"__out_{c}"), F.col(f"__in_{c}"), F.col(f"__out_{c}")) for c in sums}
-    return both.select(*probes.columns, *[v.alias(c) for c, v in added.items()])
+    probe = F.struct(*[F.col(c) for c in probes.columns])
+    rows = probes.select(*keys, order, probe.alias("__probe")).unionByName(
+        events.filter(F.col(order).isNotNull()).select(*keys, order, *sums), allowMissingColumns=True)
+    # every row counts twice: by its place in its range, and by its range in the key
+    cut = F.floor(F.col(order) / F.lit(span))
+    level = lambda n, part, place: F.struct(F.lit(n).alias("level"), part.cast("long").alias("part"), place.cast("long").alias("place"))
+    rows = rows.withColumn("__at", F.explode(F.array(level(0, cut, F.col(order)), level(1, F.lit(None), cut))))
+    # events of one range are one row of the key's level before they are shuffled
+    rows = rows.groupBy(*keys, "__at", "__probe").agg(*[F.sum(c).alias(c) for c in sums], F.count(F.lit(1)).alias("__copies"))
+    later = (Window.partitionBy(*keys, "__at.level", "__at.part").orderBy(F.desc("__at.place"))
+             .rangeBetween(Window.unboundedPreceding, -1))
+    seen = rows.select("__probe", "__copies", *[F.sum(c).over(later).alias(f"__s_{c}") for c in sums]).filter("__probe is not null")
+    both = seen.groupBy("__probe").agg(*[F.sum(f"__s_{c}").alias(f"__s_{c}") for c in sums], F.max("__copies").alias("__copies"))
+    each = both.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    known = F.col(f"__probe.{order}").isNotNull()
+    return each.select("__probe.*", *[F.when(known, F.col(f"__s_{c}")).alias(c) for c in sums])
 
 
 def cumulative_histogram(df: DataFrame, keys, value: str) -> DataFrame:

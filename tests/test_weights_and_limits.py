@@ -17,11 +17,13 @@ def test_sum_after_equals_pairs(spark):
     key = lambda: "hot" if rnd.random() < 0.4 else rnd.choice(["a", "b", None])
     events = [(key(), rnd.randint(-5, 60), rnd.choice([None, rnd.randint(1, 9)])) for _ in range(400)]
     probes = [(key(), rnd.choice([-1, 70, rnd.randint(-5, 60)]), i) for i in range(150)]
+    events += [("a", None, 5)]
+    probes += [("a", None, 900), ("b", 3, 901), ("b", 3, 901), (None, None, 902)]       # no place; a repeated probe
     ev = spark.createDataFrame(events, "k string, at long, x long").withColumn("one", F.lit(1))
     pr = spark.createDataFrame(probes, "k string, at long, id long")
     want = []
     for k, at, i in probes:
-        later = [x for e, o, x in events if e == k and o > at]
+        later = [x for e, o, x in events if e == k and None not in (o, at) and o > at]
         known = [x for x in later if x is not None]
         want.append((i, sum(known) if known else None, len(later) or None))
     for span in (1, 7, 4320):
