@@ -106,6 +106,7 @@ def blocks_of(turns: DataFrame) -> DataFrame:
     rows = (turns.withColumn("block", F.floor((F.col("depth") - 1) / BLOCK))
             .groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("depth", "digest", "words"))).alias("turns"),
                                              F.sum("words").alias("in_block"), F.max("length").alias("length")))
+    rows = C.stored(rows, "turn-blocks")
     digest = F.sha2(F.concat_ws(",", "turns.digest"), 256)
     rows = rows.withColumn("a", _lane(digest, F.col("block"), 1)).withColumn("b", _lane(digest, F.col("block"), 2))
     rows = before_in_order(rows, "conv_id", "block", BLOCK_SPAN, {"words_before": "in_block"}, {"from_a": "a", "from_b": "b"})
@@ -187,7 +188,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     n_leaves, saved_tokens, ends_sha256."""
     turns, every = rebuilt_turns(turn_digests(C.small_batches(conversations)))
     every = C.stored(every, "conversations")
-    blocks = C.stored(blocks_of(turns), "turn-blocks")
+    blocks = C.stored(blocks_of(turns), "named-blocks")
     members, rests = _members(blocks)
     members, rests = C.stored(members, "prefix-members"), C.stored(rests, "unshared-rests")
 
@@ -205,8 +206,8 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     owners = C.stored(owners.join(every.select("conv_id", F.col("length").alias("most")), "conv_id"), "node-owners")
 
     # per node, over its members
-    total = every.agg(F.sum("length")).first()[0] or 0
-    known = join_groups(members, owners, ["conv_id"], "most", total)
+    whole = every.agg(F.sum("length").alias("turns"), F.min("conv_id").alias("smallest"), F.count(F.lit(1)).alias("convs")).first()
+    known = join_groups(members, owners, ["conv_id"], "most", whole.turns or 0)
     saved = F.greatest(F.col("shared_words") - F.col("words_before"), F.lit(0))
     nodes = C.stored(known.groupBy(*NODE).agg(
         F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"), F.count(F.when(F.col("leaf"), 1)).alias("n_leaves"),
@@ -216,13 +217,11 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
                                                                  F.lit(0).cast("long").alias("key_b"), "conv_id")))
     ended = C.stored(ended, "node-ends")
     zero = F.lit(0).cast("long")
-    root = (every.agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs")).filter("n_convs > 0")
-            .withColumn("depth", zero)
-            .join(owners.agg(F.count(F.when(F.col("leaf"), 1)).alias("leaves"), F.coalesce(F.sum("shared_words"), zero).alias("saved_tokens"))
-                  .withColumn("depth", zero), "depth"))
-    root = root.select("depth", zero.alias("key_a"), zero.alias("key_b"), "conv_id", "n_convs",
-                       F.greatest("leaves", F.lit(1)).cast("long").alias("n_leaves"), "saved_tokens", zero.alias("first"),
-                       *[F.lit(None).cast("long").alias(c) for c in place[1:]])
+    root = owners.agg(F.count(F.when(F.col("leaf"), 1)).alias("leaves"), F.coalesce(F.sum("shared_words"), zero).alias("saved_tokens"))
+    root = root.select(*[zero.alias(c) for c in NODE], F.lit(whole.smallest).cast("long").alias("conv_id"),
+                       F.lit(whole.convs).cast("long").alias("n_convs"), F.greatest("leaves", F.lit(1)).cast("long").alias("n_leaves"),
+                       "saved_tokens", zero.alias("first"), *[F.lit(None).cast("long").alias(c) for c in place[1:]])
+    root = root.filter("n_convs > 0")
     nodes = nodes.unionByName(root)
     up = {"up": "depth", "up_a": "key_a", "up_b": "key_b"}
     children = (nodes.select(*up).unionByName(rests.select(*up)).filter("up is not null").withColumnsRenamed(up)
