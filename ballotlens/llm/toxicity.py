@@ -4,14 +4,14 @@ A token enters as the sum of a word embedding and of character embeddings
 (n-grams at its start and end). Words and n-grams have embeddings if they occur
 in ``MIN_DOCUMENTS`` or more documents of the sample. Every window of 64
 tokens, one each 48 tokens, is scored over the whole text; the document takes
-its highest window. The network is trained in numpy on the driver, on a bounded
-sample of labelled documents: at most ``SAMPLE`` per class, those with the
+its highest window. The network is trained in numpy in one task, which hands
+only weights to the driver, on a bounded sample of labelled documents: at most ``SAMPLE`` per class, those with the
 smallest hashes of doc_id among labelled rows of the learning folds, if not
 longer than ``SAMPLE_CHARS``. Labels hold for documents, so a document's
-windows are pooled while learning; a logistic fit on a fifth of the sample,
-weighted to the shares of the classes among all labels, maps the highest window
-to a score that is 0.5 where the fewest of that fifth are mistaken (by the fit
-itself if the fifth has under ``LEAST_POSITIVES`` positives).
+windows are pooled while learning. A logistic fit, weighted to the shares of the
+classes among all labels, maps the highest window to a score that is 0.5 where
+the fewest of the sample are mistaken, in the middle of the widest such gap; a fifth
+that was not learnt from counts ``LEARNT_WEIGHT`` ** -1 times as much as the rest.
 
 Defined cases: a null or empty text is one empty window; labels that are null
 are left out and of several labels of one doc_id the largest counts; without
@@ -21,6 +21,7 @@ table gives an empty result; other columns are ignored."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ FOLDS = 5
 WINDOW, STRIDE = 64, 48
 WIDTH, HIDDEN = 12, 8
 MIN_DOCUMENTS = 3
-LEAST_POSITIVES = 30            # for a threshold of its own beside the logistic fit
+LEARNT_WEIGHT = 0.02            # of a document that was learnt from, in the final fit
 GRAMS = ((0, 3), (0, 4), (0, 5), (1, 3), (1, 4))        # (0 start or 1 end of the word, bytes)
 STEPS, BATCH = 600, 16                                  # documents of each class in a batch
 SEED = 7
@@ -188,10 +189,16 @@ class Network:
         return _sigmoid(self.document_logits(texts).astype(np.float64) * self.scale + self.shift)
 
 
-def _vocabulary(table: np.ndarray, numbers: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Hashes that occur in MIN_DOCUMENTS documents or more."""
-    each = [np.unique(table[np.unique(numbers[a:b])]) for a, b in zip(bounds[:-1], bounds[1:])]
-    hashes, count = np.unique(np.concatenate(each), return_counts=True)
+def _vocabulary(table: np.ndarray, numbers: np.ndarray, bounds: np.ndarray, chunk: int = 256) -> np.ndarray:
+    """Hashes that occur in MIN_DOCUMENTS documents or more, counted by chunks
+    of documents."""
+    hashes, count = np.zeros(0, _U), np.zeros(0, np.int64)
+    for at in range(0, len(bounds) - 1, chunk):
+        edge = bounds[at:at + chunk + 1]
+        some, n = np.unique(np.concatenate([np.unique(table[np.unique(numbers[a:b])]) for a, b in zip(edge[:-1], edge[1:])]),
+                            return_counts=True)
+        hashes, place = np.unique(np.concatenate([hashes, some]), return_inverse=True)
+        count = np.bincount(place, np.concatenate([count, n]), len(hashes)).astype(np.int64)
     return hashes[count >= MIN_DOCUMENTS]
 
 
@@ -248,19 +255,20 @@ def train(texts: list[str], labels: np.ndarray, share: float, seed: int = SEED,
         rows_used, grad = rows_used[real], grad[real]
         squares[rows_used] += (grad * grad).mean(axis=1)
         net.embedding[rows_used] -= 5 * rate * grad / np.sqrt(squares[rows_used])[:, None]
-    held = np.flatnonzero(~fit) if (~fit).sum() >= 40 and 0 < labels[~fit].mean() < 1 else np.arange(len(texts))
-    net.scale, net.shift = _logistic(net.document_logits(pa.array([texts[i] for i in held], pa.string())),
-                                     labels[held], share)
+    del windows, table, moment, squares
+    logits = np.concatenate([net.document_logits(pa.array(texts[i:i + 256], pa.string())) for i in range(0, len(texts), 256)])
+    net.scale, net.shift = _logistic(logits, labels, share, np.where(fit, LEARNT_WEIGHT, 1.0))
     return net
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
-    """Scale of a ridge-regularised logistic fit in which label 1 weighs
+def _logistic(x: np.ndarray, y: np.ndarray, share: float, weight: np.ndarray) -> tuple[float, float]:
+    """Scale of a ridge-regularised weighted logistic fit in which label 1 weighs
     ``share`` of all, and the shift that puts one half where errors are fewest."""
     x, y = x.astype(np.float64), y.astype(np.float64)
     centre, spread = float(np.median(x)), float(x.std()) or 1.0
     u, beta = np.stack([(x - centre) / spread, np.ones(len(x))], axis=1), np.zeros(2)
-    w = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
+    ones = float((weight * y).sum() / weight.sum())
+    w = weight * np.where(y == 1, share / max(ones, 1e-9), (1 - share) / max(1 - ones, 1e-9))
     for _ in range(50):
         p = _sigmoid(u @ beta)
         grad = u.T @ (w * (p - y)) + 0.05 * beta
@@ -271,7 +279,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]
     order = np.argsort(x, kind="stable")
     wrong = np.cumsum(np.where(y == 1, w, -w)[order])           # errors, less a constant, if all up to here count as 0
     cuts = np.flatnonzero(x[order][1:] > x[order][:-1])
-    if not len(cuts) or y.sum() < LEAST_POSITIVES:
+    if not len(cuts):                                           # all alike: no cut to choose
         return scale, float(beta[1] - beta[0] * centre / spread)
     least = cuts[wrong[cuts] <= wrong[cuts].min() + 1e-9]
     k = least[np.argmax(x[order][least + 1] - x[order][least])]
@@ -283,9 +291,9 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[list[str], np.ndarray, float]:
-    """The bounded learning sample: texts and labels; the share of label 1
-    among all labels of the learning folds."""
+def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tuple[DataFrame, float]:
+    """The bounded learning sample, stored: rows (id, y, text) and the share of
+    label 1 among all labels of the learning folds."""
     known = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
              .filter("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
              .filter(~held_out("id")))
@@ -293,22 +301,40 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> tupl
     parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for y in (0, 1)]
     chosen = parts[0].union(parts[1])                                   # at most 2 * SAMPLE rows
     found = (C.id_text(docs).filter(F.length("text") <= SAMPLE_CHARS)
-             .join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "y", "text").collect())
-    rows = sorted({(r.id, r.y, r.text) for r in found})
-    return [r[2] for r in rows], np.array([r[1] for r in rows], np.int64), share
+             .join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "y", "text"))
+    return C.stored(found, "toxicity-sample"), share
+
+
+def learned(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> Network | float:
+    """A network trained in one task on the sample; without labels of both
+    classes the smoothed share of the one class."""
+    rows, share = sample(docs, labels, label_col)
+    steps = STEPS
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = sorted({row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("id", "y", "text")))})
+        y = np.array([r[1] for r in some], np.int64)
+        both = 0 < y.sum() < len(y)
+        made = train([r[2] for r in some], y, share, steps=steps).__dict__ if both else float((y.sum() + 1) / (len(y) + 2))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(made)], pa.binary())], names=["made"])
+
+    # the stored sample is bounded, so one task may read it whole
+    got = rows.coalesce(1).mapInArrow(fit, "made binary").collect()
+    made = pickle.loads(bytes(got[0].made)) if got else 0.5
+    if isinstance(made, float):
+        return made
+    net = Network(made["vocabulary"])
+    net.__dict__.update(made)
+    return net
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    texts, y, share = sample(docs, labels, label_col)
-    if 0 < y.sum() < len(y):
-        net, constant = train(texts, y, share), None
-    else:
-        net, constant = None, float((y.sum() + 1) / (len(y) + 2))
+    net = learned(docs, labels, label_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in C.text_slices(batches, "text"):
-            score = net.scores(part.column("text")) if net is not None else np.full(len(part), constant)
+            score = np.full(len(part), net) if isinstance(net, float) else net.scores(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score, pa.float64())], names=["doc_id", "score"])
 
     return (C.id_text(docs).mapInArrow(run, "doc_id long, score double")
@@ -317,10 +343,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """The rows of ``docs``, with all their columns, that are not predicted toxic."""
-    texts, y, share = sample(docs, labels, label_col)
-    if not 0 < y.sum() < len(y):
+    net = learned(docs, labels, label_col)
+    if isinstance(net, float):
         return docs
-    net = train(texts, y, share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in C.text_slices(batches, text_col):
