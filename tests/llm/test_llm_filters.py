@@ -316,6 +316,48 @@ def test_common_obfuscated_data_is_added(spark):
     assert not any(got[i] for i in false)
 
 
+def test_spans_are_added_alike_in_a_small_and_a_large_table(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(480):
+        mail = f"{prose(rng, 1)}.{prose(rng, 1)}@{prose(rng, 1)}.{rng.choice(['org', 'net', 'com'])}"
+        if i % 3:
+            mail = f"write to {mail}"
+        else:
+            mail = "write to " + mail.replace("@", " (at) ").replace(".", " (dot) ")
+        rows.append((i, f"{prose(rng, 12)} {mail} {prose(rng, 12)}"))
+    spans = lambda some: {r.doc_id: sorted(map(tuple, r.spans)) for r in pii.find_personal_data(frame(spark, some)).collect()}
+    large, small = spans(rows), spans(rows[:48])
+    assert {i: large[i] for i in small} == small
+    assert all(large[i] for i in large), "obfuscated addresses are added in both"
+
+
+def test_time_grows_with_the_text_alone():
+    import time
+    took = []
+    for n in (20_000, 80_000):
+        text = "1." * n
+        base, start = pii.base_spans(text), time.process_time()
+        found = pii.candidates(text, base)
+        pii._choose([{"start": a, "end": b} for a, _, b in base], found, np.ones(len(found)), 0.5)
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0] + 1
+
+
+def test_long_names_and_hosts_are_proposed_whole():
+    text = f"mail {'n' * 500}@{'.'.join(['part' * 30] * 12)}.org now"
+    spans = {(c["start"], c["end"]) for c in pii.candidates(text, pii.base_spans(text)) if c["start"] >= 0}
+    assert (5, len(text) - 4) in spans
+
+
+def test_vocabulary_counted_by_chunks():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["ba", "deki", "lomuna", "pe", prose(rng, 1)]) for _ in range(rng.randint(0, 12))) for _ in range(90)]
+    parts = toxicity._tokens(pa.array(texts))
+    whole = toxicity._vocabulary(*parts, chunk=1000)
+    assert len(whole) and all((toxicity._vocabulary(*parts, chunk=n) == whole).all() for n in (1, 7, 64))
+
+
 def test_boosted_trees_and_thresholds():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((2000, 6))
