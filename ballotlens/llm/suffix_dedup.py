@@ -3,24 +3,35 @@
 Suffixes are retained only at minimisers: of any 16 successive 8-word hashes
 the smallest marks its position, so that a passage of 50 words, wherever it
 occurs, has the same retained suffix within its first 16 words, followed by 35
-or more words of the passage.
-
-1. The hash of each retained suffix's first 35 words is counted by document;
-   suffixes whose 35 words occur in one document only are left out. (A bitmap of
-   fixed size, broadcast, spares their transport; the classes formed next are
-   exact whatever it lets through.)
-2. Every run of 50 words belongs to the retained suffix that is the minimiser
-   of its first 16 hashes, which is the same wherever the run occurs. A suffix
-   brings the hashes of its runs (at most 16, neighbours of each other), and a
-   run is repeated if its hash has two different doc_ids. Suffixes with equal
-   surroundings are one row with their smallest and largest doc_id, so a passage
-   that a third of all documents share is one row as long as its surroundings
-   agree; documents are only ever counted, never compared in pairs, so it does
-   not matter how often a document repeats a passage itself.
-3. The repeated runs are merged per document into maximal spans.
+or more words of the passage. Such a suffix is compared by its first 35 words
+(its core), the 15 words after them and the 15 words before it.
+
+1. The hash of each suffix's core is counted by document; suffixes whose core
+   occurs in one document only are left out. (A bitmap of fixed size, broadcast,
+   spares their transport; what follows is exact whatever it lets through.)
+2. The suffixes are sorted: range partitions over (core, words after, words
+   before, doc_id), in order within each. No two places of different documents
+   are equal in all four, so a core that a third of all documents share is
+   dealt over as many partitions as its rows fill.
+3. Neighbours in that order are compared: the number of words that a suffix
+   shares with the next bounds the stretches of suffixes that agree on at least
+   r words after the core. Each stretch is extended to the left: in the order of
+   the words before, neighbours are compared again, and those that agree on
+   l = 15 - r words hold the same 50 words. Where they come from two different
+   doc_ids, a match of l words to the left and r to the right is found; each
+   suffix keeps its longest to both sides. A document that repeats a passage
+   itself only adds rows to a stretch, it never hides another document's.
+4. Tasks take the order in chunks of bounded size. A core that goes over the edge
+   of a chunk is finished after the tasks: each chunk brings, per l, its groups
+   of equal 50 words with their smallest and largest doc_id, and groups of equal
+   hash are combined, one row per group and chunk.
+5. The matches are merged per document into maximal spans.
 
 Words are those of the near-duplicate operator (white space apart, A-Z like
-a-z), compared by 64-bit hashes of 35 and 50 words. Offsets are word numbers from 0, ends are exclusive.
+a-z). Cores and the groups of step 4 are compared by 64-bit hashes, the words
+before and after by 32 bits each, so that one compared pair in four thousand
+million is taken a word too far. Offsets are word numbers from 0, ends are
+exclusive.
 
 Defined cases: null, empty and shorter texts have no spans; a passage that
 repeats only inside one doc_id (repeated rows included) is none; rows with a null doc_id take no part; an empty table gives an empty result;
@@ -40,7 +51,8 @@ from ballotlens.llm import common as C
 MIN_WORDS = 50
 GRAM, WINDOW = 8, 16                    # words of a hash, hashes of a minimiser window
 CORE = MIN_WORDS - WINDOW + 1           # 35 words certain to follow the first minimiser
-REACH = WINDOW                          # words before and after the 35 that are told apart
+REACH = MIN_WORDS - CORE                # words before and after the core that are compared
+CHUNK_ROWS = 1 << 16                    # suffixes that a task compares at once
 MAP_WORDS = 1 << 19                     # words of 64 bits in the bitmap
 _U = np.uint64
 _BASE = 0x2545F4914F6CDD1D
@@ -65,11 +77,6 @@ def minimisers(grams: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_sliding(np.concatenate([border, least, border]), WINDOW, np.maximum) == grams)
 
 
-def first_minimisers(grams: np.ndarray) -> np.ndarray:
-    """Position of the smallest hash (the first of equal ones) of each window."""
-    return np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1) + np.arange(len(grams) - WINDOW + 1)
-
-
 def _run_hashes(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` words from each position."""
     with np.errstate(over="ignore"):
@@ -86,12 +93,11 @@ def _run_hashes(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 
 def _retained(part: pa.RecordBatch):
     """Word hashes, document and position (in all words of the batch) of each
-    retained suffix with its core hash, the documents' word bounds, and the
-    hashes of 8 words."""
+    retained suffix with its core hash, and the documents' word bounds."""
     data, offsets = C.text_buffers(part.column("text"))
     words, bounds = C.word_hashes(data, offsets)
     if len(words) < CORE:
-        return words, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U), bounds, np.zeros(0, _U)
+        return words, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U), bounds
     weight = C.seeded(GRAM, 31) | _U(1)
     with np.errstate(over="ignore"):
         grams = np.zeros(len(words) - GRAM + 1, _U)
@@ -102,51 +108,170 @@ def _retained(part: pa.RecordBatch):
     doc = np.searchsorted(bounds, at, side="right") - 1
     inside = at + CORE <= bounds[doc + 1]
     at, doc = at[inside], doc[inside]
-    return words, doc, at, _run_hashes(words, at, CORE), bounds, grams
+    return words, doc, at, _run_hashes(words, at, CORE), bounds
 
 
 def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in C.text_slices(batches, "text"):
-        _, doc, _, core, _, _ = _retained(part)
+        _, doc, _, core, _ = _retained(part)
         ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[doc]
         rows = np.unique(np.stack([core.view(np.int64), ids], axis=1), axis=0) if len(core) else np.zeros((0, 2), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["core", "doc_id"])
 
 
-def _runs(words: np.ndarray, at: np.ndarray, bounds: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """For each retained suffix the words by which its first run begins before
-    it, and the hashes of its runs, one word further each."""
-    if len(words) < MIN_WORDS:
-        return np.zeros(len(at), np.int64), pa.array([[]] * len(at), pa.list_(pa.int64()))
-    owner = first_minimisers(grams)[:len(words) - MIN_WORDS + 1]
-    start = np.arange(len(owner))
-    inside = start + MIN_WORDS <= bounds[np.searchsorted(bounds, start, side="right")]      # runs within one document
-    start, owner = start[inside], owner[inside]
-    begin, end = np.searchsorted(owner, at, side="left"), np.searchsorted(owner, at, side="right")
-    # the position after the last run of a document never belongs to one of the next, so the runs of a suffix are neighbours
-    left = np.where(end > begin, at - start[np.minimum(begin, len(start) - 1)], 0) if len(start) else np.zeros(len(at), np.int64)
-    own = np.isin(owner, at)
-    return left, pa.ListArray.from_arrays(
-        pa.array(np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32)),
-        pa.array(_run_hashes(words, start[own], MIN_WORDS).view(np.int64)))
+def _packed(words: np.ndarray) -> pa.Array:
+    """Rows of 32-bit words as binary values that sort like the rows."""
+    width = words.shape[1] * 4
+    offsets = np.arange(len(words) + 1, dtype=np.int32) * np.int32(width)
+    data = np.ascontiguousarray(words, dtype=">u4")
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return np.zeros((0, REACH), ">u4")
+    first = int(np.frombuffer(offsets, np.int32, len(column) + 1, column.offset * 4)[0])
+    return np.frombuffer(data, ">u4", len(column) * REACH, first).reshape(-1, REACH)
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in C.text_slices(batches, "text"):
-        words, doc, at, core, bounds, grams = _retained(part)
+        words, doc, at, core, bounds = _retained(part)
+        begin, end = bounds[doc], bounds[doc + 1]
+        whole = np.minimum(at - begin, REACH) + np.minimum(end - at - CORE, REACH) >= REACH     # else no 50 words around it
+        doc, at, core, begin, end = doc[whole], at[whole], core[whole], begin[whole, None], end[whole, None]
         ids = part.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)[doc]
-        short = np.maximum(words >> _U(32), _U(1)).astype(np.uint32) if len(words) else np.zeros(1, np.uint32)
+        short = np.maximum(words >> _U(32), _U(1)).astype(np.uint32) if len(words) else np.ones(1, np.uint32)
         near = np.arange(REACH)
         after, before = at[:, None] + CORE + near, at[:, None] - 1 - near
         # 0 stands for "beyond the document"
-        after = np.where(after < bounds[doc + 1][:, None], short[np.minimum(after, len(short) - 1)], 0).astype(np.uint32)
-        before = np.where(before >= bounds[doc][:, None], short[np.maximum(before, 0)], 0).astype(np.uint32)
-        with np.errstate(over="ignore"):
-            around = C.mix64((np.concatenate([before, after], axis=1).astype(_U) * C.seeded(2 * REACH, 33)).sum(axis=1, dtype=_U))
-        left, runs = _runs(words, at, bounds, grams)
+        after = np.where(after < end, short[np.minimum(after, len(short) - 1)], 0)
+        before = np.where(before >= begin, short[np.maximum(before, 0)], 0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.array(at - bounds[doc]), pa.array(core.view(np.int64)), pa.array(around.view(np.int64)),
-             pa.array(left.astype(np.int64)), runs], names=["doc_id", "at", "core", "around", "left", "runs"])
+            [pa.array(ids), pa.array(at - bounds[doc]), pa.array(core.view(np.int64)), _packed(after), _packed(before)],
+            names=["doc_id", "at", "core", "after", "before"])
+
+
+def shared_frames(core: np.ndarray, after: np.ndarray, before: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For sorted suffixes and each number of words to the left: an order of the
+    suffixes and the places in it where a group of equal 50 words begins. Groups
+    come from neighbours alone, in the order of the suffixes and in that of the
+    words before them. Groups that reach beyond a document are left to the caller."""
+    agree = np.concatenate([after[1:] == after[:-1], np.zeros((max(len(core) - 1, 0), 1), bool)], axis=1).argmin(axis=1)
+    agree[core[1:] != core[:-1]] = -1                       # words shared with the suffix before, after an equal core
+    by_left = np.argsort(np.ascontiguousarray(before).view(f"S{4 * REACH}").ravel(), kind="stable")
+    for left in range(REACH + 1):
+        stretch = np.cumsum(np.concatenate([[0], agree < REACH - left]))
+        order = by_left[np.argsort(stretch[by_left], kind="stable")]
+        inside, near = stretch[order], before[order, :left]
+        equal = (inside[1:] == inside[:-1]) & (near[1:] == near[:-1]).all(axis=1)
+        yield left, order, np.flatnonzero(np.concatenate([[True], ~equal]))
+
+
+def _compare(doc: np.ndarray, at: np.ndarray, core: np.ndarray, after: np.ndarray, before: np.ndarray, closed: bool) -> pa.RecordBatch:
+    """Matches of whole cores (closed), or the groups of a core that goes on in other chunks."""
+    if closed:
+        begin = np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]]))
+        many = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
+        keep = np.repeat(many, np.diff(np.append(begin, len(core))))
+        doc, at, core, after, before = (x[keep] for x in (doc, at, core, after, before))
+        if not len(core):
+            return _rows()
+    # suffixes with equal surroundings are one
+    again = (core[1:] == core[:-1]) & (after[1:] == after[:-1]).all(axis=1) & (before[1:] == before[:-1]).all(axis=1)
+    begin = np.flatnonzero(np.concatenate([[True], ~again]))
+    count = np.diff(np.append(begin, len(core)))
+    least, most = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
+    core, after, before = core[begin], after[begin], before[begin]
+    longest, shortest, partner = np.full(len(core), -1), np.full(len(core), REACH), np.full(len(core), np.iinfo(np.int64).max)
+    groups = []
+    for left, order, starts in shared_frames(core, after, before):
+        head, right = order[starts], REACH - left
+        lo, hi = np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts)
+        fits = np.ones(len(head), bool)                     # within the document
+        if left:
+            fits &= before[head, left - 1] != 0
+        if right:
+            fits &= after[head, right - 1] != 0
+        size = np.diff(np.append(starts, len(order)))
+        if closed:
+            found = fits & (lo < hi)
+            rows, by = order[np.repeat(found, size)], np.repeat(lo[found], size[found])
+            longest[rows], shortest[rows] = left, np.minimum(shortest[rows], left)
+            partner[rows] = np.minimum(partner[rows], by)
+            continue
+        words = np.concatenate([before[head, :left], after[head, :right]], axis=1).astype(_U)
+        with np.errstate(over="ignore"):
+            key = C.mix64((C.mix64(words + _U(1)) * (C.seeded(REACH, 33) | _U(1))).sum(axis=1, dtype=_U)
+                          + C.mix64(core[head].view(_U)) * _U(_BASE) + _U(left))
+        held = count[order]
+        place = np.arange(int(held.sum())) + np.repeat(begin[order] - np.cumsum(held) + held, held)
+        some = np.add.reduceat(held, starts)
+        place, some = place[np.repeat(fits, some)], some[fits]
+        ends = pa.array(np.concatenate([[0], np.cumsum(some)]).astype(np.int32))
+        groups.append(_rows(least=lo[fits], left=np.full(len(some), left), key=key[fits].view(np.int64), most=hi[fits],
+                            docs=pa.ListArray.from_arrays(ends, pa.array(doc[place])),
+                            ats=pa.ListArray.from_arrays(ends, pa.array(at[place]))))
+    if not closed:
+        return pa.Table.from_batches(groups).combine_chunks().to_batches()[0] if sum(map(len, groups)) else _rows()
+    left, short, partner = np.repeat(longest, count), np.repeat(shortest, count), np.repeat(partner, count)
+    hit = left >= 0
+    return _rows(doc_id=doc[hit], a=(at - left)[hit], b=(at - short)[hit] + MIN_WORDS, least=partner[hit])
+
+
+_ROW = pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("left", pa.int64()),
+                  ("key", pa.int64()), ("most", pa.int64()), ("docs", pa.list_(pa.int64())), ("ats", pa.list_(pa.int64()))])
+_ROW_SQL = "doc_id long, a long, b long, least long, left long, key long, most long, docs array<long>, ats array<long>"
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values()))) if columns else 0
+    return pa.RecordBatch.from_arrays(
+        [columns[f.name] if isinstance(columns.get(f.name), pa.Array) else pa.array(columns[f.name], f.type)
+         if f.name in columns else pa.nulls(n, f.type) for f in _ROW], schema=_ROW)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Walk one range of the sorted suffixes. Its first and last core may go on
+    in the ranges beside it, and so may a core that fills a chunk."""
+    waiting, rows, open_core = [], 0, None
+
+    def parts(last: bool):
+        nonlocal waiting, rows, open_core
+        doc, at, core = (np.concatenate([w[i] for w in waiting]) for i in range(3))
+        after, before = (np.concatenate([w[i] for w in waiting]) for i in (3, 4))
+        if open_core is None:
+            open_core = core[0]                             # the first core of the range
+        head = int(np.searchsorted(core, open_core, side="right"))
+        tail = int(np.searchsorted(core, core[-1], side="left"))
+        cuts = [(0, head, False)]
+        if tail >= head:
+            cuts.append((head, tail, True))
+            if last:
+                cuts.append((tail, len(core), False))
+            else:
+                waiting, rows = [tuple(x[tail:] for x in (doc, at, core, after, before))], len(core) - tail
+        if tail < head or last:
+            waiting, rows = [], 0
+        elif rows >= CHUNK_ROWS:                            # this core alone fills a chunk
+            open_core = core[-1]
+            cuts.append((tail, len(core), False))
+            waiting, rows = [], 0
+        for a, b, closed in cuts:
+            if a < b:
+                yield _compare(doc[a:b], at[a:b], core[a:b], after[a:b], before[a:b], closed)
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        waiting.append((*(batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "at", "core")),
+                        _unpacked(batch.column("after")), _unpacked(batch.column("before"))))
+        rows += len(batch)
+        if rows >= CHUNK_ROWS:
+            yield from parts(False)
+    if rows:
+        yield from parts(True)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,25 +284,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = (texts.mapInArrow(_cores, "core long, doc_id long").groupBy("core")
               .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi"))
     bitmap = C.stored(shared.groupBy(word("core").alias("map_word")).agg(F.bit_or(bit("core")).alias("map_bits")), "suffix-map")
+    # stored, so that the sample that sets the ranges reads what is sorted
     suffixes = C.stored(
-        texts.mapInArrow(_suffixes, "doc_id long, at long, core long, around long, left long, runs array<long>")
+        texts.mapInArrow(_suffixes, "doc_id long, at long, core long, after binary, before binary")
         .join(F.broadcast(bitmap), word("core") == F.col("map_word"))           # at most MAP_WORDS rows
-        .filter((F.col("map_bits").bitwiseAND(bit("core")) != 0) & (F.size("runs") > 0))
-        .select("doc_id", "at", "core", "around", "left", "runs"), "suffixes")
-    rows = suffixes.groupBy("core", "around").agg(F.first(F.struct("left", "runs")).alias("r"),
-                                                  F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    both = lambda key: [F.min("lo").over(key).alias("least"), F.max("hi").over(key).alias("most")]
-    # equal runs lie in one class, so one shuffle by core serves both windows
-    runs = (rows.select("core", "around", "r", "lo", "hi", *both(Window.partitionBy("core"))).filter("least < most")
-            .select("core", "around", "lo", "hi", "r.left", F.posexplode("r.runs").alias("place", "run"))
-            .select("core", "around", (F.col("left") - F.col("place")).alias("left"), *both(Window.partitionBy("core", "run")))
-            .filter("least < most"))
-    # all runs of a suffix hold its 35 words: together they are one span
-    extended = runs.groupBy("core", "around").agg(F.max("left").alias("left"), (MIN_WORDS - F.min("left")).alias("right"),
-                                                  F.min("least").alias("least"))
-    spans = (suffixes.select("doc_id", "at", "core", "around").join(extended, ["core", "around"])
-             .groupBy("doc_id", (F.col("at") - F.col("left")).alias("a"), (F.col("at") + F.col("right")).alias("b"))
-             .agg(F.min("least").alias("least")))
+        .filter(F.col("map_bits").bitwiseAND(bit("core")) != 0)
+        .select("doc_id", "at", "core", "after", "before"), "suffixes")
+    sorted_by = ["core", "after", "before", "doc_id"]
+    compared = C.stored(suffixes.repartitionByRange(*sorted_by).sortWithinPartitions(*sorted_by).mapInArrow(_compared, _ROW_SQL),
+                        "suffixes-compared")
+    groups = compared.filter("key is not null").select("key", "least", "most", "left", "docs", "ats")
+    total = groups.groupBy("key").agg(F.min("least").alias("lo"), F.max("most").alias("hi")).filter("lo < hi")
+    carried = (groups.join(total, "key").select("lo", "left", F.explode(F.arrays_zip("docs", "ats")).alias("m"))
+               .select(F.col("m.docs").alias("doc_id"), (F.col("m.ats") - F.col("left")).alias("a"),
+                       (F.col("m.ats") - F.col("left") + MIN_WORDS).alias("b"), F.col("lo").alias("least")))
+    spans = (compared.filter("key is null").select("doc_id", "a", "b", "least").unionByName(carried)
+             .groupBy("doc_id", "a", "b").agg(F.min("least").alias("least")))
     order = Window.partitionBy("doc_id").orderBy("a", "b")
     before = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = (spans.withColumn("fresh", F.when(F.coalesce(before < F.col("a"), F.lit(True)), 1).otherwise(0))
