@@ -23,8 +23,8 @@ or more words of the passage. Such a suffix is compared by its first 35 words
    itself only adds rows to a stretch, it never hides another document's.
 4. Tasks take the order in chunks of bounded size. A core that goes over the edge
    of a chunk is finished after the tasks: each chunk brings, per l, its groups
-   of equal 50 words with their smallest and largest doc_id, and groups of equal
-   hash are combined, one row per group and chunk.
+   of equal 50 words with their smallest and largest doc_id (no members), groups
+   of equal hash are combined, and each chunk gets back what its groups are in all.
 5. The matches are merged per document into maximal spans.
 
 Words are those of the near-duplicate operator (white space apart, A-Z like
@@ -39,6 +39,7 @@ other columns are ignored."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,67 +170,103 @@ def shared_frames(core: np.ndarray, after: np.ndarray, before: np.ndarray) -> It
         yield left, order, np.flatnonzero(np.concatenate([[True], ~equal]))
 
 
-def _compare(doc: np.ndarray, at: np.ndarray, core: np.ndarray, after: np.ndarray, before: np.ndarray, closed: bool) -> pa.RecordBatch:
-    """Matches of whole cores (closed), or the groups of a core that goes on in other chunks."""
-    if closed:
-        begin = np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]]))
-        many = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
-        keep = np.repeat(many, np.diff(np.append(begin, len(core))))
-        doc, at, core, after, before = (x[keep] for x in (doc, at, core, after, before))
-        if not len(core):
-            return _rows()
-    # suffixes with equal surroundings are one
-    again = (core[1:] == core[:-1]) & (after[1:] == after[:-1]).all(axis=1) & (before[1:] == before[:-1]).all(axis=1)
-    begin = np.flatnonzero(np.concatenate([[True], ~again]))
-    count = np.diff(np.append(begin, len(core)))
-    least, most = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
-    core, after, before = core[begin], after[begin], before[begin]
-    longest, shortest, partner = np.full(len(core), -1), np.full(len(core), REACH), np.full(len(core), np.iinfo(np.int64).max)
-    groups = []
-    for left, order, starts in shared_frames(core, after, before):
-        head, right = order[starts], REACH - left
-        lo, hi = np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts)
-        fits = np.ones(len(head), bool)                     # within the document
-        if left:
-            fits &= before[head, left - 1] != 0
-        if right:
-            fits &= after[head, right - 1] != 0
-        size = np.diff(np.append(starts, len(order)))
-        if closed:
-            found = fits & (lo < hi)
-            rows, by = order[np.repeat(found, size)], np.repeat(lo[found], size[found])
-            longest[rows], shortest[rows] = left, np.minimum(shortest[rows], left)
-            partner[rows] = np.minimum(partner[rows], by)
-            continue
-        words = np.concatenate([before[head, :left], after[head, :right]], axis=1).astype(_U)
+class _Sorted:
+    """Sorted suffixes, those with equal surroundings as one."""
+
+    def __init__(self, doc, at, core, after, before):
+        again = (core[1:] == core[:-1]) & (after[1:] == after[:-1]).all(axis=1) & (before[1:] == before[:-1]).all(axis=1)
+        begin = np.flatnonzero(np.concatenate([[True], ~again]))
+        self.doc, self.at = doc, at
+        self.count = np.diff(np.append(begin, len(core)))
+        self.least, self.most = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
+        self.core, self.after, self.before = core[begin], after[begin], before[begin]
+
+    def groups(self):
+        """Per number of words to the left: that number, members and sizes of the
+        groups of equal 50 words within their documents, smallest and largest doc_id."""
+        for left, order, starts in shared_frames(self.core, self.after, self.before):
+            head, right = order[starts], REACH - left
+            fits = np.ones(len(head), bool)
+            if left:
+                fits &= self.before[head, left - 1] != 0
+            if right:
+                fits &= self.after[head, right - 1] != 0
+            size = np.diff(np.append(starts, len(order)))
+            lo, hi = np.minimum.reduceat(self.least[order], starts), np.maximum.reduceat(self.most[order], starts)
+            yield left, order[np.repeat(fits, size)], size[fits], head[fits], lo[fits], hi[fits]
+
+    def keys(self, left: int, head: np.ndarray) -> np.ndarray:
+        """Hash of the 50 words of the groups that these suffixes stand for."""
+        words = np.concatenate([self.before[head, :left], self.after[head, :REACH - left]], axis=1).astype(_U)
         with np.errstate(over="ignore"):
-            key = C.mix64((C.mix64(words + _U(1)) * (C.seeded(REACH, 33) | _U(1))).sum(axis=1, dtype=_U)
-                          + C.mix64(core[head].view(_U)) * _U(_BASE) + _U(left))
-        held = count[order]
-        place = np.arange(int(held.sum())) + np.repeat(begin[order] - np.cumsum(held) + held, held)
-        some = np.add.reduceat(held, starts)
-        place, some = place[np.repeat(fits, some)], some[fits]
-        ends = pa.array(np.concatenate([[0], np.cumsum(some)]).astype(np.int32))
-        groups.append(_rows(least=lo[fits], left=np.full(len(some), left), key=key[fits].view(np.int64), most=hi[fits],
-                            docs=pa.ListArray.from_arrays(ends, pa.array(doc[place])),
-                            ats=pa.ListArray.from_arrays(ends, pa.array(at[place]))))
-    if not closed:
-        return pa.Table.from_batches(groups).combine_chunks().to_batches()[0] if sum(map(len, groups)) else _rows()
-    left, short, partner = np.repeat(longest, count), np.repeat(shortest, count), np.repeat(partner, count)
-    hit = left >= 0
-    return _rows(doc_id=doc[hit], a=(at - left)[hit], b=(at - short)[hit] + MIN_WORDS, least=partner[hit])
-
-
-_ROW = pa.schema([("doc_id", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()), ("left", pa.int64()),
-                  ("key", pa.int64()), ("most", pa.int64()), ("docs", pa.list_(pa.int64())), ("ats", pa.list_(pa.int64()))])
-_ROW_SQL = "doc_id long, a long, b long, least long, left long, key long, most long, docs array<long>, ats array<long>"
+            return C.mix64((C.mix64(words + _U(1)) * (C.seeded(REACH, 33) | _U(1))).sum(axis=1, dtype=_U)
+                           + C.mix64(self.core[head].view(_U)) * _U(_BASE) + _U(left)).view(np.int64)
+
+    def extended(self, shared) -> dict[str, np.ndarray]:
+        """The longest match of every suffix that has one; ``shared`` tells which
+        groups hold two documents, and the smallest doc_id of each."""
+        n = len(self.core)
+        longest, shortest, partner = np.full(n, -1), np.full(n, REACH), np.full(n, np.iinfo(np.int64).max)
+        for left, members, size, head, lo, hi in self.groups():
+            found, lo = shared(left, head, lo, hi)
+            rows = members[np.repeat(found, size)]
+            longest[rows], shortest[rows] = left, np.minimum(shortest[rows], left)
+            partner[rows] = np.minimum(partner[rows], np.repeat(lo[found], size[found]))
+        longest, shortest, partner = (np.repeat(x, self.count) for x in (longest, shortest, partner))
+        hit = longest >= 0
+        return {"doc_id": self.doc[hit], "a": (self.at - longest)[hit], "b": (self.at - shortest)[hit] + MIN_WORDS,
+                "least": partner[hit]}
+
+
+_SPAN_SQL = "doc_id long, a long, b long, least long"
+_ROW_SQL = f"{_SPAN_SQL}, chunk long, key long, most long, core long, after binary, before binary"
+_ROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "a", "b", "least", "chunk", "key", "most", "core")]
+                 + [("after", pa.binary()), ("before", pa.binary())])
 
 
 def _rows(**columns) -> pa.RecordBatch:
-    n = len(next(iter(columns.values()))) if columns else 0
+    n = len(columns["chunk"] if "chunk" in columns else columns["doc_id"])
     return pa.RecordBatch.from_arrays(
-        [columns[f.name] if isinstance(columns.get(f.name), pa.Array) else pa.array(columns[f.name], f.type)
-         if f.name in columns else pa.nulls(n, f.type) for f in _ROW], schema=_ROW)
+        [pa.nulls(n, f.type) if f.name not in columns else columns[f.name] if isinstance(columns[f.name], pa.Array)
+         else pa.array(columns[f.name], f.type) for f in _ROW], schema=_ROW)
+
+
+def _matches(doc, at, core, after, before) -> Iterator[pa.RecordBatch]:
+    """Spans (doc_id, a, b, least) of cores that lie wholly in a chunk."""
+    begin = np.flatnonzero(np.concatenate([[True], core[1:] != core[:-1]]))
+    many = np.minimum.reduceat(doc, begin) < np.maximum.reduceat(doc, begin)
+    keep = np.repeat(many, np.diff(np.append(begin, len(core))))
+    if keep.any():
+        rows = _Sorted(*(x[keep] for x in (doc, at, core, after, before)))
+        yield _rows(**rows.extended(lambda left, head, lo, hi: (lo < hi, lo)))
+
+
+def _unfinished(doc, at, core, after, before) -> Iterator[pa.RecordBatch]:
+    """The suffixes of a core that may go on in other chunks (``a`` is their
+    place), and its groups (chunk, key, least, most)."""
+    chunk = uuid.uuid4().int >> 65
+    yield _rows(chunk=np.full(len(core), chunk), doc_id=doc, a=at, core=core, after=_packed(after), before=_packed(before))
+    rows = _Sorted(doc, at, core, after, before)
+    for left, _, _, head, lo, hi in rows.groups():
+        yield _rows(chunk=np.full(len(head), chunk), key=rows.keys(left, head), least=lo, most=hi)
+
+
+def _finished(suffixes: pa.Table, total: pa.Table) -> pa.Table:
+    """Spans of one chunk's unfinished suffixes; ``total`` has the keys of its
+    groups that hold two documents in all chunks together."""
+    if not len(total) or not len(suffixes):
+        return pa.table({n: pa.array([], pa.int64()) for n in ("doc_id", "a", "b", "least")})
+    part = suffixes.sort_by([(n, "ascending") for n in ("core", "after", "before", "doc_id", "a")]).combine_chunks().to_batches()[0]
+    total = total.sort_by("key")
+    known, least = total.column("key").to_numpy(), total.column("lo").to_numpy()
+    rows = _Sorted(*(part.column(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "a", "core")),
+                   _unpacked(part.column("after")), _unpacked(part.column("before")))
+
+    def shared(left, head, lo, hi):
+        key = rows.keys(left, head)
+        place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        return known[place] == key, least[place]
+    return pa.table({n: pa.array(v, pa.int64()) for n, v in rows.extended(shared).items()})
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +297,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting, rows = [], 0
         for a, b, closed in cuts:
             if a < b:
-                yield _compare(doc[a:b], at[a:b], core[a:b], after[a:b], before[a:b], closed)
+                yield from (_matches if closed else _unfinished)(doc[a:b], at[a:b], core[a:b], after[a:b], before[a:b])
 
     for batch in batches:
         if not len(batch):
@@ -293,12 +330,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sorted_by = ["core", "after", "before", "doc_id"]
     compared = C.stored(suffixes.repartitionByRange(*sorted_by).sortWithinPartitions(*sorted_by).mapInArrow(_compared, _ROW_SQL),
                         "suffixes-compared")
-    groups = compared.filter("key is not null").select("key", "least", "most", "left", "docs", "ats")
+    groups = compared.filter("key is not null").select(F.col("chunk").alias("in_chunk"), "key", "least", "most")
     total = groups.groupBy("key").agg(F.min("least").alias("lo"), F.max("most").alias("hi")).filter("lo < hi")
-    carried = (groups.join(total, "key").select("lo", "left", F.explode(F.arrays_zip("docs", "ats")).alias("m"))
-               .select(F.col("m.docs").alias("doc_id"), (F.col("m.ats") - F.col("left")).alias("a"),
-                       (F.col("m.ats") - F.col("left") + MIN_WORDS).alias("b"), F.col("lo").alias("least")))
-    spans = (compared.filter("key is null").select("doc_id", "a", "b", "least").unionByName(carried)
+    # a chunk is at most CHUNK_ROWS suffixes and a batch, with REACH + 1 groups each
+    carried = (compared.filter("core is not null").select("chunk", "doc_id", "a", "core", "after", "before").groupBy("chunk")
+               .cogroup(groups.join(total, "key").select("in_chunk", "key", "lo").groupBy("in_chunk"))
+               .applyInArrow(_finished, _SPAN_SQL))
+    spans = (compared.filter("chunk is null").select("doc_id", "a", "b", "least").unionByName(carried)
              .groupBy("doc_id", "a", "b").agg(F.min("least").alias("least")))
     order = Window.partitionBy("doc_id").orderBy("a", "b")
     before = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from ballotlens.llm import suffix_dedup as S
@@ -30,20 +31,22 @@ def batches(rows, size):
 
 def cover(parts):
     """Words covered per document by the rows of compared ranges."""
-    got, groups = {}, []
-    for r in [r for p in parts for r in p.to_pylist()]:
-        if r["key"] is None:
-            got.setdefault(r["doc_id"], set()).update(range(r["a"], r["b"]))
-        else:
-            groups.append(r)
+    found = pa.Table.from_batches(parts, S._ROW)
+    spans = [r for r in found.to_pylist() if r["chunk"] is None]
     lo, hi = {}, {}
+    groups = [r for r in found.to_pylist() if r["key"] is not None]
     for g in groups:
         lo[g["key"]] = min(lo.get(g["key"], g["least"]), g["least"])
         hi[g["key"]] = max(hi.get(g["key"], g["most"]), g["most"])
-    for g in groups:
-        if lo[g["key"]] < hi[g["key"]]:
-            for d, at in zip(g["docs"], g["ats"]):
-                got.setdefault(d, set()).update(range(at - g["left"], at - g["left"] + S.MIN_WORDS))
+    open_rows = found.filter(pc.is_valid(found.column("core")))
+    for chunk in {r["chunk"] for r in open_rows.to_pylist()}:
+        keys = sorted({g["key"] for g in groups if g["chunk"] == chunk and lo[g["key"]] < hi[g["key"]]}, reverse=True)
+        spans += S._finished(open_rows.filter(pc.equal(open_rows.column("chunk"), chunk)),
+                             pa.table({"key": pa.array(keys, pa.int64()), "lo": pa.array([lo[k] for k in keys], pa.int64())})).to_pylist()
+    got = {}
+    for r in spans:
+        assert r["least"] <= r["doc_id"]
+        got.setdefault(r["doc_id"], set()).update(range(r["a"], r["b"]))
     return got
 
 
