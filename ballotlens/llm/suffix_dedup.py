@@ -9,10 +9,12 @@ or more words of the passage. Such a suffix is compared by its first 35 words
 1. The hash of each suffix's core is counted by document; suffixes whose core
    occurs in one document only are left out. (A bitmap of fixed size, broadcast,
    spares their transport; what follows is exact whatever it lets through.)
-2. The suffixes are sorted: range partitions over (core, words after, words
-   before, doc_id), in order within each. No two places of different documents
-   are equal in all four, so a core that a third of all documents share is
-   dealt over as many partitions as its rows fill.
+2. The suffixes are sorted: range partitions over their cores, in order of (core,
+   words after, words before, doc_id) within each. Cores with more suffixes than
+   a chunk of step 4 and than 1/4096 of all (so at most 4096 cores) are cut by all
+   four columns, in which no two places of different documents are equal: a core
+   that a third of all documents share is dealt over as many partitions as its
+   rows fill. Any other core lies whole in one partition.
 3. Neighbours in that order are compared: the number of words that a suffix
    shares with the next bounds the stretches of suffixes that agree on at least
    r words after the core. Each stretch is extended to the left: in the order of
@@ -22,7 +24,7 @@ or more words of the passage. Such a suffix is compared by its first 35 words
    suffix keeps its longest to both sides. A document that repeats a passage
    itself only adds rows to a stretch, it never hides another document's.
 4. Tasks take the order in chunks of bounded size. A core that goes over the edge
-   of a chunk is finished after the tasks: each chunk brings, per l, its groups
+   of a chunk or of its partition is finished after the tasks: each chunk brings, per l, its groups
    of equal 50 words with their smallest and largest doc_id (no members), groups
    of equal hash are combined, and each chunk gets back what its groups are in all.
 5. The matches are merged per document into maximal spans.
@@ -48,6 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ballotlens.llm import common as C
+from ballotlens.llm.skew import HEAVY
 
 MIN_WORDS = 50
 GRAM, WINDOW = 8, 16                    # words of a hash, hashes of a minimiser window
@@ -270,25 +273,25 @@ def _finished(suffixes: pa.Table, total: pa.Table) -> pa.Table:
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Walk one range of the sorted suffixes. Its first and last core may go on
-    in the ranges beside it, and so may a core that fills a chunk."""
-    waiting, rows, open_core = [], 0, None
+    """Walk one range of the sorted suffixes. A heavy core at its start or end may
+    go on in the range beside it, and a core that fills a chunk in the next one."""
+    waiting, rows, begun, open_core = [], 0, False, None
 
     def parts(last: bool):
-        nonlocal waiting, rows, open_core
-        doc, at, core = (np.concatenate([w[i] for w in waiting]) for i in range(3))
-        after, before = (np.concatenate([w[i] for w in waiting]) for i in (3, 4))
-        if open_core is None:
-            open_core = core[0]                             # the first core of the range
-        head = int(np.searchsorted(core, open_core, side="right"))
+        nonlocal waiting, rows, begun, open_core
+        doc, at, core, after, before, heavy = (np.concatenate([w[i] for w in waiting]) for i in range(6))
+        if not begun and heavy[0]:
+            open_core = core[0]
+        begun = True
+        head = 0 if open_core is None else int(np.searchsorted(core, open_core, side="right"))
         tail = int(np.searchsorted(core, core[-1], side="left"))
         cuts = [(0, head, False)]
         if tail >= head:
             cuts.append((head, tail, True))
             if last:
-                cuts.append((tail, len(core), False))
+                cuts.append((tail, len(core), not heavy[-1]))
             else:
-                waiting, rows = [tuple(x[tail:] for x in (doc, at, core, after, before))], len(core) - tail
+                waiting, rows = [tuple(x[tail:] for x in (doc, at, core, after, before, heavy))], len(core) - tail
         if tail < head or last:
             waiting, rows = [], 0
         elif rows >= CHUNK_ROWS:                            # this core alone fills a chunk
@@ -303,7 +306,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(batch):
             continue
         waiting.append((*(batch.column(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "at", "core")),
-                        _unpacked(batch.column("after")), _unpacked(batch.column("before"))))
+                        _unpacked(batch.column("after")), _unpacked(batch.column("before")),
+                        batch.column("heavy").to_numpy(zero_copy_only=False)))
         rows += len(batch)
         if rows >= CHUNK_ROWS:
             yield from parts(False)
@@ -328,8 +332,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         .filter(F.col("map_bits").bitwiseAND(bit("core")) != 0)
         .select("doc_id", "at", "core", "after", "before"), "suffixes")
     sorted_by = ["core", "after", "before", "doc_id"]
-    compared = C.stored(suffixes.repartitionByRange(*sorted_by).sortWithinPartitions(*sorted_by).mapInArrow(_compared, _ROW_SQL),
-                        "suffixes-compared")
+    most = max(CHUNK_ROWS, suffixes.count() // HEAVY)
+    heavy = C.stored(suffixes.groupBy("core").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+                     .select("core", F.lit(True).alias("heavy")), "suffixes-heavy")
+    marked = suffixes.join(F.broadcast(heavy), "core", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False)))
+    compared = C.stored(marked.repartitionByRange("core", *[F.when(F.col("heavy"), F.col(c)) for c in sorted_by[1:]])
+                        .sortWithinPartitions(*sorted_by).mapInArrow(_compared, _ROW_SQL), "suffixes-compared")
     groups = compared.filter("key is not null").select(F.col("chunk").alias("in_chunk"), "key", "least", "most")
     total = groups.groupBy("key").agg(F.min("least").alias("lo"), F.max("most").alias("hi")).filter("lo < hi")
     # a chunk is at most CHUNK_ROWS suffixes and a batch, with REACH + 1 groups each

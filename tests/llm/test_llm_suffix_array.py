@@ -21,12 +21,12 @@ def suffix_rows(rows):
     return sorted(zip(*(table.column(n).to_pylist() for n in ("core", "after", "before", "doc_id", "at"))))
 
 
-def batches(rows, size):
+def batches(rows, size, heavy=True):
     for i in range(0, len(rows), size):
         core, after, before, doc, at = zip(*rows[i:i + size])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(doc), pa.array(at), pa.array(core), pa.array(after, pa.binary()), pa.array(before, pa.binary())],
-            names=["doc_id", "at", "core", "after", "before"])
+            [pa.array(doc), pa.array(at), pa.array(core), pa.array(after, pa.binary()), pa.array(before, pa.binary()),
+             pa.array([heavy] * len(core))], names=["doc_id", "at", "core", "after", "before", "heavy"])
 
 
 def cover(parts):
@@ -97,10 +97,16 @@ def test_ranges_do_not_matter(monkeypatch):
         parts = [p for a, b in zip(cuts, cuts[1:]) for p in S._compared(batches(sorted_rows[a:b], 30))]
         assert cover(parts) == want
     assert list(S._compared(iter([]))) == []
+    # light cores lie whole in a range, and nothing is left unfinished there
+    monkeypatch.setattr(S, "CHUNK_ROWS", 1 << 16)
+    border = [0, *[i for i in range(1, len(sorted_rows)) if sorted_rows[i][0] != sorted_rows[i - 1][0]][::9], len(sorted_rows)]
+    parts = [p for a, b in zip(border, border[1:]) for p in S._compared(batches(sorted_rows[a:b], 30, heavy=False))]
+    assert cover(parts) == want and all(p.column("chunk").null_count == len(p) for p in parts)
 
 
-def test_a_hot_core_is_dealt_over_ranges(spark):
+def test_a_hot_core_is_dealt_over_ranges(spark, monkeypatch):
     """One passage in every document: its rows fill many partitions."""
+    monkeypatch.setattr(S, "CHUNK_ROWS", 30)                # heavy from 30 rows on
     rng = random.Random(6)
     passage = prose(rng, 55)
     rows = [(i, f"{prose(rng, 20)} {passage} {prose(rng, 20)}") for i in range(400)]
