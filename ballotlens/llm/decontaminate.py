@@ -12,7 +12,11 @@ needs; what is left out here is below 0.8 for certain. Each window gets a
 by number, so that every one has a vote of its own. A
 multi-index of thirteen blocks finds every pair within Hamming distance 25: two
 fingerprints that close differ by at most one bit in at least one block, and
-items are posted under all values of a block within one bit. Pairs in reach
+items are posted under all values of a block within one bit. A block of five
+bits alone would let most unrelated pairs through, so its lists are divided
+by shingle: window and item are posted under their rarest numbered shingles,
+so many that two of similarity 0.8 have one of them in common. Shingles that many
+items share are nobody's rarest, unless an item has hardly any others. Pairs in reach
 are then compared exactly: sum of the smaller by sum of the larger shingle
 counts, 0.8 or more. At a similarity of 0.8 the cosine is 8 / 9 or more, so a
 bit differs with probability 0.15 at most: 9.7 bits on average (standard
@@ -113,6 +117,34 @@ def promising(texts: DataFrame, similarity: float) -> DataFrame:
             .groupBy("body", "n", "x.place").agg(F.min("x.p").alias("p")))
 
 
+def rarest(owners: DataFrame, key: str, held: DataFrame, common: Column) -> DataFrame:
+    """(key, n, print, vote): of each owner's numbered shingles, ordered by the
+    number of items that hold them, the first ``size - common + 1``. Two sets with
+    ``common`` or more shingles in common share one of these. Shingles of no item
+    take their places in the order but lead nowhere."""
+    ordered = (owners.select(key, "n", f"{key}_print", F.size("votes").alias("size"), F.explode("votes").alias("vote"))
+               .join(held, ["n", "vote"], "left").groupBy(key, "n", f"{key}_print", "size")
+               .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "vote"))).alias("votes")))
+    return (ordered.select(key, "n", f"{key}_print", F.explode(F.slice("votes", F.lit(1), F.col("size") - common + 1)).alias("x"))
+            .filter(F.col("x.held") > 0).select(key, "n", f"{key}_print", F.col("x.vote").alias("vote")))
+
+
+def meeting(windows: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """(window, item, window_print, item_print): pairs that share a list of the
+    index, once per list. Both sides come with their numbered shingles (votes)."""
+    held = items.select("n", F.explode("votes").alias("vote")).groupBy("n", "vote").agg(F.count("*").alias("held"))
+    if (items.agg(F.sum(F.size("votes"))).first()[0] or 0) <= BROADCAST_SHINGLES:
+        held = F.broadcast(held)
+    own, other = F.col("size"), F.col("n") - N + 1
+    both = F.ceil(similarity * (own + other) / (1 + similarity) - 1e-9).cast("int")
+    least = F.ceil(similarity * other - 1e-9).cast("int")           # whatever the window's size
+    return (rarest(windows, "window", held, F.greatest(both, F.lit(1)))
+            .withColumn("key", F.explode(exact_keys(F.col("window_print"))))
+            .join(rarest(items, "item", held, F.greatest(least, F.lit(1)))
+                  .withColumn("key", F.explode(near_keys(F.col("item_print")))), ["n", "vote", "key"])
+            .select("window", "item", "window_print", "item_print"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
@@ -123,7 +155,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         .filter(F.size("w") >= N).dropDuplicates(["item_id", "w"])
         .select(F.xxhash64("item_id", "w").alias("item"), "item_id", "w", F.size("w").alias("n"))
         .select("*", numbered(shingle_hashes(F.col("w"))).alias("votes"))
-        .select("*", simhash(F.col("votes")).alias("item_print")).drop("votes"), "benchmark-items")
+        .select("*", simhash(F.col("votes")).alias("item_print")), "benchmark-items")
     places = (items.select("n", F.posexplode(shingle_hashes(F.col("w"))).alias("q", "shingle"))
               .groupBy("n", "shingle").agg(F.collect_set("q").alias("qs")))
     if places.count() <= BROADCAST_SHINGLES:
@@ -143,10 +175,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      "benchmark-windows")
     windows = C.stored(found.groupBy("window", "n").agg(F.first("w").alias("w"))
                        .select("*", numbered(shingle_hashes(F.col("w"))).alias("votes"))
-                       .select("*", simhash(F.col("votes")).alias("window_print")).drop("votes"), "benchmark-prints")
-    pairs = (windows.select("window", "n", "window_print", F.explode(exact_keys(F.col("window_print"))).alias("key"))
-             .join(items.select("item", "n", "item_print", F.explode(near_keys(F.col("item_print"))).alias("key")), ["n", "key"])
-             .filter(F.bit_count(F.col("window_print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
+                       .select("*", simhash(F.col("votes")).alias("window_print")), "benchmark-prints")
+    pairs = (meeting(windows, items, similarity).filter(F.bit_count(F.col("window_print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
              .select("window", "item").distinct())
     counts = lambda df, key: (df.select(key, F.explode(shingle_texts(F.col("w"))).alias("s"))
                               .groupBy(key, "s").agg(F.count("*").alias(f"c_{key}")))

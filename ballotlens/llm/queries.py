@@ -145,11 +145,18 @@ WITH doc AS (
 ), doc_shingle AS (
   SELECT doc_id, p, len(w) AS m, array_to_string(w[p:p + 4], ' ') AS s
   FROM (SELECT *, unnest(range(1, len(w) - 3)) AS p FROM doc WHERE len(w) >= 5)
-), placed AS (
+), lined AS (
   SELECT DISTINCT d.doc_id, i.n, greatest(least(d.p - i.q, d.m - i.n), 0) AS start
   FROM doc_shingle d JOIN (SELECT DISTINCT n, q, s FROM item_shingle) i USING (s)
+), met AS (
+  SELECT d.doc_id, i.item_id, i.n, d.m, d.p FROM doc_shingle d JOIN (SELECT DISTINCT item_id, n, s FROM item_shingle) i USING (s)
+), hopeful AS (
+  SELECT doc_id, item_id, n, m FROM met GROUP BY ALL
+  HAVING count(*) >= 0.8 * (least(n, m) - 4 + n - 4) / 1.8 - 1e-9
 ), win AS (
-  SELECT p.doc_id, p.n, p.start, w[start + 1:start + n] AS w FROM placed p JOIN doc USING (doc_id)
+  SELECT doc_id, n, start, w[start + 1:start + n] AS w
+  FROM (SELECT doc_id, n, unnest(range(0, greatest(m - n, 0) + 1)) AS start FROM (SELECT DISTINCT doc_id, n, m FROM hopeful))
+  JOIN doc USING (doc_id)
 ), win_shingle AS (
   SELECT doc_id, n, start, s, count(*) AS c FROM (
     SELECT doc_id, n, start, array_to_string(w[k:k + 4], ' ') AS s
@@ -159,10 +166,15 @@ WITH doc AS (
   SELECT a.doc_id, a.start, b.item_id, b.n, sum(least(a.c, b.c)) AS common_n
   FROM win_shingle a JOIN counted b ON a.n = b.n AND a.s = b.s GROUP BY ALL
 ), scored AS (
-  SELECT j.doc_id, j.item_id, j.start, CAST(common_n AS DOUBLE) / (len(win.w) - 4 + j.n - 4 - common_n) AS similarity
+  SELECT j.doc_id, j.item_id, j.start, CAST(common_n AS DOUBLE) / (len(win.w) - 4 + j.n - 4 - common_n) AS similarity,
+    CASE WHEN lined.start IS NOT NULL THEN 2 WHEN win_begins.p IS NOT NULL THEN 1 ELSE 0 END AS place
   FROM joint j JOIN win ON win.doc_id = j.doc_id AND win.n = j.n AND win.start = j.start
+  LEFT JOIN lined ON lined.doc_id = j.doc_id AND lined.n = j.n AND lined.start = j.start
+  LEFT JOIN (SELECT DISTINCT doc_id, n, greatest(least(p - 1, m - n), 0) AS p FROM met) win_begins
+    ON win_begins.doc_id = j.doc_id AND win_begins.n = j.n AND win_begins.p = j.start
 )
-SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_max(start, struct_pack(a := similarity, b := -start)) AS BIGINT) AS start_word
+SELECT doc_id, item_id, max(similarity) AS similarity,
+  CAST(arg_max(start, struct_pack(a := similarity, b := place, c := -start)) AS BIGINT) AS start_word
 FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
 

@@ -7,6 +7,7 @@ import pytest
 from llm_fixtures import frame, prose, words
 
 from ballotlens.llm import boosting, pii, toxicity
+from ballotlens.llm import decontaminate as D
 from ballotlens.llm import licenses as L
 from ballotlens.llm.decontaminate import contaminated
 from ballotlens.llm.suffix_dedup import cut_spans, repeated_passages
@@ -226,6 +227,46 @@ def test_decontamination_of_items_with_repeated_words(spark):
     assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_index_lets_few_unrelated_pairs_meet(spark):
+    """Half of the items begin with the same sentence, and every window holds it too."""
+    rng = random.Random(29)
+    shared = prose(rng, 12)
+    items = [(k, f"{shared if k % 2 else prose(rng, 12)} {prose(rng, 28)}") for k in range(120)]
+    texts = [(k, " ".join([*t.split()[:38], "zu", "zu"])) for k, t in items] + [(200 + k, f"{shared} {prose(rng, 28)}") for k in range(60)]
+    def side(rows, key):
+        df = spark.createDataFrame(rows, f"{key} long, t string").select(key, D.words(D.F.col("t")).alias("w"))
+        df = df.select(key, D.F.size("w").alias("n"), D.numbered(D.shingle_hashes(D.F.col("w"))).alias("votes"))
+        return df.withColumn(f"{key}_print", D.simhash(D.F.col("votes")))
+    met = {(r.window, r.item) for r in D.meeting(side(texts, "window"), side(items, "item"), 0.8).distinct().collect()}
+    alike = {(i, k) for i, t in texts for k, v in items if similarity(windows_of(t), windows_of(v)) >= 0.8}
+    assert alike <= met and len(alike) == 120
+    assert len(met - alike) < 0.05 * (len(texts) * len(items) - len(alike))
+
+
+def test_sql_finds_windows_that_are_not_lined_up(spark, tmp_path):
+    """The SQL tries all windows; it gives what the operator gives on trimmed items with insertions."""
+    import duckdb
+    from ballotlens.llm.queries import ORACLE_SQL
+    rng = random.Random(31)
+    items = [(k, prose(rng, 59)) for k in range(6)]
+    rows = []
+    for k in range(40):
+        w = items[k % 6][1].split()
+        w = w[rng.randint(0, 2):59 - rng.randint(0, 2)]
+        w[25:25] = prose(rng, rng.randint(0, 4)).split()
+        rows.append((k, f"{prose(rng, rng.randint(0, 30))} {' '.join(w)} {prose(rng, rng.randint(0, 30))}"))
+    rows.append((100, " ".join(prose(rng, 9).split() + items[0][1].split()[1:30] + prose(rng, 2).split()
+                               + items[0][1].split()[30:58] + prose(rng, 9).split())))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in contaminated(frame(spark, rows), bench).collect()}
+    with duckdb.connect() as con:
+        for table, df in (("documents", frame(spark, rows)), ("benchmark", bench)):
+            df.write.parquet(f"{tmp_path}/{table}")
+            con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}/*.parquet'")
+        want = {(d, i): (s, a) for d, i, s, a in con.execute(ORACLE_SQL["op6_decontamination"]).fetchall()}
+    assert got == want and (100, 0) in want and {k: s for k, (s, _) in want.items()} == pytest.approx(best_windows(rows, items))
+
+
 # ---------------------------------------------------------------- personal data
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
