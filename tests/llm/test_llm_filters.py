@@ -442,6 +442,65 @@ def test_versions_within_one_block_and_broken_lines():
     assert L._has_anchor(notice) and [r["license_id"] for r in L.find_notices(notice, L.Compressor())] == ["Unlicense"]
 
 
+def test_identifiers_titles_versions_and_sentences():
+    compressor = L.Compressor()
+    for i, (name, notice) in enumerate(L.VERSIONS, len(L.TEMPLATES)):
+        found = L.find_notices(f"ba de lomu.\n{notice}\nfe", compressor)
+        assert [(r["license_id"], r["template"], r["start"], r["n_differences"]) for r in found] == [(name, i, 12, 0)]
+    for text, name in (("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-2.0", "GPL-2.0-only"),
+                       ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991", "GPL-2.0"), ("Licensed under CC-BY-SA 3.0", "CC-BY-SA-3.0"),
+                       ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+                        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.", "MIT"),
+                       ("This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                        "General Public License as published by the Free Software Foundation, either version 2.1 of the License, or "
+                        "(at your option) any later version.", "LGPL-2.1-or-later")):
+        assert [r["license_id"] for r in L.find_notices(f"ba de\n{text}\nlo mu", compressor)] == [name]
+    for text in ("Licensed under CC BY 9.0.", "It comes without warranty of any kind.", "SPDX-License-Identifier: Other-9"):
+        assert L.find_notices(text, compressor) == []
+    twice = "Licensed under CC BY-SA 3.0. Licensed under CC BY-SA 3.0."
+    assert [(r["start"], r["license_id"]) for r in L.find_notices(twice, compressor)] == [(0, "CC-BY-SA-3.0"), (29, "CC-BY-SA-3.0")]
+
+
+def plain_notices(text, compressor):
+    """Every template against every stretch of words, best first, no word twice."""
+    spoken, taken, out = [L._plain(w) for w in re.findall(r"[^\W_]+", text)], set(), []
+    saved = compressor.saved(text, list(range(len(L.ALL))))
+    while True:
+        best = None
+        for i, (name, notice) in enumerate(L.ALL):
+            t = [L._plain(w) for w in re.findall(r"[^\W_]+", notice)]
+            must = {w for w, k in zip(t, L.key_words(notice)) if k}
+            if saved[i] < 0.2 or not must <= set(spoken):
+                continue
+            for a in range(len(spoken)):
+                for b in range(a + 1, min(len(spoken), a + len(t) + len(t) // 5) + 1):
+                    if b - a >= len(t) - len(t) // 5 and must <= set(spoken[a:b]) and not taken & set(range(a, b)):
+                        d = distance(t, spoken[a:b])
+                        rank = (d / len(t), -saved[i], -len(t), i)
+                        if d <= 0.2 * len(t) and (best is None or rank < best[0]):
+                            best = (rank, a, b, name, d)
+        if best is None:
+            return [(name, d) for _, name, d in sorted(out)]
+        taken |= set(range(best[1], best[2]))
+        out.append((best[1], best[3], best[4]))
+
+
+def test_ranking_and_selection_equal_brute_force():
+    rng, compressor = random.Random(41), L.Compressor()
+    short = [i for i, words in enumerate(L.WORDS) if len(words) <= 16]
+    for _ in range(40):
+        parts = [prose(rng, rng.randint(0, 6))]
+        for i in rng.choices(short, k=rng.randint(1, 2)):
+            notice, keys = L.ALL[i][1].split(" "), L.KEYS[i]
+            plain = len(notice) == len(keys) and [k for k, key in enumerate(keys) if not key]
+            if plain and rng.random() < 0.5:
+                notice[rng.choice(plain)] = prose(rng, 1)
+            parts += [" ".join(notice), prose(rng, rng.randint(2, 8))]
+        text = " ".join(parts)
+        got = [(r["license_id"], r["n_differences"]) for r in L.find_notices(text, compressor)]
+        assert got == plain_notices(text, compressor), text
+
+
 def test_wording_differences_equal_edit_distance():
     rng = random.Random(2)
     for _ in range(200):
