@@ -7,9 +7,10 @@ will do and a repeated task leaves no half-written archive:
 * ``write_monolithic``: the text writer lays the records of a partition into
   one gzip stream (a record's closing CRLF CRLF ends in the line separator).
 * ``normalise``: each file is inflated once as a stream; every record becomes a
-  gzip member of its own. Members are written by the text writer too, whose
-  line separator is an empty gzip member, so that a file is a plain sequence of
-  members.
+  gzip member of its own. Members are written by the text writer too, many to a
+  line; its line separator is an empty gzip member, so that a file is a plain
+  sequence of record members, with an empty end marker after each
+  ``CHUNK_BYTES`` and at the end.
 * ``index_archives``: one walk over the normalised files gives, for each
   record, archive, offset, length and the main header fields; written beside
   the archives. ``read_records`` fetches payloads by that index.
@@ -42,6 +43,7 @@ ARCHIVE_BYTES = 64 << 20            # payload bytes that a file holds on average
 CRAWL_DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INFLATE_BYTES = 1 << 18
+CHUNK_BYTES = 8 << 20               # members that are handed on together
 LEVEL = 6
 INDEX = ("archive string, offset long, length long, record_type string, page_id long, refers_to long, "
          "payload_bytes long, payload_digest string, target_uri string")
@@ -141,16 +143,20 @@ def header_fields(head: bytes) -> dict[str, str]:
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def line(members: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(members)], pa.binary())], names=["members"])
+
     for batch in batches:
         for content in batch.column("content"):
             members, size = [], 0
             for record in inflate_records(content.as_py()):
                 members.append(_member(record))
                 size += len(members[-1])
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["member"])
+                if size > CHUNK_BYTES:
+                    yield line(members)
                     members, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["member"])
+            if members:
+                yield line(members)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -159,8 +165,8 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def normalise(spark: SparkSession, source: str, target: str) -> None:
     """Every gzip file of ``source`` rewritten in ``target`` with one member per record."""
-    members = _files(spark, source).select("content").mapInArrow(_rewrite, "member binary")
-    (members.select(F.col("member").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
+    members = _files(spark, source).select("content").mapInArrow(_rewrite, "members binary")
+    (members.select(F.col("members").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
      .option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(target))
 
 

@@ -53,7 +53,7 @@ def test_round_trip(spark, rows, least):
     for i, _, h in rows:
         key = (i, base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode())
         assert set(pages[key]) <= {h or "", None}
-    # the files are plain gzip, every indexed member opens alone
+    # the files are plain gzip, hold a member per record and one empty end marker (all are small), every indexed member opens alone
     by_file = {}
     for r in index.collect():
         by_file.setdefault(r.archive.removeprefix("file:").replace("///", "/"), []).append(r)
@@ -63,6 +63,12 @@ def test_round_trip(spark, rows, least):
         assert whole.count(b"WARC-Record-ID: ") == len(found)
         members = b"".join(zlib.decompress(data[r.offset:r.offset + r.length], 31)
                            for r in sorted(found, key=lambda r: r.offset))
+        every, stream = 0, data
+        while stream:
+            one = zlib.decompressobj(31)
+            one.decompress(stream)
+            every, stream = every + 1, one.unused_data
+        assert every == len(found) + 1
         assert members == whole and all(data[r.offset:r.offset + 2] == b"\x1f\x8b" for r in found)
 
 
