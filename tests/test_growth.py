@@ -15,3 +15,8 @@ def test_outflow_never_broadcasts_stakes(tables):
     """p1_7: stakes are estimated by the rows before they are expanded by epoch."""
     plan = optimized(K.p1_7_post_vote_delegation_outflow(K.Datasets.from_tables(tables)))
     assert "rightHint=(strategy=merge)" in plan
+
+
+def test_rejected_rows_parse_a_text_once(tables):
+    """d4: one parse into fields and one test for malformed text per table, none in filters."""
+    assert optimized(D.rejected_rows(tables)).count("from_json(") <= 6
