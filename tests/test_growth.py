@@ -20,3 +20,10 @@ def test_outflow_never_broadcasts_stakes(tables):
 def test_rejected_rows_parse_a_text_once(tables):
     """d4: one parse into fields and one test for malformed text per table, none in filters."""
     assert optimized(D.rejected_rows(tables)).count("from_json(") <= 6
+
+
+def test_snapshot_tables_are_made_in_many_tasks(spark, tables):
+    """ds5 and others: one row group of the driver table is not one task's snapshot table."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("drep_dist", "epoch_stake"):
+        assert tables[name].rdd.getNumPartitions() >= parts
