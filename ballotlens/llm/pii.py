@@ -5,14 +5,17 @@ High-recall generators propose further, overlapping candidates (obfuscated
 addresses, numbers without a plus sign, other separators); boosted trees score
 them by format and context features and calibrated thresholds, one per kind,
 decide. What lies outside base spans is not taken for wrong: the trees learn, on
-a bounded sample of at most ``SAMPLE`` candidates (smallest hashes), to tell base
+all such candidates of the table, to tell base
 spans and rewritten forms of base spans (without plus sign, with dots, with
 "(at)") from non-data: base spans rewritten into failed Luhn numbers, dates,
 versions and the like, and candidates that are such by their form. One
-threshold holds for all kinds: the lowest score at which the share of right ones
-among rewritten spans and non-data at or above it, as expected from them
-((right + 1/2) / (n + 1)), is ``PRECISION``. All sampled rows count, each scored by trees
-that have not seen it (three folds); non-data by form is never added. The
+threshold holds for all kinds: the lowest score (rounded down to 1/``LEVELS``) at which
+the share of right ones among rewritten spans and non-data at or above it, as expected
+from them ((right + 1/2) / (n + 1)), is ``PRECISION``. All rows count, each scored by trees
+that have not seen its label (three folds by hash); non-data by form is never added.
+Rows with equal features are counted together, and the trees of all folds grow at
+once from sums over them, which Spark takes over parts of about ``PART_ROWS`` different
+rows; only such sums reach the driver. The
 generators bound numbers by their formats; names and hosts have any length.
 Where added spans overlap each other or a base span, the better one stays.
 
@@ -24,6 +27,7 @@ result; other columns are ignored."""
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -38,9 +42,10 @@ from pyspark.sql.types import StructType
 from ballotlens.llm import boosting
 from ballotlens.llm import common as C
 
-SAMPLE = 8000
 PRECISION = 0.99
 FOLDS = 3
+LEVELS = 1 << 16            # of scores, for the threshold
+PART_ROWS = 50_000          # different rows that a task learns from, about
 CONTEXT = 40
 
 # fixed values: the kinds in order and their base patterns
@@ -233,29 +238,59 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, precision: float) -> float:
+def calibrate(scores: np.ndarray, labels: np.ndarray, precision: float, counts: np.ndarray | None = None) -> float:
     """The lowest score at which the expected share of positives among those at
     or above it, (positives + 1/2) / (n + 1), is at least ``precision``; infinity if
-    there is none. The same rule at every size: few rows leave the share uncertain."""
+    there is none. The same rule at every size: few rows leave the share uncertain.
+    ``counts``: how often each row is there."""
+    counts = np.ones(len(scores)) if counts is None else counts
     order = np.argsort(-scores, kind="stable")
-    n = np.arange(1, len(order) + 1)
-    right = (np.cumsum(labels[order]) + 0.5) / (n + 1)
+    right = (np.cumsum((labels * counts)[order]) + 0.5) / (np.cumsum(counts[order]) + 1)
     last = np.append(scores[order][1:] != scores[order][:-1], True) if len(order) else np.zeros(0, bool)
     good = np.flatnonzero((right >= precision) & last)
     return float(scores[order][good[-1]]) if len(good) else float("inf")
 
 
+def _by_level(block: dict) -> np.ndarray:
+    """Rows that are calibrated on by (label, score rounded down), each scored by
+    the model of its own fold."""
+    scores, out = boosting._sigmoid(block["total"]), np.zeros((2, LEVELS + 1), np.int64)
+    for y in (0, 1):
+        rows = block["calibrated"] & (block["y"] == y)
+        for f in range(FOLDS):
+            own = block["counts"][rows, FOLDS] - block["counts"][rows, f]       # what fold f's model has not seen
+            out[y] += np.bincount((scores[rows, f] * LEVELS).astype(np.int64), own, LEVELS + 1).astype(np.int64)
+    return out
+
+
+def _learned(rows: boosting.Near | boosting.Spread, edges: list[np.ndarray], base: list[float]) -> tuple[dict, float]:
+    """Trees and the threshold, from rows that the model of each fold counts
+    but for that fold, and the last model counts whole."""
+    model = boosting.grow(rows, edges, base)[FOLDS]
+    found = rows.sums(_by_level)
+    y, level = np.nonzero(found)
+    return model, max(0.5, calibrate(level / LEVELS, y.astype(float), PRECISION, found[y, level]))
+
+
+def _model_counts(folds: np.ndarray) -> np.ndarray:
+    """(rows, FOLDS + 1) counts of the models from counts by fold."""
+    whole = folds.sum(axis=1, keepdims=True)
+    return np.concatenate([whole - folds, whole], axis=1)
+
+
+def _bases(right: np.ndarray, n: np.ndarray) -> list[float]:
+    return [boosting.base_of(r / max(c, 1)) for r, c in zip(right.tolist(), n.tolist())]
+
+
 def learn(x: np.ndarray, y: np.ndarray, rewritten: np.ndarray) -> tuple[dict | None, float]:
     """Trees and the threshold. Every row is scored by trees of the other folds;
     rewritten base spans and non-data are calibrated on."""
     if len(set(y)) < 2:
         return None, float("inf")
-    fold, scores = np.arange(len(y)) % FOLDS, np.zeros(len(y))
-    for f in range(FOLDS):
-        if (fold == f).any():
-            scores[fold == f] = boosting.predict(boosting.fit(x[fold != f], y[fold != f]), x[fold == f])
-    counts = rewritten | (y == 0)
-    return boosting.fit(x, y), max(0.5, calibrate(scores[counts], y[counts], PRECISION))
+    counts = _model_counts(np.eye(FOLDS, dtype=np.int64)[np.arange(len(y)) % FOLDS])
+    edges, base = boosting.quantile_edges(x), _bases(counts[y == 1].sum(axis=0), counts.sum(axis=0))
+    block = boosting.block_of(boosting.bin_codes(x, edges), y, counts, np.array(base))
+    return _learned(boosting.Near({**block, "calibrated": rewritten | (y == 0)}), edges, base)
 
 
 def _choose(base: list[dict], proposed: list[dict], scores: np.ndarray, limit: float) -> list[tuple[int, int, int]]:
@@ -281,17 +316,49 @@ def _choose(base: list[dict], proposed: list[dict], scores: np.ndarray, limit: f
 
 
 def _learn_from(found: DataFrame) -> tuple[dict | None, float]:
-    """Trees and the threshold from a bounded sample of proposed spans (a stored
-    frame: it is read twice)."""
+    """Trees and the threshold from all proposed spans with labels."""
     known = found.filter(F.size("proposed") > 0).select("doc_id", F.explode("proposed").alias("c")).filter("c.label in (0, 1)")
-    least = lambda df, n: (df.orderBy(F.xxhash64("doc_id", "c"), "doc_id", "c.start").limit(n)
-                           .select("c.features", "c.label", "c.kind", (F.col("c.start") < 0).alias("rewritten")))
-    natural = "c.label = 0 and c.start >= 0"        # may be many times the others
-    known = least(known.filter(f"not ({natural})"), SAMPLE * 3 // 4).union(least(known.filter(natural), SAMPLE // 4)).collect()
-    order = np.random.default_rng(0).permutation(len(known))        # folds of all sorts
-    known = [known[i] for i in order]
-    x = np.array([r.features for r in known], float) if known else np.zeros((0, 1))
-    return learn(x, np.array([r.label for r in known], float), np.array([r.rewritten for r in known], bool))
+    fold = F.pmod(F.xxhash64("doc_id", "c"), F.lit(FOLDS))
+    names = [f"n{f}" for f in range(FOLDS)]
+    counted = C.stored(
+        known.select("c.features", "c.label", (F.col("c.start") < 0).alias("rewritten"), fold.alias("fold"))
+        .groupBy("features", "label", "rewritten").agg(*[F.count_if(F.col("fold") == f).alias(n) for f, n in enumerate(names)]), "pii-known")
+    sums = {r.label: r for r in counted.groupBy("label").agg(F.count("*").alias("rows"), *[F.sum(n).alias(n) for n in names]).collect()}
+    if len(sums) < 2:
+        return None, float("inf")
+    folds = np.array([[sums[y][n] for n in names] for y in (0, 1)], np.int64)
+    base = _bases(_model_counts(folds)[1], _model_counts(folds).sum(axis=0))
+    places = [float(q) for q in np.linspace(0, 1, boosting.BINS)[1:-1]]
+    at = (counted.select(F.posexplode("features").alias("feature", "x"), sum(map(F.col, names)).alias("n"))
+          .groupBy("feature", "x").agg(F.sum("n").alias("n"))
+          .groupBy("feature").agg(F.percentile("x", F.array(*map(F.lit, places)), F.col("n")).alias("at")).orderBy("feature").collect())
+    edges = [np.unique(np.array(r["at"])) for r in at]
+
+    def block(batch: pa.RecordBatch) -> dict:
+        x = np.array(batch.column("features").flatten(), float).reshape(len(batch), -1)
+        counts = _model_counts(np.stack([batch.column(n).to_numpy() for n in names], axis=1))
+        y = batch.column("label").to_numpy().astype(float)
+        made = boosting.block_of(boosting.bin_codes(x, edges), y, counts, np.array(base))
+        return {**made, "calibrated": (y == 0) | batch.column("rewritten").to_numpy(zero_copy_only=False)}
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block(batch))], pa.binary())], names=["made"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = [block(batch) for batch in batches]
+        near = boosting.Near({k: np.concatenate([m[k] for m in made]) for k in made[0]})
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_learned(near, edges, base))], pa.binary())], names=["made"])
+
+    parts = -(-sum(r["rows"] for r in sums.values()) // PART_ROWS)
+    dealt = counted.repartition(parts)
+    if parts == 1:              # as many as one task takes anyway: no job for each level of each tree
+        return pickle.loads(bytes(dealt.mapInArrow(whole, "made binary").first().made))
+    rows = boosting.Spread(dealt.mapInArrow(blocks, "made binary").rdd.map(lambda r: pickle.loads(r.made)))
+    try:
+        return _learned(rows, edges, base)
+    finally:
+        rows.done()
 
 
 def _decided(bases: list[list[dict]], proposals: list[list[dict]], model: dict | None,
