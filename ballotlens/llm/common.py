@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ballotlens.session import scratch_dir
 
 SHINGLE_WORDS = 5
-CHUNK_BYTES = 1 << 20       # bytes of text hashed in one numpy pass
+CHUNK_BYTES = 1 << 18       # bytes of text hashed in one numpy pass
 BATCH_ROWS = 2000           # rows that Spark hands to a Python worker at once, at most
 BATCH_BYTES = 16 << 20      # bytes of them, about
 _U = np.uint64

@@ -28,8 +28,8 @@ from ballotlens.llm import common as C
 CAPACITY = 2048
 END_ID = 0
 SALTS = 64                  # parts in which the pieces of one length are numbered
-CACHE_WORDS = 300_000       # words that a worker remembers (about 60 MB)
-JOINED_WORDS = 4000
+CACHE_WORDS = 300_000       # words that a worker remembers (about 15 MB)
+ENCODED_WORDS = 4000        # words that are encoded at once
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ƿ]+")      # no letter among them changes length in lower case
 _ASCII_LETTER = C.byte_class(bytes(range(65, 91)) + bytes(range(97, 123)))
 _MARK = C.byte_class(b".,!?;:")
@@ -42,9 +42,9 @@ def default_tokenizer() -> str:
 
 
 class _Words:
-    """Token ids by word, for one tokenizer: a word's 64-bit hash gives its
-    slot, its ids lie together in a pool. When the memory is full it starts
-    anew."""
+    """Token ids by word, for one tokenizer: sorted 64-bit hashes of words, in
+    arrays, for Python objects would take several times the memory; their ids lie
+    together in a pool. When the memory is full it starts anew."""
 
     def __init__(self, path: str):
         import os
@@ -58,40 +58,46 @@ class _Words:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.begin, self.pool, self.used = np.zeros(1, np.int64), np.zeros(1 << 16, "<u4"), 0
+        self.keys, self.begin, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, "<u4"), 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, keys: list[int], new: list[str]) -> None:
-        """Encode words. Words of plain Latin letters are one run of letters
-        each, so many are encoded as one text and told apart by word ends."""
-        plain = [i for i, w in enumerate(new) if _PLAIN.fullmatch(w)]
+    def codes(self, words: list[str]) -> list[np.ndarray]:
+        """Token ids of words. Words of plain Latin letters are one run of letters
+        each, so they are encoded as one text and told apart by word ends."""
+        plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)]
         kept = set(plain)
-        other = [i for i in range(len(new)) if i not in kept]
-        codes = self.tokenizer.encode_batch_fast([new[i] for i in other], add_special_tokens=False)
-        found = [(keys[i], np.array(code.ids, "<u4")) for i, code in zip(other, codes)]
-        for at in range(0, len(plain), JOINED_WORDS):
-            part = plain[at:at + JOINED_WORDS]
-            text = " ".join([new[i] for i in part])
+        other = [i for i in range(len(words)) if i not in kept]
+        found = [np.zeros(0, "<u4")] * len(words)
+        for i, code in zip(other, self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
+            found[i] = np.array(code.ids, "<u4")
+        if plain:
+            text = " ".join([words[i] for i in plain])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             stop = np.flatnonzero(self.ends[ids]) + 1
-            if len(stop) == len(part) and stop[-1] == len(ids):
-                found += zip([keys[i] for i in part], np.split(ids, stop[:-1]))
-            else:
-                found += [(keys[i], self.whole(new[i])) for i in part]
-        if not found:
-            return
-        ids = np.concatenate([x for _, x in found])
-        while self.used + len(ids) > len(self.pool):
+            joined = len(stop) == len(plain) and stop[-1] == len(ids)
+            for i, own in zip(plain, np.split(ids, stop[:-1]) if joined else [self.whole(words[i]) for i in plain]):
+                found[i] = own
+        return found
+
+    def learn(self, keys: np.ndarray, spans: list[tuple[int, int]], raw: bytes) -> None:
+        """Remember words, given by sorted new hashes and their places in ``raw``.
+        What the tokenizer makes of a word is far larger than its ids, so few
+        words are encoded at once."""
+        ids, count = [], np.zeros(len(keys), np.int64)
+        for at in range(0, len(keys), ENCODED_WORDS):
+            found = self.codes([raw[x:y].decode() for x, y in spans[at:at + ENCODED_WORDS]])
+            count[at:at + len(found)] = list(map(len, found))
+            ids.append(np.concatenate(found))
+        after = self.used + np.cumsum(count)
+        while after[-1] > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used:self.used + len(ids)] = ids
-        ends = self.used + np.cumsum([len(x) for _, x in found])
-        first = len(self.begin) - 1
-        self.begin = np.concatenate([self.begin, ends])     # slot i: pool[begin[i]:begin[i + 1]]
-        self.used = int(ends[-1])
-        self.slots.update((k, first + i) for i, (k, _) in enumerate(found))
+        self.pool[self.used:after[-1]] = np.concatenate(ids)
+        self.used, place = int(after[-1]), np.searchsorted(self.keys, keys)
+        self.keys, self.begin, self.count = (np.insert(old, place, own) for old, own in (
+            (self.keys, keys), (self.begin, after - count), (self.count, count)))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         data, offsets = C.text_buffers(texts)
@@ -104,15 +110,13 @@ class _Words:
             ends.append(e + a)
         key, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
         start, end = np.concatenate(starts), np.concatenate(ends)
-        if len(self.slots) > CACHE_WORDS:
+        if len(self.keys) > CACHE_WORDS:
             self.forget()
-        keys = key.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.slots]
-        raw = data.tobytes() if new else b""
-        self.learn([keys[i] for i in new],
-                   [raw[x:y].decode() for x, y in zip(start[first[new]].tolist(), end[first[new]].tolist())])
-        slot = np.fromiter(map(self.slots.__getitem__, keys), np.int64, len(keys))[number]
-        begin, count = self.begin[slot], self.begin[slot + 1] - self.begin[slot]
+        new = np.flatnonzero(~np.isin(key, self.keys, assume_unique=True))
+        if len(new):
+            self.learn(key[new], list(zip(start[first[new]].tolist(), end[first[new]].tolist())), data.tobytes())
+        slot = np.searchsorted(self.keys, key)[number]
+        begin, count = self.begin[slot], self.count[slot]
         after = np.concatenate([[0], np.cumsum(count)])
         ids = self.pool[np.repeat(begin - after[:-1], count) + np.arange(after[-1])]
         bounds = after[np.searchsorted(start, offsets)]
