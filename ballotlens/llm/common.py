@@ -140,12 +140,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hasher(data)(starts, ends) if len(starts) else np.zeros(0, _U)
 
 
-def _pieces(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Cut a batch into byte ranges of about CHUNK_BYTES, at document borders
+def _pieces(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray, size: int | None = None) -> Iterator[tuple[int, int]]:
+    """Cut a batch into byte ranges of about ``size`` (CHUNK_BYTES), at document borders
     or, inside a longer document, after a separator."""
     at, end = 0, len(data)
     while at < end:
-        to = min(end, at + CHUNK_BYTES)
+        to = min(end, at + (size or CHUNK_BYTES))
         if to < end:
             k = int(np.searchsorted(offsets, to, side="right")) - 1
             if offsets[k] > at:

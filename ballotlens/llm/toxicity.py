@@ -41,6 +41,7 @@ LEARNT_WEIGHT = 0.02            # of a document that was learnt from, in the fin
 GRAMS = ((0, 3), (0, 4), (0, 5), (1, 3), (1, 4))        # (0 start or 1 end of the word, bytes)
 STEPS, BATCH = 600, 16                                  # documents of each class in a batch
 SEED = 7
+CHUNK_BYTES = 1 << 20       # of text whose tokens are numbered together: learning draws by these numbers
 _U = np.uint64
 _SEPARATOR = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
@@ -50,7 +51,7 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     among them, bounds of the documents. Row 0 stands for "no token"."""
     data, offsets = C.text_buffers(texts)
     keys, rows, begins = [np.zeros(0, _U)], [np.zeros((0, 1 + len(GRAMS)), _U)], [np.zeros(0, np.int64)]
-    for a, b in C._pieces(data, offsets, _SEPARATOR):
+    for a, b in C._pieces(data, offsets, _SEPARATOR, CHUNK_BYTES):
         part = data[a:b]
         starts, ends = C.word_spans(part, offsets[(offsets >= a) & (offsets <= b)] - a, _SEPARATOR)
         if not len(starts):
